@@ -72,14 +72,20 @@ def pack_by_tokens(
 def pack_order(
     df: DataFrame, cost: str, ids: Sequence[str], keys: Sequence[str] = ("step", "bin"), out: str = "position"
 ) -> DataFrame:
-    """Small, large, small inside a bin: odd ranks rise, even ranks fall after them."""
+    """Small, large, small inside a bin: every second rank rises, the others fall after them."""
     rows = ranked(df, keys, [F.col(cost), *map(F.col, ids)], block=F.floor(F.col(cost) / 8192), out="_rank")
     rows = with_stats(rows, keys, F.count(F.lit(1)).alias("_n"))
     r = F.col("_rank") - 1
-    rising = F.ceil(F.col("_n") / 2)
-    spot = F.when(r % 2 == 0, r / 2).otherwise(rising + F.floor((F.col("_n") - 1 - r) / 2))
-    odd = (F.col("_n") % 2 == 1) & (r % 2 == 1)
-    spot = F.when(odd, rising + F.floor((F.col("_n") - 2 - r) / 2)).otherwise(spot)
+    spot = F.when(r % 2 == 0, r / 2).otherwise(F.col("_n") - 1 - (r - 1) / 2)
+    return rows.withColumn(out, spot.cast("bigint")).drop("_rank", "_n")
+
+
+def bin_order(bins: DataFrame, cost: str, batch: Sequence[str] = ("step",), out: str = "bin_position") -> DataFrame:
+    """Order of the bins (one row each): heavy in the middle, light at both ends."""
+    rows = ranked(bins, batch, [F.col(cost).desc(), F.col("bin").desc()], block=_block(cost), out="_rank")
+    rows = with_stats(rows, batch, F.count(F.lit(1)).alias("_n"))
+    r, front = F.col("_rank") - 1, F.ceil(F.col("_n") / 2)
+    spot = F.when(r % 2 == 0, front - 1 - r / 2).otherwise(front + (r - 1) / 2)
     return rows.withColumn(out, spot.cast("bigint")).drop("_rank", "_n")
 
 

@@ -20,7 +20,7 @@ def rounded(df, *keep):
 
 
 def _cells(pairs: dict[str, str]) -> str:
-    return ", ".join(f"round({v}, 6) + 0.0 AS {k}" for k, v in pairs.items())
+    return ", ".join(f"round(({v})::DOUBLE, 6) + 0.0 AS {k}" for k, v in pairs.items())
 
 
 # --- masked reducers -----------------------------------------------------------------------------

@@ -72,3 +72,20 @@ def ranked(
         .withColumn(out, (F.col("_in_block") + F.coalesce("_before", F.lit(0))).cast("bigint"))
         .drop("_block", "_in_block", "_before")
     )
+
+
+def quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, points: dict[str, float], block: Column
+) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per key; ``block`` as in ``ranked``."""
+    keys = list(keys)
+    rows = ranked(df.select(*keys, value), keys, [F.col(value)], block, out="_rank")
+    rows = with_stats(rows, keys, F.count(F.lit(1)).alias("_n"))
+    at = lambda p: F.max(F.when(F.col("_rank") - 1 == p, F.col(value)))
+    out = []
+    for name, q in points.items():
+        spot = (F.col("_n") - 1) * q
+        low, high = at(F.floor(spot)), at(F.ceil(spot))
+        share = F.max(spot - F.floor(spot))
+        out.append((low + (high - low) * share).alias(name))
+    return rows.groupBy(*keys).agg(*out)
