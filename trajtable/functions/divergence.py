@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,34 +33,51 @@ def policy_ratio(lp: Column, old: Column, bound: float = 20.0) -> Column:
     return F.exp(clamp(lp - old, -bound, bound))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and hand it to ``body``.
+
+    A value computed inside the lambda of an array function is computed for every element.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def total(x: Column) -> Column:
     """Sum of a double array."""
     return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
 
 
 def logsumexp(x: Column) -> Column:
-    top = F.array_max(x)
-    return top + F.log(total(F.transform(x, lambda v: F.exp(v - top))))
+    return let(F.array_max(x), lambda top: top + F.log(F.aggregate(x, F.lit(0.0), lambda a, v: a + F.exp(v - top))))
 
 
 def log_softmax(x: Column) -> Column:
-    z = logsumexp(x)
-    return F.transform(x, lambda v: v - z)
+    return let(logsumexp(x), lambda z: F.transform(x, lambda v: v - z))
 
 
 def softmax(x: Column) -> Column:
-    z = logsumexp(x)
-    return F.transform(x, lambda v: F.exp(v - z))
+    return let(logsumexp(x), lambda z: F.transform(x, lambda v: F.exp(v - z)))
 
 
 def entropy(logits: Column) -> Column:
     """logsumexp - sum(p * logit)."""
-    p = softmax(logits)
-    return logsumexp(logits) - total(F.zip_with(p, logits, lambda a, b: a * b))
+    return let(
+        logsumexp(logits),
+        lambda z: z - F.aggregate(logits, F.lit(0.0), lambda a, v: a + F.exp(v - z) * v),
+    )
 
 
 def sum_pi_squared(logits: Column) -> Column:
-    return total(F.transform(softmax(logits), lambda p: p * p))
+    return let(logsumexp(logits), lambda z: F.aggregate(logits, F.lit(0.0), lambda a, v: a + F.exp(2 * (v - z))))
+
+
+def top_ids(scores: Column, k: int) -> Column:
+    """Ids of the k largest entries, largest first; equal scores go to the lowest id."""
+    ranked = F.array_sort(F.transform(scores, lambda v, i: F.struct((-v).alias("v"), i.alias("i"))))
+    return F.transform(F.slice(ranked, 1, k), lambda x: x.i)
+
+
+def gather(values: Column, ids: Column) -> Column:
+    return F.transform(ids, lambda i: F.element_at(values, i + 1))
 
 
 def kl_on_support(p: Column, log_p: Column, log_q: Column) -> Column:

@@ -1,0 +1,63 @@
+"""Reverse recurrences over arrays, walked once per Arrow batch (NumPy).
+
+This module is sent to the executors by value, so it must not create Spark columns at import time.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _discounted(rewards, masks, gamma):
+    """Reverse discounted sums for a batch of ragged rows; the carry is zeroed after mask-0 tokens."""
+    width = max((len(r) for r in rewards), default=0)
+    r, m = np.zeros((len(rewards), width)), np.zeros((len(rewards), width))
+    for i, (a, b) in enumerate(zip(rewards, masks)):
+        r[i, : len(a)], m[i, : len(b)] = a, b
+    out, carry = np.zeros_like(r), np.zeros(len(rewards))
+    for t in range(width - 1, -1, -1):
+        out[:, t] = r[:, t] + gamma * carry
+        carry = out[:, t] * m[:, t]
+    return [out[i, : len(a)] for i, a in enumerate(rewards)]
+
+
+def _gae(rewards, values, masks, gamma, lam):
+    width = max((len(r) for r in rewards), default=0)
+    r, v, m = (np.zeros((len(rewards), width)) for _ in range(3))
+    for i, (a, b, c) in enumerate(zip(rewards, values, masks)):
+        r[i, : len(a)], v[i, : len(b)], m[i, : len(c)] = a, b, c
+    out = np.zeros_like(r)
+    ahead, held = np.zeros(len(rewards)), np.zeros(len(rewards))
+    for t in range(width - 1, -1, -1):
+        on = m[:, t] > 0
+        held = np.where(on, r[:, t] + gamma * ahead - v[:, t] + gamma * lam * held, held)
+        ahead = np.where(on, v[:, t], ahead)
+        out[:, t] = held
+    return [out[i, : len(a)] for i, a in enumerate(rewards)]
+
+
+def discounted_returns(rewards: Column, masks: Column, gamma: float) -> Column:
+    @F.pandas_udf("array<double>")
+    def walk(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in batches:
+            yield pd.Series(_discounted(list(a), list(b), gamma))
+
+    return walk(rewards, masks)
+
+
+def gae(rewards: Column, values: Column, masks: Column, gamma: float, lam: float) -> Column:
+    @F.pandas_udf("array<double>")
+    def walk(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b, c in batches:
+            yield pd.Series(_gae(list(a), list(b), list(c), gamma, lam))
+
+    return walk(rewards, values, masks)

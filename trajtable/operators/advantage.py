@@ -8,13 +8,12 @@ only used inside one trajectory, whose length the generation limit bounds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trajtable.functions import recurrence
 from trajtable.operators.masked import EPS, masked_mean, whiten
 from trajtable.plans.skew import with_stats
 
@@ -214,30 +213,6 @@ def remax(df: DataFrame, baseline: str = "baseline", traj=("seq_id",), t: str =
     return rows.withColumn("advantage", F.col("returns") - F.col(baseline) * F.col("mask"))
 
 
-def _discounted(rewards, masks, gamma):
-    """Reverse discounted sums for a batch of ragged rows; the carry is zeroed after mask-0 tokens."""
-    width = max((len(r) for r in rewards), default=0)
-    r, m = np.zeros((len(rewards), width)), np.zeros((len(rewards), width))
-    for i, (a, b) in enumerate(zip(rewards, masks)):
-        r[i, : len(a)], m[i, : len(b)] = a, b
-    out, carry = np.zeros_like(r), np.zeros(len(rewards))
-    for t in range(width - 1, -1, -1):
-        out[:, t] = r[:, t] + gamma * carry
-        carry = out[:, t] * m[:, t]
-    return [out[i, : len(a)] for i, a in enumerate(rewards)]
-
-
-def discounted_returns(rewards: Column, masks: Column, gamma: float) -> Column:
-    """Array form of the reverse discounted sum for gamma other than 1 (Arrow batches)."""
-
-    @F.pandas_udf("array<double>")
-    def walk(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b in batches:
-            yield pd.Series(_discounted(list(a), list(b), gamma))
-
-    return walk(rewards, masks)
-
-
 def reinforce_pp(df: DataFrame, gamma: float = 1.0, traj=("seq_id",), t: str = "t", batch=("step",)) -> DataFrame:
     """Reverse discounted return that restarts at every mask-0 token; whitened and masked advantage."""
     traj, batch = list(traj), list(batch)
@@ -251,7 +226,7 @@ def reinforce_pp(df: DataFrame, gamma: float = 1.0, traj=("seq_id",), t: str = "
         cells = F.array_sort(F.collect_list(F.struct(t, "reward", "mask")))
         arrays = df.groupBy(*batch, *traj).agg(cells.alias("_c"))
         walked = arrays.withColumn(
-            "_r", discounted_returns(F.transform("_c", lambda x: x.reward), F.transform("_c", lambda x: x.mask), gamma)
+            "_r", recurrence.discounted_returns(F.transform("_c", lambda x: x.reward), F.transform("_c", lambda x: x.mask), gamma)
         )
         rows = walked.select(*batch, *traj, F.explode(F.arrays_zip("_c", "_r")).alias("_z")).select(
             *batch, *traj, f"_z._c.{t}", "_z._c.mask", F.col("_z._r").alias("returns")
@@ -260,30 +235,6 @@ def reinforce_pp(df: DataFrame, gamma: float = 1.0, traj=("seq_id",), t: str = "
     return white.withColumn("advantage", F.col("_white") * F.col("mask")).drop("_white")
 
 
-def _gae(rewards, values, masks, gamma, lam):
-    width = max((len(r) for r in rewards), default=0)
-    r, v, m = (np.zeros((len(rewards), width)) for _ in range(3))
-    for i, (a, b, c) in enumerate(zip(rewards, values, masks)):
-        r[i, : len(a)], v[i, : len(b)], m[i, : len(c)] = a, b, c
-    out = np.zeros_like(r)
-    ahead, held = np.zeros(len(rewards)), np.zeros(len(rewards))
-    for t in range(width - 1, -1, -1):
-        on = m[:, t] > 0
-        held = np.where(on, r[:, t] + gamma * ahead - v[:, t] + gamma * lam * held, held)
-        ahead = np.where(on, v[:, t], ahead)
-        out[:, t] = held
-    return [out[i, : len(a)] for i, a in enumerate(rewards)]
-
-
-def gae_arrays(rewards: Column, values: Column, masks: Column, gamma: float, lam: float) -> Column:
-    @F.pandas_udf("array<double>")
-    def walk(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b, c in batches:
-            yield pd.Series(_gae(list(a), list(b), list(c), gamma, lam))
-
-    return walk(rewards, values, masks)
-
-
 def gae(df: DataFrame, gamma: float = 1.0, lam: float = 1.0, traj=("seq_id",), t: str = "t", batch=("step",)) -> DataFrame:
     """Generalised advantage estimate; mask-0 tokens hold the state of the token after them.
 
@@ -301,7 +252,7 @@ def gae(df: DataFrame, gamma: float = 1.0, lam: float = 1.0, traj=("seq_id",), t
         cells = F.array_sort(F.collect_list(F.struct(t, "reward", "value", "mask")))
         pick = lambda c: F.transform("_c", lambda x: x[c])
         arrays = df.groupBy(*batch, *traj).agg(cells.alias("_c"))
-        walked = arrays.withColumn("_a", gae_arrays(pick("reward"), pick("value"), pick("mask"), gamma, lam))
+        walked = arrays.withColumn("_a", recurrence.gae(pick("reward"), pick("value"), pick("mask"), gamma, lam))
         rows = walked.select(*batch, *traj, F.explode(F.arrays_zip("_c", "_a")).alias("_z")).select(
             *batch, *traj, f"_z._c.{t}", "_z._c.value", "_z._c.mask", F.col("_z._a").alias("_raw")
         )

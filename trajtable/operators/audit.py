@@ -13,7 +13,21 @@ from trajtable.plans.skew import ranked, with_stats
 
 MODES = ("token-mean", "seq-mean-token-sum", "seq-mean-token-sum-norm", "seq-mean-token-mean")
 
-LP, OLD, ADV, MASK = F.col("cur_lp"), F.col("old_lp"), F.col("adv"), F.col("mask")
+
+def lp() -> Column:
+    return F.col("cur_lp")
+
+
+def old_lp() -> Column:
+    return F.col("old_lp")
+
+
+def adv() -> Column:
+    return F.col("adv")
+
+
+def mask() -> Column:
+    return F.col("mask")
 
 
 def reduce_audit(
@@ -25,8 +39,8 @@ def reduce_audit(
         raise ValueError(f"unknown aggregation {mode}")
     inner = [F.sum("mask").alias("_n")]
     if loss is not None:
-        inner.append(masked_sum(loss, MASK).alias("_loss"))
-    inner += [masked_sum(c.cast("double"), MASK).alias(k) for k, c in shares.items()]
+        inner.append(masked_sum(loss, mask()).alias("_loss"))
+    inner += [masked_sum(c.cast("double"), mask()).alias(k) for k, c in shares.items()]
     per_row = df.groupBy(*batch, *traj).agg(*inner)
     on = F.col("_n") > 0
     if mode == "token-mean":
@@ -42,34 +56,38 @@ def reduce_audit(
 
 
 def _log_ratio(bounded: bool = True) -> Column:
-    return clamp(LP - OLD, -20, 20) if bounded else LP - OLD
+    return clamp(lp() - old_lp(), -20, 20) if bounded else lp() - old_lp()
 
 
-def ppo(df: DataFrame, low: float = 0.2, high: float = 0.2, c: float = 3.0, weight: str | None = None, mode="token-mean"):
-    """Clipped surrogate with a dual clip for negative advantages."""
+def clip_terms(new: Column, old: Column, a: Column, low: float, high: float, c: float):
+    """Loss of the clipped surrogate per token and its clip and KL columns."""
     if c <= 1:
         raise ValueError("the dual clip must be above 1")
-    x = _log_ratio()
+    x = clamp(new - old, -20, 20)
     ratio = F.exp(x)
-    free, clipped = -ADV * ratio, -ADV * clamp(ratio, 1 - low, 1 + high)
-    first, bound = F.greatest(free, clipped), -ADV * c
-    loss = F.when(ADV < 0, F.least(bound, first)).otherwise(first)
-    loss = loss * F.col(weight) if weight else loss
-    shares = {"clipfrac": clipped > free, "kl": -x, "clipfrac_lower": (first > bound) & (ADV < 0)}
-    return reduce_audit(df, loss, shares, mode)
+    free, clipped = -a * ratio, -a * clamp(ratio, 1 - low, 1 + high)
+    first, bound = F.greatest(free, clipped), -a * c
+    loss = F.when(a < 0, F.least(bound, first)).otherwise(first)
+    return loss, {"clipfrac": clipped > free, "kl": -x, "clipfrac_lower": (first > bound) & (a < 0)}
+
+
+def ppo(df: DataFrame, low: float = 0.2, high: float = 0.2, c: float = 3.0, weight: str | None = None, mode="token-mean"):
+    """Clipped surrogate with a dual clip for negative advantages."""
+    loss, shares = clip_terms(lp(), old_lp(), adv(), low, high, c)
+    return reduce_audit(df, loss * F.col(weight) if weight else loss, shares, mode)
 
 
 def dppo(df: DataFrame, kind: str = "tv", low: float = 0.2, high: float = 0.2, c: float = 20.0, mode="token-mean"):
     """Tokens count only while the probability moved less than the limit (difference or binary KL)."""
     x = _log_ratio()
-    ratio, p, q = F.exp(x), F.exp(LP), F.exp(OLD)
+    ratio, p, q = F.exp(x), F.exp(lp()), F.exp(old_lp())
     if kind == "tv":
         up, down = (p - q) <= high, (p - q) >= -low
     else:
-        binary = q * (OLD - LP) + (1 - q) * F.log((1.0 - q + 1e-8) / (1.0 - p + 1e-8))
+        binary = q * (old_lp() - lp()) + (1 - q) * F.log((1.0 - q + 1e-8) / (1.0 - p + 1e-8))
         up, down = (binary <= high) | (p <= q), (binary <= low) | (p >= q)
-    valid = F.when(ADV > 0, up).otherwise(down)
-    loss = -ADV * F.least(ratio, F.lit(c)) * LP * valid.cast("double")
+    valid = F.when(adv() > 0, up).otherwise(down)
+    loss = -adv() * F.least(ratio, F.lit(c)) * lp() * valid.cast("double")
     return reduce_audit(df, loss, {"clipfrac": ~valid, "kl": -x, "clipfrac_lower": (ratio > c) & valid}, mode)
 
 
@@ -77,9 +95,9 @@ def gspo(df: DataFrame, low: float = 0.2, high: float = 0.2, traj=("seq_id",)):
     """One ratio per trajectory: exp of the mean log ratio, at most exp(10)."""
     w = Window.partitionBy(*traj)
     x = _log_ratio(False)
-    rows = df.withColumn("_x", F.sum(x * MASK).over(w) / F.greatest(F.sum("mask").over(w), F.lit(1)))
+    rows = df.withColumn("_x", F.sum(x * mask()).over(w) / F.greatest(F.sum("mask").over(w), F.lit(1)))
     ratio = F.exp(F.least(F.col("_x"), F.lit(10.0)))
-    free, clipped = -ADV * ratio, -ADV * clamp(ratio, 1 - low, 1 + high)
+    free, clipped = -adv() * ratio, -adv() * clamp(ratio, 1 - low, 1 + high)
     shares = {"clipfrac": clipped > free, "kl": -x}
     return reduce_audit(rows, F.greatest(free, clipped), shares, "seq-mean-token-mean")
 
@@ -87,27 +105,27 @@ def gspo(df: DataFrame, low: float = 0.2, high: float = 0.2, traj=("seq_id",)):
 def sapo(df: DataFrame, tau_pos: float = 1.0, tau_neg: float = 1.05):
     """Sigmoid gate around ratio 1, temperature by the sign of the advantage."""
     x = _log_ratio()
-    tau = F.when(ADV > 0, tau_pos).otherwise(tau_neg)
+    tau = F.when(adv() > 0, tau_pos).otherwise(tau_neg)
     gate = 4.0 / tau / (1 + F.exp(-tau * (F.exp(x) - 1.0)))
-    return reduce_audit(df, -gate * ADV, {"kl": -x}, "seq-mean-token-mean")
+    return reduce_audit(df, -gate * adv(), {"kl": -x}, "seq-mean-token-mean")
 
 
 def gpg(df: DataFrame, weight: str | None = None, mode="token-mean"):
-    loss = -LP * ADV
+    loss = -lp() * adv()
     return reduce_audit(df, loss * F.col(weight) if weight else loss, {}, mode)
 
 
 def reinforce(df: DataFrame, weight: str | None = None, mode="token-mean"):
-    loss = -LP * ADV
+    loss = -lp() * adv()
     return reduce_audit(df, loss * F.col(weight) if weight else loss, {"kl": -_log_ratio(False)}, mode)
 
 
 def _covariance(df: DataFrame, batch) -> DataFrame:
     rows = with_stats(
-        df, batch, masked_mean(ADV, MASK).alias("_a"), masked_mean(LP, MASK).alias("_l"), F.sum("mask").alias("_n")
+        df, batch, masked_mean(adv(), mask()).alias("_a"), masked_mean(lp(), mask()).alias("_l"), F.sum("mask").alias("_n")
     )
     # rounding keeps the ranking independent of the order in which means were summed
-    return rows.withColumn("_cov", F.round((ADV - F.col("_a")) * (LP - F.col("_l")), 9))
+    return rows.withColumn("_cov", F.round((adv() - F.col("_a")) * (lp() - F.col("_l")), 9))
 
 
 def clip_cov(
@@ -120,9 +138,9 @@ def clip_cov(
     """
     x = _log_ratio(False)
     r = F.exp(x)
-    free, clipped = -ADV * r, -ADV * clamp(r, 1 - low, 1 + high)
+    free, clipped = -adv() * r, -adv() * clamp(r, 1 - low, 1 + high)
     rows = _covariance(df, batch)
-    eligible = (MASK > 0) & ~(clipped > free) & (F.col("_cov") > lb) & (F.col("_cov") < ub)
+    eligible = (mask() > 0) & ~(clipped > free) & (F.col("_cov") > lb) & (F.col("_cov") < ub)
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), *traj, t))
     chosen = ranked(
         rows.where(eligible).select(*batch, *traj, t, "_n", draw.alias("_draw")),
@@ -141,11 +159,11 @@ def kl_cov(
     x = _log_ratio(False)
     rows = _covariance(df, batch)
     top = ranked(
-        rows.where(MASK > 0).select(*batch, *traj, t, "_n", "_cov"),
+        rows.where(mask() > 0).select(*batch, *traj, t, "_n", "_cov"),
         batch, [F.col("_cov").desc(), *map(F.col, traj), F.col(t)], block=F.floor(-F.col("_cov") * 64), out="_rank",
     ).where(F.col("_rank") <= F.greatest(F.floor(F.col("_n") * ratio), F.lit(1)))
     marked = rows.join(top.select(*batch, *traj, t, F.lit(1.0).alias("_big")), [*batch, *traj, t], "left")
-    loss = -ADV * F.exp(x) + F.coalesce(F.col("_big"), F.lit(0.0)) * coef * F.abs(x)
+    loss = -adv() * F.exp(x) + F.coalesce(F.col("_big"), F.lit(0.0)) * coef * F.abs(x)
     return reduce_audit(marked, loss, {"kl": F.abs(x)}, mode, traj=traj, batch=batch)
 
 
@@ -153,17 +171,17 @@ def geo_mean(df: DataFrame, low: float = 0.2, high: float = 0.2, traj=("seq_id",
     """Geometric-mean ratio per trajectory, clipped in log space on the side the advantage favours."""
     x = _log_ratio(False)
     clipped = clamp(x, -low, high)
-    sign = F.signum(ADV)
+    sign = F.signum(adv())
     part = sign * F.least(sign * x, sign * clipped)
     outside = x != clipped
     n = F.sum("mask")
     per_row = df.groupBy(*batch, *traj).agg(
         n.alias("n"),
-        F.exp(masked_sum(part, MASK) / (n + EPS)).alias("ratio"),
-        (masked_sum(ADV, MASK) / (n + EPS)).alias("a"),
-        masked_sum(-x, MASK).alias("kl"),
-        masked_sum((outside & (ADV > 0)).cast("double"), MASK).alias("hi"),
-        masked_sum((outside & (ADV < 0)).cast("double"), MASK).alias("lo"),
+        F.exp(masked_sum(part, mask()) / (n + EPS)).alias("ratio"),
+        (masked_sum(adv(), mask()) / (n + EPS)).alias("a"),
+        masked_sum(-x, mask()).alias("kl"),
+        masked_sum((outside & (adv() > 0)).cast("double"), mask()).alias("hi"),
+        masked_sum((outside & (adv() < 0)).cast("double"), mask()).alias("lo"),
     )
     total = F.sum("n") + EPS
     return per_row.groupBy(*batch).agg(
@@ -178,7 +196,7 @@ def cispo(df: DataFrame, low: float = 0.2, high: float = 0.2, mode="token-mean")
     x = _log_ratio()
     ratio = F.exp(x)
     clipped = clamp(ratio, 1 - low, 1 + high)
-    return reduce_audit(df, -clipped * ADV * LP, {"clipfrac": ratio != clipped, "kl": -x}, mode)
+    return reduce_audit(df, -clipped * adv() * lp(), {"clipfrac": ratio != clipped, "kl": -x}, mode)
 
 
 def value_loss(df: DataFrame, clip: float = 0.5, mode="token-mean"):

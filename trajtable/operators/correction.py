@@ -24,7 +24,6 @@ SEQUENCE_OPTIONS = (
 )
 BOUND = 20.0
 
-MASK = F.col
 LR = "log_ratio"
 
 

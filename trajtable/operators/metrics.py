@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from trajtable.operators.masked import masked_mean, masked_sum
 from trajtable.plans.skew import quantiles
 
-ROWS = F.count(F.lit(1))
+
+
+def rows_n() -> Column:
+    return F.count(F.lit(1))
 
 
 def spread(col: Column, name: str, kinds: Sequence[str] = ("mean", "max", "min")) -> list[Column]:
@@ -107,7 +110,7 @@ def variance_proxy(
     signal = gradient_norm * gradient_norm if gradient_norm is not None else None
     noise = F.lit(0.0)
     if signal is not None:
-        noise = F.when(ROWS > 1, F.greatest((power - signal) / (ROWS - 1), F.lit(0.0))).otherwise(0.0)
+        noise = F.when(rows_n() > 1, F.greatest((power - signal) / (rows_n() - 1), F.lit(0.0))).otherwise(0.0)
     return per_row.groupBy(*batch).agg(
         F.max(F.lit(signal if signal is not None else 0.0)).alias("signal_strength"),
         power.alias("total_power"),
@@ -137,7 +140,7 @@ def metric_reduce(df: DataFrame, keys: Sequence[str], key: str = "key", declared
 
 def metric_dp(df: DataFrame, key: str = "key", rule: str = "rule", rank: str = "rank", index: str = "i") -> DataFrame:
     """Combine ranks: sum and mean average over ranks first; ranks must report equally often."""
-    sizes = df.groupBy(key, rank).agg(ROWS.alias("_n")).groupBy(key).agg(F.min("_n").alias("_lo"), F.max("_n").alias("_hi"))
+    sizes = df.groupBy(key, rank).agg(rows_n().alias("_n")).groupBy(key).agg(F.min("_n").alias("_lo"), F.max("_n").alias("_hi"))
     per_index = df.groupBy(key, rule, index).agg(F.avg("value").alias("_m"), F.min("value").alias("_lo_v"), F.max("value").alias("_hi_v"))
     total = per_index.groupBy(key, rule).agg(
         F.sum("_m").alias("_sum"), F.avg("_m").alias("_mean"), F.min("_lo_v").alias("_min"), F.max("_hi_v").alias("_max")
@@ -222,7 +225,7 @@ def async_batch_stats(df: DataFrame, batch: Sequence[str], seconds: str, calls:
         F.avg((span > 0).cast("double")).alias("partial_ratio"),
         F.max(span).alias("max_partial_span"),
     )
-    versions = df.select(*batch, end).distinct().groupBy(*batch).agg(ROWS.alias("version_diversity"))
+    versions = df.select(*batch, end).distinct().groupBy(*batch).agg(rows_n().alias("version_diversity"))
     tails = quantiles(df, batch, seconds, {"tp50": 0.5, "tp95": 0.95, "tp99": 0.99}, block=F.floor(seconds))
     return plain.join(versions, list(batch)).join(tails, list(batch))
 
@@ -291,7 +294,7 @@ def source_token_stats(tokens: DataFrame, batch: Sequence[str], source: str = "s
     return tokens.groupBy(*batch).agg(
         count(F.col(source) == "student").alias("student_tokens"),
         teacher.alias("teacher_tokens"),
-        ROWS.alias("emitted_tokens"),
+        rows_n().alias("emitted_tokens"),
         count(F.col("drafted") > 0).alias("drafted_tokens"),
         count(F.col(accepted) > 0).alias("accepted_tokens"),
         F.when(teacher + student > 0, teacher / (teacher + student)).alias("teacher_ratio"),

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from functools import lru_cache
+from collections.abc import Callable, Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajtable.plans.skew import ranked, with_stats
+from trajtable.functions import resample
+from trajtable.plans.skew import ranked, spread, with_stats
 
-ROWS = F.count(F.lit(1))
+
+
+def rows_n() -> Column:
+    return F.count(F.lit(1))
 MAX_GROUP = 4096  # samples of one prompt that are resampled as an array
 METRIC = "data_source string, uid bigint, variable string, metric string, value double"
 
@@ -24,10 +25,10 @@ def first_per_problem(df: DataFrame, keys: Sequence[str], value: str, index: str
 def bench_summary(df: DataFrame, keys: Sequence[str], problem: str, correct: str, index: str) -> DataFrame:
     """avg@k (mean over problems of mean correctness), pass@1 (first sample), pass@k (any)."""
     per = df.groupBy(*keys, problem).agg(
-        F.avg(correct).alias("_avg"), F.min_by(correct, index).alias("_first"), F.max(correct).alias("_any"), ROWS.alias("_n")
+        F.avg(correct).alias("_avg"), F.min_by(correct, index).alias("_first"), F.max(correct).alias("_any"), rows_n().alias("_n")
     )
     return per.groupBy(*keys).agg(
-        ROWS.alias("n_problems"),
+        rows_n().alias("n_problems"),
         F.max("_n").alias("n_samples"),
         F.avg("_avg").alias("avg_at_k"),
         F.avg("_first").alias("pass_at_1"),
@@ -63,17 +64,17 @@ def bench_status(shards: DataFrame, keys: Sequence[str]) -> DataFrame:
 def best_step(status: DataFrame, run: Sequence[str], benches: Sequence[str], step: str = "step", bench: str = "bench") -> DataFrame:
     """Step with the highest mean over the benches, earliest step on ties; all benches must be done."""
     ready = status.where(F.col(bench).isin(*benches) & F.col("done") & F.col("avg_at_k").isNotNull())
-    steps = ready.groupBy(*run, step).agg(ROWS.alias("_n"), (100 * F.sum("avg_at_k") / len(benches)).alias("_avg"))
+    steps = ready.groupBy(*run, step).agg(rows_n().alias("_n"), (100 * F.sum("avg_at_k") / len(benches)).alias("_avg"))
     steps = steps.where(F.col("_n") == len(benches))
     return steps.groupBy(*run).agg(
-        F.max_by(step, F.struct("_avg", -F.col(step))).alias("peak_step"), F.max("_avg").alias("peak_avg"), ROWS.alias("steps_done")
+        F.max_by(step, F.struct("_avg", -F.col(step))).alias("peak_step"), F.max("_avg").alias("peak_avg"), rows_n().alias("steps_done")
     )
 
 
 def majority(df: DataFrame, keys: Sequence[str], vote: str, value: str, index: str) -> DataFrame:
     """Most frequent vote (ties: the one seen first) and the first value given with it."""
     votes = df.groupBy(*keys, vote).agg(
-        ROWS.alias("_n"), F.min(index).alias("_first"), F.min_by(value, index).alias("_value")
+        rows_n().alias("_n"), F.min(index).alias("_first"), F.min_by(value, index).alias("_value")
     )
     best = F.struct(F.col("_n"), -F.col("_first"))
     return votes.groupBy(*keys).agg(
@@ -85,75 +86,10 @@ def majority(df: DataFrame, keys: Sequence[str], vote: str, value: str, index: s
 # --- bootstrap -----------------------------------------------------------------------------------
 
 
-def subset_sizes(n: int) -> list[int]:
-    """2, 4, 8, ... below n, then n itself."""
-    sizes, k = [], 2
-    while k < n:
-        sizes.append(k)
-        k *= 2
-    return sizes + [n] if n > 1 else []
-
-
-@lru_cache(maxsize=16)
-def draws(n: int, size: int, rounds: int = 1000, seed: int = 42) -> np.ndarray:
-    """Resample positions; they depend on the group size and the subset size only."""
-    return np.random.RandomState(seed).choice(n, size=(rounds, size), replace=True).astype(np.int32)
-
-
-def _majority_positions(codes: np.ndarray) -> np.ndarray:
-    """First position of the most frequent code along the last axis (ties: seen first)."""
-    counts = np.zeros(codes.shape, dtype=np.int32)
-    for c in range(int(codes.max()) + 1):
-        hit = codes == c
-        counts += hit * hit.sum(axis=-1, keepdims=True)
-    return counts.argmax(axis=-1)
-
-
-def bootstrap(values: np.ndarray, codes: np.ndarray | None, seed: int = 42) -> dict[str, np.ndarray]:
-    """Best, worst and majority of resampled subsets for a stack of equally large groups."""
-    groups, n = values.shape
-    out: dict[str, np.ndarray] = {}
-    for size in subset_sizes(n):
-        pos = draws(n, size, seed=seed)
-        parts = {k: [] for k in ("best", "worst", "maj")}
-        chunk = max(1, 4_000_000 // pos.size)
-        for lo in range(0, groups, chunk):
-            sample = values[lo : lo + chunk][:, pos]
-            parts["best"].append(sample.max(axis=-1))
-            parts["worst"].append(sample.min(axis=-1))
-            if codes is not None:
-                first = _majority_positions(codes[lo : lo + chunk][:, pos])
-                parts["maj"].append(np.take_along_axis(sample, first[..., None], axis=-1)[..., 0])
-        for kind, blocks in parts.items():
-            if blocks:
-                got = np.concatenate(blocks)
-                out[f"{kind}@{size}/mean"], out[f"{kind}@{size}/std"] = got.mean(axis=1), got.std(axis=1)
-    return out
-
-
-def _codes(preds: pd.Series) -> np.ndarray:
-    return np.stack([pd.factorize(np.asarray(p, dtype=object))[0] for p in preds])
-
-
-def _bootstrap_batches(variables: Sequence[str], has_pred: bool, seed: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for _, same in pdf.groupby("n"):
-                codes = _codes(same["preds"]) if has_pred else None
-                for var in variables:
-                    table = bootstrap(np.stack(same[var].to_list()), codes, seed)
-                    for metric, column in table.items():
-                        yield pd.DataFrame(
-                            {"data_source": same["data_source"], "uid": same["uid"], "variable": var, "metric": metric, "value": column}
-                        )
-
-    return run
-
-
 def point_metrics(df: DataFrame, variables: Sequence[str], keys=("data_source", "uid")) -> DataFrame:
     """mean@n, and population std@n when n > 1, per prompt."""
     stats = df.groupBy(*keys).agg(
-        ROWS.alias("n"), *[f(v).alias(f"{v}_{k}") for v in variables for k, f in (("mean", F.avg), ("std", F.stddev_pop))]
+        rows_n().alias("n"), *[f(v).alias(f"{v}_{k}") for v in variables for k, f in (("mean", F.avg), ("std", F.stddev_pop))]
     )
     name = lambda p: F.concat(F.lit(f"{p}@"), F.col("n").cast("string"))
     cells = []
@@ -174,14 +110,14 @@ def bootstrap_metrics(
     task must not hold, get the distribution the resampling estimates: see ``large_group_metrics``.
     """
     keys = list(keys)
-    sized = with_stats(df.select(*keys, index, *variables, *([pred] if pred else [])), keys, ROWS.alias("n"))
+    sized = with_stats(df.select(*keys, index, *variables, *([pred] if pred else [])), keys, rows_n().alias("n"))
     fields = [index, *variables, *([pred] if pred else [])]
-    small = sized.where((F.col("n") > 1) & (F.col("n") <= max_group)).groupBy(*keys, "n").agg(
+    small = spread(sized.where((F.col("n") > 1) & (F.col("n") <= max_group)), [*keys, "n"]).groupBy(*keys, "n").agg(
         F.array_sort(F.collect_list(F.struct(*fields))).alias("_s")
     )
     pick = lambda c: F.transform("_s", lambda x: x[c])
     arrays = small.select(*keys, "n", *[pick(v).alias(v) for v in variables], *([pick(pred).alias("preds")] if pred else []))
-    exact = arrays.mapInPandas(_bootstrap_batches(list(variables), pred is not None, seed), METRIC)
+    exact = arrays.mapInPandas(resample.bootstrap_batches(list(variables), pred is not None, seed), METRIC)
     large = sized.where(F.col("n") > max_group)
     out = exact
     for v in variables:
@@ -216,25 +152,9 @@ def large_group_metrics(df: DataFrame, variable: str, pred: str | None, keys: Se
     out = moments.select(*keys, F.lit(variable).alias("variable"), F.inline(F.array(*cells)))
     if pred is None:
         return out
-    counts = df.groupBy(*keys, "n", F.col(pred).alias("pred"), F.col(variable).alias("val")).agg(ROWS.alias("k"))
-
-    def vote(pdf: pd.DataFrame) -> pd.DataFrame:
-        rng, total = np.random.RandomState(seed), int(pdf["n"].iloc[0])
-        code, share, val = pd.factorize(pdf["pred"])[0], pdf["k"].to_numpy() / pdf["k"].sum(), pdf["val"].to_numpy()
-        found = []
-        for size in subset_sizes(total):
-            got = np.empty(1000)
-            for b in range(1000):
-                drawn = rng.multinomial(size, share)
-                tally = np.bincount(code, weights=drawn)
-                lead = rng.choice(np.flatnonzero(tally == tally.max()))
-                mine = np.where(code == lead, drawn, 0)
-                got[b] = val[rng.choice(len(val), p=mine / mine.sum())]
-            found += [(f"maj@{size}/mean", got.mean()), (f"maj@{size}/std", got.std())]
-        head = {"data_source": pdf["data_source"].iloc[0], "uid": pdf["uid"].iloc[0], "variable": variable}
-        return pd.DataFrame([{**head, "metric": a, "value": b} for a, b in found])
-
-    return out.unionByName(counts.groupBy(*keys).applyInPandas(vote, METRIC))
+    counts = df.groupBy(*keys, "n", F.col(pred).alias("pred"), F.col(variable).alias("val")).agg(rows_n().alias("k"))
+
+    return out.unionByName(counts.groupBy(*keys).applyInPandas(resample.vote_counts(variable, seed), METRIC))
 
 
 def val_metrics(df: DataFrame, variables: Sequence[str], index: str, pred: str | None = "pred") -> DataFrame:
@@ -271,7 +191,7 @@ def turn_stats(df: DataFrame, turns: str) -> DataFrame:
 
 
 def group_reduce(
-    df: DataFrame, keys: Sequence[str], value: str, index: str, reducers: Mapping[str, Callable[[np.ndarray], float]],
+    df: DataFrame, keys: Sequence[str], value: str, index: str, reducers: Mapping[str, Callable],
     size: int, seed: int = 42,
 ) -> DataFrame:
     """Caller-supplied reducers over resampled values: mean and std of each per group.
@@ -279,20 +199,12 @@ def group_reduce(
     Reducers see numpy arrays, so a group must fit a task; larger groups than ``MAX_GROUP`` error.
     """
     keys = list(keys)
-    sized = with_stats(df.select(*keys, value, index), keys, ROWS.alias("_n"))
+    sized = with_stats(df.select(*keys, value, index), keys, rows_n().alias("_n"))
     too_big = F.raise_error(F.lit("group too large for a Python reducer")).cast("bigint")
     sized = sized.withColumn("_n", F.when(F.col("_n") > MAX_GROUP, too_big).otherwise(F.col("_n"))).where(F.col("_n") <= MAX_GROUP)
-    arrays = sized.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(index, value))).alias("_s"))
+    arrays = spread(sized, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(index, value))).alias("_s"))
     arrays = arrays.select(*keys, F.transform("_s", lambda x: x[value].cast("double")).alias("_v"))
     names = list(reducers)
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in arrays.schema if f.name in keys] + [f"{r}_{k} double" for r in names for k in ("mean", "std")])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = pdf[keys].copy()
-            for name in names:
-                got = [np.array([reducers[name](v[i]) for i in draws(len(v), size, 100, seed)], dtype=float) for v in pdf["_v"]]
-                out[f"{name}_mean"], out[f"{name}_std"] = [g.mean() for g in got], [g.std() for g in got]
-            yield out
-
-    return arrays.mapInPandas(run, schema)
+    return arrays.mapInPandas(resample.reduce_batches(keys, dict(reducers), size, seed), schema)

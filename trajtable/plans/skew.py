@@ -30,6 +30,14 @@ def with_stats(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataF
     return df.join(stats, keys)
 
 
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash rows over all shuffle partitions, for the CPU-heavy Python step that follows.
+
+    Adaptive execution sizes partitions by bytes and would give such a step too few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with at least ``hot_rows`` rows: at most rows / hot_rows of them exist."""
     limit = hot_rows(df)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajtable.functions.divergence import top_ids
 from trajtable.plans.skew import ranked
 
 MAX_RESPONSE = 64  # tokens of a derived trajectory; the group size every per-trajectory step relies on
@@ -116,6 +117,32 @@ def logits(spark: SparkSession, folder: str) -> DataFrame:
     return student.join(teacher, "vec_id")
 
 
+def positions(spark: SparkSession, folder: str) -> DataFrame:
+    """Logit rows as trajectories of 50 positions with both argmax tokens."""
+    first = lambda c: F.element_at(top_ids(F.col(c), 1), 1)
+    return logits(spark, folder).select(
+        F.floor(F.col("vec_id") / 50).cast("bigint").alias("traj_id"), (F.col("vec_id") % 50).cast("int").alias("t"),
+        "student", "teacher", first("student").alias("student_tok"), first("teacher").alias("teacher_tok"),
+        F.when(F.col("label") % 7 == 6, 0).otherwise(1).alias("mask"),
+    )
+
+
+def event_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Trace events of requests: single events, and chunk events that carry two positions."""
+    ev = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    chunk = F.col("event_type") == "view"
+    none = F.lit(None).cast("int")
+    spot = (F.floor("value") % 80).cast("int")
+    return ev.select(
+        F.when(F.col("event_type") == "signup", F.lit("")).otherwise(F.col("user_id").cast("string")).alias("request_id"),
+        F.col("event_id").alias("event_no"),
+        F.when(~chunk & (F.col("event_type") != "error"), spot).otherwise(none).alias("response_pos"),
+        F.when(~chunk, F.col("k")).otherwise(none).alias("emit_token_id"),
+        F.when(chunk, F.array(spot, spot + 1)).alias("positions"),
+        F.when(chunk, F.array(F.col("k"), F.col("k") + 1)).alias("tokens"),
+    )
+
+
 def messages(spark: SparkSession, folder: str) -> DataFrame:
     """Conversations as ordered message arrays, at most 1024 turns per cell (``seg`` numbers cells)."""
     conv = table(spark, folder, "conversations")
@@ -186,6 +213,25 @@ logits AS (
   SELECT s.vec_id, s.label, list_transform(s.embedding, lambda x: x::DOUBLE * 8.0) AS student,
          list_transform(t.embedding, lambda x: x::DOUBLE * 8.0) AS teacher
   FROM embeddings s JOIN embeddings t ON t.vec_id - 1 = s.vec_id)""",
+    "positions": """
+positions AS (
+  SELECT vec_id // 50 AS traj_id, (vec_id % 50)::INT AS t, student, teacher,
+         (list_position(student, list_max(student)) - 1)::INT AS student_tok,
+         (list_position(teacher, list_max(teacher)) - 1)::INT AS teacher_tok,
+         CASE WHEN label % 7 = 6 THEN 0 ELSE 1 END AS mask FROM logits)""",
+    "trace": """
+event_log AS (
+  SELECT user_id::VARCHAR AS request_id, event_id AS event_no, event_type, (props->>'$.k')::INT AS k,
+         (floor(value)::BIGINT % 80)::INT AS spot FROM events WHERE event_type <> 'signup'),
+single AS (
+  SELECT request_id, event_no, 0 AS in_event, spot AS pos, k AS tok FROM event_log WHERE event_type NOT IN ('view', 'error')
+  UNION ALL SELECT request_id, event_no, 0, spot, k FROM event_log WHERE event_type = 'view'
+  UNION ALL SELECT request_id, event_no, 1, spot + 1, k + 1 FROM event_log WHERE event_type = 'view'),
+gens AS (
+  SELECT user_id::VARCHAR AS request_id, (count(*) % 60 + 10)::INT AS gen_len FROM events GROUP BY user_id),
+trace AS (
+  SELECT s.request_id, pos AS response_pos, arg_max(tok, event_no * 10 + in_event) AS emit_token_id
+  FROM single s JOIN gens g ON s.request_id = g.request_id WHERE pos >= 0 AND pos < gen_len GROUP BY s.request_id, pos)""",
     "messages": """
 messages AS (
   SELECT conv_id, turn // 1024 AS seg,
