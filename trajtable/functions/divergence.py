@@ -41,6 +41,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def pipe(value: Column, *steps: Callable[[Column], Column]) -> Column:
+    """Run a value through steps, each evaluated once however often the next one refers to it."""
+    if not steps:
+        return value
+    return let(value, lambda v: pipe(steps[0](v), *steps[1:]))
+
+
 def total(x: Column) -> Column:
     """Sum of a double array."""
     return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)

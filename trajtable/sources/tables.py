@@ -157,6 +157,20 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def words(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as token ids (word lengths); the first third is the prompt, the rest the response."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    ids = F.transform(F.split("text", " "), lambda w: F.length(w))
+    docs = docs.withColumn("ids", ids).withColumn("n", F.size("ids"))
+    cut = F.floor(F.col("n") / 3).cast("int")
+    return docs.withColumns(
+        {
+            "prompt_ids": F.slice("ids", F.lit(1), cut),
+            "response_ids": F.slice("ids", cut + 1, F.col("n") - cut),
+        }
+    )
+
+
 def generations(spark: SparkSession, folder: str) -> DataFrame:
     """Answer texts in the shapes the graders know, appended to whole documents."""
     docs = table(spark, folder, "documents")
@@ -237,6 +251,9 @@ messages AS (
   SELECT conv_id, turn // 1024 AS seg,
          list({'role': role, 'content': text} ORDER BY turn, role, text) AS messages
   FROM conversations GROUP BY conv_id, turn // 1024)""",
+    "words": """
+words0 AS (SELECT doc_id, lang, source, text, list_transform(string_split(text, ' '), lambda w: length(w)::INT) AS ids FROM documents),
+words AS (SELECT *, len(ids)::INT AS n, ids[1:len(ids) // 3] AS prompt_ids, ids[len(ids) // 3 + 1:] AS response_ids FROM words0)""",
     "generations": """
 generations AS (
   SELECT doc_id AS gen_id, doc_id % 40 AS item_id, source AS data_source, lang,
