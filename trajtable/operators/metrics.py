@@ -186,14 +186,18 @@ def window_rule(key: Column) -> Column:
     )
 
 
-def metric_window(df: DataFrame, keys: Sequence[str], gpus: int, step: str = "step") -> DataFrame:
-    """Combine (window, step, key, value) rows per window, then recompute the derived metrics."""
-    keys = list(keys)
+def window_stats(df: DataFrame, keys: Sequence, step: str = "step") -> DataFrame:
+    """The one aggregation behind ``metric_window``; also runs on a stream with a window among the keys."""
     rows = df.withColumn("_rule", window_rule(F.col("key")))
-    stats = rows.groupBy(*keys, "key", "_rule").agg(
+    return rows.groupBy(*keys, "key", "_rule").agg(
         F.sum("value").alias("sum"), F.avg("value").alias("avg"), F.max("value").alias("max"),
         F.min("value").alias("min"), F.max_by("value", step).alias("last"),
     )
+
+
+def window_finish(stats: DataFrame, keys: Sequence[str], gpus: int) -> DataFrame:
+    """Pick the value each rule asks for, then recompute the metrics derived from others."""
+    keys = list(keys)
     value = F.col("avg")
     for name in ("sum", "max", "min", "last"):
         value = F.when(F.col("_rule") == name, F.col(name)).otherwise(value)
@@ -215,6 +219,11 @@ def metric_window(df: DataFrame, keys: Sequence[str], gpus: int, step: str = "st
     return kept.unionByName(fixed)
 
 
+def metric_window(df: DataFrame, keys: Sequence[str], gpus: int, step: str = "step") -> DataFrame:
+    """Combine (window, step, key, value) rows per window by the rule of each metric name."""
+    return window_finish(window_stats(df, keys, step), keys, gpus)
+
+
 def async_batch_stats(df: DataFrame, batch: Sequence[str], seconds: str, calls: str, start: str, end: str) -> DataFrame:
     """Processing-time and tool-call statistics and the spread of model versions per batch."""
     span = F.abs(F.col(end) - F.col(start))

@@ -152,14 +152,14 @@ def route_by_key(spark, d):
 
 @query(
     "jump_to_request",
-    """SELECT uid, line, problem_id, step FROM rollouts WHERE uid::VARCHAR || worker % 10 = '1234' ORDER BY step, uid, line, problem_id LIMIT 1""",
+    """SELECT uid, line, problem_id, step FROM rollouts WHERE uid::VARCHAR || line = '1001' ORDER BY step, uid, line, problem_id LIMIT 1""",
     G,
 )
 def jump_to_request(spark, d):
     rows = src.rollouts(spark, d).withColumns({
-        "request_id": F.concat_ws("-", F.col("uid").cast("string"), (F.col("worker") % 10).cast("string")), "at": F.struct("step", "uid", "line", "problem_id"),
+        "request_id": F.concat_ws("-", F.col("uid").cast("string"), F.col("line").cast("string")), "at": F.struct("step", "uid", "line", "problem_id"),
     })
-    return prep.find_request(rows, F.col("request_id"), "1-23-4", "at").select("uid", "line", "problem_id", "step")
+    return prep.find_request(rows, F.col("request_id"), "10-01", "at").select("uid", "line", "problem_id", "step")
 
 
 # --- dedup, order, sampling ----------------------------------------------------------------------

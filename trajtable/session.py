@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,18 +42,19 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder the cluster names and read it back.
+def scratch(spark: SparkSession) -> str:
+    """A fresh folder below the shared folder the cluster names; a temporary one in local sessions."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="trajtable-")
+    return f"{folder.rstrip('/')}/trajtable-{uuid.uuid4().hex}"
+
 
-    Only a local session without a configured folder gets a scratch one.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder, so that lost executors do not replay its whole plan."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="trajtable-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(scratch(df.sparkSession))
     return df.checkpoint(eager=True)
