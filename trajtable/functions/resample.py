@@ -112,10 +112,24 @@ def vote_counts(variable: str, seed: int):
     return vote
 
 
-def reduce_batches(keys: Sequence[str], reducers: Mapping[str, Callable], size: int, seed: int):
+def drawn_positions(keys: Sequence[str], size: int, seed: int):
+    """Rows (slot, 1-based rank) of every position that 100 resamples of a group draw."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                pos = np.random.RandomState(seed).choice(row[len(keys)], size=(100, size), replace=True).ravel()
+                out = pd.DataFrame({k: [row[i]] * len(pos) for i, k in enumerate(keys)})
+                yield out.assign(_n=row[len(keys)], _slot=np.arange(len(pos), dtype=np.int32), _rank=pos + 1)
+
+    return run
+
+
+def reduce_batches(keys: Sequence[str], reducers: Mapping[str, Callable], size: int, seed: int, drawn: bool):
     """Mean and deviation of caller-supplied reducers over 100 resamples of every group.
 
-    A reducer takes a (resamples, size) array and ``axis=1``, as NumPy reducers do.
+    A reducer takes a (resamples, size) array and ``axis=1``, as NumPy reducers do. ``drawn`` groups
+    come as the resampled values themselves.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,9 +138,13 @@ def reduce_batches(keys: Sequence[str], reducers: Mapping[str, Callable], size:
             out = pdf[list(keys)].copy()
             samples = []
             for v in pdf["_v"]:
+                v = np.asarray(v, dtype=float)
+                if drawn:
+                    samples.append(v.reshape(100, size))
+                    continue
                 if len(v) not in cache:
                     cache[len(v)] = draws(len(v), size, 100, seed)
-                samples.append(np.asarray(v)[cache[len(v)]])
+                samples.append(v[cache[len(v)]])
             for name, reducer in reducers.items():
                 got = [reducer(sample, axis=1) for sample in samples]
                 out[f"{name}_mean"], out[f"{name}_std"] = [g.mean() for g in got], [g.std() for g in got]

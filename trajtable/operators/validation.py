@@ -191,20 +191,33 @@ def turn_stats(df: DataFrame, turns: str) -> DataFrame:
 
 
 def group_reduce(
-    df: DataFrame, keys: Sequence[str], value: str, index: str, reducers: Mapping[str, Callable],
-    size: int, seed: int = 42,
+    df: DataFrame, keys: Sequence[str], value: str, index: str, reducers: Mapping[str, Callable], size: int,
+    seed: int = 42, max_group: int = MAX_GROUP, block: Column | None = None,
 ) -> DataFrame:
-    """Caller-supplied reducers over resampled values: mean and std of each per group.
+    """Caller-supplied reducers over 100 resamples of ``size`` values: mean and deviation per group.
 
-    Reducers see numpy arrays, so a group must fit a task; larger groups than ``MAX_GROUP`` error.
+    Small groups travel as arrays. Of a larger group only the drawn positions are fetched, by a join
+    on the rank inside the group; both ways use the same draws.
     """
     keys = list(keys)
-    sized = with_stats(df.select(*keys, value, index), keys, rows_n().alias("_n"))
-    too_big = F.raise_error(F.lit("group too large for a Python reducer")).cast("bigint")
-    sized = sized.withColumn("_n", F.when(F.col("_n") > MAX_GROUP, too_big).otherwise(F.col("_n"))).where(F.col("_n") <= MAX_GROUP)
-    arrays = spread(sized, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(index, value))).alias("_s"))
-    arrays = arrays.select(*keys, F.transform("_s", lambda x: x[value].cast("double")).alias("_v"))
-    names = list(reducers)
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in arrays.schema if f.name in keys] + [f"{r}_{k} double" for r in names for k in ("mean", "std")])
-
-    return arrays.mapInPandas(resample.reduce_batches(keys, dict(reducers), size, seed), schema)
+    sized = with_stats(df.select(*keys, F.col(value).cast("double").alias(value), index), keys, rows_n().alias("_n"))
+    pick = lambda c: F.transform("_s", lambda x: x[c])
+    small = spread(sized.where(F.col("_n") <= max_group), keys).groupBy(*keys, "_n").agg(
+        F.array_sort(F.collect_list(F.struct(index, value))).alias("_s")
+    ).select(*keys, "_n", pick(value).alias("_v"))
+    kinds = {f.name: f.dataType.simpleString() for f in small.schema}
+    key_schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
+
+    big = sized.where(F.col("_n") > max_group)
+    wanted = big.select(*keys, "_n").distinct().mapInPandas(
+        resample.drawn_positions(keys, size, seed), f"{key_schema}, _n bigint, _slot int, _rank bigint"
+    )
+    by = [F.col(index)]
+    ranks = ranked(big, keys, by, block=block if block is not None else F.floor(F.col(index) / 4096), out="_rank")
+    drawn = wanted.join(ranks.select(*keys, "_rank", value), [*keys, "_rank"]).groupBy(*keys, "_n").agg(
+        F.array_sort(F.collect_list(F.struct("_slot", value))).alias("_s")
+    ).select(*keys, "_n", pick(value).alias("_v"))
+
+    schema = ", ".join([key_schema, *[f"{r}_{k} double" for r in reducers for k in ("mean", "std")]])
+    run = lambda is_drawn: resample.reduce_batches(keys, dict(reducers), size, seed, is_drawn)
+    return small.mapInPandas(run(False), schema).unionByName(drawn.mapInPandas(run(True), schema))

@@ -144,11 +144,13 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversations as ordered message arrays, at most 1024 turns per cell (``seg`` numbers cells)."""
+    """Conversations as ordered message arrays; ``seg`` numbers cells of at most 1024 messages."""
     conv = table(spark, folder, "conversations")
+    order = [F.col("turn"), F.col("role"), F.col("text")]
+    rows = ranked(conv, ["conv_id"], order, block=F.struct("turn", "role", F.substring("text", 1, 2).alias("t")), out="n")
     return (
-        conv.groupBy("conv_id", F.floor(F.col("turn") / MAX_TURNS).cast("bigint").alias("seg"))
-        .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("m"))
+        rows.groupBy("conv_id", F.floor((F.col("n") - 1) / MAX_TURNS).cast("bigint").alias("seg"))
+        .agg(F.array_sort(F.collect_list(F.struct("n", "role", "text"))).alias("m"))
         .select(
             "conv_id",
             "seg",
@@ -247,10 +249,11 @@ trace AS (
   SELECT s.request_id, pos AS response_pos, arg_max(tok, event_no * 10 + in_event) AS emit_token_id
   FROM single s JOIN gens g ON s.request_id = g.request_id WHERE pos >= 0 AND pos < gen_len GROUP BY s.request_id, pos)""",
     "messages": """
+messages0 AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS n FROM conversations),
 messages AS (
-  SELECT conv_id, turn // 1024 AS seg,
-         list({'role': role, 'content': text} ORDER BY turn, role, text) AS messages
-  FROM conversations GROUP BY conv_id, turn // 1024)""",
+  SELECT conv_id, n // 1024 AS seg, list({'role': role, 'content': text} ORDER BY n) AS messages
+  FROM messages0 GROUP BY conv_id, n // 1024)""",
     "words": """
 words0 AS (SELECT doc_id, lang, source, text, list_transform(string_split(text, ' '), lambda w: length(w)::INT) AS ids FROM documents),
 words AS (SELECT *, len(ids)::INT AS n, ids[1:len(ids) // 3] AS prompt_ids, ids[len(ids) // 3 + 1:] AS response_ids FROM words0)""",
