@@ -38,7 +38,7 @@ def reward_function(scorer: Callable, **fixed):
 def explode_function():
     """A table function from an array of positions to one row per position."""
 
-    @udtf(returnType="in_event: int, response_pos: int")
+    @udtf(returnType="in_event: int, response_pos: int", useArrow=True)
     class ExplodePositions:
         def eval(self, positions: list):
             for i, p in enumerate(positions or []):

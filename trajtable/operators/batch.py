@@ -5,16 +5,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajtable.plans.skew import ranked, with_stats
+from trajtable.plans.skew import ranked
 
 
 def with_index(df: DataFrame, order: Sequence[Column], block: Column, out: str = "idx") -> DataFrame:
-    """Global 0-based row number in the given order, numbered block by block on big tables."""
-    rows = ranked(df.withColumn("_all", F.lit(0)), ["_all"], order, block, out="_rank")
-    return rows.withColumn(out, F.col("_rank") - 1).drop("_rank", "_all")
+    """Global 0-based row number in the given order.
+
+    ``block`` must never decrease along the order. Every block is numbered on its own and shifted by
+    the rows of the blocks before it; only the table of block sizes meets in one task.
+    """
+    blocked = df.withColumn("_block", block)
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = sizes.select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_block").orderBy(*order)
+    numbered = blocked.withColumn("_in_block", F.row_number().over(inside))
+    return (
+        numbered.join(offsets, "_block")
+        .withColumn(out, F.col("_before") + F.col("_in_block") - 1)
+        .drop("_block", "_in_block", "_before")
+    )
 
 
 def counted(df: DataFrame, out: str = "n_rows") -> DataFrame:
@@ -23,9 +36,9 @@ def counted(df: DataFrame, out: str = "n_rows") -> DataFrame:
 
 
 def with_constants(df: DataFrame, *aggregates: Column) -> DataFrame:
-    """Attach whole-table aggregates to every row; the broadcast side is a single row."""
-    one = df.agg(*aggregates).withColumn("_all", F.lit(0))
-    return df.withColumn("_all", F.lit(0)).join(F.broadcast(one), "_all").drop("_all")
+    """Attach whole-table aggregates to every row, as scalar subqueries."""
+    one = df.agg(*aggregates)
+    return df.withColumns({name: one.select(name).scalar() for name in one.columns})
 
 
 def concat(parts: Sequence[DataFrame], meta: Sequence[str] = ()) -> DataFrame:

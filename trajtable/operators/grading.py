@@ -200,7 +200,8 @@ def element_multiset(text: Column, digits: int = 8) -> Column:
     spread = F.flatten(F.transform(elements(text), lambda x: F.when(
         x.contains("\\pm"), F.array(F.replace(x, F.lit("\\pm"), F.lit("+")), F.replace(x, F.lit("\\pm"), F.lit("-")))
     ).otherwise(F.array(x))))
-    canon = F.transform(spread, lambda x: F.coalesce(F.round(an.number_of(x), digits).cast("string"), F.replace(x, F.lit(" "), F.lit(""))))
+    bare = F.transform(spread, lambda x: an.replace(x, " ", ""))
+    canon = F.transform(bare, lambda x: F.coalesce(F.round(an.number_of(x), digits).cast("string"), x))
     return F.sort_array(canon)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajtable.operators.masked import masked_mean, masked_sum
+from trajtable.operators.batch import with_index
 from trajtable.plans.skew import quantiles
 
 
@@ -328,16 +329,12 @@ def label_ids(df: DataFrame, label: str, kind: str, out: str = "group_id") -> Da
     ``kind`` names the column that tells numbers (``n``) from texts (``s``); numbers within 1e-6 of
     an integer are rounded to it.
     """
-    from trajtable.plans.skew import ranked
-
     number = F.col(label).try_cast("double")
     near = F.abs(number - F.round(number)) < 1e-6
     canonical = F.when(
         F.col(kind) == "n", F.concat(F.lit("n:"), F.when(near, F.round(number).cast("bigint").cast("string")).otherwise(number.cast("string")))
     ).otherwise(F.concat(F.lit("s:"), F.col(label)))
     rows = df.withColumn("_label", canonical)
-    ids = ranked(
-        rows.select("_label").distinct().withColumn("_all", F.lit(0)), ["_all"], [F.col("_label")],
-        block=F.substring("_label", 1, 6), out="_rank",
-    )
-    return rows.join(ids.select("_label", (F.col("_rank") - 1).alias(out)), "_label").drop("_label")
+    labels = rows.select("_label").distinct()
+    ids = with_index(labels, [F.col("_label")], block=F.substring("_label", 1, 6), out=out)
+    return rows.join(ids, "_label").drop("_label")

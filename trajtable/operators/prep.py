@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajtable.plans.skew import with_stats
+from trajtable.operators.batch import with_index
+from trajtable.plans.skew import ranked, with_stats
 
 
 def drop_padding(df: DataFrame, flag: str, batch: Sequence[str]) -> DataFrame:
@@ -109,8 +110,6 @@ def normalise_truth(raw: Column) -> Column:
 
 def placeholders(df: DataFrame, keys: Sequence[str], order: Sequence[str], content: str, block: Column) -> DataFrame:
     """One row per non-empty content part; the k-th placeholder of a kind is numbered across messages."""
-    from trajtable.plans.skew import ranked
-
     marks = "<image>|<video>|<audio>"
     parts = F.filter(F.split(content, f"(?={marks})|(?<={marks})"), lambda p: p != "")
     rows = df.select(*keys, *order, F.posexplode(parts).alias("part_no", "part"))
@@ -299,13 +298,12 @@ def fill_batch(df: DataFrame, metric: str, group: str, batch: str, size: int, ma
     Groups are taken in order; batches stop once the running count reaches ``size`` or
     ``max_batches`` were used, and the surplus of groups is cut.
     """
-    from trajtable.plans.skew import ranked
-
     kept = informative_groups(df, metric, [batch, group])
     used = kept.where(F.col(batch) < max_batches)
-    groups = used.select(batch, group).distinct().withColumn("_all", F.lit(0))
-    ranks = ranked(groups, ["_all"], [F.col(batch), F.col(group)], block=F.col(batch), out="_rank")
-    chosen = ranks.where(F.col("_rank") <= size).select(batch, group)
+    groups = used.select(batch, group).distinct()
+    order = [F.col(batch), F.col(group)]
+    ranks = with_index(groups, order, block=F.col(batch), out="_i")
+    chosen = ranks.where(F.col("_i") < size).select(batch, group)
     return used.join(chosen, [batch, group], "left_semi")
 
 

@@ -218,7 +218,7 @@ def sort_by_score(spark, d):
     docs = src.table(spark, d, "documents").select("doc_id").join(src.table(spark, d, "labels"), "doc_id", "left")
     rows = docs.select("doc_id", F.col("quality").cast("double").alias("score"), F.col("toxic").cast("double").alias("score_1"))
     rows = rows.select("doc_id", sp.score_order(rows).alias("score"))
-    out = bt.with_index(rows, [F.col("score").desc(), F.col("doc_id")], block=F.floor(-F.col("score") * 1000), out="i")
+    out = bt.with_index(rows, [F.col("score").desc(), F.col("doc_id")], block=F.struct(-F.col("score"), F.floor(F.col("doc_id") / 100_000)), out="i")
     return out.select("doc_id", "score", (F.col("i") + 1).alias("position"))
 
 

@@ -1,11 +1,11 @@
-"""Session settings the operators rely on, and lineage cutting."""
+"""Session settings the operators rely on, and the folder for intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +14,8 @@ SETTINGS = {
     # joins of rows with their group statistics: a hot group is split at run time
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # partitions this small are joined by hashing instead of sorting
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -50,11 +52,3 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="trajtable-")
     return f"{folder.rstrip('/')}/trajtable-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder, so that lost executors do not replay its whole plan."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch(df.sparkSession))
-    return df.checkpoint(eager=True)

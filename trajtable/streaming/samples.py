@@ -36,7 +36,6 @@ def bounded_queue(stream: DataFrame, folder: str, key: str, order: str, capacity
     spark = stream.sparkSession
     queue = EpochTable(spark, f"{folder}/queue", f"{key} string, {order} bigint")
     counters = EpochTable(spark, f"{folder}/counters", f"{key} string, produced bigint, dropped bigint, consumed bigint")
-    last = {"epoch": -1}
 
     def step(rows: DataFrame, epoch: int) -> None:
         fresh = rows.select(key, order)
@@ -56,10 +55,10 @@ def bounded_queue(stream: DataFrame, folder: str, key: str, order: str, capacity
         names = ["produced", "dropped", "consumed"]
         total = counters.before(epoch).unionByName(now.select(key, *names)).groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
         counters.write(total, epoch)
-        last["epoch"] = epoch
 
     run_epochs(stream, folder, step)
-    return queue.before(last["epoch"] + 1), counters.before(last["epoch"] + 1)
+    done = counters.all().agg(F.max("epoch").alias("e")).first()["e"]
+    return queue.before(done + 1), counters.before(done + 1)
 
 
 def staleness(samples: DataFrame, versions: DataFrame, slot: str, sample_version: str, current: str) -> DataFrame:
