@@ -75,17 +75,22 @@ def _codes(preds: pd.Series) -> np.ndarray:
     return np.stack([pd.factorize(np.asarray(p, dtype=object))[0] for p in preds])
 
 
-def bootstrap_batches(variables: Sequence[str], has_pred: bool, seed: int):
+def bootstrap_batches(keys: Sequence[str], variables: Sequence[str], has_pred: bool, seed: int):
+    """One row per group: its metrics as one array, ordered by size, variable, kind, mean and std."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
         for pdf in batches:
             for _, same in pdf.groupby("n"):
                 codes = _codes(same["preds"]) if has_pred else None
                 values = {v: np.stack(same[v].to_list()) for v in variables}
-                for var, metric, column in bootstrap(values, codes, seed, cache):
-                    yield pd.DataFrame(
-                        {"data_source": same["data_source"], "uid": same["uid"], "variable": var, "metric": metric, "value": column}
-                    )
+                found = {(m, v): column for v, m, column in bootstrap(values, codes, seed, cache)}
+                kinds = ("best", "worst", "maj") if has_pred else ("best", "worst")
+                slots = [
+                    found[f"{kind}@{size}/{stat}", v]
+                    for size in subset_sizes(values[variables[0]].shape[1]) for v in variables for kind in kinds for stat in ("mean", "std")
+                ]
+                yield same[[*keys, "n"]].assign(values=list(np.stack(slots, axis=1)))
 
     return run
 

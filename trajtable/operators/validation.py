@@ -117,7 +117,10 @@ def bootstrap_metrics(
     )
     pick = lambda c: F.transform("_s", lambda x: x[c])
     arrays = small.select(*keys, "n", *[pick(v).alias(v) for v in variables], *([pick(pred).alias("preds")] if pred else []))
-    exact = arrays.mapInPandas(resample.bootstrap_batches(list(variables), pred is not None, seed), METRIC)
+    kinds = {f.name: f.dataType.simpleString() for f in arrays.schema}
+    schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], "n bigint", "values array<double>"])
+    stacked = arrays.mapInPandas(resample.bootstrap_batches(keys, list(variables), pred is not None, seed), schema)
+    exact = named_slots(stacked, keys, list(variables), pred is not None)
     large = sized.where(F.col("n") > max_group)
     out = exact
     for v in variables:
@@ -125,6 +128,25 @@ def bootstrap_metrics(
     return out
 
 
+def resample_sizes(n: Column) -> Column:
+    """2, 4, 8, ... below n, then n."""
+    powers = F.transform(F.sequence(F.lit(1), F.lit(62)), lambda i: F.pow(F.lit(2.0), i).cast("bigint"))
+    return F.concat(F.filter(powers, lambda s: s < n), F.array(n))
+
+
+def named_slots(df: DataFrame, keys: Sequence[str], variables: Sequence[str], has_pred: bool) -> DataFrame:
+    """Metric rows from the arrays of ``bootstrap_batches``."""
+    kinds = ["best", "worst", *(["maj"] if has_pred else [])]
+    rows = df.withColumn("_sizes", resample_sizes(F.col("n"))).select(*keys, "_sizes", F.posexplode("values").alias("slot", "value"))
+    pick = lambda names, i: F.element_at(F.array(*map(F.lit, names)), (i + 1).cast("int"))
+    slot, width = F.col("slot"), 2 * len(kinds)
+    size = F.element_at("_sizes", (F.floor(slot / (width * len(variables))) + 1).cast("int"))
+    metric = F.concat(
+        pick(kinds, F.floor(slot % width / 2)), F.lit("@"), size.cast("string"), F.lit("/"), pick(["mean", "std"], slot % 2)
+    )
+    return rows.select(*keys, pick(variables, F.floor(slot / width) % len(variables)).alias("variable"), metric.alias("metric"), "value")
+
+
 def large_group_metrics(df: DataFrame, variable: str, pred: str | None, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """Closed form of best/worst for any group size, resampled majority on answer counts.
 
@@ -134,10 +156,7 @@ def large_group_metrics(df: DataFrame, variable: str, pred: str | None, keys: Se
     keys = list(keys)
     rows = ranked(df, keys, [F.col(variable)], block=F.floor(F.col(variable) * 64), out="_rank")
     r, n, m = F.col("_rank"), F.col("n"), F.col("size")
-    sizes = F.filter(
-        F.transform(F.sequence(F.lit(1), F.lit(62)), lambda i: F.pow(F.lit(2.0), i).cast("bigint")), lambda s: s < F.col("n")
-    )
-    rows = rows.withColumn("size", F.explode(F.concat(sizes, F.array(n))))
+    rows = rows.withColumn("size", F.explode(resample_sizes(n)))
     best = F.pow(r / n, m) - F.pow((r - 1) / n, m)
     worst = F.pow((n - r + 1) / n, m) - F.pow((n - r) / n, m)
     x = F.col(variable)
