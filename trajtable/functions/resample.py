@@ -31,13 +31,20 @@ def draws(n: int, size: int, rounds: int = 1000, seed: int = 42) -> np.ndarray:
 
 def _majority_positions(codes: np.ndarray) -> np.ndarray:
     """First position of the most frequent code along the last axis (ties: seen first)."""
-    counts = np.zeros(codes.shape, dtype=np.int32)
+    counts = np.zeros(codes.shape, dtype=np.int16)
     for c in range(int(codes.max()) + 1):
         hit = codes == c
-        counts += hit * hit.sum(axis=-1, keepdims=True)
+        np.add(counts, hit.sum(axis=-1, keepdims=True, dtype=np.int16), out=counts, where=hit)
     return counts.argmax(axis=-1)
 
 
+def _distinct_draws(n: int, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct resamples and the share of rounds that drew each; few exist when the group is small."""
+    rounds = draws(n, size, seed=seed)
+    pos, times = np.unique(rounds, axis=0, return_counts=True)
+    return pos, times / len(rounds)
+
+
 def bootstrap(
     values: dict[str, np.ndarray], codes: np.ndarray | None, seed: int = 42, cache: dict | None = None
 ) -> Iterator[tuple[str, str, np.ndarray]]:
@@ -48,13 +55,14 @@ def bootstrap(
     cache = {} if cache is None else cache
     groups, n = next(iter(values.values())).shape
     for size in subset_sizes(n):
-        pos = cache.get((n, size))
-        if pos is None:
-            pos = draws(n, size, seed=seed)
+        if (n, size) in cache:
+            pos, share = cache[n, size]
+        else:
+            pos, share = _distinct_draws(n, size, seed)
             if pos.size < 1_000_000:
-                cache[n, size] = pos
+                cache[n, size] = pos, share
         found: dict[tuple[str, str], list] = {}
-        chunk = max(1, 2_000_000 // pos.size)
+        chunk = max(1, 500_000 // pos.size)
         for lo in range(0, groups, chunk):
             first = None
             if codes is not None:
@@ -65,14 +73,16 @@ def bootstrap(
                 if first is not None:
                     parts["maj"] = np.take_along_axis(sample, first, axis=-1)[..., 0]
                 for kind, block in parts.items():
-                    found.setdefault((var, f"{kind}@{size}/mean"), []).append(block.mean(axis=1))
-                    found.setdefault((var, f"{kind}@{size}/std"), []).append(block.std(axis=1))
+                    mean = block @ share
+                    spread = np.sqrt(np.square(block - mean[:, None]) @ share)
+                    found.setdefault((var, f"{kind}@{size}/mean"), []).append(mean)
+                    found.setdefault((var, f"{kind}@{size}/std"), []).append(spread)
         for (var, metric), blocks in found.items():
             yield var, metric, np.concatenate(blocks)
 
 
 def _codes(preds: pd.Series) -> np.ndarray:
-    return np.stack([pd.factorize(np.asarray(p, dtype=object))[0] for p in preds])
+    return np.stack([pd.factorize(np.asarray(p, dtype=object))[0] for p in preds]).astype(np.int16)
 
 
 def bootstrap_batches(keys: Sequence[str], variables: Sequence[str], has_pred: bool, seed: int):

@@ -121,6 +121,8 @@ def bootstrap_metrics(
     schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], "n bigint", "values array<double>"])
     stacked = arrays.mapInPandas(resample.bootstrap_batches(keys, list(variables), pred is not None, seed), schema)
     exact = named_slots(stacked, keys, list(variables), pred is not None)
+    if not has_larger(df, keys, max_group):
+        return exact
     large = sized.where(F.col("n") > max_group)
     out = exact
     for v in variables:
@@ -128,6 +130,11 @@ def bootstrap_metrics(
     return out
 
 
+def has_larger(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
+    """Whether any group exceeds ``limit`` rows: one count over the keys, so that the usual case skips the large path."""
+    return not df.groupBy(*keys).agg(rows_n().alias("_n")).where(F.col("_n") > limit).isEmpty()
+
+
 def resample_sizes(n: Column) -> Column:
     """2, 4, 8, ... below n, then n."""
     powers = F.transform(F.sequence(F.lit(1), F.lit(62)), lambda i: F.pow(F.lit(2.0), i).cast("bigint"))
@@ -227,6 +234,11 @@ def group_reduce(
     kinds = {f.name: f.dataType.simpleString() for f in small.schema}
     key_schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
 
+    schema = ", ".join([key_schema, *[f"{r}_{k} double" for r in reducers for k in ("mean", "std")]])
+    run = lambda is_drawn: resample.reduce_batches(keys, dict(reducers), size, seed, is_drawn)
+    arrays = small.mapInPandas(run(False), schema)
+    if not has_larger(df, keys, max_group):
+        return arrays
     big = sized.where(F.col("_n") > max_group)
     wanted = big.select(*keys, "_n").distinct().mapInPandas(
         resample.drawn_positions(keys, size, seed), f"{key_schema}, _n bigint, _slot int, _rank bigint"
@@ -237,6 +249,4 @@ def group_reduce(
         F.array_sort(F.collect_list(F.struct("_slot", value))).alias("_s")
     ).select(*keys, "_n", pick(value).alias("_v"))
 
-    schema = ", ".join([key_schema, *[f"{r}_{k} double" for r in reducers for k in ("mean", "std")]])
-    run = lambda is_drawn: resample.reduce_batches(keys, dict(reducers), size, seed, is_drawn)
-    return small.mapInPandas(run(False), schema).unionByName(drawn.mapInPandas(run(True), schema))
+    return arrays.unionByName(drawn.mapInPandas(run(True), schema))
