@@ -93,6 +93,15 @@ def keep_rows(docs: DataFrame, kept: DataFrame, text: str = "text", doc_id: str
     return once.join(kept.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi").select(*docs.columns)
 
 
+def share(spark: SparkSession, value):
+    """Broadcast an object of this package; ``shared(handle)`` gives it back inside a task."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(handle):
+    return cloudpickle.loads(handle.value)
+
+
 def size_of(df: DataFrame, text: str) -> tuple[int, int]:
     """Rows and bytes of a text column, to decide whether it may be held whole."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
@@ -104,6 +113,24 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, chars: int):
+    """A bounded sample to fit a classifier on: texts, labels 0/1, and how many rows each stands for.
+
+    The labelled ids with the smallest hashes, at most ``rows`` / 2 of either class, and of these the
+    whole texts of at most ``chars`` characters. A null label is not used; of several labels for an
+    id the largest counts.
+    """
+    known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    count = dict(known.groupBy("y").count().collect())
+    pick = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2)
+    chosen = pick(0).union(pick(1))  # at most ``rows`` ids: small enough to broadcast
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    got = found.where(F.length("text") <= chars).dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    y = np.array([r.y for r in got], np.int64)
+    weight = np.array([count[r.y] for r in got]) / np.maximum(1, np.bincount(y, minlength=2))[y] if got else np.zeros(0)
+    return [r.text for r in got], y, weight
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (src, dst): one row (id, root) per vertex, root the least id.
 

@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajtable.llm.common import annotate, size_of, table
+from trajtable.llm.common import annotate, share, shared, size_of, table
 from trajtable.llm.words import Tokenizer, Tokens, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -116,9 +116,9 @@ def scanners(items: list[tuple[str, str]], window: int) -> list[Scanner]:
     return [Scanner(n, p) for n, p in sorted(by_length.items())]
 
 
-def _finder(shared) -> Callable:
+def _finder(handle) -> Callable:
     def prepare():
-        machines, tokenize = shared.value, Tokenizer()
+        machines, tokenize = shared(handle), Tokenizer()
 
         def work(texts: pa.Array) -> dict[str, pa.Array]:
             t = tokenize(texts)
@@ -181,10 +181,10 @@ def find_benchmark(
     for b in range(blocks):
         # hashing spreads the items evenly over blocks, each near block_bytes
         block = pairs if blocks == 1 else pairs.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
-        shared = spark.sparkContext.broadcast(scanners([(r.i, r.t) for r in block.collect()], window))
+        handle = share(spark, scanners([(r.i, r.t) for r in block.collect()], window))
         if blocks == 1:
-            return annotate(out, FIELDS, _finder(shared), text, keep)
-        part = annotate(out, FIELDS, _finder(shared), text)
+            return annotate(out, FIELDS, _finder(handle), text, keep)
+        part = annotate(out, FIELDS, _finder(handle), text)
         if b == 0:
             out = part.withColumnsRenamed({"hit_spans": "_spans", "item_ids": "_items"})
         else:

@@ -72,8 +72,8 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     rows = recipes(docs, text, doc_id).withColumn("_key", F.xxhash64("recipe"))
     best = F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id", "_row"))
     groups = rows.groupBy("_key", "recipe").agg(best.alias("b"), F.count(F.lit(1)).alias("group_size"))
-    groups = groups.select("_key", "recipe", F.col("b.doc_id").alias("keep_id"), F.col("b._row").alias("_keep"), "group_size")
-    # a skewed partition of this join is split at run time
+    groups = written(groups.select("_key", "recipe", F.col("b.doc_id").alias("keep_id"), F.col("b._row").alias("_keep"), "group_size"))
+    # both sides are shuffled for this join alone, so a skewed partition is split at run time
     return rows.join(groups, ["_key", "recipe"]).select(
         "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("_keep")).alias("kept"), "text_sha256", "_k1", "_k2"
     )

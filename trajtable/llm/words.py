@@ -17,6 +17,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BASE = 0x9E3779B97F4A7C15 | 1
 PIECE = 1 << 20
+STEM = 5
 
 
 def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -39,6 +40,7 @@ class Tokens(NamedTuple):
     starts: np.ndarray  # byte positions in ``data``
     ends: np.ndarray
     data: np.ndarray  # the bytes of all texts
+    stems: np.ndarray  # hashes of the first STEM bytes
 
     def text(self, i: int) -> bytes:
         return LOWER[self.data[self.starts[i] : self.ends[i]]].tobytes()
@@ -54,8 +56,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Tokenizer:
     """Keeps the powers of the polynomial between batches."""
 
-    def __init__(self, fold_case: bool = True, punctuation: bool = False):
-        self.fold, self.punctuation = fold_case, punctuation
+    def __init__(self, fold_case: bool = True, punctuation: bool = False, stems: bool = False):
+        self.fold, self.punctuation, self.stems = fold_case, punctuation, stems
         self.powers = self.inverse = np.ones(1, np.uint64)
 
     def _grow(self, n: int) -> None:
@@ -94,10 +96,10 @@ class Tokenizer:
             found.append(self._piece(data[at:end], kind, at, offsets))
             at = end
         if found:
-            hashes, starts, ends = (np.concatenate(x) for x in zip(*found))
+            hashes, starts, ends, stems = (np.concatenate(x) for x in zip(*found))
         else:
-            hashes, starts, ends = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return Tokens(hashes, np.searchsorted(starts, offsets), starts, ends, data)
+            hashes, starts, ends, stems = (np.zeros(0, k) for k in (np.uint64, np.int64, np.int64, np.uint64))
+        return Tokens(hashes, np.searchsorted(starts, offsets), starts, ends, data, stems)
 
     def _piece(self, part, kind, at, offsets):
         if not self.punctuation:
@@ -116,4 +118,7 @@ class Tokenizer:
         letters = LOWER[part] if self.fold else part
         np.cumsum((letters.astype(np.uint64) + np.uint64(1)) * self.powers[: len(part)], out=sums[1:])
         hashes = mix((sums[ends] - sums[starts]) * self.inverse[starts])
-        return hashes, starts.astype(np.int64) + at, ends.astype(np.int64) + at
+        stems = hashes
+        if self.stems:
+            stems = mix((sums[np.minimum(ends, starts + STEM)] - sums[starts]) * self.inverse[starts] + np.uint64(1))
+        return hashes, starts.astype(np.int64) + at, ends.astype(np.int64) + at, stems
