@@ -263,8 +263,9 @@ def verified(members: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, group_id (least doc_id of the class), group_size, kept and the row key.
 
-    One row per document; a document without near duplicates is a class of its own. Exactly one row
-    of a class is kept, the one with the least doc_id (null last). Null text counts as empty; texts
+    One row per document; a document without near duplicates is a class of its own. One document of a
+    class is kept, the one with the least doc_id (null last); rows equal in id and text are one
+    document, kept or not together. Null text counts as empty; texts
     without words are equal only if their characters are. Texts of fewer than five words are one
     k-mer, so they are near only when their words are equal. An empty table gives an empty result;
     other columns are not read.
