@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -13,17 +14,11 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8", shuffle_partitions=4)
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="trajtable-tests-"))
     yield session
     session.stop()
 
 
-@pytest.fixture
-def hot(spark):
-    """Treat keys with ten rows as hot, so that the block paths run on small tables."""
-    spark.conf.set("spark.trajtable.hotRows", "10")
-    yield spark
-    spark.conf.unset("spark.trajtable.hotRows")
-
-
 def rows(df, *order):
     return [tuple(r) for r in df.orderBy(*order).collect()]

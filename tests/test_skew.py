@@ -1,5 +1,7 @@
-"""Skew handling against brute force on small tables with a low threshold for hot keys."""
+"""Skew handling and contracts against brute force on small tables."""
 
+import hashlib
+import itertools
 import random
 import statistics
 
@@ -8,10 +10,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from trajtable.functions import resample
+from trajtable.functions import recurrence, resample
 from trajtable.operators import advantage as adv
-from trajtable.operators import packing, sampling, validation
-from trajtable.plans.skew import quantiles, ranked
+from trajtable.operators import packing, prep, sampling, validation
+from trajtable.operators.batch import with_index
+from trajtable.plans.skew import quantiles, ranked, with_stats
 
 
 @pytest.fixture(scope="module")
@@ -21,23 +24,44 @@ def skewed(spark):
     return data, spark.createDataFrame(data, "key string, v double, i int")
 
 
-@pytest.mark.parametrize("limit", ["10", "1000000"])
-def test_ranked(spark, skewed, limit):
+def ranks_by_loop(data, key, order):
+    out = {}
+    for k in {key(d) for d in data}:
+        for n, d in enumerate(sorted((d for d in data if key(d) == k), key=order)):
+            out[d[-1]] = n + 1
+    return out
+
+
+def test_ranked(skewed):
     data, df = skewed
-    spark.conf.set("spark.trajtable.hotRows", limit)
-    got = ranked(df, ["key"], [F.col("v"), F.col("i")], block=F.floor(F.col("v")))
-    found = {r["i"]: r["rank"] for r in got.collect()}
-    spark.conf.unset("spark.trajtable.hotRows")
-    want = {}
-    for key in {d[0] for d in data}:
-        for n, d in enumerate(sorted((d[1], d[2]) for d in data if d[0] == key)):
-            want[d[1]] = n + 1
-    assert found == want
-
-
-def test_quantiles(hot, skewed):
+    found = {r["i"]: r["rank"] for r in ranked(df, ["key"], [F.col("v"), F.col("i")]).collect()}
+    assert found == ranks_by_loop(data, lambda d: d[0], lambda d: d[1:])
+
+
+@pytest.mark.parametrize("kind", ["binary", "equal", "prefix", "null"])
+def test_ranked_spreads_equal_values(spark, kind):
+    """0/1 scores, equal lengths, labels with a shared prefix, and null keys and values."""
+    value = {"binary": lambda i: i % 2, "equal": lambda i: 7, "prefix": lambda i: f"s:user_{i // 3}", "null": lambda i: None if i % 3 else i}[kind]
+    data = [(None if kind == "null" and i % 2 else "k", value(i), i) for i in range(500)]
+    kinds = "string" if kind == "prefix" else "int"
+    df = spark.createDataFrame(data, f"key string, v {kinds}, i int")
+    found = {r["i"]: r["rank"] for r in ranked(df, ["key"], [F.col("v"), F.col("i")]).collect()}
+    assert found == ranks_by_loop(data, lambda d: d[0], lambda d: (d[1] is not None, d[1] or 0 if kind != "prefix" else d[1], d[2]))
+
+
+def test_with_index_keeps_null_and_sparse(spark):
+    df = spark.createDataFrame([(None,), (10**15,), (-(10**15),), (3,)], "id bigint")
+    assert rows(with_index(df, [F.col("id")]), "idx") == [(None, 0), (-(10**15), 1), (3, 2), (10**15, 3)]
+
+
+def test_with_stats_keeps_null_keys(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "k string, v int")
+    assert rows(with_stats(df, ["k"], F.sum("v").alias("s")), "v") == [("a", 1, 1), (None, 2, 5), (None, 3, 5)]
+
+
+def test_quantiles(skewed):
     data, df = skewed
-    got = {r["key"]: (r["a"], r["b"]) for r in quantiles(df, ["key"], "v", {"a": 0.5, "b": 0.95}, F.floor("v")).collect()}
+    got = {r["key"]: (r["a"], r["b"]) for r in quantiles(df, ["key"], "v", {"a": 0.5, "b": 0.95}).collect()}
     for key, (a, b) in got.items():
         v = [d[1] for d in data if d[0] == key]
         assert a == pytest.approx(np.percentile(v, 50)) and b == pytest.approx(np.percentile(v, 95))
@@ -49,29 +73,52 @@ def test_top_two(spark):
     assert got == [("a", 3.0, 3.0, 1, 3), ("b", 2.0, None, 0, 1), ("c", 5.0, 4.0, 0, 2)]
 
 
-def test_group_reduce_same_both_ways(hot, skewed):
-    _, df = skewed
-    args = (["key"], "v", "i", {"med": np.median}, 4)
-    small = rows(validation.group_reduce(df, *args), "key")
-    large = rows(validation.group_reduce(df, *args, max_group=5, block=F.floor(F.col("i") / 16)), "key")
-    assert [s[0] for s in small] == [r[0] for r in large]
-    for s, r in zip(small, large):
-        assert s[1:] == pytest.approx(r[1:])
+def uniform_draws(n, size, rounds):
+    """The draws of the engine, one by one."""
+    bits = lambda k: int(hashlib.md5(f"42:{n}:{size}:{k}".encode()).hexdigest()[:13], 16)
+    return [[int(bits(r * size + j) / 2**52 * n) for j in range(size)] for r in range(rounds)]
 
 
-def test_large_group_matches_resampling(hot):
-    """The closed form agrees with 1000 resamples within their error."""
-    rng = random.Random(1)
-    data = [("s", 1, float(rng.randrange(20)), rng.choice("ABC"), i) for i in range(40)]
-    df = hot.createDataFrame(data, "data_source string, uid bigint, score double, pred string, i int")
-    exact = {r["metric"]: r["value"] for r in validation.bootstrap_metrics(df, ["score"], "i").collect()}
-    limit = {r["metric"]: r["value"] for r in validation.bootstrap_metrics(df, ["score"], "i", max_group=10).collect()}
-    assert set(exact) == set(limit)
-    for metric, value in exact.items():
-        assert limit[metric] == pytest.approx(value, abs=0.9), metric
+def test_group_reduce_against_loops(skewed):
+    data, df = skewed
+    for r in validation.group_reduce(df, ["key"], "v", "i", {"med": np.median}, 4).collect():
+        v = [d[1] for d in sorted(data, key=lambda d: d[2]) if d[0] == r["key"]]
+        want = [statistics.median(v[i] for i in p) for p in uniform_draws(len(v), 4, 100)]
+        assert r["med_mean"] == pytest.approx(statistics.fmean(want)) and r["med_std"] == pytest.approx(statistics.pstdev(want))
 
 
-def test_packing_contract(hot, skewed):
+def test_bootstrap_against_loops(spark):
+    """The same rule for a prompt of 3 and of 150 samples, with other key names; two prompts share a pattern."""
+    rng = random.Random(1)
+    data = []
+    for p, n in (("a", 3), ("b", 6), ("c", 6), ("d", 150), ("e", 1)):
+        preds = ["A", "B", "A", "C", "B", "A"] if p in "bc" else [rng.choice("ABC") for _ in range(n)]
+        data += [("s", p, rng.randrange(5) / 4, preds[i], i) for i in range(n)]
+    df = spark.createDataFrame(data, "src string, prompt string, score double, pred string, i int")
+    got = {(r["prompt"], r["metric"]): r["value"] for r in validation.bootstrap_metrics(df, ["score"], "i", keys=("src", "prompt"), rounds=50).collect()}
+    assert {p for p, _ in got} == set("abcd")
+    for p in "abcd":
+        v, preds = [d[2] for d in data if d[1] == p], [d[3] for d in data if d[1] == p]
+        n, sizes, m = len(v), [], 2
+        while m < n:
+            sizes.append(m)
+            m *= 2
+        for size in [*sizes, n]:
+            if n ** size <= 50_000:
+                every = list(itertools.product(v, repeat=size))
+                for kind, pick in (("best", max), ("worst", min)):
+                    assert got[p, f"{kind}@{size}/mean"] == pytest.approx(statistics.fmean(map(pick, every)))
+                    assert got[p, f"{kind}@{size}/std"] == pytest.approx(statistics.pstdev(map(pick, every)), abs=1e-6)
+            maj = []
+            for draw in uniform_draws(n, size, 50):
+                seen = [preds[i] for i in draw]
+                lead = max(dict.fromkeys(seen), key=seen.count)
+                maj.append(v[draw[seen.index(lead)]])
+            assert got[p, f"maj@{size}/mean"] == pytest.approx(statistics.fmean(maj)), (p, size)
+            assert got[p, f"maj@{size}/std"] == pytest.approx(statistics.pstdev(maj), abs=1e-6)
+
+
+def test_packing_contract(skewed):
     _, df = skewed
     df = df.withColumns({"step": F.lit(0), "cost": F.col("v").cast("bigint") + 1})
     bins = [r["n"] for r in packing.pack_balanced(df, 8, "cost", ["i"]).groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect()]
@@ -82,7 +129,7 @@ def test_packing_contract(hot, skewed):
         packing.pack_by_tokens(df, 50, "cost", ["i"]).collect()
 
 
-def test_resample_follows_weights(hot, skewed):
+def test_resample_follows_weights(skewed):
     data, df = skewed
     copies = sampling.resample(df.withColumn("step", F.lit(0)), "v", ["i"], method="pow", power=1.0, seed=9)
     got = {r["i"]: r["copies"] for r in copies.where("copy = 1").collect()}
@@ -92,25 +139,62 @@ def test_resample_follows_weights(hot, skewed):
         assert abs(got.get(i, 0) - 600 * v / total) < 2
 
 
-def test_draws_are_numpys():
-    np.random.seed(42)
-    assert (resample.draws(5, 3) == np.random.choice(5, size=(1000, 3), replace=True)).all()
-
-
-def test_bootstrap_against_loops():
-    rng = random.Random(5)
-    values = [rng.randrange(5) / 4 for _ in range(6)]
-    preds = [rng.choice("ABC") for _ in range(6)]
-    codes = np.array([[sorted(set(preds)).index(p) for p in preds]])
-    got = {(m): c[0] for _, m, c in resample.bootstrap({"v": np.array([values])}, codes)}
-    for size in resample.subset_sizes(6):
-        pos = resample.draws(6, size)
-        best = [max(values[i] for i in p) for p in pos]
-        maj = []
-        for p in pos:
-            seen = [preds[i] for i in p]
-            lead = max(dict.fromkeys(seen), key=seen.count)
-            maj.append(values[p[seen.index(lead)]])
-        assert got[f"best@{size}/mean"] == pytest.approx(statistics.fmean(best))
-        assert got[f"best@{size}/std"] == pytest.approx(statistics.pstdev(best))
-        assert got[f"maj@{size}/mean"] == pytest.approx(statistics.fmean(maj))
+def test_draws_equal_loop():
+    assert (resample.draws(5, 3, 40) - 1).tolist() == uniform_draws(5, 3, 40)
+
+
+def test_fill_batch(spark):
+    """Batch ids need not start at 0; a limit counts batches, 0 is no limit, too few groups are an error."""
+    data = [(10 * b, g, s) for b in range(4) for g in range(3) for s in (0.0, 1.0 if g else 0.0)]
+    df = spark.createDataFrame(data, "b int, g int, acc double")
+    taken = lambda **kw: rows(prep.fill_batch(df, "acc", "g", "b", **kw).select("b", "g").distinct(), "b", "g")
+    assert taken(size=3, max_batches=2) == [(0, 1), (0, 2), (10, 1)]
+    assert taken(size=8, max_batches=0) == [(10 * b, g) for b in range(4) for g in (1, 2)]
+    with pytest.raises(Exception, match="5 groups are needed, qualified are 4"):
+        taken(size=5, max_batches=2)
+
+
+def test_offline_filter_seeded(spark):
+    df = spark.createDataFrame([(i, 1, i) for i in range(50)], "pos int, prompt_len int, response_len int")
+    pick = lambda **kw: [r[0] for r in rows(prep.offline_filter(df, "pos", max_prompt=5, **kw).select("pos"), "pos")]
+    assert pick(max_rows=5) == [0, 1, 2, 3, 4]
+    assert len(pick(max_rows=5, seed=3)) == 5 and pick(max_rows=5, seed=3) == pick(max_rows=5, seed=3) != pick(max_rows=5, seed=4)
+
+
+def test_pack_by_group_equal_counts(spark):
+    df = spark.createDataFrame([(0, g, 1 + g) for g in range(7)], "step int, uid int, cost int")
+    with pytest.raises(Exception, match="7 groups cannot be dealt evenly to 3 bins"):
+        packing.pack_by_group(df, 3, "cost", equal_counts=True).collect()
+    assert packing.pack_by_group(df, 7, "cost", equal_counts=True).count() == 7
+
+
+def test_recurrences_of_ragged_rows():
+    """One row of 16,384 among 2,000 short ones, against the plain loop."""
+    rng = np.random.default_rng(2)
+    rewards = [rng.random(n) for n in [*rng.integers(0, 9, 2000), 16_384]]
+    masks = [(rng.random(len(r)) > 0.2).astype(float) for r in rewards]
+    values = [rng.random(len(r)) for r in rewards]
+    got, adv_got = recurrence._discounted(rewards, masks, 0.9), recurrence._gae(rewards, values, masks, 0.9, 0.8)
+    for r, v, m, a, b in zip(rewards, values, masks, got, adv_got):
+        carry = held = ahead = 0.0
+        for t in range(len(r) - 1, -1, -1):
+            out = r[t] + 0.9 * carry
+            carry = out * m[t]
+            if m[t]:
+                held = r[t] + 0.9 * ahead - v[t] + 0.72 * held
+                ahead = v[t]
+            assert a[t] == pytest.approx(out) and b[t] == pytest.approx(held)
+
+
+def test_opo_group_of_128_tokens(spark):
+    """Quotients that end on a half at the seventh decimal are exact."""
+    df = spark.createDataFrame([(0, 1, 9.0, 25), (0, 1, 2.0, 40), (0, 1, 7.0, 63)], "step int, uid int, score double, resp_len int")
+    mean = (9 * 25 + 2 * 40 + 7 * 63) / 128
+    assert sorted(r["advantage"] for r in adv.opo(df).collect()) == sorted([9 - mean, 2 - mean, 7 - mean])
+
+
+def test_long_conversation(spark):
+    """A conversation of 5,000 messages has one first question and one problem."""
+    data = [(1, i, "system" if i == 0 else "user" if i % 2 else "assistant", f"m{i}") for i in range(5000)]
+    ends = prep.conversation_ends(spark.createDataFrame(data, "conv_id int, i int, role string, content string"), ["conv_id"], "i")
+    assert rows(ends, "conv_id") == [(1, "m0", "m1", "m4998")]

@@ -17,32 +17,51 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+class _Ragged:
+    """Rows of different lengths end to end, walked backwards all at once; no row is padded."""
+
+    def __init__(self, rows):
+        lengths = np.array([len(r) for r in rows], np.int64)
+        self.ends = np.cumsum(lengths)
+        self.order = np.argsort(-lengths, kind="stable")  # longest first: the live rows are a prefix
+        self.live = np.searchsorted(np.sort(lengths), np.arange(lengths.max(initial=0)), "right")
+        self.live = len(lengths) - self.live
+
+    def flat(self, rows) -> np.ndarray:
+        return np.concatenate([np.asarray(r, float) for r in rows]) if len(rows) else np.zeros(0)
+
+    def steps(self):
+        """For the k-th step from the end: how many rows take part, and their places."""
+        last = self.ends[self.order] - 1
+        for k, n in enumerate(self.live.tolist()):
+            yield n, last[:n] - k
+
+    def rows(self, flat: np.ndarray) -> list[np.ndarray]:
+        return np.split(flat, self.ends[:-1]) if len(self.ends) else []
+
+
 def _discounted(rewards, masks, gamma):
     """Reverse discounted sums for a batch of ragged rows; the carry is zeroed after mask-0 tokens."""
-    width = max((len(r) for r in rewards), default=0)
-    r, m = np.zeros((len(rewards), width)), np.zeros((len(rewards), width))
-    for i, (a, b) in enumerate(zip(rewards, masks)):
-        r[i, : len(a)], m[i, : len(b)] = a, b
+    shape = _Ragged(rewards)
+    r, m = shape.flat(rewards), shape.flat(masks)
     out, carry = np.zeros_like(r), np.zeros(len(rewards))
-    for t in range(width - 1, -1, -1):
-        out[:, t] = r[:, t] + gamma * carry
-        carry = out[:, t] * m[:, t]
-    return [out[i, : len(a)] for i, a in enumerate(rewards)]
+    for n, at in shape.steps():
+        out[at] = r[at] + gamma * carry[:n]
+        carry[:n] = out[at] * m[at]
+    return shape.rows(out)
 
 
 def _gae(rewards, values, masks, gamma, lam):
-    width = max((len(r) for r in rewards), default=0)
-    r, v, m = (np.zeros((len(rewards), width)) for _ in range(3))
-    for i, (a, b, c) in enumerate(zip(rewards, values, masks)):
-        r[i, : len(a)], v[i, : len(b)], m[i, : len(c)] = a, b, c
+    shape = _Ragged(rewards)
+    r, v, m = shape.flat(rewards), shape.flat(values), shape.flat(masks)
     out = np.zeros_like(r)
     ahead, held = np.zeros(len(rewards)), np.zeros(len(rewards))
-    for t in range(width - 1, -1, -1):
-        on = m[:, t] > 0
-        held = np.where(on, r[:, t] + gamma * ahead - v[:, t] + gamma * lam * held, held)
-        ahead = np.where(on, v[:, t], ahead)
-        out[:, t] = held
-    return [out[i, : len(a)] for i, a in enumerate(rewards)]
+    for n, at in shape.steps():
+        on = m[at] > 0
+        held[:n] = np.where(on, r[at] + gamma * ahead[:n] - v[at] + gamma * lam * held[:n], held[:n])
+        ahead[:n] = np.where(on, v[at], ahead[:n])
+        out[at] = held[:n]
+    return shape.rows(out)
 
 
 def discounted_returns(rewards: Column, masks: Column, gamma: float) -> Column:

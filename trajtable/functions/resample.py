@@ -1,10 +1,11 @@
-"""Seeded resampling inside a task (NumPy).
+"""Caller-supplied reducers over seeded resamples, inside a task (NumPy).
 
 This module is sent to the executors by value, so it must not create Spark columns.
 """
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
@@ -15,151 +16,28 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def subset_sizes(n: int) -> list[int]:
-    """2, 4, 8, ... below n, then n itself."""
-    sizes, k = [], 2
-    while k < n:
-        sizes.append(k)
-        k *= 2
-    return sizes + [n] if n > 1 else []
+def draws(n: int, size: int, rounds: int, seed: int = 42) -> np.ndarray:
+    """1-based resample positions (rounds, size); they depend on the seed and the sizes only."""
+    bits = [int(hashlib.md5(f"{seed}:{n}:{size}:{k}".encode()).hexdigest()[:13], 16) for k in range(rounds * size)]
+    return (np.floor(np.array(bits) / 2.0**52 * n).astype(np.int64) + 1).reshape(rounds, size)
 
 
-def draws(n: int, size: int, rounds: int = 1000, seed: int = 42) -> np.ndarray:
-    """Resample positions; they depend on the group size and the subset size only."""
-    return np.random.RandomState(seed).choice(n, size=(rounds, size), replace=True).astype(np.int32)
+def reduce_batches(keys: Sequence[str], reducers: Mapping[str, Callable], size: int, seed: int, rounds: int):
+    """Mean and deviation of the reducers over the resamples of every group.
 
-
-def _majority_positions(codes: np.ndarray) -> np.ndarray:
-    """First position of the most frequent code along the last axis (ties: seen first)."""
-    counts = np.zeros(codes.shape, dtype=np.int16)
-    for c in range(int(codes.max()) + 1):
-        hit = codes == c
-        np.add(counts, hit.sum(axis=-1, keepdims=True, dtype=np.int16), out=counts, where=hit)
-    return counts.argmax(axis=-1)
-
-
-def _distinct_draws(n: int, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct resamples and the share of rounds that drew each; few exist when the group is small."""
-    rounds = draws(n, size, seed=seed)
-    pos, times = np.unique(rounds, axis=0, return_counts=True)
-    return pos, times / len(rounds)
-
-
-def bootstrap(
-    values: dict[str, np.ndarray], codes: np.ndarray | None, seed: int = 42, cache: dict | None = None
-) -> Iterator[tuple[str, str, np.ndarray]]:
-    """Best, worst and majority of resampled subsets for a stack of equally large groups.
-
-    Yields (variable, metric, one value per group).
-    """
-    cache = {} if cache is None else cache
-    groups, n = next(iter(values.values())).shape
-    for size in subset_sizes(n):
-        if (n, size) in cache:
-            pos, share = cache[n, size]
-        else:
-            pos, share = _distinct_draws(n, size, seed)
-            if pos.size < 1_000_000:
-                cache[n, size] = pos, share
-        found: dict[tuple[str, str], list] = {}
-        chunk = max(1, 500_000 // pos.size)
-        for lo in range(0, groups, chunk):
-            first = None
-            if codes is not None:
-                first = _majority_positions(codes[lo : lo + chunk][:, pos])[..., None]
-            for var, matrix in values.items():
-                sample = matrix[lo : lo + chunk][:, pos]
-                parts = {"best": sample.max(axis=-1), "worst": sample.min(axis=-1)}
-                if first is not None:
-                    parts["maj"] = np.take_along_axis(sample, first, axis=-1)[..., 0]
-                for kind, block in parts.items():
-                    mean = block @ share
-                    spread = np.sqrt(np.square(block - mean[:, None]) @ share)
-                    found.setdefault((var, f"{kind}@{size}/mean"), []).append(mean)
-                    found.setdefault((var, f"{kind}@{size}/std"), []).append(spread)
-        for (var, metric), blocks in found.items():
-            yield var, metric, np.concatenate(blocks)
-
-
-def _codes(preds: pd.Series) -> np.ndarray:
-    return np.stack([pd.factorize(np.asarray(p, dtype=object))[0] for p in preds]).astype(np.int16)
-
-
-def bootstrap_batches(keys: Sequence[str], variables: Sequence[str], has_pred: bool, seed: int):
-    """One row per group: its metrics as one array, ordered by size, variable, kind, mean and std."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
-        for pdf in batches:
-            for _, same in pdf.groupby("n"):
-                codes = _codes(same["preds"]) if has_pred else None
-                values = {v: np.stack(same[v].to_list()) for v in variables}
-                found = {(m, v): column for v, m, column in bootstrap(values, codes, seed, cache)}
-                kinds = ("best", "worst", "maj") if has_pred else ("best", "worst")
-                slots = [
-                    found[f"{kind}@{size}/{stat}", v]
-                    for size in subset_sizes(values[variables[0]].shape[1]) for v in variables for kind in kinds for stat in ("mean", "std")
-                ]
-                yield same[[*keys, "n"]].assign(values=list(np.stack(slots, axis=1)))
-
-    return run
-
-
-def vote_counts(variable: str, seed: int):
-    """Resampled majority for one large group given as (pred, val, k) counts."""
-
-    def vote(pdf: pd.DataFrame) -> pd.DataFrame:
-        rng, total = np.random.RandomState(seed), int(pdf["n"].iloc[0])
-        code, share, val = pd.factorize(pdf["pred"])[0], pdf["k"].to_numpy() / pdf["k"].sum(), pdf["val"].to_numpy()
-        found = []
-        for size in subset_sizes(total):
-            got = np.empty(1000)
-            for b in range(1000):
-                drawn = rng.multinomial(size, share)
-                tally = np.bincount(code, weights=drawn)
-                lead = rng.choice(np.flatnonzero(tally == tally.max()))
-                mine = np.where(code == lead, drawn, 0)
-                got[b] = val[rng.choice(len(val), p=mine / mine.sum())]
-            found += [(f"maj@{size}/mean", got.mean()), (f"maj@{size}/std", got.std())]
-        head = {"data_source": pdf["data_source"].iloc[0], "uid": pdf["uid"].iloc[0], "variable": variable}
-        return pd.DataFrame([{**head, "metric": a, "value": b} for a, b in found])
-
-    return vote
-
-
-def drawn_positions(keys: Sequence[str], size: int, seed: int):
-    """Rows (slot, 1-based rank) of every position that 100 resamples of a group draw."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                pos = np.random.RandomState(seed).choice(row[len(keys)], size=(100, size), replace=True).ravel()
-                out = pd.DataFrame({k: [row[i]] * len(pos) for i, k in enumerate(keys)})
-                yield out.assign(_n=row[len(keys)], _slot=np.arange(len(pos), dtype=np.int32), _rank=pos + 1)
-
-    return run
-
-
-def reduce_batches(keys: Sequence[str], reducers: Mapping[str, Callable], size: int, seed: int, drawn: bool):
-    """Mean and deviation of caller-supplied reducers over 100 resamples of every group.
-
-    A reducer takes a (resamples, size) array and ``axis=1``, as NumPy reducers do. ``drawn`` groups
-    come as the resampled values themselves.
+    A group comes as the sorted positions that are drawn (``_i``) and their values (``_v``). A reducer
+    takes a (resamples, size) array and ``axis=1``, as NumPy reducers do.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict = {}
+        cache: dict[int, np.ndarray] = {}
         for pdf in batches:
             out = pdf[list(keys)].copy()
             samples = []
-            for v in pdf["_v"]:
-                v = np.asarray(v, dtype=float)
-                if drawn:
-                    samples.append(v.reshape(100, size))
-                    continue
-                if len(v) not in cache:
-                    cache[len(v)] = draws(len(v), size, 100, seed)
-                samples.append(v[cache[len(v)]])
+            for n, places, values in zip(pdf["_n"], pdf["_i"], pdf["_v"]):
+                if n not in cache:
+                    cache[n] = draws(n, size, rounds, seed)
+                samples.append(np.asarray(values, float)[np.searchsorted(places, cache[n])])
             for name, reducer in reducers.items():
                 got = [reducer(sample, axis=1) for sample in samples]
                 out[f"{name}_mean"], out[f"{name}_std"] = [g.mean() for g in got], [g.std() for g in got]

@@ -158,10 +158,14 @@ def rloo_from_sums(df: DataFrame, score: str = "score", keys: Sequence[str] = GR
 
 
 def opo(df: DataFrame, score: str = "score", tokens: str = "resp_len", keys: Sequence[str] = GROUP) -> DataFrame:
-    """Baseline is the length-weighted mean score of the group; 0 for a single sample."""
-    weighted = F.sum(F.col(tokens) * F.col(score)) / F.sum(tokens)
-    rows = with_stats(df, keys, F.when(F.count(F.lit(1)) == 1, 0.0).otherwise(weighted).alias("_base"))
-    return rows.withColumn("advantage", F.col(score) - F.col("_base")).drop("_base")
+    """Score less the length-weighted mean score of the group; a single sample keeps its score.
+
+    Divided once, at the end, so that scores that are whole numbers give the exact quotient.
+    """
+    sums = [F.count(F.lit(1)).alias("_n"), F.sum(tokens).alias("_tokens"), F.sum(F.col(tokens) * F.col(score)).alias("_mass")]
+    rows = with_stats(df, keys, *sums)
+    centred = (F.col(score) * F.col("_tokens") - F.col("_mass")) / F.col("_tokens")
+    return rows.withColumn("advantage", F.when(F.col("_n") == 1, F.col(score)).otherwise(centred)).drop("_n", "_tokens", "_mass")
 
 
 def gpg(

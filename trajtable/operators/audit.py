@@ -144,7 +144,7 @@ def clip_cov(
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), *traj, t))
     chosen = ranked(
         rows.where(eligible).select(*batch, *traj, t, "_n", draw.alias("_draw")),
-        batch, [F.col("_draw")], block=F.substring("_draw", 1, 3), out="_rank",
+        batch, [F.col("_draw")], out="_rank",
     ).where(F.col("_rank") <= F.greatest(F.floor(F.col("_n") * ratio), F.lit(1)))
     marked = rows.join(chosen.select(*batch, *traj, t, F.lit(0.0).alias("_zero")), [*batch, *traj, t], "left")
     factor = F.coalesce(F.col("_zero"), F.lit(1.0))
@@ -160,7 +160,7 @@ def kl_cov(
     rows = _covariance(df, batch)
     top = ranked(
         rows.where(mask() > 0).select(*batch, *traj, t, "_n", "_cov"),
-        batch, [F.col("_cov").desc(), *map(F.col, traj), F.col(t)], block=F.floor(-F.col("_cov") * 64), out="_rank",
+        batch, [F.col("_cov").desc(), *map(F.col, traj), F.col(t)], out="_rank",
     ).where(F.col("_rank") <= F.greatest(F.floor(F.col("_n") * ratio), F.lit(1)))
     marked = rows.join(top.select(*batch, *traj, t, F.lit(1.0).alias("_big")), [*batch, *traj, t], "left")
     loss = -adv() * F.exp(x) + F.coalesce(F.col("_big"), F.lit(0.0)) * coef * F.abs(x)

@@ -5,29 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajtable.plans.skew import ranked
-
-
-def with_index(df: DataFrame, order: Sequence[Column], block: Column, out: str = "idx") -> DataFrame:
-    """Global 0-based row number in the given order.
-
-    ``block`` must never decrease along the order. Every block is numbered on its own and shifted by
-    the rows of the blocks before it; only the table of block sizes meets in one task.
-    """
-    blocked = df.withColumn("_block", block)
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = sizes.select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_block").orderBy(*order)
-    numbered = blocked.withColumn("_in_block", F.row_number().over(inside))
-    return (
-        numbered.join(offsets, "_block")
-        .withColumn(out, F.col("_before") + F.col("_in_block") - 1)
-        .drop("_block", "_in_block", "_before")
-    )
+from trajtable.plans.skew import positions, ranked
+
+
+def with_index(df: DataFrame, order: Sequence[Column], out: str = "idx") -> DataFrame:
+    """Global 0-based row number in the given order; a null order value comes first."""
+    return positions(df, order, out)
 
 
 def counted(df: DataFrame, out: str = "n_rows") -> DataFrame:
@@ -119,5 +105,5 @@ def minibatches(df: DataFrame, size: int, epochs: int, seed: int, key: Column, i
     uneven = F.raise_error(F.lit(f"rows are not divisible by {size}")).cast("string")
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), key.cast("string")))
     rows = rows.withColumn("_draw", F.when(F.col("_n") % size != 0, uneven).otherwise(draw)).drop("_n")
-    ranks = ranked(rows, ["epoch"], [F.col("_draw")], block=F.substring("_draw", 1, 3), out="_rank")
+    ranks = ranked(rows, ["epoch"], [F.col("_draw")], out="_rank")
     return ranks.withColumn("minibatch", F.floor((F.col("_rank") - 1) / size).cast("bigint")).drop("_draw", "_rank")

@@ -236,7 +236,7 @@ def async_batch_stats(df: DataFrame, batch: Sequence[str], seconds: str, calls:
         F.max(span).alias("max_partial_span"),
     )
     versions = df.select(*batch, end).distinct().groupBy(*batch).agg(rows_n().alias("version_diversity"))
-    tails = quantiles(df, batch, seconds, {"tp50": 0.5, "tp95": 0.95, "tp99": 0.99}, block=F.floor(seconds))
+    tails = quantiles(df, batch, seconds, {"tp50": 0.5, "tp95": 0.95, "tp99": 0.99})
     return plain.join(versions, list(batch)).join(tails, list(batch))
 
 
@@ -336,5 +336,5 @@ def label_ids(df: DataFrame, label: str, kind: str, out: str = "group_id") -> Da
     ).otherwise(F.concat(F.lit("s:"), F.col(label)))
     rows = df.withColumn("_label", canonical)
     labels = rows.select("_label").distinct()
-    ids = with_index(labels, [F.col("_label")], block=F.substring("_label", 1, 6), out=out)
+    ids = with_index(labels, [F.col("_label")], out=out)
     return rows.join(ids, "_label").drop("_label")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajtable.plans.skew import ranked, with_stats
+from trajtable.plans.skew import join_on, ranked, with_stats
 
 
 def workload(length: Column) -> Column:
@@ -22,11 +22,6 @@ def _deal(rank0: Column, k: Column) -> Column:
     return F.when(lap % 2 == 0, seat).otherwise(k - 1 - seat).cast("bigint")
 
 
-def _block(column: str) -> Column:
-    """Blocks of falling workload, fine enough to spread one huge step over many tasks."""
-    return -F.floor(F.col(column) / 8192)
-
-
 def pack_balanced(
     df: DataFrame, k: int, cost: str, ids: Sequence[str], batch: Sequence[str] = ("step",), out: str = "bin"
 ) -> DataFrame:
@@ -35,18 +30,25 @@ def pack_balanced(
     Rows are ranked by falling workload and dealt zig-zag; ``ids`` breaks ties.
     """
     order = [F.col(cost).desc(), *map(F.col, ids)]
-    rows = ranked(df, batch, order, block=_block(cost), out="_rank")
+    rows = ranked(df, batch, order, out="_rank")
     return rows.withColumn(out, _deal(F.col("_rank") - 1, F.lit(k))).drop("_rank")
 
 
 def pack_by_group(
-    df: DataFrame, k: int, cost: str, group: str = "uid", batch: Sequence[str] = ("step",), out: str = "bin"
+    df: DataFrame, k: int, cost: str, group: str = "uid", batch: Sequence[str] = ("step",), out: str = "bin", equal_counts: bool = False
 ) -> DataFrame:
-    """Like ``pack_balanced`` with all rows of a group in one bin."""
+    """Like ``pack_balanced`` with all rows of a group in one bin.
+
+    With ``equal_counts`` a number of groups that is no multiple of ``k`` is an error.
+    """
     keys = [*batch, group]
     groups = df.groupBy(*keys).agg(F.sum(cost).alias("_cost"))
+    if equal_counts:
+        uneven = F.raise_error(F.concat(F.col("_n").cast("string"), F.lit(f" groups cannot be dealt evenly to {k} bins"))).cast("bigint")
+        groups = with_stats(groups, batch, F.count(F.lit(1)).alias("_n"))
+        groups = groups.withColumn("_cost", F.when(F.col("_n") % k != 0, uneven).otherwise(F.col("_cost"))).drop("_n")
     dealt = pack_balanced(groups, k, "_cost", [group], batch, out).select(*keys, out)
-    return df.join(dealt, keys)
+    return join_on(df, dealt, keys)
 
 
 def pack_by_tokens(
@@ -63,7 +65,7 @@ def pack_by_tokens(
     rows = rows.withColumn("bins", F.when(F.col("_longest") > max_tokens, too_long.cast("bigint")).otherwise(bins))
     rows = rows.withColumn("_cost", workload(F.col(length)))
     order = [F.col("_cost").desc(), *map(F.col, ids)]
-    ranks = ranked(rows, batch, order, block=_block("_cost"), out="_rank")
+    ranks = ranked(rows, batch, order, out="_rank")
     return ranks.withColumn(out, _deal(F.col("_rank") - 1, F.col("bins"))).drop(
         "_rank", "_cost", "_rows", "_tokens", "_longest"
     )
@@ -73,7 +75,7 @@ def pack_order(
     df: DataFrame, cost: str, ids: Sequence[str], keys: Sequence[str] = ("step", "bin"), out: str = "position"
 ) -> DataFrame:
     """Small, large, small inside a bin: every second rank rises, the others fall after them."""
-    rows = ranked(df, keys, [F.col(cost), *map(F.col, ids)], block=F.floor(F.col(cost) / 8192), out="_rank")
+    rows = ranked(df, keys, [F.col(cost), *map(F.col, ids)], out="_rank")
     rows = with_stats(rows, keys, F.count(F.lit(1)).alias("_n"))
     r = F.col("_rank") - 1
     spot = F.when(r % 2 == 0, r / 2).otherwise(F.col("_n") - 1 - (r - 1) / 2)
@@ -82,7 +84,7 @@ def pack_order(
 
 def bin_order(bins: DataFrame, cost: str, batch: Sequence[str] = ("step",), out: str = "bin_position") -> DataFrame:
     """Order of the bins (one row each): heavy in the middle, light at both ends."""
-    rows = ranked(bins, batch, [F.col(cost).desc(), F.col("bin").desc()], block=_block(cost), out="_rank")
+    rows = ranked(bins, batch, [F.col(cost).desc(), F.col("bin").desc()], out="_rank")
     rows = with_stats(rows, batch, F.count(F.lit(1)).alias("_n"))
     r, front = F.col("_rank") - 1, F.ceil(F.col("_n") / 2)
     spot = F.when(r % 2 == 0, front - 1 - r / 2).otherwise(front + (r - 1) / 2)

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajtable.operators.batch import with_index
-from trajtable.plans.skew import ranked, with_stats
+from trajtable.plans.skew import join_on, ranked, with_stats
 
 
 def drop_padding(df: DataFrame, flag: str, batch: Sequence[str]) -> DataFrame:
@@ -108,14 +107,14 @@ def normalise_truth(raw: Column) -> Column:
     return out.when(is_list, F.coalesce(F.get_json_object(raw, "$[0]"), F.lit(""))).otherwise(F.coalesce(raw, F.lit("")))
 
 
-def placeholders(df: DataFrame, keys: Sequence[str], order: Sequence[str], content: str, block: Column) -> DataFrame:
+def placeholders(df: DataFrame, keys: Sequence[str], order: Sequence[str], content: str) -> DataFrame:
     """One row per non-empty content part; the k-th placeholder of a kind is numbered across messages."""
     marks = "<image>|<video>|<audio>"
     parts = F.filter(F.split(content, f"(?={marks})|(?<={marks})"), lambda p: p != "")
     rows = df.select(*keys, *order, F.posexplode(parts).alias("part_no", "part"))
     kind = F.when(F.col("part").isin("<image>", "<video>", "<audio>"), F.expr("substring(part, 2, 5)")).otherwise("text")
     rows = rows.withColumn("kind", kind)
-    ids = ranked(rows, [*keys, "kind"], [*map(F.col, order), F.col("part_no")], block, out="_k")
+    ids = ranked(rows, [*keys, "kind"], [*map(F.col, order), F.col("part_no")], out="_k")
     return ids.withColumn("media_no", F.when(F.col("kind") != "text", F.col("_k") - 1)).drop("_k")
 
 
@@ -213,29 +212,32 @@ def sft_fit(row: dict[str, Column], limit: int, pad_id: int = 0, how: str = "rig
     return {k: pad(v, limit, pad_id if k == "input_ids" else 0) for k, v in cut.items()}
 
 
-def multiturn_masks(messages: Column, prefix: int, system_len: int) -> dict[str, Column]:
-    """Per message: the words after the shared system prefix, and a mask that is 1 on assistant words.
+def message_masks(role: Column, content: Column, i: Column, prefix: int, system_len: int) -> dict[str, Column]:
+    """Of the ``i``-th message: the words after the shared system prefix, and a mask that is 1 on assistant words.
 
     The template wraps every message in ``system_len`` system words and, for assistants, ``prefix``
     generation-prompt words; the former are dropped from all but the first or system message, the
     latter are masked out.
     """
-    def ids(m: Column, i: Column) -> Column:
-        lengths = F.transform(F.split(m["content"], " "), lambda w: F.length(w))
-        lead = F.when((i != 0) & (m["role"] != "system"), 0).otherwise(system_len)
-        gen = F.when(m["role"] == "assistant", prefix).otherwise(0)
-        return F.concat(F.array_repeat(F.lit(-1), lead), F.array_repeat(F.lit(-2), gen), lengths)
+    bot = role == "assistant"
+    lengths = F.transform(F.split(content, " "), lambda w: F.length(w))
+    lead = F.when((i != 0) & (role != "system"), 0).otherwise(system_len)
+    gen = F.when(bot, prefix).otherwise(0)
+    # a first assistant message has its mask cut at the prefix length, counted from its start
+    total = lead + gen + F.size(lengths)
+    on = F.when(bot, F.greatest(total - prefix, F.lit(0))).otherwise(0)
+    return {
+        "input_ids": F.concat(F.array_repeat(F.lit(-1), lead), F.array_repeat(F.lit(-2), gen), lengths),
+        "loss_mask": F.concat(F.array_repeat(F.lit(0), total - on), F.array_repeat(F.lit(1), on)),
+    }
 
-    def mask(m: Column, i: Column) -> Column:
-        n = F.size(F.split(m["content"], " "))
-        lead = F.when((i != 0) & (m["role"] != "system"), 0).otherwise(system_len)
-        is_bot = m["role"] == "assistant"
-        # a first assistant message has its mask cut at the prefix length, counted from its start
-        total = lead + F.when(is_bot, prefix).otherwise(0) + n
-        on = F.when(is_bot, F.greatest(total - prefix, F.lit(0))).otherwise(0)
-        return F.concat(F.array_repeat(F.lit(0), total - on), F.array_repeat(F.lit(1), on))
 
-    return {"input_ids": F.flatten(F.transform(messages, ids)), "loss_mask": F.flatten(F.transform(messages, mask))}
+def conversation_ends(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """First system and user message and last assistant message of each conversation, by aggregation."""
+    of = lambda name, pick: pick(F.when(F.col("role") == name, F.col("content")), F.when(F.col("role") == name, F.col(order)))
+    return rows.groupBy(*keys).agg(
+        of("system", F.min_by).alias("system"), of("user", F.min_by).alias("question"), of("assistant", F.max_by).alias("answer")
+    )
 
 
 def eos_mask(ids: Column, eos: Sequence[int]) -> Column:
@@ -272,18 +274,25 @@ def first_by_key(df: DataFrame, key: Column, order: Column) -> DataFrame:
 
 def offline_filter(
     df: DataFrame, position: str, sample: int | None = None, unique: Column | None = None, max_prompt: int | None = None,
-    max_response: int | None = None, max_rows: int | None = None,
+    max_response: int | None = None, max_rows: int | None = None, seed: int | None = None,
 ) -> DataFrame:
-    """Sample index, then uniqueness, then lengths, then the row limit, in this order."""
-    from trajtable.operators.sampling import first_rows
+    """Sample index, then uniqueness, then lengths, then the row limit, in this order.
+
+    With a ``seed`` the limit takes a seeded random choice, else the first rows.
+    """
+    from trajtable.operators.sampling import first_rows, sample_rows
 
     if sample is not None:
         df = df.where(F.coalesce("sample_idx", F.lit(-1)) == sample)
     if unique is not None:
         df = first_by_key(df, unique, F.col(position))
     if max_prompt is not None:
-        df = df.where((F.col("prompt_len") <= max_prompt) & (F.col("response_len") <= max_response))
-    return first_rows(df, max_rows, position) if max_rows else df
+        df = df.where(F.col("prompt_len") <= max_prompt)
+    if max_response is not None:
+        df = df.where(F.col("response_len") <= max_response)
+    if not max_rows:
+        return df
+    return first_rows(df, max_rows, position) if seed is None else sample_rows(df, max_rows, seed, F.col(position))
 
 
 def informative_groups(df: DataFrame, metric: str, keys: Sequence[str]) -> DataFrame:
@@ -292,19 +301,22 @@ def informative_groups(df: DataFrame, metric: str, keys: Sequence[str]) -> DataF
     return rows.where(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi")
 
 
-def fill_batch(df: DataFrame, metric: str, group: str, batch: str, size: int, max_batches: int) -> DataFrame:
+def fill_batch(df: DataFrame, metric: str, group: str, batch: str, size: int, max_batches: int = 0) -> DataFrame:
     """Accumulate informative groups over generation batches until ``size`` groups are there.
 
-    Groups are taken in order; batches stop once the running count reaches ``size`` or
-    ``max_batches`` were used, and the surplus of groups is cut.
+    Groups are taken in order of batch and group, the surplus is cut. At most ``max_batches``
+    generation batches are used (0: no limit). Too few groups in them is an error.
     """
+    if max_batches:
+        first = df.select(batch).distinct().orderBy(batch).limit(max_batches)
+        df = df.join(F.broadcast(first), batch, "left_semi")
     kept = informative_groups(df, metric, [batch, group])
-    used = kept.where(F.col(batch) < max_batches)
-    groups = used.select(batch, group).distinct()
-    order = [F.col(batch), F.col(group)]
-    ranks = with_index(groups, order, block=F.col(batch), out="_i")
-    chosen = ranks.where(F.col("_i") < size).select(batch, group)
-    return used.join(chosen, [batch, group], "left_semi")
+    groups = kept.select(batch, group).distinct()
+    chosen = groups.orderBy(batch, group).limit(size)
+    short = F.raise_error(F.concat(F.lit(f"{size} groups are needed, qualified are "), F.col("_n").cast("string"))).cast("boolean")
+    enough = F.when(F.col("_n") < size, short).otherwise(True)
+    ready = chosen.agg(F.count(F.lit(1)).alias("_n")).select(enough.alias("_ok"))
+    return join_on(kept, chosen, [batch, group], "left_semi").where(ready.scalar())
 
 
 # --- joins ---------------------------------------------------------------------------------------

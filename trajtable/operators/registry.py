@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 
 from trajtable.functions import userland
-from trajtable.operators import advantage, audit, distill
+from trajtable.operators import advantage, audit, correction, distill
 
 Rule = Callable[..., DataFrame]
 
@@ -25,6 +25,7 @@ ADVANTAGES: dict[str, Rule] = {
     "opo": advantage.opo,
     "gpg": advantage.gpg,
     "optimal_token_baseline": advantage.token_baseline,
+    "tir_optimal_token_baseline": lambda df, **kw: advantage.token_baseline(df, packed=True, **kw),
 }
 LOSSES: dict[str, Rule] = {
     "vanilla": audit.ppo,
@@ -38,10 +39,13 @@ LOSSES: dict[str, Rule] = {
     "geo_mean": audit.geo_mean,
     "cispo": audit.cispo,
     "reinforce": audit.reinforce,
+    "bypass_mode": lambda df, **kw: audit.ppo(correction.bypass(df), **kw),
 }
 DISTILLATIONS: dict[str, Rule] = {
     **{k: (lambda df, kind=k, **kw: distill.reverse_kl(df, kind, **kw)) for k in ("kl", "k1", "abs", "mse", "k2", "low_var_kl", "k3")},
     "forward_kl_topk": distill.topk_tables,
+    "mixed_reverse_kl": lambda df, **kw: distill.mixed_objective(df, "rkl", **kw),
+    "mixed_forward_kl_topk": lambda df, **kw: distill.mixed_objective(df, "fkl", **kw),
     "forward_kl_topk_renorm": lambda df, k, **kw: distill.topk_tables(df, k, renorm=True, **kw),
 }
 

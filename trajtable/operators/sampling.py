@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajtable.operators.batch import with_index
 from trajtable.plans.skew import ranked, with_stats
 
 
@@ -30,15 +29,12 @@ def uniform(draw: Column) -> Column:
 
 
 def first_rows(df: DataFrame, n: int, order: str) -> DataFrame:
-    """First n rows by a stored position; numbered in blocks, so n may be large."""
-    rows = with_index(df, [F.col(order)], block=F.floor(F.col(order) / 100_000), out="_i")
-    return rows.where(F.col("_i") < n).drop("_i")
+    """First n rows by a stored position: each task keeps its own first n."""
+    return df.orderBy(order).limit(n)
 
 
 def _lowest(df: DataFrame, n: int, draw: Column, key: Column) -> DataFrame:
-    rows = df.withColumns({"_draw": draw, "_key": key})
-    rows = with_index(rows, [F.col("_draw"), F.col("_key")], block=F.substring("_draw", 1, 3), out="_i")
-    return rows.where(F.col("_i") < n).drop("_i", "_draw", "_key")
+    return df.withColumns({"_draw": draw, "_key": key}).orderBy("_draw", "_key").limit(n).drop("_draw", "_key")
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, key: Column) -> DataFrame:

@@ -3,19 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajtable.functions import resample
-from trajtable.plans.skew import ranked, spread, with_stats
-
+from trajtable.plans.skew import join_on, materialise, ranked, spread, with_stats
 
 
 def rows_n() -> Column:
     return F.count(F.lit(1))
-MAX_GROUP = 4096  # samples of one prompt that are resampled as an array
-METRIC = "data_source string, uid bigint, variable string, metric string, value double"
 
 
 def first_per_problem(df: DataFrame, keys: Sequence[str], value: str, index: str) -> Column:
@@ -101,38 +99,21 @@ def point_metrics(df: DataFrame, variables: Sequence[str], keys=("data_source",
 
 
 def bootstrap_metrics(
-    df: DataFrame, variables: Sequence[str], index: str, pred: str | None = "pred", keys=("data_source", "uid"),
-    seed: int = 42, max_group: int = MAX_GROUP,
+    df: DataFrame, variables: Sequence[str], index: str, pred: str | None = "pred", keys=("data_source", "uid"), seed: int = 42, rounds: int = 1000,
 ) -> DataFrame:
-    """best/worst/maj at sizes 2, 4, 8, ... and n per prompt.
+    """best, worst and maj of m samples drawn with replacement, m = 2, 4, 8, ... and n, per prompt.
 
-    Prompts with up to ``max_group`` samples are resampled as arrays. Larger prompts, which one
-    task must not hold, get the distribution the resampling estimates: see ``large_group_metrics``.
+    One rule for every number of samples. Best and worst are the mean and deviation over all draws, in
+    closed form from the ranks. The majority is resampled ``rounds`` times; the draws depend on the
+    seed, n and m alone (md5), ties go to the answer drawn first.
     """
     keys = list(keys)
-    sized = with_stats(df.select(*keys, index, *variables, *([pred] if pred else [])), keys, rows_n().alias("n"))
-    fields = [index, *variables, *([pred] if pred else [])]
-    small = spread(sized.where((F.col("n") > 1) & (F.col("n") <= max_group)), [*keys, "n"]).groupBy(*keys, "n").agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("_s")
-    )
-    pick = lambda c: F.transform("_s", lambda x: x[c])
-    arrays = small.select(*keys, "n", *[pick(v).alias(v) for v in variables], *([pick(pred).alias("preds")] if pred else []))
-    kinds = {f.name: f.dataType.simpleString() for f in arrays.schema}
-    schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], "n bigint", "values array<double>"])
-    stacked = arrays.mapInPandas(resample.bootstrap_batches(keys, list(variables), pred is not None, seed), schema)
-    exact = named_slots(stacked, keys, list(variables), pred is not None)
-    if not has_larger(df, keys, max_group):
-        return exact
-    large = sized.where(F.col("n") > max_group)
-    out = exact
-    for v in variables:
-        out = out.unionByName(large_group_metrics(large, v, pred, keys, seed))
-    return out
-
-
-def has_larger(df: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """Whether any group exceeds ``limit`` rows: one count over the keys, so that the usual case skips the large path."""
-    return not df.groupBy(*keys).agg(rows_n().alias("_n")).where(F.col("_n") > limit).isEmpty()
+    rows = ranked(df.select(*keys, index, *variables, *([pred] if pred else [])), keys, [F.col(index)], out="_i")
+    rows = with_stats(rows, keys, rows_n().alias("n")).where(F.col("n") > 1)
+    parts = [extremes(rows, v, keys) for v in variables]
+    if pred is not None:
+        parts.append(resampled_majority(rows, variables, pred, keys, seed, rounds))
+    return reduce(lambda x, y: x.unionByName(y), parts)
 
 
 def resample_sizes(n: Column) -> Column:
@@ -141,52 +122,74 @@ def resample_sizes(n: Column) -> Column:
     return F.concat(F.filter(powers, lambda s: s < n), F.array(n))
 
 
-def named_slots(df: DataFrame, keys: Sequence[str], variables: Sequence[str], has_pred: bool) -> DataFrame:
-    """Metric rows from the arrays of ``bootstrap_batches``."""
-    kinds = ["best", "worst", *(["maj"] if has_pred else [])]
-    rows = df.withColumn("_sizes", resample_sizes(F.col("n"))).select(*keys, "_sizes", F.posexplode("values").alias("slot", "value"))
-    pick = lambda names, i: F.element_at(F.array(*map(F.lit, names)), (i + 1).cast("int"))
-    slot, width = F.col("slot"), 2 * len(kinds)
-    size = F.element_at("_sizes", (F.floor(slot / (width * len(variables))) + 1).cast("int"))
-    metric = F.concat(
-        pick(kinds, F.floor(slot % width / 2)), F.lit("@"), size.cast("string"), F.lit("/"), pick(["mean", "std"], slot % 2)
-    )
-    return rows.select(*keys, pick(variables, F.floor(slot / width) % len(variables)).alias("variable"), metric.alias("metric"), "value")
+def moment_rows(moments: DataFrame, keys: Sequence[str], kinds: dict[str, str], variable: Column) -> DataFrame:
+    """Metric rows from columns ``<name>_1`` and ``<name>_2`` (first and second moment) per key and size."""
+    cells = []
+    for name, kind in kinds.items():
+        label = F.concat(F.lit(f"{kind}@"), F.col("size").cast("string"))
+        std = F.sqrt(F.greatest(F.col(f"{name}_2") - F.col(f"{name}_1") * F.col(f"{name}_1"), F.lit(0.0)))
+        cells.append(F.struct(F.concat(label, F.lit("/mean")).alias("metric"), F.col(f"{name}_1").alias("value")))
+        cells.append(F.struct(F.concat(label, F.lit("/std")).alias("metric"), std.alias("value")))
+    return moments.select(*keys, variable.alias("variable"), F.inline(F.array(*cells)))
+
 
+def extremes(rows: DataFrame, variable: str, keys: Sequence[str]) -> DataFrame:
+    """Best and worst of m draws: the r-th smallest of n values is the best with probability
+    (r / n) ** m - ((r - 1) / n) ** m, so every row knows its share from its rank alone."""
+    ranks = ranked(rows.select(*keys, "n", "_i", variable), keys, [F.col(variable), F.col("_i")], out="_rank")
+    ranks = ranks.withColumn("size", F.explode(resample_sizes(F.col("n"))))
+    r, n, m, x = F.col("_rank"), F.col("n"), F.col("size"), F.col(variable)
+    shares = {"best": F.pow(r / n, m) - F.pow((r - 1) / n, m), "worst": F.pow((n - r + 1) / n, m) - F.pow((n - r) / n, m)}
+    moments = ranks.groupBy(*keys, "size").agg(*[F.sum(w * v).alias(f"{k}_{i}") for k, w in shares.items() for i, v in ((1, x), (2, x * x))])
+    return moment_rows(moments, keys, {"best": "best", "worst": "worst"}, F.lit(variable))
 
-def large_group_metrics(df: DataFrame, variable: str, pred: str | None, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """Closed form of best/worst for any group size, resampled majority on answer counts.
 
-    The best of m draws with replacement is at most the r-th smallest of n values with probability
-    (r / n) ** m, so every row gets its probability of being the best from its rank alone.
+def drawn(n: Column, size: Column, number: Column, seed: int) -> Column:
+    """1-based position of a draw; the same for all groups of n rows."""
+    bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), n.cast("string"), size.cast("string"), number.cast("string"))), 1, 13), 16, 10)
+    return (F.floor(bits.cast("bigint") / float(2**52) * n) + 1).cast("bigint")
+
+
+def resampled_majority(rows: DataFrame, variables: Sequence[str], pred: str, keys: Sequence[str], seed: int, rounds: int) -> DataFrame:
+    """Value at the first draw of the answer drawn most often.
+
+    Which draw wins depends on n and on the pattern of the answers alone. Prompts with the same pattern
+    share one set of draws, which is joined to the rows of one of them, row by row.
     """
     keys = list(keys)
-    rows = ranked(df, keys, [F.col(variable)], block=F.floor(F.col(variable) * 64), out="_rank")
-    r, n, m = F.col("_rank"), F.col("n"), F.col("size")
-    rows = rows.withColumn("size", F.explode(resample_sizes(n)))
-    best = F.pow(r / n, m) - F.pow((r - 1) / n, m)
-    worst = F.pow((n - r + 1) / n, m) - F.pow((n - r) / n, m)
-    x = F.col(variable)
-    moments = rows.groupBy(*keys, "size").agg(
-        *[F.sum(w * v).alias(f"{k}_{i}") for k, w in (("best", best), ("worst", worst)) for i, v in ((1, x), (2, x * x))]
+    first = rows.groupBy(*keys, pred).agg(F.min("_i").alias("_code"))
+    coded = join_on(rows, first, [*keys, pred])
+    look = coded.groupBy(*keys, "n").agg(
+        F.bit_xor(F.xxhash64("_i", "_code")).alias("_p"), F.bit_xor(F.xxhash64(F.lit(1), "_i", "_code")).alias("_q")
     )
-    cells = []
-    for k in ("best", "worst"):
-        label = lambda s, k=k: F.concat(F.lit(f"{k}@"), F.col("size").cast("string"), F.lit(s))
-        std = F.sqrt(F.greatest(F.col(f"{k}_2") - F.col(f"{k}_1") * F.col(f"{k}_1"), F.lit(0.0)))
-        cells += [F.struct(label("/mean").alias("metric"), F.col(f"{k}_1").alias("value")), F.struct(label("/std").alias("metric"), std.alias("value"))]
-    out = moments.select(*keys, F.lit(variable).alias("variable"), F.inline(F.array(*cells)))
-    if pred is None:
-        return out
-    counts = df.groupBy(*keys, "n", F.col(pred).alias("pred"), F.col(variable).alias("val")).agg(rows_n().alias("k"))
-
-    return out.unionByName(counts.groupBy(*keys).applyInPandas(resample.vote_counts(variable, seed), METRIC))
+    look = materialise(look.withColumn("_at", F.monotonically_increasing_id()))
+    shape = ["n", "_p", "_q"]
+    shapes = look.groupBy(*shape).agg(F.min("_at").alias("_shape"))
+    named = look.join(shapes, shape)  # many prompts have the same shape: a skewed part is split
+    one = named.where("_at = _shape").select(*keys, "_shape")
+    answers = join_on(coded, one, keys).select("_shape", "n", "_i", "_code")
+    draws = (
+        shapes.select("n").distinct()
+        .withColumn("size", F.explode(resample_sizes(F.col("n"))))
+        .withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") * rounds - 1)))
+        .select("n", "size", F.floor(F.col("_k") / F.col("size")).alias("_round"), "_k", drawn(F.col("n"), F.col("size"), F.col("_k"), seed).alias("_i"))
+    )
+    votes = draws.join(answers, ["n", "_i"]).groupBy("_shape", "size", "_round", "_code").agg(
+        rows_n().alias("_c"), F.min("_k").alias("_k"), F.min_by("_i", "_k").alias("_i")
+    )
+    lead = votes.groupBy("_shape", "size", "_round").agg(F.max_by("_i", F.struct("_c", -F.col("_k"))).alias("_i"))
+    shares = materialise(lead.groupBy("_shape", "size", "_i").agg((rows_n() / rounds).alias("_w")))
+    shaped = join_on(rows, named.select(*keys, "_shape"), keys)
+    won = shaped.join(shares, ["_shape", "_i"])
+    w = F.col("_w")
+    moments = won.groupBy(*keys, "size").agg(*[F.sum(w * x).alias(f"{v}_{i}") for v in variables for i, x in ((1, F.col(v)), (2, F.col(v) * F.col(v)))])
+    return reduce(lambda x, y: x.unionByName(y), [moment_rows(moments, keys, {v: "maj"}, F.lit(v)) for v in variables])
 
 
-def val_metrics(df: DataFrame, variables: Sequence[str], index: str, pred: str | None = "pred") -> DataFrame:
+def val_metrics(df: DataFrame, variables: Sequence[str], index: str, pred: str | None = "pred", rounds: int = 1000) -> DataFrame:
     """Mean over prompts of every per-prompt metric, by data source, variable and metric name."""
     numeric = [v for v in variables if dict(df.dtypes)[v] != "string"]
-    per_uid = point_metrics(df, numeric).unionByName(bootstrap_metrics(df, numeric, index, pred))
+    per_uid = point_metrics(df, numeric).unionByName(bootstrap_metrics(df, numeric, index, pred, rounds=rounds))
     return per_uid.groupBy("data_source", "variable", "metric").agg(F.avg("value").alias("value"))
 
 
@@ -217,36 +220,21 @@ def turn_stats(df: DataFrame, turns: str) -> DataFrame:
 
 
 def group_reduce(
-    df: DataFrame, keys: Sequence[str], value: str, index: str, reducers: Mapping[str, Callable], size: int,
-    seed: int = 42, max_group: int = MAX_GROUP, block: Column | None = None,
+    df: DataFrame, keys: Sequence[str], value: str, index: str, reducers: Mapping[str, Callable], size: int, seed: int = 42, rounds: int = 100,
 ) -> DataFrame:
-    """Caller-supplied reducers over 100 resamples of ``size`` values: mean and deviation per group.
+    """Caller-supplied reducers over ``rounds`` resamples of ``size`` values: mean and deviation per group.
 
-    Small groups travel as arrays. Of a larger group only the drawn positions are fetched, by a join
-    on the rank inside the group; both ways use the same draws.
+    A group sends the rows at the drawn positions to its task, at most rounds x size of them whatever
+    its size. Draws are those of ``drawn``.
     """
     keys = list(keys)
-    sized = with_stats(df.select(*keys, F.col(value).cast("double").alias(value), index), keys, rows_n().alias("_n"))
+    rows = ranked(df.select(*keys, F.col(value).cast("double").alias(value), index), keys, [F.col(index)], out="_i")
+    rows = with_stats(rows, keys, rows_n().alias("_n"))
+    wanted = rows.select("_n").distinct().withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(rounds * size - 1))))
+    wanted = wanted.select("_n", drawn(F.col("_n"), F.lit(size), F.col("_k"), seed).alias("_i")).distinct()
+    picked = rows.join(wanted, ["_n", "_i"]).groupBy(*keys, "_n").agg(F.array_sort(F.collect_list(F.struct("_i", value))).alias("_s"))
     pick = lambda c: F.transform("_s", lambda x: x[c])
-    small = spread(sized.where(F.col("_n") <= max_group), keys).groupBy(*keys, "_n").agg(
-        F.array_sort(F.collect_list(F.struct(index, value))).alias("_s")
-    ).select(*keys, "_n", pick(value).alias("_v"))
-    kinds = {f.name: f.dataType.simpleString() for f in small.schema}
-    key_schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
-
-    schema = ", ".join([key_schema, *[f"{r}_{k} double" for r in reducers for k in ("mean", "std")]])
-    run = lambda is_drawn: resample.reduce_batches(keys, dict(reducers), size, seed, is_drawn)
-    arrays = small.mapInPandas(run(False), schema)
-    if not has_larger(df, keys, max_group):
-        return arrays
-    big = sized.where(F.col("_n") > max_group)
-    wanted = big.select(*keys, "_n").distinct().mapInPandas(
-        resample.drawn_positions(keys, size, seed), f"{key_schema}, _n bigint, _slot int, _rank bigint"
-    )
-    by = [F.col(index)]
-    ranks = ranked(big, keys, by, block=block if block is not None else F.floor(F.col(index) / 4096), out="_rank")
-    drawn = wanted.join(ranks.select(*keys, "_rank", value), [*keys, "_rank"]).groupBy(*keys, "_n").agg(
-        F.array_sort(F.collect_list(F.struct("_slot", value))).alias("_s")
-    ).select(*keys, "_n", pick(value).alias("_v"))
-
-    return arrays.unionByName(drawn.mapInPandas(run(True), schema))
+    picked = spread(picked.select(*keys, "_n", pick("_i").alias("_i"), pick(value).alias("_v")), keys)
+    kinds = {f.name: f.dataType.simpleString() for f in picked.schema}
+    schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], *[f"{r}_{k} double" for r in reducers for k in ("mean", "std")]])
+    return picked.mapInPandas(resample.reduce_batches(keys, dict(reducers), size, seed, rounds), schema)

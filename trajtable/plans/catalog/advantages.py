@@ -133,14 +133,14 @@ def adv_rloo_vectorized(spark, d):
 
 @query(
     "adv_opo",
-    """WITH g AS (SELECT *, CASE WHEN count(*) OVER w = 1 THEN 0.0
-  ELSE sum(resp_len * score) OVER w / sum(resp_len) OVER w END AS base
-  FROM rollouts WINDOW w AS (PARTITION BY step, uid))
-SELECT step, uid, line, problem_id, round(score, 6) + 0.0 AS score, round(score - base, 6) + 0.0 AS advantage FROM g""",
+    """WITH r AS (SELECT * EXCLUDE (score), round(score * 97) AS score FROM rollouts),
+g AS (SELECT *, count(*) OVER w AS n, sum(resp_len) OVER w AS len, sum(resp_len * score) OVER w AS mass FROM r WINDOW w AS (PARTITION BY step, uid))
+SELECT step, uid, line, problem_id, round(score, 6) + 0.0 AS score, round(CASE WHEN n = 1 THEN score ELSE (score * len - mass) / len END, 6) + 0.0 AS advantage FROM g""",
     G,
 )
 def adv_opo(spark, d):
-    return _rows(adv.opo(src.rollouts(spark, d)))
+    """Scores in whole cents: sums are exact, and so is a quotient that ends on a half."""
+    return _rows(adv.opo(src.rollouts(spark, d).withColumn("score", F.round(F.col("score") * 97))))
 
 
 @query(

@@ -178,13 +178,14 @@ def dedup_first_by_key(spark, d):
 
 @query(
     "dedup_problems",
-    """WITH p AS (SELECT conv_id, seg, coalesce(list_filter(messages, lambda m: m.role = 'user')[1].content, '') AS problem FROM messages)
+    """WITH p AS (SELECT conv_id, coalesce(arg_min(content, i) FILTER (WHERE role = 'user'), '') AS problem FROM messages GROUP BY conv_id)
 SELECT min(conv_id) AS conv_id, md5(problem) AS problem FROM p GROUP BY problem""",
     M,
 )
 def dedup_problems(spark, d):
-    rows = src.messages(spark, d).select("conv_id", "seg", F.coalesce(prep.first_of_role(F.col("messages"), "user"), F.lit("")).alias("problem"))
-    out = prep.first_by_key(rows, F.col("problem"), F.struct("conv_id", "seg"))
+    ends = prep.conversation_ends(src.messages(spark, d), ["conv_id"], "i")
+    rows = ends.select("conv_id", F.coalesce("question", F.lit("")).alias("problem"))
+    out = prep.first_by_key(rows, F.col("problem"), F.col("conv_id"))
     return out.select("conv_id", F.md5("problem").alias("problem"))
 
 
@@ -218,7 +219,7 @@ def sort_by_score(spark, d):
     docs = src.table(spark, d, "documents").select("doc_id").join(src.table(spark, d, "labels"), "doc_id", "left")
     rows = docs.select("doc_id", F.col("quality").cast("double").alias("score"), F.col("toxic").cast("double").alias("score_1"))
     rows = rows.select("doc_id", sp.score_order(rows).alias("score"))
-    out = bt.with_index(rows, [F.col("score").desc(), F.col("doc_id")], block=F.struct(-F.col("score"), F.floor(F.col("doc_id") / 100_000)), out="i")
+    out = bt.with_index(rows, [F.col("score").desc(), F.col("doc_id")], out="i")
     return out.select("doc_id", "score", (F.col("i") + 1).alias("position"))
 
 
@@ -328,6 +329,6 @@ def pack_stats(spark, d):
     from trajtable.plans.skew import ranked
 
     rows = pk.pack_balanced(_costed(spark, d), 8, "cost", ["uid", "sample_idx"])
-    rows = ranked(rows, ["step"], [F.col("uid"), F.col("sample_idx")], block=F.floor(F.col("uid") / 64), out="arrival")
+    rows = ranked(rows, ["step"], [F.col("uid"), F.col("sample_idx")], out="arrival")
     out = pk.pack_stats(rows.withColumn("arrival", F.col("arrival") - 1), 8, "cost", "arrival")
     return out.withColumn("mean", r6("mean"))

@@ -334,7 +334,7 @@ def trace_rows(spark, d):
     "join_trace_to_generations",
     """WITH p AS (SELECT request_id, gen_len, unnest(range(gen_len)) AS i FROM gens),
 m AS (SELECT p.request_id, p.gen_len, i, CASE WHEN t.response_pos IS NULL THEN '0' ELSE '1' END AS b FROM p LEFT JOIN trace t ON p.request_id = t.request_id AND p.i = t.response_pos),
-s AS (SELECT request_id, min(k) AS stop_k, min(spot) AS pos FROM event_log WHERE event_type = 'error' GROUP BY request_id)
+s AS (SELECT user_id::VARCHAR AS request_id, min((floor(value)::BIGINT % 80)::INT) AS pos FROM events GROUP BY 1)
 SELECT m.request_id, gen_len, string_agg(b, ',' ORDER BY i) AS teacher_mask, any_value(pos) AS stop_pos FROM m LEFT JOIN s USING (request_id) GROUP BY m.request_id, gen_len""",
     E,
 )
@@ -346,7 +346,7 @@ def join_trace_to_generations(spark, d):
 
 
 def _stop_events(spark, d):
-    ev = src.table(spark, d, "events").where("event_type = 'error'")
+    ev = src.table(spark, d, "events")
     return ev.select(
         F.col("user_id").cast("string").alias("request_id"), F.col("event_id").alias("event_no"),
         (F.floor("value") % 80).cast("int").alias("response_pos"), F.get_json_object("props", "$.k").cast("int").alias("internal_stop_token_id"),
@@ -355,7 +355,7 @@ def _stop_events(spark, d):
 
 @query(
     "earliest_stop",
-    """WITH s AS (SELECT user_id, event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE (floor(value)::BIGINT % 80)::INT END AS pos, (props->>'$.k')::INT AS k FROM events WHERE event_type = 'error')
+    """WITH s AS (SELECT user_id, event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE (floor(value)::BIGINT % 80)::INT END AS pos, (props->>'$.k')::INT AS k FROM events)
 SELECT user_id::VARCHAR AS request_id, min(pos) AS response_pos, arg_min(k, pos::BIGINT * 100000000 + event_id) AS internal_stop_token_id FROM s WHERE pos IS NOT NULL GROUP BY user_id""",
 )
 def earliest_stop(spark, d):

@@ -181,14 +181,13 @@ def filter_padding_samples(spark, d):
 # fixed values: stage names that the timing table cycles through
 STAGES = ("gen", "ref", "values", "adv", "update_actor", "step", "testing")
 TIMING_SQL = f"""s AS (SELECT step, sum(resp_len) AS resp, sum(resp_len + prompt_len) AS total FROM rollouts GROUP BY step),
-g AS (SELECT step, ({list(STAGES)!r})[(line)::INT] AS name, sum(score) AS seconds FROM rollouts WHERE line <= 7 GROUP BY step, line)"""
+g AS (SELECT step, ({list(STAGES)!r})[(line - 1) % 7 + 1] AS name, sum(score) AS seconds FROM rollouts GROUP BY ALL)"""
 
 
 def _timing(rows):
     names = F.array(*map(F.lit, STAGES))
-    return rows.where(F.col("line") <= 7).groupBy("step", "line").agg(F.sum("score").alias("seconds")).select(
-        "step", F.element_at(names, F.col("line")).alias("name"), "seconds"
-    )
+    stage = F.element_at(names, ((F.col("line") - 1) % 7 + 1).cast("int"))
+    return rows.groupBy("step", stage.alias("name")).agg(F.sum("score").alias("seconds"))
 
 
 @query(
@@ -498,20 +497,65 @@ def val_sections(spark, d):
     return rounded(va.val_sections(per).unionByName(va.turn_stats(rows, "line")), "key")
 
 
-@query("val_bootstrap")
+SIZES = "list_filter([2, 4, 8, 16, 32, 64, 128, 256, 512, 1024], lambda x: x < n) || [n]"
+DRAWN = "(floor(('0x' || substr(md5('42:' || n || ':' || size || ':' || k), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE * n) + 1)::BIGINT"
+
+
+def _bootstrap_sql() -> str:
+    """Best and worst from ranks, the majority from the same draws, for score and acc."""
+    moments = lambda kind, v, one, two, source: (
+        f"SELECT data_source, uid, '{v}' AS variable, '{kind}@' || size || '/mean' AS metric, {one} AS value FROM {source} UNION ALL "
+        f"SELECT data_source, uid, '{v}', '{kind}@' || size || '/std', sqrt(greatest({two} - {one} * {one}, 0)) FROM {source}"
+    )
+    ctes = ["s AS (SELECT *, sample_idx + 1 AS i, count(*) OVER (PARTITION BY data_source, uid) AS n FROM rollouts)", f"z AS (SELECT *, unnest({SIZES}) AS size FROM s WHERE n > 1)"]
+    out = []
+    for v in ("score", "acc"):
+        ctes.append(f"r_{v} AS (SELECT *, row_number() OVER (PARTITION BY data_source, uid, size ORDER BY {v}, i)::DOUBLE AS r, {v} AS x FROM z)")
+        best, worst = "(pow(r / n, size) - pow((r - 1) / n, size))", "(pow((n - r + 1) / n, size) - pow((n - r) / n, size))"
+        ctes.append(f"e_{v} AS (SELECT data_source, uid, size, sum({best} * x) AS b1, sum({best} * x * x) AS b2, sum({worst} * x) AS w1, sum({worst} * x * x) AS w2 FROM r_{v} GROUP BY ALL)")
+        out += [moments("best", v, "b1", "b2", f"e_{v}"), moments("worst", v, "w1", "w2", f"e_{v}"), moments("maj", v, f"{v}_1", f"{v}_2", "mm")]
+    ctes += [
+        "c AS (SELECT *, min(i) OVER (PARTITION BY data_source, uid, pred) AS code FROM s WHERE n > 1)",
+        "pat AS (SELECT data_source, uid, n, string_agg(code::VARCHAR, ',' ORDER BY i) AS pat FROM c GROUP BY ALL)",
+        "reps AS (SELECT n, pat, min(uid) AS uid FROM pat GROUP BY ALL)",
+        "ans AS (SELECT reps.pat, reps.n, i, code FROM reps JOIN c ON c.uid = reps.uid)",
+        f"d AS (SELECT n, size, k // size AS round, k, {DRAWN} AS i FROM (SELECT n, size, unnest(range(size * 199)) AS k FROM (SELECT n, unnest({SIZES}) AS size FROM (SELECT DISTINCT n FROM reps))))",
+        "v AS (SELECT pat, ans.n, size, round, code, count(*) AS c, min(k) AS k, arg_min(i, k) AS i FROM d JOIN ans USING (n, i) GROUP BY pat, ans.n, size, round, code)",
+        "lead AS (SELECT pat, n, size, round, i FROM (SELECT *, row_number() OVER (PARTITION BY pat, n, size, round ORDER BY c DESC, k) AS place FROM v) WHERE place = 1)",
+        "w AS (SELECT pat, n, size, i, count(*) / 199.0::DOUBLE AS w FROM lead GROUP BY ALL)",
+        "mm AS (SELECT data_source, uid, size, sum(w * score) AS score_1, sum(w * score * score) AS score_2, sum(w * acc) AS acc_1, sum(w * acc * acc) AS acc_2 FROM s JOIN pat USING (data_source, uid, n) JOIN w USING (pat, n, i) GROUP BY ALL)",
+        "boot AS (" + " UNION ALL ".join(out) + ")",
+    ]
+    return ", ".join(ctes)
+
+
+@query("val_bootstrap", f"WITH {_bootstrap_sql()} SELECT data_source, uid, variable, metric, round(value, 6) + 0.0 AS value FROM boot", G)
 def val_bootstrap(spark, d):
-    """Resampled best, worst and majority per prompt; needs the seeded NumPy draws, so there is no SQL."""
+    """Best and worst in closed form and the resampled majority, per prompt."""
     rows = src.rollouts(spark, d, source=True, index=True)
-    return rounded(va.bootstrap_metrics(rows, ["score", "acc"], "sample_idx"), "data_source", "uid", "variable", "metric")
+    return rounded(va.bootstrap_metrics(rows, ["score", "acc"], "sample_idx", rounds=199), "data_source", "uid", "variable", "metric")
 
 
-@query("val_metrics")
+@query(
+    "val_metrics",
+    f"""WITH {_bootstrap_sql()}, {POINT.replace("m AS (", "point AS (")},
+every AS (SELECT data_source, variable, metric, value FROM l UNION ALL SELECT data_source, variable, metric, value FROM boot)
+SELECT data_source, variable, metric, round(avg(value), 6) + 0.0 AS value FROM every GROUP BY ALL""",
+    G,
+)
 def val_metrics(spark, d):
     rows = src.rollouts(spark, d, source=True, index=True)
-    return rounded(va.val_metrics(rows, ["score", "acc", "pred"], "sample_idx"), "data_source", "variable", "metric")
+    return rounded(va.val_metrics(rows, ["score", "acc", "pred"], "sample_idx", rounds=199), "data_source", "variable", "metric")
 
 
-@query("ext_group_reducer")
+@query(
+    "ext_group_reducer",
+    f"""WITH s AS (SELECT uid, score, sample_idx + 1 AS i, count(*) OVER (PARTITION BY uid) AS n FROM rollouts),
+d AS (SELECT n, k // 4 AS round, {DRAWN.replace("size", "4")} AS i FROM (SELECT n, unnest(range(400)) AS k FROM (SELECT DISTINCT n FROM s))),
+r AS (SELECT uid, round, median(score) AS m, max(score) - min(score) AS g FROM d JOIN s USING (n, i) GROUP BY ALL)
+SELECT uid, round(avg(m), 6) + 0.0 AS median_mean, round(stddev_pop(m), 6) + 0.0 AS median_std, round(avg(g), 6) + 0.0 AS range_mean, round(stddev_pop(g), 6) + 0.0 AS range_std FROM r GROUP BY uid""",
+    G,
+)
 def ext_group_reducer(spark, d):
     """Caller-supplied reducers (median, range) over resampled scores of each prompt."""
     import numpy as np

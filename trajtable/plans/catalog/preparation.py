@@ -25,7 +25,7 @@ def _prompt_flat(df):
 
 
 def _indexed(df):
-    return bt.with_index(df, [F.col("gen_id")], block=F.floor(F.col("gen_id") / 100_000))
+    return bt.with_index(df, [F.col("gen_id")])
 
 
 IDX = "(row_number() OVER (ORDER BY gen_id) - 1) AS index"
@@ -160,17 +160,16 @@ def prep_tool_kwargs(spark, d):
 
 @query(
     "prep_multiturn_messages",
-    """WITH n AS (SELECT count(DISTINCT conv_id) AS n FROM conversations), i AS (SELECT conv_id, dense_rank() OVER (ORDER BY conv_id) - 1 AS idx FROM messages)
-SELECT m.conv_id, seg, CASE WHEN idx < round(n * 0.8) THEN 'train' ELSE 'test' END AS split, len(messages) AS n_messages,
-  array_to_string(list_transform(messages, lambda x: x.role || '=' || x.content), '|') AS messages FROM messages m JOIN (SELECT DISTINCT conv_id, idx FROM i) i USING (conv_id), n""",
+    """WITH n AS (SELECT count(DISTINCT conv_id) AS n FROM conversations), x AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS idx FROM (SELECT DISTINCT conv_id FROM conversations))
+SELECT conv_id, i, CASE WHEN idx < round(n * 0.8) THEN 'train' ELSE 'test' END AS split, role, content FROM messages JOIN x USING (conv_id), n""",
     M,
 )
 def prep_multiturn_messages(spark, d):
+    """Messages as rows, so that a conversation may have any length; conversations are split 80 to 20."""
     rows = src.messages(spark, d)
-    ids = bt.counted(bt.with_index(rows.select("conv_id").distinct(), [F.col("conv_id")], block=F.floor(F.col("conv_id") / 100_000)), "n")
+    ids = bt.counted(bt.with_index(rows.select("conv_id").distinct(), [F.col("conv_id")]), "n")
     part = ids.select("conv_id", F.when(F.col("idx") < F.round(F.col("n") * 0.8), "train").otherwise("test").alias("split"))
-    text = F.concat_ws("|", F.transform("messages", lambda m: F.concat(m.role, F.lit("="), m.content)))
-    return rows.join(part, "conv_id").select("conv_id", "seg", "split", F.size("messages").cast("bigint").alias("n_messages"), text.alias("messages"))
+    return rows.join(part, "conv_id").select("conv_id", "i", "split", "role", "content")
 
 
 @query("prep_geo_rows", "SELECT page_id, '<image>' || url AS content, md5(html) AS image_md5, 'page ' || page_id AS ground_truth FROM pages")
@@ -197,7 +196,7 @@ def split_placeholders(spark, d):
         F.col("turn") % 3 == 1, F.concat("text", F.lit("<image><audio>tail"))
     ).otherwise(F.col("text"))
     conv = src.table(spark, d, "conversations").select("conv_id", "turn", mark.alias("content"))
-    return prep.placeholders(conv, ["conv_id"], ["turn"], "content", block=F.floor(F.col("turn") / 1000))
+    return prep.placeholders(conv, ["conv_id"], ["turn"], "content")
 
 
 @query(
@@ -252,18 +251,16 @@ def _sql_text(x: str) -> str:
 
 @query(
     "rewrite_prompt",
-    f"""SELECT conv_id, seg, coalesce(list_filter(messages, lambda m: m.role = 'system')[1].content, 'You are a helpful assistant.') AS system,
-  {_sql_text(prep.REWRITE_HEAD)} || coalesce(list_filter(messages, lambda m: m.role = 'user')[1].content, '') || {_sql_text(prep.REWRITE_MIDDLE)}
-  || coalesce(list_filter(messages, lambda m: m.role = 'assistant')[-1].content, '') || {_sql_text(prep.REWRITE_TAIL)} AS content FROM messages""",
+    f"""SELECT conv_id, coalesce(arg_min(content, i) FILTER (WHERE role = 'system'), 'You are a helpful assistant.') AS system,
+  {_sql_text(prep.REWRITE_HEAD)} || coalesce(arg_min(content, i) FILTER (WHERE role = 'user'), '') || {_sql_text(prep.REWRITE_MIDDLE)}
+  || coalesce(arg_max(content, i) FILTER (WHERE role = 'assistant'), '') || {_sql_text(prep.REWRITE_TAIL)} AS content FROM messages GROUP BY conv_id""",
     M,
 )
 def rewrite_prompt(spark, d):
-    rows = src.messages(spark, d)
-    bots = F.filter("messages", lambda m: m.role == "assistant")
-    last = F.get(bots, F.size(bots) - 1)["content"]
-    return rows.select(
-        "conv_id", "seg", F.coalesce(prep.first_of_role(F.col("messages"), "system"), F.lit("You are a helpful assistant.")).alias("system"),
-        prep.rewrite_prompt(F.coalesce(prep.first_of_role(F.col("messages"), "user"), F.lit("")), F.coalesce(last, F.lit(""))).alias("content"),
+    ends = prep.conversation_ends(src.messages(spark, d), ["conv_id"], "i")
+    return ends.select(
+        "conv_id", F.coalesce("system", F.lit("You are a helpful assistant.")).alias("system"),
+        prep.rewrite_prompt(F.coalesce("question", F.lit("")), F.coalesce("answer", F.lit(""))).alias("content"),
     )
 
 
@@ -324,17 +321,16 @@ def sft_truncate_pad(spark, d):
 
 @query(
     "multiturn_loss_mask",
-    """WITH p AS (SELECT conv_id, seg, unnest(messages, max_depth := 1) AS m, generate_subscripts(messages, 1) - 1 AS i FROM messages),
-q AS (SELECT conv_id, seg, i, CASE WHEN i <> 0 AND m.role <> 'system' THEN 0 ELSE 3 END AS lead, CASE WHEN m.role = 'assistant' THEN 2 ELSE 0 END AS gen,
-  m.role = 'assistant' AS bot, list_transform(string_split(m.content, ' '), lambda w: length(w)::INT) AS w FROM p),
-r AS (SELECT conv_id, seg, i, array_to_string([-1 for x in range(lead)] || [-2 for x in range(gen)] || w, ',') AS a,
-  array_to_string([CASE WHEN bot AND x >= 2 THEN 1 ELSE 0 END for x in range(lead + gen + len(w))], ',') AS b FROM q)
-SELECT conv_id, seg, string_agg(a, ',' ORDER BY i) AS input_ids, string_agg(b, ',' ORDER BY i) AS loss_mask FROM r GROUP BY conv_id, seg""",
+    """WITH q AS (SELECT conv_id, i, CASE WHEN i <> 0 AND role <> 'system' THEN 0 ELSE 3 END AS lead, CASE WHEN role = 'assistant' THEN 2 ELSE 0 END AS gen,
+  role = 'assistant' AS bot, list_transform(string_split(content, ' '), lambda w: length(w)::INT) AS w FROM messages)
+SELECT conv_id, i, array_to_string([-1 for x in range(lead)] || [-2 for x in range(gen)] || w, ',') AS input_ids,
+  array_to_string([CASE WHEN bot AND x >= 2 THEN 1 ELSE 0 END for x in range(lead + gen + len(w))], ',') AS loss_mask FROM q""",
     M,
 )
 def multiturn_loss_mask(spark, d):
-    row = prep.multiturn_masks(F.col("messages"), prefix=2, system_len=3)
-    return src.messages(spark, d).select("conv_id", "seg", *[csv(v).alias(k) for k, v in row.items()])
+    """Per message; ids and masks of a conversation follow each other in the order of ``i``."""
+    row = prep.message_masks(F.col("role"), F.col("content"), F.col("i"), prefix=2, system_len=3)
+    return src.messages(spark, d).select("conv_id", "i", *[csv(v).alias(k) for k, v in row.items()])
 
 
 @query(
@@ -417,7 +413,7 @@ def offline_row(spark, d):
         "gen_id", F.when(g % 2 == 0, F.col("truth")).alias("gt"), F.col("truth_letter").alias("answer"),
         F.when(g % 3 != 0, F.concat(F.lit("u"), g.cast("string"))).alias("unique_id"),
     )
-    rows = bt.with_index(rows, [g], block=F.floor(g / 100_000))
+    rows = bt.with_index(rows, [g])
     return rows.select("gen_id", F.coalesce("gt", "answer").alias("ground_truth"), F.coalesce("unique_id", F.col("idx").cast("string")).alias("unique_id"), F.col("idx").alias("index"))
 
 
@@ -451,10 +447,10 @@ def filter_offline(spark, d):
 @query(
     "filter_groups",
     """WITH g AS (SELECT step, uid FROM rollouts GROUP BY step, uid HAVING min(acc) <> max(acc)),
-r AS (SELECT *, row_number() OVER (ORDER BY step, uid) AS rk FROM g WHERE step < 12)
-SELECT t.step, t.uid, t.line, t.problem_id, t.acc FROM rollouts t JOIN r ON t.step = r.step AND t.uid = r.uid WHERE rk <= 4096""",
+r AS (SELECT *, row_number() OVER (ORDER BY step, uid) AS rk FROM g WHERE step IN (SELECT DISTINCT step FROM rollouts ORDER BY step LIMIT 12))
+SELECT t.step, t.uid, t.line, t.problem_id, t.acc FROM rollouts t JOIN r ON t.step = r.step AND t.uid = r.uid WHERE rk <= 512""",
     G,
 )
 def filter_groups(spark, d):
-    kept = prep.fill_batch(src.rollouts(spark, d), "acc", "uid", "step", 4096, 12)
+    kept = prep.fill_batch(src.rollouts(spark, d), "acc", "uid", "step", 512, 12)
     return kept.select("step", "uid", "line", "problem_id", "acc")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from trajtable.operators import batch as bt
@@ -137,21 +139,22 @@ def sink_eval_tsv(spark, d):
 # --- streaming -----------------------------------------------------------------------------------
 
 
+FILES = 2  # files of an arrival
+
+
 def _feed(spark, rows, order: str, job, parts: int = 4, sentinel=None):
-    """Let rows arrive in order, a quarter at a time, and run the streaming job after every arrival.
+    """Let rows arrive in order, a quarter in each micro-batch, and run the streaming job over them.
 
-    ``job`` takes the stream; it keeps its checkpoint, so each run goes on where the last one stopped.
+    Every arrival is written as FILES files, and a micro-batch takes that many.
     """
     base = scratch(spark)
-    staged = bt.counted(bt.with_index(rows, [F.col(order)], block=F.floor(F.col(order) / 100_000), out="_i"), "_n")
+    staged = bt.counted(bt.with_index(rows, [F.col(order)], out="_i"), "_n")
     staged = staged.withColumn("_part", F.floor(F.col("_i") * parts / F.col("_n")).cast("int"))
-    staged.select(*rows.columns, "_part").write.partitionBy("_part").parquet(f"{base}/all")
-    arrivals = [spark.read.schema(rows.schema).parquet(f"{base}/all/_part={p}") for p in range(parts)]
-    result = None
-    for arrival in [*arrivals, *([sentinel] if sentinel is not None else [])]:
-        arrival.select(*rows.columns).write.mode("append").parquet(f"{base}/in")
-        result = job(spark.readStream.schema(rows.schema).parquet(f"{base}/in"))
-    return result
+    for p in range(parts):
+        staged.where(F.col("_part") == p).select(*rows.columns).repartition(FILES).write.mode("append").parquet(f"{base}/in")
+    if sentinel is not None:
+        sentinel.select(*rows.columns).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    return job(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(f"{base}/in"))
 
 
 def _events(spark, d, *columns):
@@ -166,30 +169,19 @@ def st_sample_stream(spark, d):
     return out.select("event_id", "position", "batch")
 
 
-def _queue_sql() -> str:
-    """Four arrivals, each followed by drop-oldest and a consumer that takes five."""
-    ctes = ["e AS (SELECT event_type AS queue, event_id, (row_number() OVER (ORDER BY event_id) - 1) * 4 // count(*) OVER () AS part FROM events)"]
-    prev = "SELECT queue, event_id FROM e WHERE false"
-    for p in range(4):
-        ctes.append(f"m{p} AS (SELECT queue, event_id FROM ({prev}) UNION ALL SELECT queue, event_id FROM e WHERE part = {p})")
-        ctes.append(f"r{p} AS (SELECT *, row_number() OVER (PARTITION BY queue ORDER BY event_id DESC) AS rk, least(count(*) OVER (PARTITION BY queue), 100) AS kept FROM m{p})")
-        ctes.append(f"s{p} AS (SELECT queue, event_id, CASE WHEN rk > 100 THEN 'dropped' WHEN rk > kept - 5 THEN 'consumed' ELSE 'queued' END AS state FROM r{p})")
-        prev = f"SELECT queue, event_id FROM s{p} WHERE state = 'queued'"
-    union = " UNION ALL ".join(f"SELECT * FROM s{p}" for p in range(4))
-    return (
-        "WITH " + ", ".join(ctes) + f""", c AS (SELECT queue, count(*) FILTER (WHERE state = 'dropped') AS dropped, count(*) FILTER (WHERE state = 'consumed') AS consumed FROM ({union}) GROUP BY queue)
-SELECT c.queue, (SELECT count(*) FROM e WHERE e.queue = c.queue) AS produced, dropped, consumed, (SELECT count(*) FROM s3 WHERE s3.queue = c.queue AND state = 'queued') AS queued,
-  (SELECT min(event_id) FROM s3 WHERE s3.queue = c.queue AND state = 'queued') AS oldest FROM c"""
-    )
-
-
-@query("st_bounded_queue", _queue_sql())
+@query(
+    "st_bounded_queue",
+    """WITH r AS (SELECT event_type AS queue, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS rk FROM events)
+SELECT queue, count(*) AS produced, count(*) FILTER (WHERE rk > 100) AS dropped, count(*) FILTER (WHERE rk <= 100) AS queued,
+  min(event_id) FILTER (WHERE rk <= 100) AS oldest FROM r GROUP BY queue""",
+)
 def st_bounded_queue(spark, d):
+    """The newest hundred samples per queue."""
     rows = _events(spark, d, F.col("event_type").alias("queue"), "event_id")
     folder = scratch(spark)
-    queue, counters = _feed(spark, rows, "event_id", lambda stream: samples.bounded_queue(stream, folder, "queue", "event_id", 100, 5))
+    queue, counters = _feed(spark, rows, "event_id", lambda stream: samples.bounded_queue(stream, folder, "queue", "event_id", 100))
     left = queue.groupBy("queue").agg(F.count(F.lit(1)).alias("queued"), F.min("event_id").alias("oldest"))
-    return counters.join(left, "queue", "left").select("queue", "produced", "dropped", "consumed", "queued", "oldest")
+    return counters.join(left, "queue").select("queue", "produced", "dropped", "queued", "oldest")
 
 
 @query(
@@ -210,20 +202,19 @@ def st_staleness(spark, d):
 def _sentinel(rows, time: str):
     """One row far behind the last event; it closes the windows before it."""
     last = rows.agg(F.max_by(F.struct(*rows.columns), time).alias("r")).select("r.*")
-    return last.withColumn(time, F.col(time) + F.expr("INTERVAL 30 DAYS"))
+    return last.withColumn(time, F.col(time) + F.expr("INTERVAL 90 DAYS"))
 
 
 @query(
     "st_partial_span",
-    """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, user_id, min(event_id // 700) AS min_version, max(event_id // 700) AS max_version,
-  min(event_id // 700) <> max(event_id // 700) AS partial FROM events GROUP BY 1, 2""",
+    "SELECT user_id, min(event_id // 700) AS min_version, max(event_id // 700) AS max_version, min(event_id // 700) <> max(event_id // 700) AS partial FROM events GROUP BY user_id",
 )
 def st_partial_span(spark, d):
+    """A user's events are one trajectory as long as they are less than 40 days apart."""
     rows = _events(spark, d, "event_id", "ts", "user_id", F.floor(F.col("event_id") / 700).cast("bigint").alias("version"))
     folder = scratch(spark)
-    job = lambda stream: run_append(samples.version_span(stream, "user_id", "version", "ts", "1 hour", "1 day"), folder)
-    table = _feed(spark, rows, "event_id", job, sentinel=_sentinel(rows, "ts"))
-    return table.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "user_id", "min_version", "max_version", "partial")
+    job = lambda stream: run_append(samples.version_span(stream, "user_id", "version", "ts", "40 days", "40 days"), folder)
+    return _feed(spark, rows, "event_id", job, sentinel=_sentinel(rows, "ts"))
 
 
 @query(
@@ -261,12 +252,13 @@ def st_metric_window(spark, d):
 @query("st_trace_ingest", """WITH u AS (SELECT request_id, count(*) AS n_events FROM single GROUP BY request_id)
 SELECT t.request_id, response_pos, emit_token_id, n_events FROM trace t JOIN u USING (request_id)""", ("trace",))
 def st_trace_ingest(spark, d):
-    """Every third event is delivered twice; the repeats are recognised by id and time."""
+    """Every third event is delivered twice, the second time with a later time; the repeats are recognised by id."""
     log = src.event_log(spark, d).join(_events(spark, d, F.col("event_id").alias("event_no"), "ts"), "event_no")
     copies = F.when(F.col("event_no") % 3 == 0, 2).otherwise(1)
+    sent = bt.repeat_var(log, copies).withColumn("ts", F.col("ts") + F.make_dt_interval(mins=F.col("copy").cast("int"))).drop("copy")
     folder = scratch(spark)
-    job = lambda stream: run_append(samples.unique_events(stream, ["request_id", "event_no"], "ts", "1 hour"), folder)
-    table = _feed(spark, bt.repeat_var(log, copies).drop("copy"), "event_no", job)
+    job = lambda stream: run_append(samples.unique_events(stream, ["request_id", "event_no"], "ts", "40 days"), folder)
+    table = _feed(spark, sent, "event_no", job)
     rows = handoff.expand_events(table).where("response_pos IS NOT NULL")
     users = _events(spark, d, "user_id").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     gens = users.select(F.col("user_id").cast("string").alias("request_id"), (F.col("n") % 60 + 10).cast("int").alias("gen_len"))
@@ -300,7 +292,7 @@ def ext_explode(spark, d):
     single = F.when(F.col("positions").isNotNull(), F.col("positions")).otherwise(F.array("response_pos"))
     fn = registry.explode_function()
     spark.udtf.register("explode_positions", fn)
-    view = f"event_log_{scratch(spark)[-8:]}"
+    view = f"event_log_{uuid.uuid4().hex}"
     log.select("request_id", "event_no", single.alias("positions")).createOrReplaceTempView(view)
     return spark.sql(f"SELECT request_id, event_no, x.in_event, x.response_pos FROM {view}, LATERAL explode_positions(positions) x")
 

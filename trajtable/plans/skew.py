@@ -3,31 +3,35 @@
 * ``with_stats``: aggregate (partial aggregation before the shuffle), then join the statistics
   back. The join is the only place where raw rows meet their key, and adaptive execution splits
   skewed partitions of a join; a window over the key could not be split.
-* ``ranked``: exact ``row_number`` per key. Keys with at least ``hot_rows`` rows are cut into
-  blocks along the sort order, every block is numbered on its own and shifted by the number of
-  rows in the blocks before it.
+* ``ranked``: exact row number per key for groups of any size. The rows are range-partitioned once
+  by key and order, so equal keys and equal values spread over as many tasks as they need; a rank is
+  the place of a row in the whole order less the place of its key's first row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS_KEY = "spark.trajtable.hotRows"
-HOT_ROWS = 1_000_000
+from trajtable.session import scratch
 
+LOW_BITS = 33  # monotonically_increasing_id: partition above, place in the partition below
 
-def hot_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(HOT_ROWS_KEY, str(HOT_ROWS)))
+
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be null; null equals null. Key columns come from the left side."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def with_stats(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
-    """Attach per-group aggregates to every row; key columns must not be null."""
+    """Attach per-group aggregates to every row; null is a key like any other."""
     keys = list(keys)
-    stats = df.groupBy(*keys).agg(*aggregates)
-    return df.join(stats, keys)
+    return join_on(df, df.groupBy(*keys).agg(*aggregates), keys)
 
 
 def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -38,56 +42,40 @@ def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows: at most rows / hot_rows of them exist."""
-    limit = hot_rows(df)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") >= limit).select(*keys, F.lit(True).alias("_hot"))
+def materialise(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back."""
+    folder = scratch(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def ranked(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    block: Column,
-    out: str = "rank",
-) -> DataFrame:
-    """Exact 1-based row number per key.
+def positions(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """0-based place of every row in the whole order, which must be total.
 
-    ``block`` must never decrease along ``order`` and is only evaluated for hot keys. The order
-    must be total within a key.
+    The sorted rows are written once, as both the places and the sizes of the parts are read from
+    them; only the sizes, one number for each task, meet in one place.
     """
+    rows = materialise(df.sort(*order).withColumn("_at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_part", F.shiftright("_at", LOW_BITS))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    place = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+    # one row for each task that sorted: small enough to send to every task
+    return rows.join(F.broadcast(before), "_part").withColumn(out, place).drop("_part", "_at", "_before")
+
+
+def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "rank") -> DataFrame:
+    """Exact 1-based row number per key; the order must be total within a key, keys may be null."""
     keys = list(keys)
-    # broadcast is safe: the number of hot keys is bounded by rows / hot_rows
-    tagged = (
-        df.join(F.broadcast(hot_keys(df, keys)), keys, "left")
-        .withColumn("_block", F.when(F.col("_hot"), block))
-        .drop("_hot")
-    )
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        tagged.where(F.col("_block").isNotNull())
-        .groupBy(*keys, "_block")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    )
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
-    numbered = tagged.withColumn("_in_block", F.row_number().over(inside))
-    return (
-        numbered.join(offsets, [*keys, "_block"], "left")
-        .withColumn(out, (F.col("_in_block") + F.coalesce("_before", F.lit(0))).cast("bigint"))
-        .drop("_block", "_in_block", "_before")
-    )
-
-
-def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, points: dict[str, float], block: Column
-) -> DataFrame:
-    """Exact quantiles with linear interpolation, one row per key; ``block`` as in ``ranked``."""
+    rows = positions(df, [*map(F.col, keys), *order], "_place")
+    rows = with_stats(rows, keys, F.min("_place").alias("_first"))
+    return rows.withColumn(out, F.col("_place") - F.col("_first") + 1).drop("_place", "_first")
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, points: dict[str, float]) -> DataFrame:
+    """Exact quantiles with linear interpolation, one row per key."""
     keys = list(keys)
-    rows = ranked(df.select(*keys, value), keys, [F.col(value)], block, out="_rank")
+    rows = ranked(df.select(*keys, value), keys, [F.col(value)], out="_rank")
     rows = with_stats(rows, keys, F.count(F.lit(1)).alias("_n"))
     at = lambda p: F.max(F.when(F.col("_rank") - 1 == p, F.col(value)))
     out = []

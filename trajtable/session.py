@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,10 +44,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder below the shared folder the cluster names; a temporary one in local sessions."""
+    """A fresh folder below the shared folder the cluster names; below the warehouse in local sessions without one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="trajtable-")
+        folder = spark.conf.get("spark.sql.warehouse.dir") + "/intermediate"
     return f"{folder.rstrip('/')}/trajtable-{uuid.uuid4().hex}"

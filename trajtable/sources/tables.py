@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from trajtable.functions.divergence import top_ids
 from trajtable.plans.skew import ranked
 
-MAX_RESPONSE = 64  # tokens of a derived trajectory; the group size every per-trajectory step relies on
-MAX_TURNS = 1024  # messages held in one array cell
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,7 +30,6 @@ def rollouts(spark: SparkSession, folder: str, source: bool = False, index: bool
             li,
             ["l_orderkey"],
             [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate")],
-            block=F.struct("l_linenumber", F.floor(F.col("l_partkey") / 1000).alias("b")),
             out="_rank",
         )
     cols = [
@@ -58,7 +55,7 @@ def rollouts(spark: SparkSession, folder: str, source: bool = False, index: bool
 
 
 def tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per generated token; a user's events are cut into trajectories of 64 tokens."""
+    """One row per generated token; a trajectory is the events of a user in a calendar month."""
     ev = table(spark, folder, "events").select(
         "user_id",
         "event_id",
@@ -66,16 +63,15 @@ def tokens(spark: SparkSession, folder: str) -> DataFrame:
         "event_type",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.round(F.col("value") * 100).cast("bigint").alias("c"),
+        F.date_format("ts", "yyyyMM").alias("month"),
     )
-    numbered = ranked(
-        ev, ["user_id"], [F.col("ts"), F.col("event_id")], block=F.date_trunc("minute", "ts"), out="n"
-    )
+    numbered = ranked(ev, ["user_id", "month"], [F.col("ts"), F.col("event_id")], out="n")
     k, c = F.col("k"), F.col("c")
     base = numbered.select(
         F.floor(F.col("user_id") / 40).cast("bigint").alias("step"),
         F.floor(F.col("user_id") / 10).cast("bigint").alias("uid"),
-        F.concat_ws("_", "user_id", F.floor((F.col("n") - 1) / MAX_RESPONSE).cast("bigint")).alias("seq_id"),
-        ((F.col("n") - 1) % MAX_RESPONSE).cast("int").alias("t"),
+        F.concat_ws("_", "user_id", "month").alias("seq_id"),
+        (F.col("n") - 1).cast("int").alias("t"),
         F.when(F.col("event_type") == "error", 0).otherwise(1).alias("mask"),
         "event_type",
         "event_id",
@@ -101,7 +97,7 @@ def tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trajectories(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Array layout of ``tokens``: one row per trajectory, at most 64 entries per array."""
+    """Array layout of ``tokens``: one row per trajectory."""
     cells = F.array_sort(F.collect_list(F.struct("t", *columns)))
     rows = tokens(spark, folder).groupBy("step", "uid", "seq_id").agg(cells.alias("_cells"))
     pick = lambda c: F.transform("_cells", lambda x: x[c]).alias(c)
@@ -109,12 +105,12 @@ def trajectories(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def logits(spark: SparkSession, folder: str) -> DataFrame:
-    """Student logits from the embeddings; the teacher distribution is the next vector's."""
+    """Student logits from the embeddings; the teacher distribution is the next vector's, or its own where none follows."""
     emb = table(spark, folder, "embeddings")
     scale = lambda c: F.transform(c, lambda x: x.cast("double") * 8.0)
     student = emb.select("vec_id", "label", scale("embedding").alias("student"))
     teacher = emb.select((F.col("vec_id") - 1).alias("vec_id"), scale("embedding").alias("teacher"))
-    return student.join(teacher, "vec_id")
+    return student.join(teacher, "vec_id", "left").withColumn("teacher", F.coalesce("teacher", "student"))
 
 
 def positions(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,19 +140,10 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversations as ordered message arrays; ``seg`` numbers cells of at most 1024 messages."""
+    """Conversations as rows (conv_id, i, role, content), ``i`` from 0 in the order of the turns."""
     conv = table(spark, folder, "conversations")
-    order = [F.col("turn"), F.col("role"), F.col("text")]
-    rows = ranked(conv, ["conv_id"], order, block=F.struct("turn", "role", F.substring("text", 1, 2).alias("t")), out="n")
-    return (
-        rows.groupBy("conv_id", F.floor((F.col("n") - 1) / MAX_TURNS).cast("bigint").alias("seg"))
-        .agg(F.array_sort(F.collect_list(F.struct("n", "role", "text"))).alias("m"))
-        .select(
-            "conv_id",
-            "seg",
-            F.transform("m", lambda x: F.struct(x.role.alias("role"), x.text.alias("content"))).alias("messages"),
-        )
-    )
+    rows = ranked(conv, ["conv_id"], [F.col("turn"), F.col("role"), F.col("text")], out="n")
+    return rows.select("conv_id", (F.col("n") - 1).alias("i"), "role", F.col("text").alias("content"))
 
 
 def words(spark: SparkSession, folder: str) -> DataFrame:
@@ -211,10 +198,10 @@ rollouts AS (
     "tokens": """
 numbered AS (
   SELECT *, (props->>'$.k')::INT AS k, round(value * 100)::BIGINT AS c,
-         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS n FROM events),
+         strftime(ts, '%Y%m') AS month, row_number() OVER (PARTITION BY user_id, month ORDER BY ts, event_id) - 1 AS n FROM events),
 tokens0 AS (
-  SELECT user_id // 40 AS step, user_id // 10 AS uid, user_id || '_' || (n // 64) AS seq_id,
-         (n % 64)::INT AS t, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS mask, event_type,
+  SELECT user_id // 40 AS step, user_id // 10 AS uid, user_id || '_' || month AS seq_id,
+         n::INT AS t, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS mask, event_type,
          event_id, k AS tok, c, (k % 7) / 97.0::DOUBLE AS reward,
          -0.8::DOUBLE - (c % 389) / 97.0::DOUBLE AS old_lp, (c % 211) / 97.0::DOUBLE - 1 AS value,
          0.1::DOUBLE + (k % 37) / 97.0::DOUBLE AS sum_pi2, (c % 61) / 29.0::DOUBLE AS entropy,
@@ -227,8 +214,8 @@ tokens AS (
     "logits": """
 logits AS (
   SELECT s.vec_id, s.label, list_transform(s.embedding, lambda x: x::DOUBLE * 8.0) AS student,
-         list_transform(t.embedding, lambda x: x::DOUBLE * 8.0) AS teacher
-  FROM embeddings s JOIN embeddings t ON t.vec_id - 1 = s.vec_id)""",
+         list_transform(coalesce(t.embedding, s.embedding), lambda x: x::DOUBLE * 8.0) AS teacher
+  FROM embeddings s LEFT JOIN embeddings t ON t.vec_id - 1 = s.vec_id)""",
     "positions": """
 positions AS (
   SELECT vec_id // 50 AS traj_id, (vec_id % 50)::INT AS t, student, teacher,
@@ -249,11 +236,8 @@ trace AS (
   SELECT s.request_id, pos AS response_pos, arg_max(tok, event_no * 10 + in_event) AS emit_token_id
   FROM single s JOIN gens g ON s.request_id = g.request_id WHERE pos >= 0 AND pos < gen_len GROUP BY s.request_id, pos)""",
     "messages": """
-messages0 AS (
-  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS n FROM conversations),
 messages AS (
-  SELECT conv_id, n // 1024 AS seg, list({'role': role, 'content': text} ORDER BY n) AS messages
-  FROM messages0 GROUP BY conv_id, n // 1024)""",
+  SELECT conv_id, role, text AS content, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i FROM conversations)""",
     "words": """
 words0 AS (SELECT doc_id, lang, source, text, list_transform(string_split(text, ' '), lambda w: length(w)::INT) AS ids FROM documents),
 words AS (SELECT *, len(ids)::INT AS n, ids[1:len(ids) // 3] AS prompt_ids, ids[len(ids) // 3 + 1:] AS response_ids FROM words0)""",

@@ -17,48 +17,42 @@ def sample_batches(stream: DataFrame, folder: str, required: int, order: str) ->
     seen = EpochTable(spark, f"{folder}/seen", "n bigint")
 
     def step(rows: DataFrame, epoch: int) -> None:
-        past = seen.before(epoch).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_past")).first()["_past"]
-        new = with_index(rows.select(order), [F.col(order)], block=F.floor(F.col(order) / 100_000), out="_i")
-        written = out.write(new.withColumn("position", F.col("_i") + F.lit(past)), epoch)
-        seen.write(written.agg((F.count(F.lit(1)) + F.lit(past)).alias("n")), epoch)
+        past = seen.before(epoch).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_past")).scalar()
+        new = with_index(rows.select(order), [F.col(order)], out="_i")
+        written = out.write(new.withColumn("position", F.col("_i") + past), epoch)
+        seen.write(written.agg((F.count(F.lit(1)) + past).alias("n")), epoch)
+        seen.forget(epoch)
 
     run_epochs(stream, folder, step)
     rows = out.all()
     return rows.withColumn("batch", F.floor(F.col("position") / required).cast("bigint"))
 
 
-def bounded_queue(stream: DataFrame, folder: str, key: str, order: str, capacity: int, take: int) -> tuple[DataFrame, DataFrame]:
-    """Queues that drop their oldest sample when full; after every micro-batch a consumer takes ``take``.
+def bounded_queue(stream: DataFrame, folder: str, key: str, order: str, capacity: int) -> tuple[DataFrame, DataFrame]:
+    """The newest ``capacity`` samples per key, and how many arrived and were dropped for newer ones.
 
-    Returns the samples still queued and the counters per queue. Newest samples of a queue are found
-    by a rank that splits hot queues into blocks.
+    Returns the samples kept and the counters per key. The order must be total within a key.
     """
     spark = stream.sparkSession
     queue = EpochTable(spark, f"{folder}/queue", f"{key} string, {order} bigint")
-    counters = EpochTable(spark, f"{folder}/counters", f"{key} string, produced bigint, dropped bigint, consumed bigint")
+    counters = EpochTable(spark, f"{folder}/counters", f"{key} string, produced bigint")
 
     def step(rows: DataFrame, epoch: int) -> None:
         fresh = rows.select(key, order)
         merged = queue.before(epoch).unionByName(fresh)
-        newest = ranked(merged, [key], [F.col(order).desc()], block=F.floor(-F.col(order) / 4096), out="_new")
-        sizes = merged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        marked = newest.join(sizes, key)
-        kept = F.least("_n", F.lit(capacity))
-        # ranks 1..kept stay; the highest of them are the oldest and are consumed first
-        state = F.when(F.col("_new") > capacity, "dropped").when(F.col("_new") > kept - take, "consumed").otherwise("queued")
-        table = EpochTable(spark, f"{folder}/marked", f"{key} string, {order} bigint, state string")
-        done = table.write(marked.withColumn("state", state), epoch)
-        queue.write(done.where("state = 'queued'"), epoch)
-        count = lambda s: F.count(F.when(F.col("state") == s, 1))
-        now = done.groupBy(key).agg(count("dropped").alias("dropped"), count("consumed").alias("consumed"))
-        now = now.join(fresh.groupBy(key).agg(F.count(F.lit(1)).alias("produced")), key, "full").na.fill(0)
-        names = ["produced", "dropped", "consumed"]
-        total = counters.before(epoch).unionByName(now.select(key, *names)).groupBy(key).agg(*[F.sum(n).alias(n) for n in names])
+        newest = ranked(merged, [key], [F.col(order).desc()], out="_new")
+        queue.write(newest.where(F.col("_new") <= capacity), epoch)
+        now = fresh.groupBy(key).agg(F.count(F.lit(1)).alias("produced"))
+        total = counters.before(epoch).unionByName(now).groupBy(key).agg(F.sum("produced").alias("produced"))
         counters.write(total, epoch)
+        queue.forget(epoch)
+        counters.forget(epoch)
 
-    run_epochs(stream, folder, step)
-    done = counters.all().agg(F.max("epoch").alias("e")).first()["e"]
-    return queue.before(done + 1), counters.before(done + 1)
+    last = run_epochs(stream, folder, step)
+    kept = queue.before(last + 1)
+    left = kept.groupBy(key).agg(F.count(F.lit(1)).alias("_kept"))
+    counts = counters.before(last + 1).join(left, key).withColumn("dropped", F.col("produced") - F.col("_kept")).drop("_kept")
+    return kept, counts
 
 
 def staleness(samples: DataFrame, versions: DataFrame, slot: str, sample_version: str, current: str) -> DataFrame:
@@ -81,15 +75,15 @@ def staleness_summary(rows: DataFrame, current: str, cap: int) -> DataFrame:
     )
 
 
-def version_span(stream: DataFrame, traj: str, version: str, time: str, delay: str, width: str) -> DataFrame:
-    """Smallest and largest model version per trajectory and time window; partial when they differ."""
-    spans = stream.withWatermark(time, delay).groupBy(F.window(time, width), traj).agg(
+def version_span(stream: DataFrame, traj: str, version: str, time: str, delay: str, pause: str) -> DataFrame:
+    """Smallest and largest model version of a whole trajectory; partial when they differ.
+
+    A trajectory ends when nothing of it has come for ``pause``; the watermark closes it.
+    """
+    spans = stream.withWatermark(time, delay).groupBy(F.session_window(time, pause), traj).agg(
         F.min(version).alias("min_version"), F.max(version).alias("max_version")
     )
-    return spans.select(
-        F.col("window.start").alias("window_start"), traj, "min_version", "max_version",
-        (F.col("min_version") != F.col("max_version")).alias("partial"),
-    )
+    return spans.select(traj, "min_version", "max_version", (F.col("min_version") != F.col("max_version")).alias("partial"))
 
 
 def replay_gate(stream: DataFrame, folder: str, key: str, step_column: str, order: str) -> DataFrame:
@@ -111,11 +105,15 @@ def replay_gate(stream: DataFrame, folder: str, key: str, step_column: str, orde
         open_tags.write(merged.join(running, step_column, "left_semi"), epoch)
         done = merged.join(running, step_column, "left_anti").where("status = 'success'")
         released.write(done, epoch)
+        open_tags.forget(epoch)
 
     run_epochs(stream, folder, step)
     return released.all().drop("epoch")
 
 
 def unique_events(stream: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
-    """Append-only trace events without repeats; the watermark bounds what is remembered."""
-    return stream.withWatermark(time, delay).dropDuplicates([*keys, time])
+    """Append-only trace events without repeats: an event is known by its keys, whatever its time.
+
+    The watermark bounds what is remembered; rows behind it are left out, and ``run_append`` warns of them.
+    """
+    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)

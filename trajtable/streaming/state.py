@@ -7,6 +7,7 @@ no key has to fit one task.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,18 +28,24 @@ class EpochTable:
         rows.select(*names).write.mode("overwrite").parquet(f"{self.path}/epoch={epoch}")
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/epoch={epoch}")
 
+    def forget(self, epoch: int) -> None:
+        """Remove the state that no run of this or a later epoch can read."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/epoch={epoch - 2}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def all(self) -> DataFrame:
         """Rows of every epoch, for append-only outputs."""
         return self.spark.read.option("basePath", self.path).schema(f"{self.schema}, epoch int").parquet(f"{self.path}/epoch=*")
 
 
-def run_epochs(stream: DataFrame, folder: str, step: Callable[[DataFrame, int], None]) -> None:
-    """Process everything that is available, one epoch per micro-batch."""
+def run_epochs(stream: DataFrame, folder: str, step: Callable[[DataFrame, int], None]) -> int:
+    """Process everything that is available, one epoch per micro-batch; returns the last epoch."""
     query = (
         stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return query.lastProgress["batchId"]
 
 
 def run_append(stream: DataFrame, folder: str) -> DataFrame:
@@ -48,4 +55,7 @@ def run_append(stream: DataFrame, folder: str) -> DataFrame:
         .option("checkpointLocation", f"{folder}/checkpoint").outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    late = sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+    if late:
+        logging.getLogger(__name__).warning("%d rows came after the watermark and were left out", late)
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
