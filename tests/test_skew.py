@@ -10,9 +10,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from trajtable.functions import recurrence, resample
+from trajtable.functions import divergence, recurrence, resample
 from trajtable.operators import advantage as adv
-from trajtable.operators import packing, prep, sampling, validation
+from trajtable.operators import metrics, packing, prep, sampling, validation
 from trajtable.operators.batch import with_index
 from trajtable.plans.skew import quantiles, ranked, with_stats
 
@@ -198,3 +198,16 @@ def test_long_conversation(spark):
     data = [(1, i, "system" if i == 0 else "user" if i % 2 else "assistant", f"m{i}") for i in range(5000)]
     ends = prep.conversation_ends(spark.createDataFrame(data, "conv_id int, i int, role string, content string"), ["conv_id"], "i")
     assert rows(ends, "conv_id") == [(1, "m0", "m1", "m4998")]
+
+
+def test_data_metrics_without_critic(spark):
+    tokens = spark.createDataFrame([(0, 1, "a", 1, 1.0, 0.5, 2.0, 3.0), (0, 1, "a", 1, 0.0, 0.0, 4.0, 1.0)], "step int, uid int, seq_id string, mask int, score double, reward double, adv double, returns double")
+    per = metrics.response_rows(tokens).withColumn("prompt_len", F.lit(5))
+    row = metrics.data_metrics(per, 10, 2).first().asDict()
+    assert (row["advantages_mean"], row["returns_max"], row["response_length_clip_ratio"]) == (3.0, 3.0, 1.0)
+    assert not any(k.startswith(("values", "explained")) for k in row)
+
+
+def test_arg_max(spark):
+    df = spark.createDataFrame([([1.0, 3.0, 3.0],), ([-1.0],)], "s array<double>")
+    assert [r[0] for r in df.select(divergence.arg_max(F.col("s"))).collect()] == [1, 0]

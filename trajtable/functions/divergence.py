@@ -83,6 +83,11 @@ def top_ids(scores: Column, k: int) -> Column:
     return F.transform(F.slice(ranked, 1, k), lambda x: x.i)
 
 
+def arg_max(scores: Column) -> Column:
+    """Id of the largest entry, the lowest of equal ones; one pass instead of a sort."""
+    return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
+
+
 def gather(values: Column, ids: Column) -> Column:
     return F.transform(ids, lambda i: F.element_at(values, i + 1))
 

@@ -25,16 +25,22 @@ def spread(col: Column, name: str, kinds: Sequence[str] = ("mean", "max", "min")
 def response_rows(tokens: DataFrame, keys=("step", "uid", "seq_id")) -> DataFrame:
     """One row per response: sums of scores and masked moments needed by ``data_metrics``."""
     on = F.col("mask") > 0
-    diff = F.col("returns") - F.col("value")
     cells = [F.sum("mask").alias("resp_len"), F.sum("score").alias("score"), F.sum("reward").alias("reward")]
-    for c, x in {"adv": F.col("adv"), "returns": F.col("returns"), "value": F.col("value"), "diff": diff}.items():
+    parts = {"adv": F.col("adv"), "returns": F.col("returns")}
+    if "value" in tokens.columns:  # a critic
+        parts |= {"value": F.col("value"), "diff": F.col("returns") - F.col("value")}
+    for c, x in parts.items():
         v = F.when(on, x)
         cells += [F.sum(v).alias(f"{c}_sum"), F.sum(v * v).alias(f"{c}_sq"), F.max(v).alias(f"{c}_max"), F.min(v).alias(f"{c}_min")]
     return tokens.groupBy(*keys).agg(*cells)
 
 
 def data_metrics(rows: DataFrame, max_prompt: int, max_response: int, batch=("step",)) -> DataFrame:
-    """Score, reward, advantage, return, value and length statistics; NaN where nothing is valid."""
+    """Score, reward, advantage, return, value and length statistics; NaN where nothing is valid.
+
+    Without a critic, that is without value columns, values and explained variance are left out.
+    """
+    critic = "value_sum" in rows.columns
     alive = F.col("resp_len") > 0
     n = F.sum("resp_len")
     nan = F.lit(float("nan"))
@@ -56,8 +62,8 @@ def data_metrics(rows: DataFrame, max_prompt: int, max_response: int, batch=("st
         *spread(F.when(alive, F.col("reward")), "reward"),
         *token("adv", "advantages"),
         *token("returns", "returns"),
-        *token("value", "values"),
-        (1.0 - var("diff") / (var("returns") + 1e-5)).alias("explained_var"),
+        *(token("value", "values") if critic else []),
+        *([(1.0 - var("diff") / (var("returns") + 1e-5)).alias("explained_var")] if critic else []),
         *spread(length, "response_length"),
         at(length, max_response).alias("response_length_clip_ratio"),
         *spread(F.when(alive, length), "response_length_alive"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajtable.functions.divergence import top_ids
+from trajtable.functions.divergence import arg_max
 from trajtable.plans.skew import ranked
 
 
@@ -115,7 +115,7 @@ def logits(spark: SparkSession, folder: str) -> DataFrame:
 
 def positions(spark: SparkSession, folder: str) -> DataFrame:
     """Logit rows as trajectories of 50 positions with both argmax tokens."""
-    first = lambda c: F.element_at(top_ids(F.col(c), 1), 1)
+    first = lambda c: arg_max(F.col(c))
     return logits(spark, folder).select(
         F.floor(F.col("vec_id") / 50).cast("bigint").alias("traj_id"), (F.col("vec_id") % 50).cast("int").alias("t"),
         "student", "teacher", first("student").alias("student_tok"), first("teacher").alias("teacher_tok"),
