@@ -149,14 +149,19 @@ def trace_tokens(events: DataFrame, generations: DataFrame) -> DataFrame:
 
 
 def teacher_masks(trace: DataFrame, generations: DataFrame) -> DataFrame:
-    """One row per generation with its 0/1 teacher mask (all 0 without events)."""
+    """One row per generation with its 0/1 teacher mask (all 0 without events).
+
+    The zeros between neighbouring positions are filled in one walk over the sorted positions.
+    """
     hit = trace.groupBy("request_id").agg(F.collect_set("response_pos").alias("_p"))
     rows = generations.join(hit, "request_id", "left")
-    flags = F.when(
-        F.col("gen_len") > 0,
-        F.transform(F.sequence(F.lit(0), F.col("gen_len") - 1), lambda i: F.when(F.array_contains("_p", i), 1).otherwise(0)),
-    ).otherwise(F.array().cast("array<int>"))
-    return rows.withColumn("teacher_mask", flags).drop("_p")
+    inside = F.filter(F.coalesce("_p", F.array().cast("array<int>")), lambda p: (p >= 0) & (p < F.col("gen_len")))
+    rows = rows.withColumn("_p", F.array_sort(inside))
+    zeros = lambda n: F.array_repeat(F.lit(0), n.cast("int"))
+    before = F.concat(F.array(F.lit(-1)), F.slice("_p", F.lit(1), F.greatest(F.size("_p") - 1, F.lit(0))))
+    runs = F.zip_with(F.slice(before, F.lit(1), F.size("_p")), "_p", lambda a, p: F.concat(zeros(p - a - 1), F.array(F.lit(1))))
+    tail = zeros(F.greatest(F.col("gen_len") - 1 - F.coalesce(F.array_max("_p"), F.lit(-1)), F.lit(0)))
+    return rows.withColumn("teacher_mask", F.concat(F.flatten(runs), tail)).drop("_p")
 
 
 def running_positions(chunks: DataFrame, request: str, order: Sequence[str], token: str, vocab_size: int) -> DataFrame:
