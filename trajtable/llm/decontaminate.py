@@ -11,7 +11,6 @@ by a sum over the item table), so the memory of a task does not grow with the nu
 
 from __future__ import annotations
 
-import hashlib
 import sys
 from collections.abc import Callable
 
