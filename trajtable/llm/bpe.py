@@ -21,13 +21,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajtable.llm.common import annotate, table
+from trajtable.llm.common import annotate, kept_by_worker, table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: fixed value: the pattern of byte-level tokenizers that splits text into words
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE = 400_000  # pieces a task remembers before it starts anew; a matter of speed only
+CACHE = 350_000  # pieces a Python worker remembers before it starts anew; a matter of speed only
 
 
 def default_tokenizer() -> str:
@@ -54,7 +54,6 @@ class Vocabulary:
         self.ids = {raw[token]: i for token, i in spec["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes = {i: b for b, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
-        self.longest = max(map(len, self.ids))
         # merged[left, right] = (rank, id); parts[id] = (rank, left, right), the merge that makes the token
         self.merged, self.parts = {}, {}
         for rank, merge in enumerate(spec["model"]["merges"]):
@@ -63,6 +62,8 @@ class Vocabulary:
             self.merged[left, right] = rank
             self.parts.setdefault(whole, (rank, left, right))
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.sizes = {i: len(b) for b, i in self.ids.items()}
+        self.root = self.token_trie()
 
     def apart(self, left: int, right: int) -> bool:
         """Whether the merges leave the two tokens beside each other as they are.
@@ -93,36 +94,68 @@ class Vocabulary:
         self.pairs[left, right] = answer
         return answer
 
+    def token_trie(self) -> list:
+        """All tokens by their bytes: a node is (token that ends here or -1, children by byte)."""
+        root: list = [-1, {}]
+        for raw, token in self.ids.items():
+            node = root
+            for byte in raw:
+                node = node[1].setdefault(byte, [-1, {}])
+            node[0] = token
+        return root
+
     def encode_words(self, words) -> dict[str, bytes]:
-        """Packed ids of distinct words, by the depth-first walk over their trie."""
-        ids, longest, apart, lengths = self.ids, self.longest, self.apart, {i: len(b) for b, i in self.ids.items()}
+        """Packed ids of distinct words, by the depth-first walk over their trie.
+
+        Each depth of the path keeps its last token and the tokens still open there: places where a
+        token may begin, with the node of the token trie reached since.
+        """
+        apart, pairs, root, sizes = self.apart, self.pairs, self.root, self.sizes
         out: dict[str, bytes] = {}
-        before, last = b"", [-1]  # last[d]: the token that ends at depth d of the current path
-        for raw, word in sorted((w.encode("utf-8", "surrogatepass"), w) for w in words):
-            depth, most = 0, min(len(raw), len(before))
-            while depth < most and raw[depth] == before[depth]:
+        before, last, open_at = b"", [-1], [[]]
+        by_bytes = {w.encode("utf-8", "surrogatepass"): w for w in words}
+        for raw in sorted(by_bytes):
+            depth = 0
+            for x, y in zip(raw, before):
+                if x != y:
+                    break
                 depth += 1
-            del last[depth + 1 :]
-            for end in range(depth + 1, len(raw) + 1):
-                for start in range(max(0, end - longest), end):
-                    token = ids.get(raw[start:end])
-                    if token is not None:
-                        left = last[start]
-                        if left < 0 or apart(left, token):
-                            last.append(token)
-                            break
-                else:
-                    raise ValueError(f"no token ends at byte {end} of {raw!r}")
+            del last[depth + 1 :], open_at[depth + 1 :]
+            running = open_at[depth]
+            for end in range(depth, len(raw)):
+                byte, token, still = raw[end], -1, []
+                for start, node in (*running, (end, root)):  # the longest token first
+                    node = node[1].get(byte)
+                    if node is not None:
+                        still.append((start, node))
+                        if token < 0 and node[0] >= 0:
+                            left = last[start]
+                            fits = left < 0 or pairs.get((left, node[0]))
+                            if fits is None:
+                                fits = apart(left, node[0])
+                            if fits:
+                                token = node[0]
+                if token < 0:
+                    raise ValueError(f"no token ends at byte {end + 1} of {raw!r}")
+                last.append(token)
+                open_at.append(still)
+                running = still
             chain, end = [], len(raw)
             while end:
                 chain.append(last[end])
-                end -= lengths[last[end]]
+                end -= sizes[last[end]]
             chain.reverse()
-            out[word] = array("i", chain).tobytes()
+            out[by_bytes[raw]] = array("i", chain).tobytes()
             before = raw
         return out
 
 
+def token_bytes(path: str) -> list[bytes]:
+    """Bytes of every token id, empty for ids that are not in use."""
+    known = Vocabulary(path).bytes
+    return [known.get(i, b"") for i in range(max(known) + 1)]
+
+
 class PieceEncoder:
     """Packed int32 ids of whole texts from the encodings of their distinct pieces.
 
@@ -130,7 +163,7 @@ class PieceEncoder:
     """
 
     def __init__(self, encode_new, special: dict[str, int]):
-        self.encode_new, self.known = encode_new, {}
+        self.encode_new, self.known, self.again = encode_new, {}, set()
         self.special = {s: array("i", [i]).tobytes() for s, i in special.items()}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.loose, self.spaces = regex.compile(r"\s "), regex.compile(r"(?<!\s) ")
@@ -157,11 +190,14 @@ class PieceEncoder:
                     spaced.update(rest)
                     job.append((first, rest))
             jobs.append(job)
-        if len(self.known) > CACHE:
-            self.known.clear()
+        if len(self.known) > CACHE:  # pieces met in one batch only are forgotten
+            self.known = {p: self.known[p] for p in self.again}
+            self.again = set()
         known = self.known
-        new = [" " + p for p in spaced if p not in known]
-        known.update(zip((p[1:] for p in new), self.encode_new(new)))
+        fresh = spaced.difference(known)
+        self.again |= spaced - fresh
+        new = [" " + p for p in fresh]
+        known.update(zip(fresh, self.encode_new(new)))
         heads = [p for p in firsts if p]
         head_ids = dict(zip(heads, self.encode_new(heads))) | {"": b""}
         out = []
@@ -204,7 +240,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, text: str = "text", ke
     path = tokenizer or default_tokenizer()
 
     def prepare():
-        encoder = trie_encoder(path)
+        encoder = kept_by_worker(f"trie:{path}", lambda: trie_encoder(path))
 
         def work(texts: pa.Array) -> dict[str, pa.Array]:
             ids = packed_lists(encoder(texts.to_pylist()))
@@ -225,8 +261,7 @@ def decode(encoded: DataFrame, tokenizer: str | None = None, ids: str = "ids", o
     schema = encoded.select(*keep).withColumn(out, F.lit("")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = Vocabulary(path).bytes
-        token = [token.get(i, b"") for i in range(max(token) + 1)]
+        token = kept_by_worker(f"bytes:{path}", lambda: token_bytes(path))
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)

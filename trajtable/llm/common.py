@@ -6,6 +6,7 @@ The helpers that run in tasks are pickled by value, so executors need no install
 from __future__ import annotations
 
 import sys
+import types
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -102,6 +103,14 @@ def shared(handle):
     return cloudpickle.loads(handle.value)
 
 
+def kept_by_worker(name: str, make: Callable):
+    """An object that a Python worker keeps from task to task, such as a loaded vocabulary."""
+    holder = sys.modules.setdefault("_trajtable_worker", types.ModuleType("_trajtable_worker"))
+    if name not in holder.__dict__:
+        setattr(holder, name, make())
+    return getattr(holder, name)
+
+
 def size_of(df: DataFrame, text: str) -> tuple[int, int]:
     """Rows and bytes of a text column, to decide whether it may be held whole."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("b")).first()
@@ -113,6 +122,12 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+def smallest(df: DataFrame, by: str, n: int) -> DataFrame:
+    """One row for each of the ``n`` smallest values of a hash column; only hashes are sorted and moved."""
+    cut = df.select(by).distinct().orderBy(by).limit(n).agg(F.max(by)).first()[0]
+    return df.limit(0) if cut is None else df.where(F.col(by) <= cut).dropDuplicates([by])
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, chars: int):
     """A bounded sample to fit a classifier on: texts, labels 0/1, and how many rows each stands for.
 
