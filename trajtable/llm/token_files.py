@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajtable.llm.bpe import PieceEncoder, default_tokenizer
-from trajtable.llm.common import table, text_slices
+from trajtable.llm.common import kept_by_worker, smallest, table, text_slices
 from trajtable.session import scratch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARD_IDS = 1_000_000  # ids in a shard, more only if one document has more
 SAMPLE_DOCS = 2_000  # documents the dictionary is trained on
-SAMPLE_CHARS = 100_000  # longest text taken into that sample
+SAMPLE_CHARS = 100_000  # bytes of the longest text taken into that sample
 SAMPLE_BYTES = 4_000_000  # bytes of the sample's serialized ids
 DICTIONARY_BYTES = 64 * 1024
 SHARD_SCHEMA = "part int, shard int, before bigint, dict_hash string, doc_ids array<bigint>, n_ids bigint, offsets array<bigint>, payload binary"
@@ -58,8 +58,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, text: str, doc_id: str) ->
 
     Empty, and then unused, when the sample is too small to train on.
     """
-    sample = docs.select(F.col(text).alias("t"), F.xxhash64(doc_id, text).alias("h")).where(F.length("t") <= SAMPLE_CHARS)
-    texts = [r.t for r in sample.orderBy("h").limit(SAMPLE_DOCS).collect()]
+    sample = docs.select(F.col(text).alias("t"), F.xxhash64(doc_id, text).alias("h")).where(F.octet_length("t") <= SAMPLE_CHARS)
+    texts = [r.t for r in smallest(sample, "h", SAMPLE_DOCS).orderBy("h", "t").collect()]
     packed, total = [], 0
     for p in library_encoder(tokenizer)(texts):
         if total + len(p) <= SAMPLE_BYTES:
@@ -86,7 +86,8 @@ def write_tokens(
     tail = array("i", [] if end_id is None else [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, shard, before = library_encoder(path), TaskContext.get().partitionId(), 0, 0
+        encoder = kept_by_worker(f"library:{path}", lambda: library_encoder(path))
+        part, shard, before = TaskContext.get().partitionId(), 0, 0
         pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
         ids, offsets, frames, n_ids = [], [0], [], 0
 
