@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -150,10 +151,12 @@ class Vocabulary:
         return out
 
 
-def token_bytes(path: str) -> list[bytes]:
-    """Bytes of every token id, empty for ids that are not in use."""
+def token_bytes(path: str) -> np.ndarray:
+    """Bytes of every token id, empty for ids that are not in use; the last entry stands for unknown ids."""
     known = Vocabulary(path).bytes
-    return [known.get(i, b"") for i in range(max(known) + 1)]
+    out = np.empty(max(known) + 2, object)
+    out[:] = [known.get(i, b"") for i in range(len(out))]
+    return out
 
 
 class PieceEncoder:
@@ -265,8 +268,11 @@ def decode(encoded: DataFrame, tokenizer: str | None = None, ids: str = "ids", o
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
-                lists = part.column(len(keep)).to_pylist()
-                texts = [b"".join([token[i] for i in x or () if 0 <= i < len(token)]).decode("utf-8", "replace") for x in lists]
+                lists = part.column(len(keep))
+                ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+                pieces = token[np.where((ids >= 0) & (ids < len(token) - 1), ids, len(token) - 1)].tolist()
+                ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
+                texts = [b"".join(pieces[i:j]).decode("utf-8", "replace") for i, j in zip([0, *ends], ends)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, out])
 
     return encoded.select(*keep, ids).mapInArrow(run, schema)
