@@ -195,3 +195,15 @@ def test_license_lines_found(spark):
     for r in rows:
         found = {notices[line] for line in r.text.split("\n") if line in notices}
         assert got[r.doc_id] in (found or {None}), r.doc_id
+
+
+@pytest.mark.parametrize("n", [1_000, 50_000])
+def test_license_extra_words(spark, n):
+    """Ordinary words beside a notice weigh by the files that hold them, at every table size."""
+    often = {"the": 9, "and": 8, "see": 5, "readme": 3, "file": 4, "here": 6, "under": 1}
+    words = [F.when(F.xxhash64(F.lit(w), "id") % 10 < F.lit(k), w).otherwise("") for w, k in often.items()]
+    rare = [F.when(F.col("id") % m == 0, w).otherwise("") for w, m in (("mit", 150), ("license", 33), ("released", 140))]
+    files = spark.range(1, n + 1).select(F.concat(F.lit("d/"), F.col("id").cast("string")).alias("path"), F.concat_ws(" ", *words, *rare).alias("text"))
+    notes = [("a/x", "and here\nReleased under the MIT License, see README\nthe file"), ("a/y", "see the file and the readme here")]
+    got = licenses.scan(files.union(spark.createDataFrame(notes, "path string, text string"))).where("path LIKE 'a/%'")
+    assert {r.path: (r.license, r.own) for r in got.collect()} == {"a/x": ("MIT", True), "a/y": (None, False)}

@@ -42,19 +42,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), SPLIT), lambda w: w != "")
 
 
-def document_frequencies(files: DataFrame, text: str) -> tuple[int, dict[str, int]]:
-    """Files in all, and files that hold each template term, over the whole table."""
-    vocabulary = sorted({w for terms in template_terms().values() for w in terms})
-    known = F.array_intersect(words(F.coalesce(F.col(text), F.lit(""))), F.array(*map(F.lit, vocabulary)))
-    counts = files.select(F.explode(F.concat(F.array(F.lit("")), known)).alias("w")).groupBy("w").count().collect()
-    found = dict(counts)  # at most the vocabulary and the empty word, which counts the files
-    return found.pop("", 0), found
+def document_frequencies(files: DataFrame, text: str) -> DataFrame:
+    """(w, d): the files of the whole table that hold each word; the empty word counts the files."""
+    held = F.array_distinct(words(F.coalesce(F.col(text), F.lit(""))))
+    every = files.select(F.explode(F.concat(F.array(F.lit("")), held)).alias("w"))
+    return written(every.groupBy("w").agg(F.count(F.lit(1)).alias("d")))
 
 
-def weights(n: int, df: dict[str, int]) -> tuple[dict[str, float], float]:
-    """idf of each template term, and that of any other term (as if held by one file)."""
-    idf = lambda d: math.log((n + 1) / (d + 0.5)) + 0.1
-    return {w: idf(max(1, df.get(w, 0))) for terms in template_terms().values() for w in terms}, idf(1)
+def weights(df: DataFrame) -> tuple[int, dict[str, float]]:
+    """Files in all, and the idf of each template term; one that no file holds counts as held by one."""
+    vocabulary = {w for terms in template_terms().values() for w in terms}
+    found = {r.w: r.d for r in df.where(F.col("w").isin("", *vocabulary)).collect()}  # the vocabulary at most
+    n = found.get("", 0)
+    return n, {w: math.log((n + 1) / (max(1, found.get(w, 0)) + 0.5)) + 0.1 for w in vocabulary}
 
 
 def needed_terms(idf: dict[str, float]) -> list[str]:
@@ -74,20 +74,23 @@ def needed_terms(idf: dict[str, float]) -> list[str]:
     return sorted(needed)
 
 
-def scored(texts: DataFrame, idf: dict[str, float], other: float) -> DataFrame:
-    """Best (license, cosine) of rows (id, t): only rows that reach THRESHOLD."""
+def scored(texts: DataFrame, df: DataFrame, n: int, idf: dict[str, float]) -> DataFrame:
+    """Best (license, cosine) of rows (id, t): only rows that reach THRESHOLD.
+
+    Every word weighs by the files that hold it. A common word is in most texts: the join with the
+    frequencies is between shuffled tables, so its skewed parts are split.
+    """
     spark = texts.sparkSession
     rows = []
     for (name, k), terms in template_terms().items():
         norm = sum((c * idf[w]) ** 2 for w, c in terms.items()) ** 0.5
         rows += [(w, name, k, c * idf[w] ** 2 / norm) for w, c in terms.items()]
     postings = spark.createDataFrame(rows, "w string, license string, k int, weight double")
-    known = spark.createDataFrame(list(idf.items()), "w string, idf double")
     terms = texts.select("id", F.explode(words(F.col("t"))).alias("w")).groupBy("id", "w").agg(F.count(F.lit(1)).alias("tf"))
-    # templates are fixed values of this module: both tables have a few hundred rows
-    terms = terms.join(F.broadcast(known), "w", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    norms = terms.groupBy("id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = terms.where("idf IS NOT NULL").join(F.broadcast(postings), "w").groupBy("id", "license", "k").agg(F.sum(F.col("tf") * F.col("weight")).alias("dot"))
+    x = F.col("tf") * (F.log(F.lit(n + 1.0) / (F.col("d") + 0.5)) + 0.1)
+    norms = terms.join(df, "w").groupBy("id").agg(F.sqrt(F.sum(x * x)).alias("norm"))
+    # templates are fixed values of this module: the table has a few hundred rows
+    dots = terms.join(F.broadcast(postings), "w").groupBy("id", "license", "k").agg(F.sum(F.col("tf") * F.col("weight")).alias("dot"))
     cosine = F.round(F.col("dot") / F.col("norm"), 6)
     best = dots.join(norms, "id").select("id", "license", cosine.alias("cosine")).where(F.col("cosine") >= THRESHOLD)
     return best.groupBy("id").agg(F.max(F.struct("cosine", "license")).alias("b")).select("id", "b.license", "b.cosine")
@@ -98,7 +101,8 @@ def own_licenses(files: DataFrame, path: str = "path", text: str = "text") -> Da
 
     ``whole`` says that the file as a whole matches; else ``line_no`` (from 0) is the line that does.
     """
-    idf, other = weights(*document_frequencies(files, text))
+    df = document_frequencies(files, text)
+    n, idf = weights(df)
     term = r"(?i)(?:^|[^a-z0-9])(?:" + "|".join(needed_terms(idf)) + r")(?:[^a-z0-9]|$)"
     some = files.select(F.col(path).alias("path"), F.col(text).alias("t")).where(F.col("path").isNotNull() & F.col("t").rlike(term))
     lines = some.select("path", "t", F.posexplode(F.split("t", r"\r?\n", -1)).alias("line_no", "line")).where(F.col("line").rlike(term))
@@ -106,7 +110,7 @@ def own_licenses(files: DataFrame, path: str = "path", text: str = "text") -> Da
         lines.select(F.struct("path", F.lit(False).alias("whole"), "line_no").alias("id"), F.col("line").alias("t"))
         .union(some.select(F.struct("path", F.lit(True).alias("whole"), F.lit(-1).alias("line_no")).alias("id"), "t"))
     )
-    found = scored(parts, idf, other)
+    found = scored(parts, df, n, idf)
     best = F.max(F.struct("cosine", "id.whole", -F.col("id.line_no"), "license"))
     return found.groupBy(F.col("id.path").alias("path")).agg(best.alias("b")).select(
         "path", F.col("b.license").alias("license"), F.col("b.cosine").alias("cosine"), F.col("b.whole").alias("whole"), (-F.col("b.col3")).alias("line_no")
