@@ -197,6 +197,31 @@ def test_license_lines_found(spark):
         assert got[r.doc_id] in (found or {None}), r.doc_id
 
 
+def test_personal_adds(spark):
+    """Spans that no base rule finds are added, clean numbers and words are not."""
+    prose = "the plain words of a calm morning by the river"
+    base = ["+1 (826) 555-40{0:02}", "joe{0}@mail{0}.example.com", "45391488034364{0:02}", "10.0.3.{0}"]
+    rows = []
+    for i in range(240):
+        v = base[i % 4].format(i % 100)
+        if i % 4 == 2:
+            v = next(v[:15] + str(d) for d in range(10) if luhn(v[:15] + str(d)))
+        rows.append((i, f"{prose[i % 20 :]} {v} {prose} {2000 + i}"))
+    new = {
+        1001: ("we met at (826) 555-4082 then", "(826) 555-4082"), 1002: ("please call 826 555-4081 now", "826 555-4081"),
+        1003: ("write to joe (at) example.com, please", "joe (at) example.com"), 1004: ("or joe(at)example.com today", "joe(at)example.com"),
+        1005: ("or joe[at]example.com.", "joe[at]example.com"), 1006: ("paid by 3782 822463 10005 there", "3782 822463 10005"), 1007: ("card 4222222222222 again", "4222222222222"),
+    }
+    plain = [
+        "on 2024-01-15 and 15.01.2024", "in all 12 345 678 of them", "years 1990 1991 1992", "isbn 978-3-16-148410-0", "meet me (at) noon", "pi is 3.14159265",
+        "order 8265554081 came", "we look [at] this", "thanks @name", "number 378282246310006", "call 2024-01-15", "dates 1998-2004",
+    ]
+    docs = documents(spark, rows + [(i, t) for i, (t, _) in new.items()] + list(enumerate(plain, 2000)))
+    got = {r.doc_id: [s.v for s in r.added] for r in personal.scan(docs, personal.train(docs)).where("doc_id >= 1000").collect()}
+    assert {got[2000 + i] == [] for i in range(len(plain))} == {True}, {t: got[2000 + i] for i, t in enumerate(plain)}
+    assert {i: got[i] for i in new} == {i: [v] for i, (_, v) in new.items()}
+
+
 @pytest.mark.parametrize("n", [1_000, 50_000])
 def test_license_extra_words(spark, n):
     """Ordinary words beside a notice weigh by the files that hold them, at every table size."""
