@@ -87,6 +87,25 @@ def test_group_reduce_against_loops(skewed):
         assert r["med_mean"] == pytest.approx(statistics.fmean(want)) and r["med_std"] == pytest.approx(statistics.pstdev(want))
 
 
+def test_draws_of_a_large_prompt(spark):
+    """A prompt of 5,000,000 samples at 1,000 rounds: no row makes all draws, which passes Spark's array limit."""
+    made = validation.majority_draws(spark.createDataFrame([(5_000_000,)], "n bigint"), 42, 1000)
+    some = made.where("size = n").limit(50).collect()
+    assert len(some) == 50 and all(1 <= r["_i"] <= r["n"] and r["_k"] // r["size"] == r["_round"] for r in some)
+
+
+def test_draws_against_loops(spark):
+    """Sizes below, at and above a piece; every draw is made once."""
+    n, rounds = validation.DRAW_CHUNK * 2 + 3, 2
+    got = validation.majority_draws(spark.createDataFrame([(n,), (3,)], "n bigint"), 42, rounds).collect()
+    for m, sizes in ((3, [2, 3]), (n, [*(2**e for e in range(1, 14)), n])):
+        for size in sizes:
+            rows = sorted((r["_k"], r["_round"], r["_i"]) for r in got if r["n"] == m and r["size"] == size)
+            want = [i + 1 for r in uniform_draws(m, size, rounds) for i in r]
+            assert [r[0] for r in rows] == list(range(size * rounds)) and [r[2] for r in rows] == want
+            assert all(k // size == r for k, r, _ in rows)
+
+
 def test_bootstrap_against_loops(spark):
     """The same rule for a prompt of 3 and of 150 samples, with other key names; two prompts share a pattern."""
     rng = random.Random(1)

@@ -150,6 +150,29 @@ def drawn(n: Column, size: Column, number: Column, seed: int) -> Column:
     return (F.floor(bits.cast("bigint") / float(2**52) * n) + 1).cast("bigint")
 
 
+DRAW_CHUNK = 4096  # draws made from one row
+
+
+def majority_draws(groups: DataFrame, seed: int, rounds: int) -> DataFrame:
+    """(n, size, _round, _k, _i): every draw for each distinct ``n`` of ``groups``.
+
+    Rounds, then pieces of a round are dealt over the tasks by number (adaptive execution would put the small
+    rows together again) before they become draws, so a row stands for DRAW_CHUNK draws at most, however large n is.
+    """
+    size = F.col("size")
+    pieces = (
+        groups.withColumn("size", F.explode(resample_sizes(F.col("n"))))
+        .withColumn("_round", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(rounds - 1).cast("bigint"))))
+        .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1, F.lit(DRAW_CHUNK).cast("bigint"))))
+    )
+    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = pieces.repartition(parts, "n", "size", "_round", "_from")
+    last = F.least(F.col("_from") + DRAW_CHUNK, size) - 1
+    base = F.col("_round") * size
+    draws = pieces.withColumn("_k", F.explode(F.sequence(base + F.col("_from"), base + last)))
+    return draws.select("n", "size", "_round", "_k", drawn(F.col("n"), size, F.col("_k"), seed).alias("_i"))
+
+
 def resampled_majority(rows: DataFrame, variables: Sequence[str], pred: str, keys: Sequence[str], seed: int, rounds: int) -> DataFrame:
     """Value at the first draw of the answer drawn most often.
 
@@ -168,12 +191,7 @@ def resampled_majority(rows: DataFrame, variables: Sequence[str], pred: str, key
     named = look.join(shapes, shape)  # many prompts have the same shape: a skewed part is split
     one = named.where("_at = _shape").select(*keys, "_shape")
     answers = join_on(coded, one, keys).select("_shape", "n", "_i", "_code")
-    draws = (
-        shapes.select("n").distinct()
-        .withColumn("size", F.explode(resample_sizes(F.col("n"))))
-        .withColumn("_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") * rounds - 1)))
-        .select("n", "size", F.floor(F.col("_k") / F.col("size")).alias("_round"), "_k", drawn(F.col("n"), F.col("size"), F.col("_k"), seed).alias("_i"))
-    )
+    draws = majority_draws(shapes.select("n").distinct(), seed, rounds)
     votes = draws.join(answers, ["n", "_i"]).groupBy("_shape", "size", "_round", "_code").agg(
         rows_n().alias("_c"), F.min("_k").alias("_k"), F.min_by("_i", "_k").alias("_i")
     )
