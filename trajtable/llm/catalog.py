@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trajtable.llm import bpe, decontaminate, exact_dedup, licenses, near_dedup, personal, quality, secrets, token_files, toxicity
+from trajtable.llm import bpe, decontaminate, exact_dedup, licenses, merkle, near_dedup, personal, quality, secrets, token_files, toxicity
 
 QUERIES = {
     "op1_bpe_trie": bpe.op1_bpe_trie,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_toxicity_cnn": toxicity.op8_toxicity_cnn,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_token_files": token_files.op10_token_files,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op7_benchmark_decontamination": decontaminate.OP7_SQL,
+    "op13_merkle_manifest": merkle.OP13_SQL,
 }
