@@ -3,8 +3,8 @@
 Every prefix of a word has one encoding, so a trie node needs only its last token: the token that
 ends there and that the merges would not join with the last token of the prefix before it. Words
 are kept sorted, which is the depth-first order of their trie: the walk goes on from the depth a
-word shares with the one before it, and shared prefixes are encoded once. Texts are cut at spaces
-after a non-space, where no token can reach over; each distinct piece is encoded once per task.
+word shares with the one before it, and shared prefixes are encoded once. Texts are cut into pieces
+where no token can reach over; the words of the distinct pieces of a slice of texts are walked at once.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajtable.llm.common import annotate, kept_by_worker, table
+from trajtable.llm.pieces import PieceEncoder, gather, joined
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: fixed value: the pattern of byte-level tokenizers that splits text into words
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE = 350_000  # pieces a Python worker remembers before it starts anew; a matter of speed only
+PAIR = 24  # bits of a token id inside the key of a pair
+PAIRS = 100_000  # pairs of tokens a Python worker remembers before it starts anew; a matter of speed only
 
 
 def default_tokenizer() -> str:
@@ -45,26 +47,40 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Token bytes, merge ranks and special tokens of a byte-level BPE file."""
+    """Merge ranks, the trie of the tokens and the special tokens of a byte-level BPE file, in flat tables."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letter = byte_letters()
         raw = {token: bytes(letter[c] for c in token) for token in spec["model"]["vocab"]}
-        self.ids = {raw[token]: i for token, i in spec["model"]["vocab"].items()}
+        ids = {raw[token]: i for token, i in spec["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes = {i: b for b, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
-        # merged[left, right] = (rank, id); parts[id] = (rank, left, right), the merge that makes the token
-        self.merged, self.parts = {}, {}
+        n = max(ids.values()) + 1
+        # the size of a token in bytes; the merge that makes it: its rank and its two parts
+        self.sizes, self.rank, self.left, self.right = (array("i", [v]) * n for v in (0, -1, -1, -1))
+        self.merged: dict[int, int] = {}  # rank by pair
+        for b, i in ids.items():
+            self.sizes[i] = len(b)
         for rank, merge in enumerate(spec["model"]["merges"]):
-            left, right = (self.ids[raw[x]] for x in (merge if isinstance(merge, list) else merge.split(" ")))
-            whole = self.ids[self.bytes[left] + self.bytes[right]]
-            self.merged[left, right] = rank
-            self.parts.setdefault(whole, (rank, left, right))
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.sizes = {i: len(b) for b, i in self.ids.items()}
-        self.root = self.token_trie()
+            left, right = (raw[x] for x in (merge if isinstance(merge, list) else merge.split(" ")))
+            whole = ids[left + right]
+            self.merged[ids[left] << PAIR | ids[right]] = rank
+            if self.rank[whole] < 0:
+                self.rank[whole], self.left[whole], self.right[whole] = rank, ids[left], ids[right]
+        self.pairs: dict[int, bool] = {}
+        # children by (node, byte), and the token that ends at a node or -1
+        self.child: dict[int, int] = {}
+        self.token = array("i", [-1])
+        for b, i in ids.items():
+            node = 0
+            for byte in b:
+                key = node << 8 | byte
+                node = self.child.get(key, 0)
+                if not node:
+                    node = self.child[key] = len(self.token)
+                    self.token.append(-1)
+            self.token[node] = i
 
     def apart(self, left: int, right: int) -> bool:
         """Whether the merges leave the two tokens beside each other as they are.
@@ -72,50 +88,35 @@ class Vocabulary:
         The merges are undone from the latest on; at every stage the tokens at the seam must not
         have a merge of an earlier rank than the ones undone so far.
         """
-        known = self.pairs.get((left, right))
-        if known is not None:
-            return known
         a, b, limit = left, right, 1 << 60
-        none = (-1, -1, -1)
         while True:
-            rank = self.merged.get((a, b))
+            rank = self.merged.get(a << PAIR | b)
             if rank is not None and rank < limit:
                 answer = False
                 break
-            (ra, _, tail), (rb, head, _) = self.parts.get(a, none), self.parts.get(b, none)
+            ra, rb = self.rank[a], self.rank[b]
             if ra < 0 and rb < 0:
                 answer = True
                 break
             if ra > rb:  # at equal rank the pair further left is merged first
-                a, limit = tail, ra
+                a, limit = self.right[a], ra
             else:
-                b, limit = head, rb + 1
-        if len(self.pairs) > 1_000_000:
+                b, limit = self.left[b], rb + 1
+        if len(self.pairs) > PAIRS:
             self.pairs.clear()
-        self.pairs[left, right] = answer
+        self.pairs[left << PAIR | right] = answer
         return answer
 
-    def token_trie(self) -> list:
-        """All tokens by their bytes: a node is (token that ends here or -1, children by byte)."""
-        root: list = [-1, {}]
-        for raw, token in self.ids.items():
-            node = root
-            for byte in raw:
-                node = node[1].setdefault(byte, [-1, {}])
-            node[0] = token
-        return root
-
-    def encode_words(self, words) -> dict[str, bytes]:
-        """Packed ids of distinct words, by the depth-first walk over their trie.
+    def encode_words(self, words: Iterable[bytes]) -> tuple[list[bytes], list[int], array]:
+        """Distinct words in order, where the ids of each begin, and all ids: a depth-first walk over the words' trie.
 
         Each depth of the path keeps its last token and the tokens still open there: places where a
         token may begin, with the node of the token trie reached since.
         """
-        apart, pairs, root, sizes = self.apart, self.pairs, self.root, self.sizes
-        out: dict[str, bytes] = {}
-        before, last, open_at = b"", [-1], [[]]
-        by_bytes = {w.encode("utf-8", "surrogatepass"): w for w in words}
-        for raw in sorted(by_bytes):
+        apart, pairs, child, ends_at, sizes = self.apart, self.pairs, self.child, self.token, self.sizes
+        ordered, starts, ids = sorted(words), [], array("i")
+        before, last, open_at = b"", [-1], [()]
+        for raw in ordered:
             depth = 0
             for x, y in zip(raw, before):
                 if x != y:
@@ -125,112 +126,97 @@ class Vocabulary:
             running = open_at[depth]
             for end in range(depth, len(raw)):
                 byte, token, still = raw[end], -1, []
-                for start, node in (*running, (end, root)):  # the longest token first
-                    node = node[1].get(byte)
+                for start, node in (*running, (end, 0)):  # the longest token first
+                    node = child.get(node << 8 | byte)
                     if node is not None:
                         still.append((start, node))
-                        if token < 0 and node[0] >= 0:
-                            left = last[start]
-                            fits = left < 0 or pairs.get((left, node[0]))
-                            if fits is None:
-                                fits = apart(left, node[0])
-                            if fits:
-                                token = node[0]
+                        if token < 0:
+                            found = ends_at[node]
+                            if found >= 0:
+                                left = last[start]
+                                fits = left < 0 or pairs.get(left << PAIR | found)
+                                if fits is None:
+                                    fits = apart(left, found)
+                                if fits:
+                                    token = found
                 if token < 0:
                     raise ValueError(f"no token ends at byte {end + 1} of {raw!r}")
                 last.append(token)
                 open_at.append(still)
                 running = still
+            starts.append(len(ids))
             chain, end = [], len(raw)
             while end:
                 chain.append(last[end])
                 end -= sizes[last[end]]
             chain.reverse()
-            out[by_bytes[raw]] = array("i", chain).tobytes()
+            ids.extend(chain)
             before = raw
-        return out
-
-
-def token_bytes(path: str) -> np.ndarray:
-    """Bytes of every token id, empty for ids that are not in use; the last entry stands for unknown ids."""
-    known = Vocabulary(path).bytes
-    out = np.empty(max(known) + 2, object)
-    out[:] = [known.get(i, b"") for i in range(len(out))]
-    return out
+        return ordered, starts, ids
 
 
-class PieceEncoder:
-    """Packed int32 ids of whole texts from the encodings of their distinct pieces.
-
-    ``encode_new`` gets distinct pieces of text and returns their packed ids.
-    """
+class TokenBytes:
+    """The bytes of all tokens end to end; an id that is not in use has none."""
 
-    def __init__(self, encode_new, special: dict[str, int]):
-        self.encode_new, self.known, self.again = encode_new, {}, set()
-        self.special = {s: array("i", [i]).tobytes() for s, i in special.items()}
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.loose, self.spaces = regex.compile(r"\s "), regex.compile(r"(?<!\s) ")
-
-    def pieces(self, text: str) -> list[str]:
-        """The text cut before each space that follows a non-space; joining gives the text again."""
-        parts = self.spaces.split(text) if self.loose.search(text) else text.split(" ")
-        return parts
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        jobs = []  # per text: first pieces and spaced pieces, and special tokens between
-        firsts, spaced = set(), set()
-        for text in texts:
-            segments = [text]
-            if self.cut is not None and any(s in text for s in self.special):
-                segments = self.cut.split(text)
-            job = []
-            for segment in segments:
-                if segment in self.special:
-                    job.append((None, segment))
-                elif segment:
-                    first, *rest = self.pieces(segment)
-                    firsts.add(first)
-                    spaced.update(rest)
-                    job.append((first, rest))
-            jobs.append(job)
-        if len(self.known) > CACHE:  # pieces met in one batch only are forgotten
-            self.known = {p: self.known[p] for p in self.again}
-            self.again = set()
-        known = self.known
-        fresh = spaced.difference(known)
-        self.again |= spaced - fresh
-        new = [" " + p for p in fresh]
-        known.update(zip(fresh, self.encode_new(new)))
-        heads = [p for p in firsts if p]
-        head_ids = dict(zip(heads, self.encode_new(heads))) | {"": b""}
-        out = []
-        for job in jobs:
-            got = []
-            for first, rest in job:
-                if first is None:
-                    got.append(self.special[rest])
-                else:
-                    got.append(head_ids[first])
-                    got.extend(map(known.__getitem__, rest))
-            out.append(b"".join(got))
-        return out
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        letter = byte_letters()
+        known = {i: bytes(letter[c] for c in token) for token, i in spec["model"]["vocab"].items()}
+        known |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        parts = [known.get(i, b"") for i in range(max(known) + 2)]  # the last entry stands for unknown ids
+        self.sizes = np.array([len(p) for p in parts], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(parts), np.uint8)
+
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The text of each run of ids; bytes that are no UTF-8 become replacement characters."""
+        ids = np.where((ids >= 0) & (ids < len(self.sizes) - 1), ids, len(self.sizes) - 1)
+        data = gather(self.flat, self.starts[ids], self.sizes[ids])
+        ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])[np.concatenate([[0], np.cumsum(counts)])]
+        offsets = pa.py_buffer(ends.astype(np.int32))
+        found = pa.Array.from_buffers(pa.string(), len(counts), [None, offsets, pa.py_buffer(data)])
+        try:
+            found.validate(full=True)
+        except pa.ArrowInvalid:
+            raw = data.tobytes()
+            found = pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(ends.tolist(), ends[1:].tolist())], pa.string())
+        return found
 
 
 def trie_encoder(path: str) -> PieceEncoder:
     vocabulary, split = Vocabulary(path), regex.compile(WORDS)
 
-    def encode_new(pieces: list[str]) -> list[bytes]:
-        cut = [split.findall(p) for p in pieces]
-        ids = vocabulary.encode_words({w for words in cut for w in words})
-        return [b"".join([ids[w] for w in words]) for words in cut]
+    def encode_new(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        number: dict[str, int] = {}
+        words, ends = array("i"), np.zeros(len(pieces), np.int64)  # the words in order, and how many each piece has
+        order = []
+        for text, held in joined(pieces):
+            found = split.findall(text)
+            words.extend([number.setdefault(w, len(number)) for w in found])
+            at = np.cumsum([len(w) for w in found])
+            ends[held] = np.diff(np.searchsorted(at, np.cumsum([len(pieces[i]) for i in held])) + 1, prepend=0)
+            order.extend(held)
+        raw = {w.encode("utf-8", "surrogatepass"): k for w, k in number.items()}
+        ordered, starts, ids = vocabulary.encode_words(raw)
+        place = np.empty(len(ordered), np.int64)
+        place[[raw[b] for b in ordered]] = np.arange(len(ordered))
+        starts = np.array(starts, np.int64)
+        lengths = np.diff(starts, append=len(ids))
+        which = place[np.frombuffer(words, np.int32)]
+        flat = gather(np.frombuffer(ids, np.int32), starts[which], lengths[which])
+        # sizes and ids in the order of the joined texts, then in that of the pieces
+        total = np.concatenate([[0], np.cumsum(lengths[which])])
+        cut = total[np.concatenate([[0], np.cumsum(ends[order])])]
+        begin, sizes = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        begin[order], sizes[order] = cut[:-1], np.diff(cut)
+        return gather(flat, begin, sizes), sizes
 
     return PieceEncoder(encode_new, vocabulary.special)
 
 
-def packed_lists(packed: list[bytes]) -> pa.Array:
-    offsets = np.zeros(len(packed) + 1, np.int32)
-    np.cumsum([len(p) // 4 for p in packed], out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+def id_lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids))
 
 
 def encode(docs: DataFrame, tokenizer: str | None = None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -246,8 +232,8 @@ def encode(docs: DataFrame, tokenizer: str | None = None, text: str = "text", ke
         encoder = kept_by_worker(f"trie:{path}", lambda: trie_encoder(path))
 
         def work(texts: pa.Array) -> dict[str, pa.Array]:
-            ids = packed_lists(encoder(texts.to_pylist()))
-            return {"n_tokens": pa.array(np.diff(ids.offsets.to_numpy()), pa.int64()), "ids": ids}
+            ids, counts = encoder(texts)
+            return {"n_tokens": pa.array(counts, pa.int64()), "ids": id_lists(ids, counts)}
 
         return work
 
@@ -264,16 +250,14 @@ def decode(encoded: DataFrame, tokenizer: str | None = None, ids: str = "ids", o
     schema = encoded.select(*keep).withColumn(out, F.lit("")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = kept_by_worker(f"bytes:{path}", lambda: token_bytes(path))
+        token = kept_by_worker(f"bytes:{path}", lambda: TokenBytes(path))
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
                 lists = part.column(len(keep))
-                ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
-                pieces = token[np.where((ids >= 0) & (ids < len(token) - 1), ids, len(token) - 1)].tolist()
-                ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
-                texts = [b"".join(pieces[i:j]).decode("utf-8", "replace") for i, j in zip([0, *ends], ends)]
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, out])
+                counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], token.texts(flat, counts)], names=[*keep, out])
 
     return encoded.select(*keep, ids).mapInArrow(run, schema)
 

@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import os
 import sys
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +22,9 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajtable.llm.bpe import PieceEncoder, default_tokenizer
+from trajtable.llm.bpe import default_tokenizer
 from trajtable.llm.common import kept_by_worker, smallest, table, text_slices
+from trajtable.llm.pieces import PieceEncoder, gather, joined
 from trajtable.session import scratch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -46,8 +46,32 @@ def library_encoder(path: str) -> PieceEncoder:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def encode_new(pieces: list[str]) -> list[bytes]:
-        return [array("i", e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    size = np.zeros(tokenizer.get_vocab_size() + 1, np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        size[i] = len(token)  # a character of a byte-level token is a byte
+    run = lambda texts: [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode_new(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """One call of the library for many pieces; their ends are found by the bytes of the tokens."""
+        found, sizes, order = [], np.zeros(len(pieces), np.int64), []
+        for text, held in joined(pieces):
+            (ids,) = run([text])
+            counts = [len(ids)]
+            if len(held) > 1:
+                ends, want = np.cumsum(size[ids]), np.cumsum([len(pieces[i].encode()) for i in held])
+                at = np.searchsorted(ends, want)
+                if np.array_equal(ends[at], want):
+                    counts = np.diff(at + 1, prepend=0)
+                else:  # a piece that ends inside a token: each gets a call of its own
+                    parts = run([pieces[i] for i in held])
+                    ids, counts = np.concatenate(parts), [len(p) for p in parts]
+            found.append(ids)
+            sizes[held] = counts
+            order.extend(held)
+        flat = np.concatenate(found)
+        begin = np.empty(len(pieces), np.int64)
+        begin[order] = np.cumsum(sizes[order]) - sizes[order]
+        return gather(flat, begin, sizes), sizes
 
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
     return PieceEncoder(encode_new, special)
@@ -61,10 +85,11 @@ def train_dictionary(docs: DataFrame, tokenizer: str, text: str, doc_id: str) ->
     sample = docs.select(F.col(text).alias("t"), F.xxhash64(doc_id, text).alias("h")).where(F.octet_length("t") <= SAMPLE_CHARS)
     texts = [r.t for r in smallest(sample, "h", SAMPLE_DOCS).orderBy("h", "t").collect()]
     packed, total = [], 0
-    for p in library_encoder(tokenizer)(texts):
-        if total + len(p) <= SAMPLE_BYTES:
-            packed.append(p)
-            total += len(p)
+    ids, counts = library_encoder(tokenizer)(pa.array(texts, pa.string()))
+    for part in np.split(ids, np.cumsum(counts)[:-1]) if texts else []:
+        if total + part.nbytes <= SAMPLE_BYTES:
+            packed.append(part.tobytes())
+            total += part.nbytes
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, packed).as_bytes()
     except zstandard.ZstdError:
@@ -83,7 +108,7 @@ def write_tokens(
     dictionary = train_dictionary(docs, path, text, doc_id)
     name = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(name, dictionary)], "dict_hash string, dictionary binary").write.parquet(f"{folder}/dictionary")
-    tail = array("i", [] if end_id is None else [end_id]).tobytes()
+    tail = [] if end_id is None else [end_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept_by_worker(f"library:{path}", lambda: library_encoder(path))
@@ -99,16 +124,20 @@ def write_tokens(
         for batch in batches:
             for a, b in text_slices(batch.column(1)):
                 keys = batch.column(0).slice(a, b - a).to_pylist()
-                for key, packed in zip(keys, encoder(batch.column(1).slice(a, b - a).to_pylist())):
-                    packed += tail
-                    if ids and n_ids + len(packed) // 4 > SHARD_IDS:
+                flat, counts = encoder(batch.column(1).slice(a, b - a))
+                ends = np.cumsum(counts)
+                if len(tail):
+                    flat, ends = np.insert(flat, ends, tail[0]), ends + np.arange(1, len(ends) + 1)
+                data, ends = memoryview(flat.astype("<i4").tobytes()), (ends * 4).tolist()
+                for key, x, y in zip(keys, [0, *ends], ends):
+                    if ids and n_ids + (y - x) // 4 > SHARD_IDS:
                         yield full()
                         shard, before = shard + 1, before + n_ids
                         ids, offsets, frames, n_ids = [], [0], [], 0
-                    frames.append(pack.compress(packed))
+                    frames.append(pack.compress(data[x:y]))
                     ids.append(key)
                     offsets.append(offsets[-1] + len(frames[-1]))
-                    n_ids += len(packed) // 4
+                    n_ids += (y - x) // 4
         if ids:
             yield full()
 
