@@ -3,8 +3,11 @@
 import base64
 import hashlib
 import json
+import math
 import re
+import time
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,7 +173,7 @@ def test_op5_digests(spark):
 
 
 def test_licenses_inherit(spark):
-    mit, gpl = licenses.TEMPLATES["MIT"][0], licenses.TEMPLATES["GPL-3.0"][0]
+    mit, gpl = (next(t for name, _, _, t in licenses.TEMPLATES if name == n) for n in ("MIT", "GPL-3.0"))
     plain = "some words of no such kind " * 40
     files = [
         ("LICENSE", mit), ("a/LICENSE.txt", gpl), ("a/x.py", plain), ("a/b/c/y.py", plain), ("b/z.py", plain), ("b/own.py", plain + "\n# Licensed under the Apache License, Version 2.0.\n" + plain),
@@ -191,7 +194,7 @@ def test_license_lines_found(spark):
     """Every document with a notice line of the templates has that license; the others have none of their own."""
     rows = table(spark, SMALL, "documents").collect()
     got = {r.doc_id: (r.license if r.own else None) for r in licenses.op4_license_scan(spark, SMALL).collect()}
-    notices = {t: name for name, texts in licenses.TEMPLATES.items() for t in texts}
+    notices = {t: name for name, _, _, t in licenses.TEMPLATES}
     for r in rows:
         found = {notices[line] for line in r.text.split("\n") if line in notices}
         assert got[r.doc_id] in (found or {None}), r.doc_id
@@ -232,3 +235,60 @@ def test_license_extra_words(spark, n):
     notes = [("a/x", "and here\nReleased under the MIT License, see README\nthe file"), ("a/y", "see the file and the readme here")]
     got = licenses.scan(files.union(spark.createDataFrame(notes, "path string, text string"))).where("path LIKE 'a/%'")
     assert {r.path: (r.license, r.own) for r in got.collect()} == {"a/x": ("MIT", True), "a/y": (None, False)}
+
+
+NOTICES = {
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.",
+    "LGPL-2.1": "modify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+    "AGPL-3.0": "it under the terms of the GNU Affero General Public License as\npublished by the Free Software Foundation, either version 3 of the\nLicense, or (at your option) any later version.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available at\nhttps://www.eclipse.org/legal/epl-2.0/",
+}
+
+
+@pytest.mark.parametrize("n", [300, 20_000])
+def test_license_names(spark, n):
+    """Families and versions are told apart, as notices over lines, full texts and identifiers, at every table size."""
+    prose = F.concat_ws(" ", *[F.when(F.xxhash64(F.lit(w), "id") % 10 < F.lit(k), w).otherwise("") for w, k in {"the": 9, "and": 8, "of": 7, "this": 5, "software": 1, "2": 2, "3": 2}.items()])
+    plain = spark.range(n).select(F.concat(F.lit("d/"), F.col("id").cast("string")).alias("path"), prose.alias("text"))
+    code = "x = 1\ny = the thing and this\n" * 30
+    made = {f"n/{name}.py": (code + text + "\n" + code, name) for name, text in NOTICES.items()}
+    for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "ISC", "MIT", "BSD-2-Clause", "BSD-3-Clause", "EPL-2.0", "MPL-2.0", "Unlicense", "Apache-2.0"):
+        made[f"s/{name}.py"] = (f"# SPDX-License-Identifier: {name}\n" + code, name)
+    for name, must, _, text in licenses.TEMPLATES:
+        if len(text) > 500:
+            wrapped = "Copyright (c) 2020 the authors\n\n" + re.sub(r"(.{60}\S*) ", r"\1\n", text)
+            made[f"t/{name}/{len(text)}"] = (wrapped, name)
+    files = plain.union(spark.createDataFrame([(p, t) for p, (t, _) in made.items()], "path string, text string"))
+    got = {r.path: (r.license, r.whole) for r in licenses.own_licenses(files).collect()}
+    assert {p: got.get(p, (None,))[0] for p in made} == {p: name for p, (_, name) in made.items()}
+    assert all(got[p][1] for p in made if p.startswith("t/"))
+    assert not [p for p in got if p.startswith("d/")]
+
+
+def test_license_cosines_against_loops(spark):
+    """The best template of every file by a plain TF-IDF over the given documents."""
+    rows = [(str(r.doc_id), r.text) for r in table(spark, "/root/testdata/sf0.001", "documents").collect()] + list(NOTICES.items())
+    texts = [set(licenses.WORD.findall(t.lower())) for _, t in rows]
+    idf = lambda w: math.log((len(rows) + 1) / (max(1, sum(w in x for x in texts)) + 0.5)) + 0.1
+    known = {}
+    weigh = lambda tf: {w: c * known.setdefault(w, idf(w)) for w, c in tf.items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    templates = [(name, set(must.split()), set(banned.split()), weigh(tf)) for tf, (name, must, banned, _) in zip(licenses.template_terms(), licenses.TEMPLATES)]
+    want = {}
+    for path, text in rows:
+        lines = text.split("\n")
+        parts = [text] + ["\n".join(lines[i : i + k]) for i in range(len(lines)) for k in (1, 2, 3) if i + k <= len(lines)]
+        for part in parts:
+            tf = Counter(licenses.WORD.findall(part.lower()))
+            if not tf.keys() & {"license", "licensed", "licence", "permission", "spdx", "rights", "redistribution", "unencumbered", "waived", "gnu", "public", "mit"}:
+                continue
+            v = weigh(tf)
+            for name, must, banned, t in templates:
+                if must <= tf.keys() and not banned & tf.keys():
+                    cosine = round(sum(x * t[w] for w, x in v.items() if w in t) / norm(v) / norm(t), 6)
+                    if cosine >= licenses.THRESHOLD and cosine > want.get(path, (0,))[0]:
+                        want[path] = (cosine, name)
+    got = {r.path: r.cosine for r in licenses.own_licenses(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got.keys() == want.keys() and len(got) > 5
+    assert all(got[p] == pytest.approx(want[p][0], abs=2e-6) for p in got)

@@ -23,14 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajtable.llm.common import annotate, kept_by_worker, table
-from trajtable.llm.pieces import PieceEncoder, gather, joined
+from trajtable.llm.pieces import PieceEncoder, gather, plain
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: fixed value: the pattern of byte-level tokenizers that splits text into words
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PAIR = 24  # bits of a token id inside the key of a pair
-PAIRS = 100_000  # pairs of tokens a Python worker remembers before it starts anew; a matter of speed only
+REMEMBERED = 24_000_000  # bytes of pieces a Python worker remembers; a matter of speed only
+SLICE_BYTES = 4_000_000  # text whose distinct pieces are encoded together
+PAIRS = 200_000  # pairs of tokens a Python worker remembers before it starts anew; a matter of speed only
 
 
 def default_tokenizer() -> str:
@@ -69,9 +71,9 @@ class Vocabulary:
             if self.rank[whole] < 0:
                 self.rank[whole], self.left[whole], self.right[whole] = rank, ids[left], ids[right]
         self.pairs: dict[int, bool] = {}
-        # children by (node, byte), and the token that ends at a node or -1
+        # the trie of the tokens: children by (node, byte), the token that ends at a node or -1
         self.child: dict[int, int] = {}
-        self.token = array("i", [-1])
+        self.token, parent = array("i", [-1]), array("q", [0])
         for b, i in ids.items():
             node = 0
             for byte in b:
@@ -80,7 +82,28 @@ class Vocabulary:
                 if not node:
                     node = self.child[key] = len(self.token)
                     self.token.append(-1)
+                    parent.append(key)
             self.token[node] = i
+        # for each node the longest proper suffix of its bytes that is a node, and the nearest of its suffixes that is a token
+        n = len(self.token)
+        self.suffix, self.shorter = array("i", [0]) * n, array("i", [0]) * n
+        depth = array("i", [0]) * n
+        for node in range(1, n):  # parents come first
+            depth[node] = depth[parent[node] >> 8] + 1
+        for node in sorted(range(1, n), key=depth.__getitem__):
+            up, byte = parent[node] >> 8, parent[node] & 255
+            if up:
+                self.suffix[node] = self.follow(self.suffix[up], byte)
+            s = self.suffix[node]
+            self.shorter[node] = s if self.token[s] >= 0 else self.shorter[s]
+
+    def follow(self, node: int, byte: int) -> int:
+        """The longest suffix of the node's bytes and ``byte`` that is a node."""
+        found = self.child.get(node << 8 | byte)
+        while found is None and node:
+            node = self.suffix[node]
+            found = self.child.get(node << 8 | byte)
+        return found or 0
 
     def apart(self, left: int, right: int) -> bool:
         """Whether the merges leave the two tokens beside each other as they are.
@@ -110,40 +133,41 @@ class Vocabulary:
     def encode_words(self, words: Iterable[bytes]) -> tuple[list[bytes], list[int], array]:
         """Distinct words in order, where the ids of each begin, and all ids: a depth-first walk over the words' trie.
 
-        Each depth of the path keeps its last token and the tokens still open there: places where a
-        token may begin, with the node of the token trie reached since.
+        Each depth of the path keeps its last token and the longest suffix that a token may begin with;
+        the tokens that end there are the suffixes of that which are tokens, the longest tried first.
         """
-        apart, pairs, child, ends_at, sizes = self.apart, self.pairs, self.child, self.token, self.sizes
+        apart, pairs, follow, get = self.apart, self.pairs, self.follow, self.child.get
+        token_at, shorter, sizes = self.token, self.shorter, self.sizes
         ordered, starts, ids = sorted(words), [], array("i")
-        before, last, open_at = b"", [-1], [()]
+        before, last, state = b"", [-1], [0]
         for raw in ordered:
             depth = 0
             for x, y in zip(raw, before):
                 if x != y:
                     break
                 depth += 1
-            del last[depth + 1 :], open_at[depth + 1 :]
-            running = open_at[depth]
+            del last[depth + 1 :], state[depth + 1 :]
+            node = state[depth]
             for end in range(depth, len(raw)):
-                byte, token, still = raw[end], -1, []
-                for start, node in (*running, (end, 0)):  # the longest token first
-                    node = child.get(node << 8 | byte)
-                    if node is not None:
-                        still.append((start, node))
-                        if token < 0:
-                            found = ends_at[node]
-                            if found >= 0:
-                                left = last[start]
-                                fits = left < 0 or pairs.get(left << PAIR | found)
-                                if fits is None:
-                                    fits = apart(left, found)
-                                if fits:
-                                    token = found
-                if token < 0:
+                byte = raw[end]
+                found = get(node << 8 | byte)
+                node = follow(node, byte) if found is None else found
+                at = node if token_at[node] >= 0 else shorter[node]
+                while at:
+                    token = token_at[at]
+                    left = last[end + 1 - sizes[token]]
+                    if left < 0:
+                        break
+                    fits = pairs.get(left << PAIR | token)
+                    if fits is None:
+                        fits = apart(left, token)
+                    if fits:
+                        break
+                    at = shorter[at]
+                else:
                     raise ValueError(f"no token ends at byte {end + 1} of {raw!r}")
                 last.append(token)
-                open_at.append(still)
-                running = still
+                state.append(node)
             starts.append(len(ids))
             chain, end = [], len(raw)
             while end:
@@ -189,14 +213,14 @@ def trie_encoder(path: str) -> PieceEncoder:
 
     def encode_new(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         number: dict[str, int] = {}
-        words, ends = array("i"), np.zeros(len(pieces), np.int64)  # the words in order, and how many each piece has
-        order = []
-        for text, held in joined(pieces):
-            found = split.findall(text)
-            words.extend([number.setdefault(w, len(number)) for w in found])
-            at = np.cumsum([len(w) for w in found])
-            ends[held] = np.diff(np.searchsorted(at, np.cumsum([len(pieces[i]) for i in held])) + 1, prepend=0)
-            order.extend(held)
+        words, sizes = array("i"), np.ones(len(pieces), np.int64)  # the words in order, and how many each piece has
+        for i, p in enumerate(pieces):
+            if p.isascii() and "'" not in p and plain(p):  # cut on both sides where words end: it is one
+                words.append(number.setdefault(p, len(number)))
+            else:
+                found = split.findall(p)
+                words.extend([number.setdefault(w, len(number)) for w in found])
+                sizes[i] = len(found)
         raw = {w.encode("utf-8", "surrogatepass"): k for w, k in number.items()}
         ordered, starts, ids = vocabulary.encode_words(raw)
         place = np.empty(len(ordered), np.int64)
@@ -204,15 +228,11 @@ def trie_encoder(path: str) -> PieceEncoder:
         starts = np.array(starts, np.int64)
         lengths = np.diff(starts, append=len(ids))
         which = place[np.frombuffer(words, np.int32)]
-        flat = gather(np.frombuffer(ids, np.int32), starts[which], lengths[which])
-        # sizes and ids in the order of the joined texts, then in that of the pieces
         total = np.concatenate([[0], np.cumsum(lengths[which])])
-        cut = total[np.concatenate([[0], np.cumsum(ends[order])])]
-        begin, sizes = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
-        begin[order], sizes[order] = cut[:-1], np.diff(cut)
-        return gather(flat, begin, sizes), sizes
+        ends = np.cumsum(sizes)
+        return gather(np.frombuffer(ids, np.int32), starts[which], lengths[which]), total[ends] - total[ends - sizes]
 
-    return PieceEncoder(encode_new, vocabulary.special)
+    return PieceEncoder(encode_new, vocabulary.special, REMEMBERED)
 
 
 def id_lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -237,7 +257,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, text: str = "text", ke
 
         return work
 
-    return annotate(docs, [("n_tokens", "bigint"), ("ids", "array<int>")], prepare, text, keep)
+    return annotate(docs, [("n_tokens", "bigint"), ("ids", "array<int>")], prepare, text, keep, SLICE_BYTES)
 
 
 def decode(encoded: DataFrame, tokenizer: str | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:

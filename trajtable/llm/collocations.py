@@ -7,8 +7,10 @@ turns out frequent may have frequent extensions that were not counted: it joins
 and a further pass counts what it newly admits, until a pass proposes nothing new.
 
 Proposed phrases are told by a bit table of fixed size, the only thing sent to the tasks. Two phrases
-on one bit admit some phrases too many, which are then counted as exactly as all others: a table that
-fills up prunes less and loses nothing. Counts are kept by the phrases themselves, not by hashes.
+on one bit admit some phrases too many, which are then counted like all others: a table that fills up
+prunes less and loses nothing. These passes count 64-bit hashes of phrases, which are small to shuffle;
+a hash never counts less than a phrase that has it. A last pass spells out the phrases whose hash
+is frequent and counts them by their text, so the result does not depend on hashes.
 """
 
 from __future__ import annotations
@@ -34,9 +36,8 @@ LONGEST = 4  # words of a phrase
 MIN_COUNT = 30
 SHARE = 8  # one row in so many is in the sample
 BITS = 1 << 26  # bits of the table of proposed phrases: 8 MB
-SLICE = 6_000_000  # bytes of text counted at once inside a task
+SLICE = 4_000_000  # bytes of text counted at once inside a task
 BREAKS, SPACES = b".,;:!?\x0a\x0b\x0c\x0d", b" \t"  # ends of a piece; between words
-COUNTS = "lang string, k int, phrase string, h bigint, n bigint"
 
 
 def byte_kinds() -> np.ndarray:
@@ -67,18 +68,24 @@ def mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def marked(h: np.ndarray, k: int) -> np.ndarray:
+    """The hash with the number of words, less one, in its last two bits."""
+    return (h & ~np.uint64(3)) | np.uint64(k - 1)
+
+
 def proposed(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     if bits is None:
         return np.zeros(len(h), bool)
-    at = h & np.uint64(BITS - 1)
+    at = (h >> np.uint64(2)) & np.uint64(BITS - 1)
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def phrases(texts: pa.Array, lang: str, bits: np.ndarray, before: np.ndarray | None, lengths: range) -> Iterator[tuple]:
-    """(k, phrases, hashes, counts) of the phrases that ``bits`` admit and ``before`` did not.
+def phrases(texts: pa.Array, lang: str, bits: np.ndarray, before: np.ndarray | None = None, longest: int = LONGEST, spelled: bool = False) -> Iterator[tuple]:
+    """(k, hashes, counts, known, phrases) of the phrases that ``bits`` admit, by their number of words.
 
     A phrase of several words is admitted when its parts without the last and without the first word
-    are admitted and proposed; single words are always admitted. ``before`` None: nothing was counted.
+    are admitted and proposed; single words are always admitted. ``known``: ``before`` admitted it too.
+    The phrases themselves are given where they are to be ``spelled``.
     """
     coded, piece = split_words(texts)
     if not len(coded):
@@ -86,65 +93,81 @@ def phrases(texts: pa.Array, lang: str, bits: np.ndarray, before: np.ndarray | N
     words, vocabulary = coded.indices.to_numpy(), coded.dictionary
     seed = xxhash.xxh64_intdigest(lang)
     word_hash = np.array([xxhash.xxh3_64_intdigest(w, seed) for w in vocabulary.to_pylist()], np.uint64)
-    at, text, h, counts = words, vocabulary, word_hash, np.bincount(words, minlength=len(vocabulary))
+    at, text, h = words, vocabulary if spelled else None, marked(word_hash, 1)
     known = np.full(len(h), before is not None)  # counted by an earlier pass
-    total = pa.array([""]), np.zeros(1, np.uint64), np.array([len(words)])
-    if before is None and 1 in lengths:
-        yield 0, *total
-    for k in range(1, LONGEST + 1):
-        if k > 1:
-            on, was = proposed(bits, h), known & proposed(before, h)
-            ok = np.zeros(len(at), bool)
-            live = at >= 0
-            ok[live] = on[at[live]]
-            both = ok[:-1] & ok[1:] & (piece[:-1] == piece[1:])
-            if k > 2:  # the part without the first word begins one word later, in the same piece
-                both &= at[1:] >= 0
-            spot = np.flatnonzero(both)
-            if not len(spot):
-                return
-            code, which = pd.factorize(at[spot].astype(np.int64) * len(vocabulary) + words[spot + k - 1])
-            example = np.empty(len(which), np.int64)
-            example[code] = spot
-            head, tail, last = at[example], at[example + 1], words[example + k - 1]
-            known = was[head] & was[tail]
-            h, text = mixed(h[head], word_hash[last]), pc.binary_join_element_wise(text.take(pa.array(head)), vocabulary.take(pa.array(last)), " ")
-            counts = np.bincount(code, minlength=len(which))
-            at = np.full(len(words), -1, np.int32)
-            at[spot] = code
-        if k in lengths:
-            new = np.flatnonzero(~known)
-            if len(new):
-                yield k, text.take(pa.array(new)), h[new], counts[new]
+    yield 1, h, np.bincount(words, minlength=len(vocabulary)), known, text
+    same = piece[:-1] == piece[1:]
+    for k in range(2, longest + 1):
+        on, was = proposed(bits, h), known & proposed(before, h)
+        ok = np.append(on, False)[at]  # -1, no such phrase here, reads the last entry
+        # the part without the first word begins one word later, in the same piece
+        spot = np.flatnonzero(ok[:-1] & ok[1:] & same)
+        if not len(spot):
+            return
+        code, which = pd.factorize(at[spot].astype(np.int64) * len(vocabulary) + words[spot + k - 1])
+        example = np.empty(len(which), np.int64)
+        example[code] = spot
+        head, tail, last = at[example], at[example + 1], words[example + k - 1]
+        known = was[head] & was[tail]
+        h = marked(mixed(h[head], word_hash[last]), k)
+        if spelled:
+            text = pc.binary_join_element_wise(text.take(pa.array(head)), vocabulary.take(pa.array(last)), " ")
+        at = np.full(len(words), -1, np.int32)
+        at[spot] = code
+        yield k, h, np.bincount(code, minlength=len(which)), known, text
+
+
+def by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
+    """Slices of the texts (second column) of one language (first column)."""
+    for batch in batches:
+        for a, b in text_slices(batch.column(1), SLICE):
+            part = batch.slice(a, b - a)
+            for lang in pc.unique(part.column(0)).to_pylist():
+                yield lang, part.column(1).filter(pc.equal(part.column(0), lang))
 
 
 def counted(docs: DataFrame, bits: np.ndarray, before: np.ndarray | None = None, lengths: range = range(1, LONGEST + 1)) -> DataFrame:
-    """Exact counts of newly admitted phrases; the row of length 0 counts all words of a language."""
+    """(h, n): counts of the hashes of phrases that ``bits`` admit and ``before`` did not."""
     handle = share(docs.sparkSession, (bits, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new, old = shared(handle)
-        for batch in batches:
-            for a, b in text_slices(batch.column(1), SLICE):
-                part = batch.slice(a, b - a)
-                for lang in pc.unique(part.column(0)).to_pylist():
-                    texts = part.column(1).filter(pc.equal(part.column(0), lang))
-                    for k, text, h, n in phrases(texts, lang, new, old, lengths):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(n), pa.string()), pa.array(np.full(len(n), k, np.int32)), text, pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))],
-                            names=["lang", "k", "phrase", "h", "n"],
-                        )
+        for lang, texts in by_lang(batches):
+            for k, h, n, known, _ in phrases(texts, lang, new, old, lengths[-1]):
+                if k in lengths and not known.all():
+                    yield pa.RecordBatch.from_arrays([pa.array(h[~known].view(np.int64)), pa.array(n[~known].astype(np.int64))], names=["h", "n"])
+
+    return docs.mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
 
-    found = docs.mapInArrow(run, COUNTS)
-    return found.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.max("h").alias("h"), F.sum("n").alias("n"))
+
+def spelled_out(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """(lang, phrase, k, n): exact counts of the phrases whose hash is wanted; k = 0 counts all words of a language."""
+    handle = share(docs.sparkSession, wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared(handle)
+        for lang, texts in by_lang(batches):
+            for k, h, n, _, text in phrases(texts, lang, bits, spelled=True):
+                keep = np.flatnonzero(proposed(bits, h))
+                found, sizes = text.take(pa.array(keep)).to_pylist(), n[keep].tolist()
+                kinds = [k] * len(found)
+                if k == 1:
+                    found, sizes, kinds = ["", *found], [int(n.sum()), *sizes], [0, *kinds]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.string()), pa.array(kinds, pa.int32()), pa.array(sizes, pa.int64())],
+                    names=["lang", "phrase", "k", "n"],
+                )
+
+    found = docs.mapInArrow(run, "lang string, phrase string, k int, n bigint")
+    return found.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
 
 
 def with_bits(bits: np.ndarray, found: DataFrame) -> np.ndarray:
-    """The bit table with the phrases of ``found`` that can be extended."""
-    at = F.col("h").bitwiseAND(F.lit(BITS - 1))
+    """The bit table with the hashes of ``found``."""
+    at = F.shiftrightunsigned("h", 2).bitwiseAND(F.lit(BITS - 1))
     mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))
     # at most BITS / 64 rows, however many phrases there are
-    got = found.where(f"k between 1 and {LONGEST - 1}").groupBy(F.shiftright(at, 6).alias("i")).agg(F.bit_or(mask).alias("m")).toArrow()
+    got = found.groupBy(F.shiftright(at, 6).alias("i")).agg(F.bit_or(mask).alias("m")).toArrow()
     out = bits.copy()
     np.bitwise_or.at(out, got.column("i").to_numpy(), got.column("m").to_numpy().view(np.uint64))
     return out
@@ -156,20 +179,18 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, share_of: int = SHARE,
     sample = written(rows.where(F.pmod("_row", F.lit(share_of)) == 0).select("lang", "text"))
     rows = rows.select("lang", "text")
     low = max(2, int(0.6 * min_count / share_of))
-    bits = np.zeros(BITS // 64, np.uint64)
+    bits = np.zeros(max(1, BITS // 64), np.uint64)
     for k in range(1, LONGEST):
         bits = with_bits(bits, counted(sample, bits, None, range(k, k + 1)).where(F.col("n") >= low))
-    found, before = [], None
+    extendable = F.col("h").bitwiseAND(F.lit(3)) < LONGEST - 1
+    wanted, before = np.zeros_like(bits), None
     while True:
-        found.append(written(counted(rows, bits, before).where((F.col("n") >= min_count) | (F.col("k") == 0))))
-        wider = with_bits(bits, found[-1])
+        found = written(counted(rows, bits, before).where(F.col("n") >= min_count))
+        wanted, wider = with_bits(wanted, found), with_bits(bits, found.where(extendable))
         if np.array_equal(wider, bits):
             break
         before, bits = bits, wider
-    out = found[0]
-    for more in found[1:]:
-        out = out.union(more)
-    return out.drop("h")
+    return spelled_out(rows, wanted).where((F.col("n") >= min_count) | (F.col("k") == 0))
 
 
 def _row_hash(docs: DataFrame, text: str):

@@ -54,6 +54,7 @@ def annotate(
     prepare: Callable[[], Callable[[pa.Array], dict[str, pa.Array]]],
     text: str = "text",
     keep: Sequence[str] | None = None,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Columns of ``keep`` (default: all) plus columns computed from whole texts in Arrow batches.
 
@@ -69,7 +70,7 @@ def annotate(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = prepare()
         for batch in batches:
-            for a, b in text_slices(batch.column(read.index(text))):
+            for a, b in text_slices(batch.column(read.index(text)), slice_bytes):
                 part = batch.slice(a, b - a)
                 got = work(pc.fill_null(part.column(read.index(text)), ""))
                 yield pa.RecordBatch.from_arrays(
@@ -85,13 +86,18 @@ def row_key(text: str, doc_id: str) -> list[Column]:
     return [F.xxhash64(*parts).alias("_k1"), F.xxhash64(F.lit(1), *parts).alias("_k2")]
 
 
+def as_row(df: DataFrame):
+    """The whole row as one column, beside which helper columns cannot clash with its own."""
+    return F.struct(*df.columns).alias("_row")
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose key is in ``kept``, rows equal in id and text once.
 
     Duplicates are reduced in the tasks before the one shuffle of the texts, which also serves the join.
     """
-    once = docs.select(*docs.columns, *row_key(text, doc_id)).dropDuplicates(["_k1", "_k2"])
-    return once.join(kept.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi").select(*docs.columns)
+    once = docs.select(as_row(docs), *row_key(text, doc_id)).dropDuplicates(["_k1", "_k2"])
+    return once.join(kept.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi").select("_row.*")
 
 
 def share(spark: SparkSession, value):
@@ -140,7 +146,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, c
     pick = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2)
     chosen = pick(0).union(pick(1))  # at most ``rows`` ids: small enough to broadcast
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    got = found.where(F.length("text") <= chars).dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
+    # of several texts with one id, the one with the least hash
+    one = found.where(F.length("text") <= chars).groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    got = one.orderBy("doc_id").collect()
     y = np.array([r.y for r in got], np.int64)
     weight = np.array([count[r.y] for r in got]) / np.maximum(1, np.bincount(y, minlength=2))[y] if got else np.zeros(0)
     return [r.text for r in got], y, weight

@@ -20,7 +20,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajtable.llm.common import annotate, share, shared, size_of, table
+from trajtable.llm.common import annotate, as_row, share, shared, size_of, table
 from trajtable.llm.words import Tokenizer, Tokens, mix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -176,20 +176,21 @@ def find_benchmark(
     pairs = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
     total = size_of(pairs, "t")[1]
     blocks = max(1, -(-total // block_bytes))
-    out = docs
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in dict(FIELDS)]
+    out = docs if blocks == 1 else docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))
     for b in range(blocks):
         # hashing spreads the items evenly over blocks, each near block_bytes
         block = pairs if blocks == 1 else pairs.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
         handle = share(spark, scanners([(r.i, r.t) for r in block.collect()], window))
         if blocks == 1:
             return annotate(out, FIELDS, _finder(handle), text, keep)
-        part = annotate(out, FIELDS, _finder(handle), text)
+        part = annotate(out, FIELDS, _finder(handle), "_text")
         if b == 0:
             out = part.withColumnsRenamed({"hit_spans": "_spans", "item_ids": "_items"})
         else:
             out = part.withColumns({"_spans": F.concat("_spans", "hit_spans"), "_items": F.array_union("_items", "item_ids")}).drop("hit_spans", "item_ids")
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in dict(FIELDS)]
-    return out.select(*keep, "n_words", merged_spans(F.col("_spans")).alias("hit_spans"), F.array_sort("_items").alias("item_ids"))
+    merged = out.select("_row", "n_words", merged_spans(F.col("_spans")).alias("hit_spans"), F.array_sort("_items").alias("item_ids"))
+    return merged.select("_row.*", "n_words", "hit_spans", "item_ids")
 
 
 def merged_spans(flat):
@@ -215,8 +216,13 @@ def hit_words(spans):
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that hold no window of any item, with their own columns."""
-    found = find_benchmark(docs.withColumn("_row", F.struct(*docs.columns)), benchmark, keep=["_row"], **options)
+    """The documents that hold no window of any item, with their own columns.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together; an empty item table
+    keeps everything, an empty table gives an empty result.
+    """
+    rows = docs.select(as_row(docs), F.col(options.pop("text", "text")).alias("text"))
+    found = find_benchmark(rows, benchmark, keep=["_row"], **options)
     return found.where(F.size("hit_spans") == 0).select("_row.*")
 
 

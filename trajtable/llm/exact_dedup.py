@@ -80,7 +80,11 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 
 def without_exact_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row of each group of equal texts, with its own columns."""
+    """One row of each group of equal texts, with its own columns.
+
+    Which row stays, and what null and empty texts, repeated rows and empty tables give, is said at
+    ``exact_groups``. Columns may have any names.
+    """
     return keep_rows(docs, exact_groups(docs, text, doc_id).where("kept"), text, doc_id)
 
 

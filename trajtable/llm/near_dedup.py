@@ -131,8 +131,9 @@ def sketched(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                     names=["_k1", "_k2", "doc_id", "t1", "t2", "sketch"],
                 )
 
-    rows = docs.select(*row_key(text, doc_id), F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return written(rows.mapInArrow(run, "_k1 bigint, _k2 bigint, doc_id bigint, t1 bigint, t2 bigint, sketch array<bigint>"))
+    rows = docs.select(*row_key(text, doc_id), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return written(rows.mapInArrow(run, f"_k1 bigint, _k2 bigint, doc_id {kind}, t1 bigint, t2 bigint, sketch array<bigint>"))
 
 
 def with_kmers(rows: DataFrame) -> DataFrame:
@@ -305,7 +306,11 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
 
 def without_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One document of each class, with its own columns."""
+    """One document of each class, with its own columns.
+
+    Which row stays, and what null and empty texts, repeated rows and empty tables give, is said at
+    ``near_groups``. Columns may have any names.
+    """
     return keep_rows(docs, near_groups(docs, text, doc_id).where("kept"), text, doc_id)
 
 

@@ -70,16 +70,45 @@ def none_of(text: Column) -> Column:
     return F.filter(F.array(spot), lambda _: F.lit(False))
 
 
+GROUP = 128  # matches looked at together
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: an expression inside a lambda would be computed for each element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def in_groups(items: Column) -> Column:
+    """An array cut into arrays of GROUP elements: what is done inside a group and on groups grows little faster than the array."""
+    def cut(whole: Column) -> Column:
+        n = F.ceil(F.size(whole) / GROUP).cast("int")
+        starts = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.slice(whole, i * GROUP + 1, F.lit(GROUP)))
+
+    return let(items, cut)
+
+
 def located(text: Column, pattern: str) -> Column:
     """All matches with start, end (code points), text, and the text around them.
 
-    The lengths of the pieces between the matches give the places.
+    The lengths of the pieces between the matches give the places: those of whole groups first, then
+    those inside each group.
     """
     pieces, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    n = F.size(hits)
-    pairs = F.zip_with(F.slice(pieces, F.lit(1), n), hits, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
-    around = F.zip_with(pairs, F.slice(pieces, F.lit(2), n), lambda x, q: F.struct(x.p.alias("p"), x.h.alias("h"), q.alias("q")))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), none_of(text).alias("out"))
+
+    def beside(p: Column, h: Column) -> Column:
+        pairs = F.zip_with(F.slice(p, F.lit(1), F.size(h)), h, lambda p, h: F.struct(p.alias("p"), h.alias("h")))
+        return F.zip_with(pairs, F.slice(p, F.lit(2), F.size(h)), lambda x, q: F.struct(x.p.alias("p"), x.h.alias("h"), q.alias("q")))
+
+    around = let(pieces, lambda p: let(hits, lambda h: beside(p, h)))
+    zero = F.lit(0).cast("bigint")
+    sized = F.transform(
+        in_groups(around), lambda g: F.struct(g.alias("g"), F.aggregate(g, zero, lambda s, x: s + F.length(x.p) + F.length(x.h)).alias("size"))
+    )
+    begun = lambda groups: F.aggregate(
+        groups, F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out")),
+        lambda s, g: F.struct((s.at + g.size).alias("at"), F.array_append(s.out, s.at).alias("out")), lambda s: s.out,
+    )
 
     def add(acc, x):
         a = acc.at + F.length(x.p)
@@ -87,7 +116,22 @@ def located(text: Column, pattern: str) -> Column:
         spot = F.struct(a.alias("s"), b.alias("e"), x.h.alias("v"), F.right(x.p, F.lit(24)).alias("before"), F.left(x.q, F.lit(1)).alias("after"))
         return F.struct(b.alias("at"), F.concat(acc.out, F.array(spot)).alias("out"))
 
-    return F.aggregate(around, start, add, lambda acc: acc.out)
+    inside = lambda g, at: F.aggregate(g.g, F.struct(at.alias("at"), none_of(text).alias("out")), add, lambda acc: acc.out)
+    return let(sized, lambda groups: F.flatten(F.zip_with(groups, begun(groups), inside)))
+
+
+def bounded(spans: Column) -> Column:
+    """Spans in groups by start, each with the range that it covers."""
+    ordered = F.array_sort(spans, lambda x, y: F.when(x.s < y.s, -1).when(x.s > y.s, 1).otherwise(0))
+    low = lambda g: F.array_min(F.transform(g, lambda x: x.s)).alias("low")
+    high = lambda g: F.array_max(F.transform(g, lambda x: x.e)).alias("high")
+    return F.transform(in_groups(ordered), lambda g: F.struct(g.alias("g"), low(g), high(g)))
+
+
+def meets(groups: Column, x: Column, also=lambda o: F.lit(True)) -> Column:
+    """Whether a span overlaps one of ``bounded`` spans for which ``also`` holds; only groups whose range it meets are searched."""
+    inside = lambda g: F.exists(g.g, lambda o: (o.s < x.e) & (x.s < o.e) & also(o))
+    return F.exists(groups, lambda g: (g.low < x.e) & (x.s < g.high) & inside(g))
 
 
 def digits(v: Column) -> Column:
@@ -329,7 +373,7 @@ def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> dict[s
 
 def proposed(order: int, kind: str, model: Trees, text: Column) -> Column:
     """Candidates that the trees select and that overlap no base span."""
-    free = F.filter(candidates(kind, text), lambda x: ~F.exists("base", lambda b: (b.s < x.e) & (x.s < b.e)))
+    free = let(bounded(F.col("base")), lambda groups: F.filter(candidates(kind, text), lambda x: ~meets(groups, x)))
     scored = F.transform(
         free,
         lambda x: F.struct(
@@ -349,7 +393,8 @@ def scan(docs: DataFrame, models: dict[str, Trees], text: str = "text", keep: li
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("base", "added")]
     t = F.col("_text")
-    out = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    row = F.struct(*keep).alias("_row") if keep else F.lit(None).alias("_row")
+    out = docs.select(row, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     out = out.withColumns({f"_base_{k}": base_spans(k, t) for k in KINDS})
     named = lambda k, i: F.transform(f"_base_{k}", lambda x: F.struct(F.lit(i).alias("order"), F.lit(k).alias("kind"), x.s.alias("s"), x.e.alias("e"), x.v.alias("v")))
     out = out.withColumn("base", F.concat(*[named(k, i) for i, k in enumerate(KINDS)]))
@@ -362,9 +407,10 @@ def scan(docs: DataFrame, models: dict[str, Trees], text: str = "text", keep: li
     else:
         out = out.withColumn("_new", F.concat(*proposals) if len(proposals) > 1 else proposals[0])
         beats = lambda o, x: (o.score > x.score) | ((o.score == x.score) & (F.struct(o.order, o.s) < F.struct(x.order, x.s)))
-        best = F.filter("_new", lambda x: ~F.exists("_new", lambda o: (o.s < x.e) & (x.s < o.e) & beats(o, x)))
+        chosen = lambda new: let(bounded(new), lambda groups: F.filter(new, lambda x: ~meets(groups, x, lambda o: beats(o, x))))
+        best = let(F.col("_new"), chosen)
         added = F.transform(best, lambda x: F.struct(x.order.alias("order"), x.kind.alias("kind"), x.s.alias("s"), x.e.alias("e"), x.v.alias("v")))
-    return out.withColumn("added", added).select(*keep, "base", "added")
+    return out.withColumn("added", added).select(*(["_row.*"] if keep else []), "base", "added")
 
 
 def joined(spans: Column) -> Column:
@@ -373,11 +419,17 @@ def joined(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, models: dict[str, Trees], text: str = "text", out: str = "redacted") -> DataFrame:
-    """All columns, with the base and added spans of the text replaced by their kind in brackets."""
-    found = scan(docs, models, text)
+    """All columns, with the base and added spans of the text replaced by their kind in brackets.
+
+    A null or empty text becomes an empty one; repeated rows stay as they are; an empty table gives an
+    empty result. Columns may have any names; one named ``out`` is replaced.
+    """
+    keep = [c for c in docs.columns if c != out]
+    rows = docs.select(F.struct(*keep).alias("_kept"), F.col(text).alias("_whole"))
+    found = scan(rows, models, "_whole")
     spans = F.array_sort(F.transform(F.concat("base", "added"), lambda x: F.struct(x.s.alias("s"), x.e.alias("e"), x.kind.alias("kind"))))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    whole = F.coalesce(F.col(text), F.lit(""))
+    whole = F.coalesce(F.col("_whole"), F.lit(""))
 
     def add(acc, x):  # a span inside one already replaced adds nothing
         gap = F.substring(whole, (acc.at + 1).cast("int"), (x.s - acc.at).cast("int"))
@@ -386,7 +438,7 @@ def redact(docs: DataFrame, models: dict[str, Trees], text: str = "text", out: s
         )
 
     rest = lambda acc: F.concat(acc.out, F.substring(whole, (acc.at + 1).cast("int"), F.length(whole)))
-    return found.withColumn(out, F.aggregate(spans, start, add, rest)).select(*[c for c in docs.columns if c != out], out)
+    return found.select("_kept", F.aggregate(spans, start, add, rest).alias("_done")).select("_kept.*", F.col("_done").alias(out))
 
 
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,17 @@
 """Token ids of whole texts from those of their distinct pieces, in arrays.
 
-Texts are cut before a space that follows a character which is no white space: no token of a
-byte-level vocabulary reaches over such a place. The pieces of a slice of texts are one Arrow array
-over the bytes of the texts; each distinct piece is encoded once, and the ids of all texts are one
-gather. What a Python worker remembers from slice to slice is bounded in bytes.
+Texts are cut where the pattern of byte-level tokenizers always ends a word: before a space that
+follows a character which is no white space, between ASCII letters, digits and marks, and around a
+single line end. The pieces of a slice of texts are one Arrow array over the bytes of the texts; each
+distinct piece is encoded once, and the ids of all texts are one gather. What a Python worker
+remembers from slice to slice is bounded in bytes.
 """
 
 from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
@@ -20,7 +21,6 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-REMEMBERED = 16_000_000  # bytes of pieces and their ids kept in a worker; a matter of speed only
 EACH = 190  # bytes of a remembered piece beside its text: string, dictionary slot, numbers, ids
 LONG = 200  # characters of a piece that is not worth remembering
 
@@ -39,25 +39,52 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+LETTER, DIGIT, MARK, QUOTE, HIGH, LINE, SPACE = range(1, 8)
+
+
+def byte_kinds() -> np.ndarray:
+    """The kind of every byte; 0 for control characters that are no white space."""
+    kinds = np.zeros(256, np.uint8)
+    kinds[33:127], kinds[128:], kinds[9:14] = MARK, HIGH, LINE
+    kinds[48:58], kinds[65:91], kinds[97:123] = DIGIT, LETTER, LETTER
+    kinds[39], kinds[32] = QUOTE, SPACE
+    return kinds
+
+
+KINDS = byte_kinds()
+
+
 def cuts(data: np.ndarray) -> np.ndarray:
-    """Whether a piece may begin at each byte: at a space after a character that is no white space.
+    """Whether a piece begins at each byte.
 
-    White space beyond ASCII has two bytes from C2, or three from E1 to E3; after any three bytes
-    from these no cut is made, which costs nothing but speed.
+    Beside an apostrophe no cut is made between letters and marks, as words such as 's go over it.
+    White space beyond ASCII has two bytes from C2, or three from E1 to E3: a space after any three
+    bytes from these makes no cut, which costs nothing but speed.
     """
-    out = np.zeros(len(data), bool)
-    at = np.flatnonzero(data[1:] == 0x20) + 1
-    one, two, three = data[at - 1], data[at - 2], np.where(at >= 3, data[at - 3], 0)
+    out, kind = np.zeros(len(data), bool), KINDS[data]
+    known = (kind >= LETTER) & (kind <= MARK)
+    out[1:] = known[1:] & known[:-1] & (kind[1:] != kind[:-1])
+    at = np.flatnonzero(kind[1:] == SPACE) + 1
+    before, one, two, three = kind[at - 1], data[at - 1], data[at - 2], np.where(at >= 3, data[at - 3], 0)
     wide = ((two == 0xC2) & ((one == 0x85) | (one == 0xA0))) | ((three >= 0xE1) & (three <= 0xE3))
-    out[at] = ((one > 0x20) & (one < 0x80)) | ((one >= 0x80) & ~wide)
+    out[at] = ((before >= LETTER) & (before <= QUOTE)) | ((before == HIGH) & ~wide)
+    seen = (kind >= LETTER) & (kind <= QUOTE)
+    alone = np.flatnonzero((kind[1:-1] == LINE) & seen[:-2] & seen[2:]) + 1  # a single line end or tab
+    out[alone] = out[alone + 1] = True
     return out
 
 
+def plain(piece: str) -> bool:
+    """Whether no white space is in a piece but one space at its beginning, before something else."""
+    return piece.isprintable() and piece.rfind(" ") <= 0 and piece != " "
+
+
 class PieceEncoder:
     """Ids of whole texts; ``encode_new`` gives the ids of distinct pieces end to end, and the number of each."""
 
-    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], special: dict[str, int]):
+    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], special: dict[str, int], remembered: int):
         self.encode_new, self.special = encode_new, special
+        self.remembered = remembered  # bytes of pieces and ids; a matter of speed only
         names = sorted((s.encode() for s in special), key=len, reverse=True)
         self.find = re.compile(b"|".join(map(re.escape, names))) if names else None
         self.forget()
@@ -100,7 +127,7 @@ class PieceEncoder:
 
     def lookup(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and for every piece where its ids begin and how many they are; new pieces are encoded and remembered."""
-        if self.bytes > REMEMBERED:
+        if self.bytes > self.remembered:
             self.thin()
         slots = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
         self.met[slots[slots >= 0]] = True
@@ -146,30 +173,9 @@ class PieceEncoder:
         pieces, met = list(self.known), self.met
         chosen = np.flatnonzero(met)
         weight = np.cumsum([len(pieces[i]) + EACH for i in chosen.tolist()]) if len(chosen) else np.zeros(0)
-        chosen = chosen[weight <= REMEMBERED // 2]
+        chosen = chosen[weight <= self.remembered // 2]
         flat, starts, sizes = self.flat, self.starts[chosen], self.sizes[chosen]
         self.forget()
         self.known = {pieces[i]: k for k, i in enumerate(chosen.tolist())}
         self.flat, self.starts, self.sizes = gather(flat, starts, sizes), np.cumsum(sizes) - sizes, sizes
         self.met, self.bytes = np.zeros(len(chosen), bool), sum(map(len, self.known)) + EACH * len(chosen)
-
-
-def joined(pieces: list[str], size: int = 32_000) -> Iterable[tuple[str, list[int]]]:
-    """Texts of about ``size`` characters, and the pieces in each.
-
-    A piece that begins with a space may follow one that does not end in white space; any other
-    piece is a text of its own.
-    """
-    text, held, length = [], [], 0
-    for i, p in enumerate(pieces):
-        if p[0] == " " and not p[-1].isspace():
-            if length + len(p) > size and held:
-                yield "".join(text), held
-                text, held, length = [], [], 0
-            text.append(p)
-            held.append(i)
-            length += len(p)
-        else:
-            yield p, [i]
-    if held:
-        yield "".join(text), held

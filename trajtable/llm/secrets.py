@@ -30,7 +30,10 @@ ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # starts at the first character of a run, so short runs are never cut
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
-BROKEN_RUN = re.compile(r"-----BEGIN [A-Z0-9 ]*KEY-----([A-Za-z0-9+/=\s]+?)-----END")
+#: a key in lines; line ends may be written as escapes, header lines may come first
+LINE = r"(?:\s|\\[rn])"
+BROKEN_RUN = re.compile(rf"-----BEGIN [A-Z0-9 ]*KEY-----{LINE}*(?:[A-Za-z][A-Za-z-]*: [^\n\\]*{LINE}+)*((?:[A-Za-z0-9+/=]|{LINE})+?){LINE}*-----END")
+GLUED = re.compile(r"(?<=[/_-])(?=M[A-J]|AAAA|b3Bl|30)")  # where a key may begin inside a run: how keys and lengths encode
 SIGNED = re.compile(r"ey[A-Za-z0-9_-]{6,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 SSH_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
 
@@ -123,6 +126,32 @@ def structure(data: bytes) -> str | None:
     return "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
 
 
+def kind_of(run: str) -> str | None:
+    return next(filter(None, map(structure, decoded(run))), None)
+
+
+def confirmed(text: str, a: int, b: int) -> list[tuple[str, int, int]]:
+    """The keys in a run: the whole run, or what follows an escape or is glued to ``/``, ``-`` or ``_``."""
+    run = text[a:b]
+    kind = kind_of(run)
+    if kind:
+        return [(kind, a, b)]
+    out, done = [], 0
+    starts = [1] if a and text[a - 1] == "\\" else []
+    for start in [*starts, *(m.start() for m in GLUED.finditer(run))]:
+        if start < done or b - a - start < 24:
+            continue
+        # up to the end of the run, or up to a mark that standard base64 does not have
+        stop = re.search("[_-]", run[start:])
+        for end in dict.fromkeys([b - a, start + stop.start() if stop else b - a]):
+            kind = kind_of(run[start:end]) if end - start >= 24 else None
+            if kind:
+                out.append((kind, a + start, a + end))
+                done = end
+                break
+    return out
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """Spans (kind, start, end) in code points, by start and then kind in the order of KINDS."""
     spans = []
@@ -134,16 +163,12 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     if runs:
         spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     for a, b in runs:
-        kind = next(filter(None, map(structure, decoded(text[a:b]))), None)
-        if kind:
-            spans.append((kind, a, b))
+        spans += confirmed(text, a, b)
     if "-----BEGIN" in text:
         for m in BROKEN_RUN.finditer(text):
-            kind = next(filter(None, map(structure, decoded(re.sub(r"\s", "", m[1])))), None)
-            a = m.start(1) + len(m[1]) - len(m[1].lstrip())
-            b = m.start(1) + len(m[1].rstrip())
-            if kind and (kind, a, b) not in spans:
-                spans.append((kind, a, b))
+            kind = kind_of(re.sub(LINE, "", m[1]))
+            if kind and (kind, *m.span(1)) not in spans:
+                spans.append((kind, *m.span(1)))
     if "ey" in text and "." in text:
         spans += [("token", m.start(), m.end()) for m in SIGNED.finditer(text) if is_signed_header(m[0].split(".")[0])]
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

@@ -1,6 +1,6 @@
 """Token ids in files: one zstandard frame per document with a shared dictionary, and an offset index.
 
-Layout of a folder: ``dictionary`` holds one row (dict_hash, dictionary); ``shards`` holds rows
+Layout of a folder: ``dictionary`` holds one row (dict_hash, dictionary, id_type); ``shards`` holds rows
 (part, shard, before, dict_hash, doc_ids, n_ids, offsets, payload). Parts follow the order of doc_id, and so
 do the shards of a part and the documents of a shard; ``before`` counts the ids of earlier shards of the part. ``payload`` is the frames one after another,
 frame k at ``offsets[k]:offsets[k + 1]``, so a short document is read without its neighbours.
@@ -21,10 +21,11 @@ import zstandard
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trajtable.llm.bpe import default_tokenizer
 from trajtable.llm.common import kept_by_worker, smallest, table, text_slices
-from trajtable.llm.pieces import PieceEncoder, gather, joined
+from trajtable.llm.pieces import PieceEncoder, gather, plain
 from trajtable.session import scratch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -34,7 +35,13 @@ SAMPLE_DOCS = 2_000  # documents the dictionary is trained on
 SAMPLE_CHARS = 100_000  # bytes of the longest text taken into that sample
 SAMPLE_BYTES = 4_000_000  # bytes of the sample's serialized ids
 DICTIONARY_BYTES = 64 * 1024
-SHARD_SCHEMA = "part int, shard int, before bigint, dict_hash string, doc_ids array<bigint>, n_ids bigint, offsets array<bigint>, payload binary"
+REMEMBERED = 64_000_000  # bytes of pieces a Python worker remembers; a matter of speed only
+SLICE_BYTES = 8_000_000  # text whose distinct pieces are encoded together
+CALL = 4_000  # pieces in a call of the library
+
+
+def shard_schema(id_type: str) -> str:
+    return f"part int, shard int, before bigint, dict_hash string, doc_ids array<{id_type}>, n_ids bigint, offsets array<bigint>, payload binary"
 
 
 def library_encoder(path: str) -> PieceEncoder:
@@ -46,35 +53,36 @@ def library_encoder(path: str) -> PieceEncoder:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    size = np.zeros(tokenizer.get_vocab_size() + 1, np.int64)
-    for token, i in tokenizer.get_vocab().items():
-        size[i] = len(token)  # a character of a byte-level token is a byte
     run = lambda texts: [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    (line,) = run(["\n"])  # a line end between two pieces is a word of its own
 
     def encode_new(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """One call of the library for many pieces; their ends are found by the bytes of the tokens."""
-        found, sizes, order = [], np.zeros(len(pieces), np.int64), []
-        for text, held in joined(pieces):
-            (ids,) = run([text])
-            counts = [len(ids)]
-            if len(held) > 1:
-                ends, want = np.cumsum(size[ids]), np.cumsum([len(pieces[i].encode()) for i in held])
-                at = np.searchsorted(ends, want)
-                if np.array_equal(ends[at], want):
-                    counts = np.diff(at + 1, prepend=0)
-                else:  # a piece that ends inside a token: each gets a call of its own
-                    parts = run([pieces[i] for i in held])
-                    ids, counts = np.concatenate(parts), [len(p) for p in parts]
-            found.append(ids)
-            sizes[held] = counts
-            order.extend(held)
-        flat = np.concatenate(found)
-        begin = np.empty(len(pieces), np.int64)
-        begin[order] = np.cumsum(sizes[order]) - sizes[order]
-        return gather(flat, begin, sizes), sizes
+        """One call of the library for many pieces, with a line end between them."""
+        order = [i for i, p in enumerate(pieces) if plain(p)] if len(line) == 1 else []
+        found, sizes = [], []
+        for a in range(0, len(order), CALL):
+            some = [pieces[i] for i in order[a : a + CALL]]
+            (ids,) = run(["\n".join(some)])
+            ends = np.flatnonzero(ids == line[0])
+            if len(ends) == len(some) - 1:
+                sizes.append(np.diff(ends, prepend=-1, append=len(ids)) - 1)
+                found.append(np.delete(ids, ends))
+            else:  # not the usual pattern of words: each piece gets a call of its own
+                each = run(some)
+                sizes.append(np.array([len(x) for x in each], np.int64))
+                found += each
+        there = set(order)
+        others = [i for i in range(len(pieces)) if i not in there]
+        each = run([pieces[i] for i in others])
+        sizes.append(np.array([len(x) for x in each], np.int64))
+        flat, sizes = np.concatenate([*found, *each]), np.concatenate(sizes)
+        counts, begin = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        order = np.array(order + others, np.int64)
+        counts[order], begin[order] = sizes, np.cumsum(sizes) - sizes
+        return gather(flat, begin, counts), counts
 
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-    return PieceEncoder(encode_new, special)
+    return PieceEncoder(encode_new, special, REMEMBERED)
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, text: str, doc_id: str) -> bytes:
@@ -99,7 +107,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, text: str, doc_id: str) ->
 def write_tokens(
     docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int | None = 2, text: str = "text", doc_id: str = "doc_id"
 ) -> None:
-    """Encode whole texts and write them in ascending order of doc_id (null first).
+    """Encode whole texts and write them in ascending order of doc_id (null first; a number or else as text).
 
     A null or empty text has only the end id. Rows with the same doc_id follow each other by a hash
     of the text; each keeps its own frame. An empty table writes no shards.
@@ -107,7 +115,8 @@ def write_tokens(
     spark, path = docs.sparkSession, tokenizer or default_tokenizer()
     dictionary = train_dictionary(docs, path, text, doc_id)
     name = hashlib.sha256(dictionary).hexdigest()
-    spark.createDataFrame([(name, dictionary)], "dict_hash string, dictionary binary").write.parquet(f"{folder}/dictionary")
+    id_type = "bigint" if isinstance(docs.schema[doc_id].dataType, T.IntegralType) else "string"
+    spark.createDataFrame([(name, dictionary, id_type)], "dict_hash string, dictionary binary, id_type string").write.parquet(f"{folder}/dictionary")
     tail = [] if end_id is None else [end_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,11 +127,11 @@ def write_tokens(
 
         def full() -> pa.RecordBatch:
             row = {"part": [part], "shard": [shard], "before": [before], "dict_hash": [name], "doc_ids": [ids], "n_ids": [n_ids], "offsets": [offsets], "payload": [b"".join(frames)]}
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int64() if id_type == "bigint" else pa.string()), pa.int64(), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds)], names=list(row))
 
         for batch in batches:
-            for a, b in text_slices(batch.column(1)):
+            for a, b in text_slices(batch.column(1), SLICE_BYTES):
                 keys = batch.column(0).slice(a, b - a).to_pylist()
                 flat, counts = encoder(batch.column(1).slice(a, b - a))
                 ends = np.cumsum(counts)
@@ -142,16 +151,16 @@ def write_tokens(
             yield full()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(doc_id).cast(id_type).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ordered.mapInArrow(run, SHARD_SCHEMA).write.option("compression", "none").parquet(f"{folder}/shards")
+    ordered.mapInArrow(run, shard_schema(id_type)).write.option("compression", "none").parquet(f"{folder}/shards")
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and the serialized ids (binary)."""
-    shards = spark.read.schema(SHARD_SCHEMA).parquet(f"{folder}/shards")
-    name, dictionary = spark.read.parquet(f"{folder}/dictionary").first()
+    name, dictionary, id_type = spark.read.parquet(f"{folder}/dictionary").select("dict_hash", "dictionary", "id_type").first()
+    shards = spark.read.schema(shard_schema(id_type)).parquet(f"{folder}/shards")
     # ids before each part: one number for each write task
     first, total = {}, 0
     for part, n in sorted(shards.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()):
@@ -168,10 +177,10 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 data = [unpack.decompress(packed[a:b]) for a, b in zip(at, at[1:])]
                 counts = np.array([len(x) // 4 for x in data], np.int64)
                 start = first[row["part"]] + row["before"] + np.cumsum(counts) - counts
-                columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(start), pa.array(counts), pa.array(data, pa.binary())]
+                columns = [pa.array(row["doc_ids"], pa.int64() if id_type == "bigint" else pa.string()), pa.array(start), pa.array(counts), pa.array(data, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "data"])
 
-    return shards.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, data binary")
+    return shards.mapInArrow(run, f"doc_id {id_type}, start bigint, n_tokens bigint, data binary")
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
