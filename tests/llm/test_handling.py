@@ -57,7 +57,7 @@ def test_pipeline_of_odd_rows(spark, clashing):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         after = stage(spark, docs, SMALL)
         assert after.schema.names == clashing.columns and after.count() <= docs.count(), name
-        docs = spark.createDataFrame(after.collect(), clashing.schema)
+        docs = spark.createDataFrame(after.collect(), docs.schema)
         assert stage(spark, docs.limit(0), SMALL).count() == 0
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
     assert {"doc_id", "n_tokens", "ids"} <= set(out.columns) and out.count() == docs.count()

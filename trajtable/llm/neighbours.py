@@ -7,8 +7,9 @@ several likeliest ones, whose rows are reranked by the exact inner product. How
 visits is measured: sample queries are searched by brute force over all rows, and the fewest parts
 that hold the wanted share of their neighbours are taken.
 
-A part is searched in tiles of bounded numbers of rows and queries, so a part (or one vector that a
-third of all rows share) of any size is only more tiles.
+The parts are dealt to a fixed number of shares of equal size, a part that is too large (or one vector that
+a third of all rows have) to several. A task holds a bounded number of queries and their best so far while
+the rows of one share stream by, so neither a share nor a part has to fit it.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ PART_ROWS = 64  # rows of an average part, until there are MOST_PARTS
 MOST_PARTS = 256
 PROBES = 128  # sample queries that set the number of visited parts
 RECALL = 0.97  # share of their neighbours in the visited parts
-TILE_QUERIES = 8_192
-TILE_BYTES = 64_000_000  # of the vectors of a tile, as doubles
+SHARES = 16  # into which all rows are dealt by their parts
+CHUNK = 8_192  # queries that a task holds
 SCORES = 2_000_000  # inner products held at once inside a tile
 EDGES = 20  # neighbours of a vector in the graph
 HIDDEN = 128
@@ -170,56 +171,68 @@ def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def best_in_tile(
-    item_ids: np.ndarray, items: np.ndarray, parts: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, visits: np.ndarray, top: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query, item id and score of the ``top`` best items of each query in the parts it visits.
-
-    Equal vectors are compared once, and of their ids the smallest that could be listed are kept.
-    """
-    raw = np.ascontiguousarray(items).view(np.dtype((np.void, items.dtype.itemsize * items.shape[1]))).ravel()
-    _, first, same = np.unique(raw, return_index=True, return_inverse=True)
-    order = np.lexsort((item_ids, same))
-    order = order[np.concatenate([[True], (np.diff(same[order]) != 0) | (np.diff(item_ids[order]) != 0)])]  # an id once
-    begins = np.searchsorted(same[order], np.arange(len(first) + 1))
-    part_of = parts[first]
-    found = []
-    for p in np.unique(part_of):
-        kinds, asked = np.flatnonzero(part_of == p), np.flatnonzero((visits == p).any(1))
-        step = max(1, SCORES // len(kinds))
-        for a in range(0, len(asked), step):
-            rows = asked[a : a + step]
-            near = queries[rows] @ items[first[kinds]].T
-            if len(kinds) > top + 1:  # one more, as the query's own vector may be among them
-                cut = np.partition(near, len(kinds) - top - 1, axis=1)[:, len(kinds) - top - 1]
-                q, u = np.nonzero(near >= (cut - 1e-9 * (1 + np.abs(cut)))[:, None])
-            else:
-                q, u = np.nonzero(np.ones_like(near, bool))
-            found.append((rows[q], kinds[u], near[q, u]))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    q, u, near = map(np.concatenate, zip(*found))
-    by = np.lexsort((-near, q))
-    q, u, near = q[by], u[by], near[by]
-    start = np.searchsorted(q, np.arange(len(queries) + 1))
-    last = np.minimum(start[:-1] + top, start[1:] - 1)  # the (top + 1)-th best vector of each query
-    cut = near[np.maximum(last, 0)]
-    keep = near >= (cut - 1e-9 * (1 + np.abs(cut)))[q]
-    q, u = q[keep], u[keep]
-    sizes = np.minimum(np.diff(begins)[u], top + 1)
-    score = np.repeat(products(queries[q], items[first[u]]), sizes)
-    ids = item_ids[order[np.repeat(begins[u], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)]]
-    q = np.repeat(q, sizes)
-    other = ids != query_ids[q]
-    q, ids, score = q[other], ids[other], score[other]
+def best_of(q: np.ndarray, ids: np.ndarray, score: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``top`` best of every query, ties to the smaller id; of several vectors of one id the best."""
+    by = np.lexsort((-score, ids, q))
+    q, ids, score = q[by], ids[by], score[by]
+    fresh = np.ones(len(q), bool)
+    fresh[1:] = (q[1:] != q[:-1]) | (ids[1:] != ids[:-1])
+    q, ids, score = q[fresh], ids[fresh], score[fresh]
     by = np.lexsort((ids, -score, q))
     q, ids, score = q[by], ids[by], score[by]
-    by = np.lexsort((np.arange(len(q)), ids, q))  # several vectors of one id: the best
-    repeat = np.zeros(len(q), bool)
-    repeat[by[1:]] = (q[by[1:]] == q[by[:-1]]) & (ids[by[1:]] == ids[by[:-1]])
-    q, ids, score = q[~repeat], ids[~repeat], score[~repeat]
     keep = np.arange(len(q)) - np.searchsorted(q, q) < top
-    return query_ids[q[keep]], ids[keep], score[keep]
+    return q[keep], ids[keep], score[keep]
+
+
+class Search:
+    """A chunk of queries, and the best items of each among the rows seen so far."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, visits: np.ndarray, top: int):
+        self.ids, self.vectors, self.visits, self.top = ids, vectors, visits, top
+        self.q, self.found, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.floor = np.full(len(ids), -np.inf)  # the score of the last of ``top`` items
+
+    def look(self, item_ids: np.ndarray, items: np.ndarray, parts: np.ndarray) -> None:
+        """Compare the queries with the rows of the parts that they visit.
+
+        Equal vectors are compared once, and of their ids the smallest that could be listed are kept.
+        """
+        raw = np.ascontiguousarray(items).view(np.dtype((np.void, items.dtype.itemsize * items.shape[1]))).ravel()
+        _, first, same = np.unique(raw, return_index=True, return_inverse=True)
+        order = np.lexsort((item_ids, same))
+        order = order[np.concatenate([[True], (np.diff(same[order]) != 0) | (np.diff(item_ids[order]) != 0)])]  # an id once
+        begins = np.searchsorted(same[order], np.arange(len(first) + 1))
+        near_q, near_u = self.candidates(items[first], parts[first])
+        sizes = np.minimum(np.diff(begins)[near_u], self.top + 1)
+        score = np.repeat(products(self.vectors[near_q], items[first[near_u]]), sizes)
+        ids = item_ids[order[np.repeat(begins[near_u], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)]]
+        q = np.repeat(near_q, sizes)
+        other = ids != self.ids[q]
+        self.q, self.found, self.score = best_of(
+            np.concatenate([self.q, q[other]]), np.concatenate([self.found, ids[other]]), np.concatenate([self.score, score[other]]), self.top
+        )
+        ends = np.searchsorted(self.q, np.arange(len(self.ids)), "right")
+        full = ends - np.searchsorted(self.q, np.arange(len(self.ids))) == self.top
+        self.floor[full] = self.score[ends[full] - 1]
+
+    def candidates(self, items: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, item) that may be among the best: with a margin, as these products are added in any order."""
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for p in np.unique(parts):
+            kinds, asked = np.flatnonzero(parts == p), np.flatnonzero((self.visits == p).any(1))
+            step = max(1, SCORES // len(kinds))
+            for a in range(0, len(asked), step):
+                rows = asked[a : a + step]
+                near = self.vectors[rows] @ items[kinds].T
+                cut = self.floor[rows]
+                if len(kinds) > self.top + 1:  # one more, as the query's own vector may be among them
+                    at = len(kinds) - self.top - 1
+                    cut = np.maximum(cut, np.partition(near, at, axis=1)[:, at])
+                finite = np.where(np.isfinite(cut), cut, 0.0)
+                q, u = np.nonzero(near >= (cut - 1e-9 * (1 + np.abs(finite)))[:, None])
+                found.append((rows[q], kinds[u]))
+        q, u = map(np.concatenate, zip(*found))
+        return q, u
 
 
 # --- on Spark ----------------------------------------------------------------------------------
@@ -318,41 +331,57 @@ def search(
         sizes[part] = count
     m = visited(index, queries, router, parts, sizes, top, recall)
 
-    # neighbouring parts share a tile, a large part has several
-    rows = int(min(max(1_024, 8 * np.sqrt(n)), max(64, TILE_BYTES // (8 * d))))
-    tiles = np.maximum(1, -(-sizes // rows))
-    first, at, room = np.zeros(parts, np.int64), -1, 0
-    for p in range(parts):
-        if at >= 0 and sizes[p] <= room:
-            first[p], room = at, room - sizes[p]
-        else:
-            first[p] = at + 1
-            at, room = at + tiles[p], tiles[p] * rows - sizes[p] if tiles[p] == 1 else 0
+    # parts one after another fill shares of n / SHARES rows; a part that goes over a border lies in both
+    ends = np.cumsum(sizes)
+    low = (ends - sizes) * SHARES // n
+    high = np.maximum(low, (np.maximum(ends, 1) - 1) * SHARES // n)
     numbers = lambda values: F.array(*[F.lit(int(v)) for v in values])
-    first_of, tiles_of = numbers(first), numbers(tiles)
-    pick = lambda values, p: F.element_at(values, p + 1)
-    chunks = max(1, -(-queries.count() // TILE_QUERIES))
-    spot = lambda of: F.pmod(F.xxhash64("id"), of).cast("int")
-    placed = index.withColumn("tile", pick(first_of, F.col("part")) + spot(pick(tiles_of, F.col("part"))))
+    pick = lambda values, p: F.element_at(numbers(values), p + 1)
+    chunks = max(1, -(-queries.count() // CHUNK))
+    # a row of a part in several shares goes to one of them by its id
+    width = pick(high - low + 1, F.col("part"))
+    placed = index.withColumn("share", pick(low, F.col("part")) + F.pmod(F.xxhash64("id"), width).cast("int"))
     placed = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    reached = F.transform("parts", lambda p: F.sequence(pick(first_of, p), pick(first_of, p) + pick(tiles_of, p) - 1))
-    asked = _with_parts(queries, router, m).select("id", "vector", "parts", F.explode(F.array_distinct(F.flatten(reached))).alias("tile"))
+    reached = F.transform("parts", lambda p: F.sequence(pick(low, p), pick(high, p)))
+    asked = _with_parts(queries, router, m).select("id", "vector", "parts", F.explode(F.array_distinct(F.flatten(reached))).alias("share"))
     asked = asked.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(chunks)).cast("int"))
+    none = F.lit(None)
+    rows = asked.select("share", "chunk", F.lit(0).alias("kind"), none.cast("int").alias("part"), "id", "vector", "parts").unionByName(
+        placed.select("share", "chunk", F.lit(1).alias("kind"), "part", "id", "vector", none.cast("array<int>").alias("parts"))
+    )
 
-    def tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            got = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        else:
-            visits = matrix(right.column("parts")).astype(np.int32)
-            got = best_in_tile(
-                left.column("id").to_numpy(), matrix(left.column("vector")), left.column("part").to_numpy(),
-                right.column("id").to_numpy(), matrix(right.column("vector")), visits, top,
-            )
-        return pa.table({"query_id": got[0], "vec_id": got[1], "score": got[2]})
-
-    keys = ["tile", "chunk"]
-    found = placed.select(*keys, "part", "id", "vector").groupBy(*keys).cogroup(asked.groupBy(*keys))
-    found = found.applyInArrow(tile, "query_id bigint, vec_id bigint, score double").repartition("query_id")
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The queries of a share and chunk come first, then its rows."""
+        current, held, search_ = None, [], None
+
+        def result():
+            if search_ is not None and len(search_.q):
+                columns = [pa.array(search_.ids[search_.q]), pa.array(search_.found), pa.array(search_.score)]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
+
+        for batch in batches:
+            key = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            edges = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                if a == b:
+                    continue
+                part, where, kind = batch.slice(a, b - a), (int(key[0, a]), int(key[1, a])), int(key[2, a])
+                if where != current:
+                    yield from result()
+                    current, held, search_ = where, [], None
+                if kind == 0:
+                    held.append((part.column(4).to_numpy(), matrix(part.column(5)), matrix(part.column(6)).astype(np.int32)))
+                    continue
+                if held:
+                    search_, held = Search(*(np.concatenate(x) for x in zip(*held)), top), []
+                if search_ is not None:
+                    search_.look(part.column(4).to_numpy(), matrix(part.column(5)), part.column(3).to_numpy())
+        yield from result()
+
+    keys = ["share", "chunk", "kind"]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), SHARES * chunks)
+    found = rows.repartition(tasks, "share", "chunk").sortWithinPartitions(*keys, "part")
+    found = found.mapInArrow(stream, "query_id bigint, vec_id bigint, score double").repartition("query_id")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
