@@ -176,9 +176,10 @@ LEG_CASES = [
 @pytest.mark.parametrize("triggers,bounds,n,par,most,cap,starts,ends,done,stop", LEG_CASES)
 def test_legs(spark, triggers, bounds, n, par, most, cap, starts, ends, done, stop):
     df = spark.createDataFrame([("a", t, t in triggers, t in bounds) for t in range(n)], "traj string, t int, trigger boolean, boundary boolean")
+    found = rows(handoff.leg_rows(df, ["traj"], par, most, cap), "leg")
+    assert [x[2] for x in found] == starts and [x[3] for x in found] == ends
     r = handoff.legs(df, ["traj"], par, most, cap).first()
-    assert [x["start"] for x in r["legs"]] == starts and [x["end"] for x in r["legs"]] == ends
-    assert (r["completed"], r["stop_pos"]) == (done, stop)
+    assert (r["completed"], r["stop_pos"], r["n_legs"]) == (done, stop, len(starts))
 
 
 @pytest.mark.parametrize("text,want", [

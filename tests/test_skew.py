@@ -2,19 +2,22 @@
 
 import hashlib
 import itertools
+import math
 import random
 import statistics
+import time
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from trajtable.functions import divergence, recurrence, resample
+from trajtable.functions import divergence, resample
 from trajtable.operators import advantage as adv
-from trajtable.operators import metrics, packing, prep, sampling, validation
+from trajtable.operators import handoff, metrics, packing, prep, sampling, validation
 from trajtable.operators.batch import with_index
-from trajtable.plans.skew import quantiles, ranked, with_stats
+from trajtable.plans.skew import affine, by_position, by_sort, largest, quantiles, ranked, running, with_stats
 
 
 @pytest.fixture(scope="module")
@@ -87,54 +90,76 @@ def test_group_reduce_against_loops(skewed):
         assert r["med_mean"] == pytest.approx(statistics.fmean(want)) and r["med_std"] == pytest.approx(statistics.pstdev(want))
 
 
-def test_draws_of_a_large_prompt(spark):
-    """A prompt of 5,000,000 samples at 1,000 rounds: no row makes all draws, which passes Spark's array limit."""
-    made = validation.majority_draws(spark.createDataFrame([(5_000_000,)], "n bigint"), 42, 1000)
-    some = made.where("size = n").limit(50).collect()
-    assert len(some) == 50 and all(1 <= r["_i"] <= r["n"] and r["_k"] // r["size"] == r["_round"] for r in some)
+def exact_majority(preds, values, size):
+    """Mean and deviation of the majority's value over all samples of the size; ties and rows of the winner by chance."""
+    n, one, two = len(preds), 0.0, 0.0
+    rows_of = {p: [v for q, v in zip(preds, values) if q == p] for p in preds}
+    for draw in itertools.product(preds, repeat=size):
+        most = max(draw.count(p) for p in set(draw))
+        tied = [p for p in set(draw) if draw.count(p) == most]
+        for p in tied:
+            weight = 1 / len(tied) / n**size
+            one += weight * statistics.fmean(rows_of[p])
+            two += weight * statistics.fmean(x * x for x in rows_of[p])
+    return one, max(two - one * one, 0) ** 0.5
 
 
-def test_draws_against_loops(spark):
-    """Sizes below, at and above a piece; every draw is made once."""
-    n, rounds = validation.DRAW_CHUNK * 2 + 3, 2
-    got = validation.majority_draws(spark.createDataFrame([(n,), (3,)], "n bigint"), 42, rounds).collect()
-    for m, sizes in ((3, [2, 3]), (n, [*(2**e for e in range(1, 14)), n])):
-        for size in sizes:
-            rows = sorted((r["_k"], r["_round"], r["_i"]) for r in got if r["n"] == m and r["size"] == size)
-            want = [i + 1 for r in uniform_draws(m, size, rounds) for i in r]
-            assert [r[0] for r in rows] == list(range(size * rounds)) and [r[2] for r in rows] == want
-            assert all(k // size == r for k, r, _ in rows)
-
-
-def test_bootstrap_against_loops(spark):
-    """The same rule for a prompt of 3 and of 150 samples, with other key names; two prompts share a pattern."""
+def test_bootstrap_against_all_samples(spark):
+    """Best and worst exactly, the majority within its sampling error; prompts with equal counts share their draws."""
     rng = random.Random(1)
     data = []
-    for p, n in (("a", 3), ("b", 6), ("c", 6), ("d", 150), ("e", 1)):
-        preds = ["A", "B", "A", "C", "B", "A"] if p in "bc" else [rng.choice("ABC") for _ in range(n)]
-        data += [("s", p, rng.randrange(5) / 4, preds[i], i) for i in range(n)]
-    df = spark.createDataFrame(data, "src string, prompt string, score double, pred string, i int")
-    got = {(r["prompt"], r["metric"]): r["value"] for r in validation.bootstrap_metrics(df, ["score"], "i", keys=("src", "prompt"), rounds=50).collect()}
+    for p, n in (("a", 3), ("b", 6), ("c", 6), ("d", 5), ("e", 1)):
+        preds = ["A", "B", "A", "C", "B", "A"] if p in "bc" else [rng.choice(["A", "B", None]) for _ in range(n)]
+        data += [("s", p, rng.randrange(5) / 4, preds[i]) for i in range(n)]
+    df = spark.createDataFrame(data, "src string, prompt string, score double, pred string")
+    got = {(r["prompt"], r["metric"]): r["value"] for r in validation.bootstrap_metrics(df, ["score"], keys=("src", "prompt"), rounds=4000).collect()}
     assert {p for p, _ in got} == set("abcd")
     for p in "abcd":
         v, preds = [d[2] for d in data if d[1] == p], [d[3] for d in data if d[1] == p]
-        n, sizes, m = len(v), [], 2
-        while m < n:
-            sizes.append(m)
-            m *= 2
-        for size in [*sizes, n]:
-            if n ** size <= 50_000:
-                every = list(itertools.product(v, repeat=size))
-                for kind, pick in (("best", max), ("worst", min)):
-                    assert got[p, f"{kind}@{size}/mean"] == pytest.approx(statistics.fmean(map(pick, every)))
-                    assert got[p, f"{kind}@{size}/std"] == pytest.approx(statistics.pstdev(map(pick, every)), abs=1e-6)
-            maj = []
-            for draw in uniform_draws(n, size, 50):
-                seen = [preds[i] for i in draw]
-                lead = max(dict.fromkeys(seen), key=seen.count)
-                maj.append(v[draw[seen.index(lead)]])
-            assert got[p, f"maj@{size}/mean"] == pytest.approx(statistics.fmean(maj)), (p, size)
-            assert got[p, f"maj@{size}/std"] == pytest.approx(statistics.pstdev(maj), abs=1e-6)
+        n = len(v)
+        for size in [m for m in (2, 4) if m < n] + [n]:
+            every = list(itertools.product(v, repeat=size))
+            for kind, pick in (("best", max), ("worst", min)):
+                assert got[p, f"{kind}@{size}/mean"] == pytest.approx(statistics.fmean(map(pick, every)))
+                assert got[p, f"{kind}@{size}/std"] == pytest.approx(statistics.pstdev(map(pick, every)), abs=1e-6)
+            mean, std = exact_majority(preds, v, size)
+            assert got[p, f"maj@{size}/mean"] == pytest.approx(mean, abs=0.03) and got[p, f"maj@{size}/std"] == pytest.approx(std, abs=0.03)
+
+
+@pytest.mark.parametrize("shape, size", [([(3, 1), (2, 2)], 5), ([(5, 1), (4, 1), (1, 4)], 16), ([(400, 1), (380, 1), (100, 2)], 980)])
+def test_majority_on_counts_against_plain_draws(shape, size):
+    """How often answers win when counts are drawn, and when rows are drawn one by one."""
+    rounds = 4000
+    got = resample.winning_shares(shape, size, range(rounds), 7)
+    counts = np.array([c for c, k in shape for _ in range(k)])
+    of = np.repeat(np.arange(len(shape)), [k for _, k in shape])
+    rng = np.random.default_rng(5)
+    drawn = np.array([np.bincount(rng.choice(len(counts), size, p=counts / counts.sum()), minlength=len(counts)) for _ in range(rounds)])
+    tied = drawn == drawn.max(1, keepdims=True)
+    want = np.bincount(of, (tied / tied.sum(1, keepdims=True)).sum(0))
+    assert sum(got) == pytest.approx(rounds) and np.abs(np.array(got) - want).max() < 5 * np.sqrt(rounds / 2)
+
+
+def test_binomial_quantiles():
+    """Against the distribution function summed exactly, and moments where there are too many trials for that."""
+    rng = np.random.default_rng(4)
+    for m, ones, others in ((0, 1, 1), (1, 1, 3), (7, 2, 5), (60, 9, 1)):
+        u = rng.random(500)
+        p = Fraction(ones, ones + others)
+        below = list(itertools.accumulate(math.comb(m, k) * p**k * (1 - p) ** (m - k) for k in range(m + 1)))
+        want = [min(m, sum(float(b) < x for b in below)) for x in u]
+        assert resample.binomials(np.full(500, m), ones, others, u).tolist() == want
+    m = 5_000_000
+    got = resample.binomials(np.full(2000, m), 3, 7, rng.random(2000))
+    assert abs(got.mean() - 0.3 * m) < 5 * np.sqrt(m * 0.21 / 2000) and abs(got.std() / np.sqrt(m * 0.21) - 1) < 0.1
+
+
+def test_majority_of_a_large_prompt():
+    """A prompt of 5,000,000 samples at every size: the work follows its answers."""
+    shape = [(2_000_000, 1), (1_900_000, 1), (550_000, 2)]
+    for size in (2, 2**22, 5_000_000):
+        got = resample.winning_shares(shape, size, range(100), 42)
+        assert sum(got) == pytest.approx(100) and (size == 2 or got[0] == 100)
 
 
 def test_packing_contract(skewed):
@@ -187,22 +212,161 @@ def test_pack_by_group_equal_counts(spark):
     assert packing.pack_by_group(df, 7, "cost", equal_counts=True).count() == 7
 
 
-def test_recurrences_of_ragged_rows():
-    """One row of 16,384 among 2,000 short ones, against the plain loop."""
-    rng = np.random.default_rng(2)
-    rewards = [rng.random(n) for n in [*rng.integers(0, 9, 2000), 16_384]]
-    masks = [(rng.random(len(r)) > 0.2).astype(float) for r in rewards]
-    values = [rng.random(len(r)) for r in rewards]
-    got, adv_got = recurrence._discounted(rewards, masks, 0.9), recurrence._gae(rewards, values, masks, 0.9, 0.8)
-    for r, v, m, a, b in zip(rewards, values, masks, got, adv_got):
+def trajectories(spark, lengths, seed=2):
+    rng = np.random.default_rng(seed)
+    data = [
+        (0, 0 if g < len(lengths) - 1 else None, f"s{g}" if g else None, t, int(rng.random() > 0.2), float(rng.integers(0, 9) / 7), float(rng.integers(0, 9) / 5))
+        for g, n in enumerate(lengths) for t in range(n)
+    ]
+    return data, spark.createDataFrame(data, "step int, uid int, seq_id string, t int, mask int, reward double, value double")
+
+
+def backwards(data, gamma, lam):
+    """Discounted return and held advantage of every token, by the plain loop."""
+    out, groups = {}, {}
+    for row in data:
+        groups.setdefault(row[2], []).append(row)
+    for g, cells in groups.items():
         carry = held = ahead = 0.0
-        for t in range(len(r) - 1, -1, -1):
-            out = r[t] + 0.9 * carry
-            carry = out * m[t]
-            if m[t]:
-                held = r[t] + 0.9 * ahead - v[t] + 0.72 * held
-                ahead = v[t]
-            assert a[t] == pytest.approx(out) and b[t] == pytest.approx(held)
+        for _, _, _, t, m, r, v in sorted(cells, key=lambda c: -c[3]):
+            total = r + gamma * carry
+            carry = total * m
+            if m:
+                held, ahead = r + gamma * ahead - v + gamma * lam * held, v
+            out[g, t] = (total, held)
+    return out
+
+
+@pytest.mark.parametrize("gamma, lam", [(1.0, 1.0), (0.9, 0.8), (0.5, 0.0)])
+def test_recurrences_against_loops(spark, gamma, lam):
+    """Trajectories shorter and longer than a piece, of one token, with a null id, in one table."""
+    data, df = trajectories(spark, [5, 1, 0, 1500, 9000, 33])
+    want = backwards(data, gamma, lam)
+    df = df.withColumn("step", F.lit(0))
+    got = {(r["seq_id"], r["t"]): r["returns"] for r in adv.gae(df, gamma, lam).withColumn("returns", F.col("returns") - F.col("value")).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k][1], abs=1e-9) for k in want)
+    got = {(r["seq_id"], r["t"]): r["returns"] for r in adv.reinforce_pp(df, gamma).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k][0], abs=1e-9) for k in want)
+
+
+@pytest.mark.parametrize("steps", [2, 8])
+def test_affine_over_several_levels(spark, steps):
+    """Pieces of pieces, with gaps between positions."""
+    rng = random.Random(4)
+    data = [(g, t * 3 + (t > 40) * 100, rng.choice([0.0, 1.0, 0.5, -0.7]), rng.random()) for g, n in (("a", 90), ("b", 1), (None, 17)) for t in range(n)]
+    df = spark.createDataFrame(data, "g string, t int, a double, b double")
+    want = {}
+    for g in ("a", "b", None):
+        x = 0.0
+        for _, t, a, b in sorted((d for d in data if d[0] == g), key=lambda d: -d[1]):
+            want[g, t] = (a * x + b, x)
+            x = a * x + b
+    got = affine(df, ["g"], "t", F.col("a"), F.col("b"), "x", "y", steps=steps)
+    assert got.columns == [*df.columns, "x", "y"]
+    found = {(r["g"], r["t"]): (r["x"], r["y"]) for r in got.collect()}
+    assert found.keys() == want.keys() and all(found[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_one_long_trajectory(spark):
+    """1,000,000 tokens of one trajectory are scanned by at least 20 tasks, and by value like a plain loop."""
+    n = 1_000_000
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(n).select(
+            F.lit(0).alias("step"), F.lit("s").alias("seq_id"), F.col("id").alias("t"), F.when(F.col("id") % 7 == 3, 0).otherwise(1).alias("mask"),
+            ((F.col("id") % 11) / 7.0).alias("reward"), ((F.col("id") % 5) / 3.0).alias("value"),
+        )
+        for gamma, lam in ((0.9, 0.8), (1.0, 1.0)):
+            scans = [running(by_position(df, "t"), ["seq_id"], [F.col("t")], ahead={"x": F.col("reward")}), affine(df, ["seq_id"], "t", F.lit(gamma), F.col("reward"), "x")]
+            assert all(s.select(F.spark_partition_id().alias("p")).distinct().count() >= 20 for s in scans)
+            held = ahead = 0.0
+            want = np.zeros(n)
+            for t in range(n - 1, -1, -1):
+                if t % 7 != 3:
+                    held, ahead = t % 11 / 7 + gamma * ahead - t % 5 / 3 + gamma * lam * held, t % 5 / 3
+                want[t] = held
+            got = adv.gae(df, gamma, lam).select("t", F.col("returns") - F.col("value")).toArrow()
+            order = got.column(0).to_numpy()
+            assert np.allclose(got.column(1).to_numpy(), want[order], rtol=1e-9, atol=1e-6)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("cut", ["position", "sort"])
+def test_running_against_loops(spark, cut):
+    rng = random.Random(6)
+    data = [(g, t, rng.choice([None, 1, 2, 3])) for g, n in (("a", 300), (None, 40), ("b", 1)) for t in range(n)]
+    df = spark.createDataFrame(data, "g string, t int, v int")
+    rows_in = by_position(df, "t", size=16) if cut == "position" else by_sort(df, ["g"], [F.col("t")])
+    got = running(rows_in, ["g"], [F.col("t")], {"a": F.col("v")}, {"b": F.col("v")}, {"c": F.col("v")})
+    assert got.columns == ["g", "t", "v", "a", "b", "c"] or set(got.columns) == {"g", "t", "v", "a", "b", "c"}
+    found = {(r["g"], r["t"]): (r["a"], r["b"], r["c"]) for r in got.collect()}
+    for g in ("a", None, "b"):
+        v = [d[2] for d in sorted((d for d in data if d[0] == g), key=lambda d: d[1])]
+        for t in range(len(v)):
+            after = next((x for x in v[t + 1 :] if x is not None), None)
+            assert found[g, t] == (sum(x or 0 for x in v[: t + 1]), sum(x or 0 for x in v[t:]), after)
+
+
+@pytest.mark.parametrize("few", [1, 50, 10_000])
+def test_largest_against_sort(spark, few):
+    """A hot key, equal values at the cut, all values equal, infinite and far-off values, k above the count."""
+    rng = random.Random(8)
+    values = {"hot": [rng.choice([0.0, 1.0, 2.5, rng.random(), -rng.random() * 1e300]) for _ in range(900)], "equal": [4.0] * 300, None: [1e308, -1e308, 3.0, 3.0, 5e-324], "few": [1.0]}
+    data = [(k, v, i) for k, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(data, "k string, v double, i int")
+    got = largest(df, ["k"], "v", F.greatest(F.floor(F.count(F.lit(1)) * 0.6), F.lit(1)), [F.col("i")], few=few)
+    for k, vs in values.items():
+        want = sorted(((-v, i) for i, v in enumerate(vs)))[: max(1, int(len(vs) * 0.6))]
+        assert sorted((-r["v"], r["i"]) for r in got.where(F.col("k").eqNullSafe(F.lit(k))).collect()) == want
+
+
+def legs_by_loop(triggers, bounds, n, paragraphs, most, cap):
+    out, last, done = [], -1, 0
+    for x in triggers:
+        left = paragraphs - (x in bounds)
+        if x <= last or (most and done >= most) or (paragraphs > 0 and left <= 0):
+            continue
+        end = x
+        if paragraphs > 0:
+            ahead = [b for b in range(x + 1, min(n, x + cap + 1)) if b in bounds]
+            end = ahead[left - 1] if len(ahead) >= left else x + cap
+        done += end < n
+        out.append((x, min(end, n - 1), end < n))
+        last = end
+    return out
+
+
+@pytest.mark.parametrize("paragraphs, most, cap", [(2, 0, 6), (1, 3, 4), (0, 5, 9), (1, 0, 1), (3, 40, 30)])
+def test_legs_over_many_pieces(spark, paragraphs, most, cap):
+    """Pieces of few triggers, so that ways through them are composed over several levels."""
+    rng = random.Random(paragraphs * 100 + cap)
+    data, want = [], {}
+    for traj, n in (("a", 700), ("b", 3), (None, 90), ("c", 40)):
+        triggers = [] if traj == "c" else [t for t in range(n) if rng.random() < 0.5]
+        bounds = {t for t in range(n) if rng.random() < 0.2}
+        data += [(traj or "null", t, t in triggers, t in bounds) for t in range(n)]
+        want[traj or "null"] = legs_by_loop(triggers, bounds, n, paragraphs, most, cap)
+    df = spark.createDataFrame(data, "traj string, t int, trigger boolean, boundary boolean")
+    found = {k: [] for k in want}
+    for r in handoff.leg_rows(df, ["traj"], paragraphs, most, cap, size=4).orderBy("traj", "leg").collect():
+        found[r["traj"]].append((r["start"], r["end"], r["complete"]))
+    assert found == want
+
+
+def test_legs_of_100_000_triggers(spark):
+    """A trajectory whose every token is a trigger takes time in proportion to its length."""
+    took = {}
+    for n in (25_000, 100_000):
+        df = spark.range(n).select(F.lit("a").alias("traj"), F.col("id").alias("t"), F.lit(True).alias("trigger"), (F.col("id") % 3 == 0).alias("boundary"))
+        start = time.time()
+        r = handoff.legs(df, ["traj"], 1, 0, 256).first()
+        took[n] = time.time() - start
+        # a trigger that is no boundary opens a leg up to the next boundary
+        assert r["n_legs"] == len([t for t in range(1, n, 3)]) and r["n_tokens"] == n
+    assert took[100_000] < 4 * took[25_000] + 10
 
 
 def test_opo_group_of_128_tokens(spark):

@@ -2,8 +2,8 @@
 
 Outcome estimators take one row per response (``score``) and return one scalar per response; the
 token advantage is that scalar times the response mask. Token estimators take one row per token.
-Groups (``uid``) are aggregated and joined back, so a hot prompt is split by the join; windows are
-only used inside one trajectory, whose length the generation limit bounds.
+Groups (``uid``) are aggregated and joined back, so a hot prompt is split by the join. Sums and
+recurrences along a trajectory run over bounded pieces of it, so its length does not matter.
 """
 
 from __future__ import annotations
@@ -13,9 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajtable.functions import recurrence
 from trajtable.operators.masked import EPS, masked_mean, whiten
-from trajtable.plans.skew import with_stats
+from trajtable.plans.skew import affine, by_position, running, with_stats
 
 GROUP = ("step", "uid")
 
@@ -198,68 +197,49 @@ def multi_output(
 # --- token rows -------------------------------------------------------------------------------
 
 
-def _ahead(traj: Sequence[str], t: str) -> Window:
-    """From this token to the end of the trajectory."""
-    return Window.partitionBy(*traj).orderBy(F.col(t).desc()).rowsBetween(Window.unboundedPreceding, 0)
-
-
-def _behind(traj: Sequence[str], t: str) -> Window:
-    return Window.partitionBy(*traj).orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
-
-
-def returns_to_go(df: DataFrame, reward: str = "reward", mask: str = "mask", traj=("seq_id",), t: str = "t") -> Column:
-    return F.sum(F.col(reward) * F.col(mask)).over(_ahead(traj, t))
+def returns_to_go(df: DataFrame, reward: str = "reward", mask: str = "mask", traj=("seq_id",), t: str = "t", out: str = "returns") -> DataFrame:
+    """Sum of the masked rewards from each token on."""
+    return running(by_position(df, t), traj, [F.col(t)], ahead={out: F.col(reward) * F.col(mask)})
 
 
 def remax(df: DataFrame, baseline: str = "baseline", traj=("seq_id",), t: str = "t") -> DataFrame:
     """Return-to-go minus the greedy baseline on masked tokens."""
-    rows = df.withColumn("returns", returns_to_go(df, traj=traj, t=t))
+    rows = returns_to_go(df, traj=traj, t=t)
     return rows.withColumn("advantage", F.col("returns") - F.col(baseline) * F.col("mask"))
 
 
 def reinforce_pp(df: DataFrame, gamma: float = 1.0, traj=("seq_id",), t: str = "t", batch=("step",)) -> DataFrame:
-    """Reverse discounted return that restarts at every mask-0 token; whitened and masked advantage."""
-    traj, batch = list(traj), list(batch)
-    if gamma == 1.0:
-        zeros = F.sum(1 - F.col("mask")).over(_behind(traj, t))
-        segment = Window.partitionBy(*traj, "_segment").orderBy(F.col(t).desc()).rowsBetween(
-            Window.unboundedPreceding, 0
-        )
-        rows = df.withColumn("_segment", zeros).withColumn("returns", F.sum("reward").over(segment)).drop("_segment")
-    else:
-        cells = F.array_sort(F.collect_list(F.struct(t, "reward", "mask")))
-        arrays = df.groupBy(*batch, *traj).agg(cells.alias("_c"))
-        walked = arrays.withColumn(
-            "_r", recurrence.discounted_returns(F.transform("_c", lambda x: x.reward), F.transform("_c", lambda x: x.mask), gamma)
-        )
-        rows = walked.select(*batch, *traj, F.explode(F.arrays_zip("_c", "_r")).alias("_z")).select(
-            *batch, *traj, f"_z._c.{t}", "_z._c.mask", F.col("_z._r").alias("returns")
-        )
-    white = whiten(rows, "returns", F.col("mask"), batch, "_white")
-    return white.withColumn("advantage", F.col("_white") * F.col("mask")).drop("_white")
+    """Reverse discounted return that restarts at every mask-0 token; whitened and masked advantage.
+
+    The token after passes on its return only where its mask is on: with y the masked return,
+    ``y = mask * (reward + gamma * y_next)``, an affine step.
+    """
+    mask = F.col("mask")
+    rows = affine(df, traj, t, gamma * mask, mask * F.col("reward"), "_y", "_next")
+    rows = rows.withColumn("returns", F.col("reward") + gamma * F.col("_next")).drop("_y", "_next")
+    white = whiten(rows, "returns", mask, batch, "_white")
+    return white.withColumn("advantage", F.col("_white") * mask).drop("_white")
 
 
 def gae(df: DataFrame, gamma: float = 1.0, lam: float = 1.0, traj=("seq_id",), t: str = "t", batch=("step",)) -> DataFrame:
     """Generalised advantage estimate; mask-0 tokens hold the state of the token after them.
 
-    With gamma = lam = 1 the recursion telescopes to rewards-to-go minus the value and runs as a
-    window; other settings walk each array once in Arrow batches. Returns are advantage + value
-    before whitening, and the whitened advantage is not masked again.
+    With gamma = lam = 1 the recursion telescopes to rewards-to-go minus the value; other settings are
+    an affine step per token, the identity where the mask is off. Returns are advantage + value before
+    whitening, and the whitened advantage is not masked again.
     """
-    traj, batch = list(traj), list(batch)
+    on = F.col("mask") > 0
+    value, reward = F.col("value"), F.col("reward")
+    later = {"_after": F.when(on, value)}  # the value of the next token that is on
+    rows = by_position(df, t)
     if gamma == 1.0 and lam == 1.0:
-        ahead = _ahead(traj, t)
-        reward = F.sum(F.col("reward") * F.col("mask")).over(ahead)
-        held = F.last(F.when(F.col("mask") > 0, F.col("value")), ignorenulls=True).over(ahead)
-        rows = df.withColumn("_raw", reward - F.coalesce(held, F.lit(0.0)))
+        rows = running(rows, traj, [F.col(t)], ahead={"_sum": reward * F.col("mask")}, upcoming=later)
+        held = F.when(on, value).otherwise(F.coalesce("_after", F.lit(0.0)))
+        rows = rows.withColumn("_raw", F.col("_sum") - held).drop("_sum", "_after")
     else:
-        cells = F.array_sort(F.collect_list(F.struct(t, "reward", "value", "mask")))
-        pick = lambda c: F.transform("_c", lambda x: x[c])
-        arrays = df.groupBy(*batch, *traj).agg(cells.alias("_c"))
-        walked = arrays.withColumn("_a", recurrence.gae(pick("reward"), pick("value"), pick("mask"), gamma, lam))
-        rows = walked.select(*batch, *traj, F.explode(F.arrays_zip("_c", "_a")).alias("_z")).select(
-            *batch, *traj, f"_z._c.{t}", "_z._c.value", "_z._c.mask", F.col("_z._a").alias("_raw")
-        )
+        rows = running(rows, traj, [F.col(t)], upcoming=later)
+        delta = reward + gamma * F.coalesce("_after", F.lit(0.0)) - value
+        rows = affine(rows, traj, t, F.when(on, gamma * lam).otherwise(1.0), F.when(on, delta).otherwise(0.0), "_raw").drop("_after")
     rows = rows.withColumn("returns", F.col("_raw") + F.col("value"))
     return whiten(rows, "_raw", F.col("mask"), batch, "advantage").drop("_raw")
 
@@ -275,18 +255,12 @@ def token_baseline(
     ``packed`` counts positions over masked tokens only and leaves out trajectories without any.
     """
     traj, keys = list(traj), list(keys)
-    behind = _behind(traj, t)
     proxy = 1 - 2 * F.exp("old_lp") + F.col("sum_pi2")
     if weight:
         proxy = proxy * F.col(weight) * F.col(weight)
-    position = (F.sum("mask").over(behind) - 1) if packed else F.col(t)
-    rows = df.withColumns(
-        {
-            "returns": returns_to_go(df, traj=traj, t=t),
-            "_w": F.sum(proxy * F.col("mask")).over(behind),
-            "_pos": position.cast("bigint"),
-        }
-    )
+    sums = {"_w": proxy * F.col("mask")} | ({"_pos": F.col("mask").cast("bigint")} if packed else {})
+    rows = running(by_position(df, t), traj, [F.col(t)], behind=sums, ahead={"returns": F.col("reward") * F.col("mask")})
+    rows = rows.withColumn("_pos", F.col("_pos") - 1 if packed else F.col(t).cast("bigint"))
     on = rows.where(F.col("mask") > 0)
     lengths = rows.groupBy(*keys, *traj).agg(F.sum("mask").alias("_len"))
     if packed:
@@ -351,3 +325,14 @@ def assemble_scores(mask: Column, score: Column, empty: str = "skip") -> Column:
     if empty == "last":
         target = F.coalesce(target, F.size(mask) - 1)
     return F.transform(mask, lambda _, i: F.when(i == target, score).otherwise(F.lit(0.0)))
+
+
+def place_scores(
+    df: DataFrame, score: str = "score", mask: str = "mask", traj=("seq_id",), t: str = "t", empty: str = "skip", out: str = "token_score",
+) -> DataFrame:
+    """``assemble_scores`` on token rows: the score of the trajectory at its last valid token."""
+    rows = with_stats(df, list(traj), F.sum(mask).alias("_valid"), F.count(F.lit(1)).alias("_n"))
+    target = F.when(F.col("_valid") > 0, F.col("_valid") - 1)
+    if empty == "last":
+        target = F.coalesce(target, F.col("_n") - 1)
+    return rows.withColumn(out, F.when(F.col(t) == target, F.col(score)).otherwise(F.lit(0.0))).drop("_valid", "_n")

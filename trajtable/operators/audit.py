@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajtable.functions.divergence import clamp
 from trajtable.operators.masked import EPS, masked_mean, masked_sum
-from trajtable.plans.skew import ranked, with_stats
+from trajtable.plans.skew import largest, with_stats
 
 MODES = ("token-mean", "seq-mean-token-sum", "seq-mean-token-sum-norm", "seq-mean-token-mean")
 
@@ -93,9 +93,8 @@ def dppo(df: DataFrame, kind: str = "tv", low: float = 0.2, high: float = 0.2, c
 
 def gspo(df: DataFrame, low: float = 0.2, high: float = 0.2, traj=("seq_id",)):
     """One ratio per trajectory: exp of the mean log ratio, at most exp(10)."""
-    w = Window.partitionBy(*traj)
     x = _log_ratio(False)
-    rows = df.withColumn("_x", F.sum(x * mask()).over(w) / F.greatest(F.sum("mask").over(w), F.lit(1)))
+    rows = with_stats(df, traj, (F.sum(x * mask()) / F.greatest(F.sum("mask"), F.lit(1))).alias("_x"))
     ratio = F.exp(F.least(F.col("_x"), F.lit(10.0)))
     free, clipped = -adv() * ratio, -adv() * clamp(ratio, 1 - low, 1 + high)
     shares = {"clipfrac": clipped > free, "kl": -x}
@@ -142,10 +141,10 @@ def clip_cov(
     rows = _covariance(df, batch)
     eligible = (mask() > 0) & ~(clipped > free) & (F.col("_cov") > lb) & (F.col("_cov") < ub)
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), *traj, t))
-    chosen = ranked(
-        rows.where(eligible).select(*batch, *traj, t, "_n", draw.alias("_draw")),
-        batch, [F.col("_draw")], out="_rank",
-    ).where(F.col("_rank") <= F.greatest(F.floor(F.col("_n") * ratio), F.lit(1)))
+    # the smallest draws: their first 52 bits as a number, then the text
+    number = -F.conv(F.substring("_draw", 1, 13), 16, 10).cast("double")
+    candidates = rows.where(eligible).select(*batch, *traj, t, "_n", draw.alias("_draw")).withColumn("_number", number)
+    chosen = largest(candidates, batch, "_number", F.greatest(F.floor(F.max("_n") * ratio), F.lit(1)), [F.col("_draw")])
     marked = rows.join(chosen.select(*batch, *traj, t, F.lit(0.0).alias("_zero")), [*batch, *traj, t], "left")
     factor = F.coalesce(F.col("_zero"), F.lit(1.0))
     shares = {"clipfrac": factor == 0, "kl": -x}
@@ -158,10 +157,8 @@ def kl_cov(
     """The share of valid tokens with the largest covariance gets coef * abs(log ratio) on top."""
     x = _log_ratio(False)
     rows = _covariance(df, batch)
-    top = ranked(
-        rows.where(mask() > 0).select(*batch, *traj, t, "_n", "_cov"),
-        batch, [F.col("_cov").desc(), *map(F.col, traj), F.col(t)], out="_rank",
-    ).where(F.col("_rank") <= F.greatest(F.floor(F.col("_n") * ratio), F.lit(1)))
+    valid = rows.where(mask() > 0).select(*batch, *traj, t, "_n", "_cov")
+    top = largest(valid, batch, "_cov", F.greatest(F.floor(F.max("_n") * ratio), F.lit(1)), [*map(F.col, traj), F.col(t)])
     marked = rows.join(top.select(*batch, *traj, t, F.lit(1.0).alias("_big")), [*batch, *traj, t], "left")
     loss = -adv() * F.exp(x) + F.coalesce(F.col("_big"), F.lit(0.0)) * coef * F.abs(x)
     return reduce_audit(marked, loss, {"kl": F.abs(x)}, mode, traj=traj, batch=batch)

@@ -1,7 +1,7 @@
 """Off-policy correction on token rows: weights, rejection masks and drift metrics.
 
-``log_ratio = old_lp - rollout_lp``. Per-trajectory statistics are windows over one trajectory;
-batch metrics are two aggregations, trajectory then step.
+``log_ratio = old_lp - rollout_lp``. Per-trajectory statistics are aggregates that are joined back to the
+tokens; batch metrics are two aggregations, trajectory then step, and do not go back to the tokens.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajtable.functions.divergence import clamp
@@ -49,10 +49,6 @@ def with_log_ratio(df: DataFrame) -> DataFrame:
     return df.withColumn(LR, F.col("old_lp") - F.col("rollout_lp"))
 
 
-def _over(traj: Sequence[str]) -> Window:
-    return Window.partitionBy(*traj)
-
-
 def is_weights(
     df: DataFrame, level: str = "token", threshold: str | float = 2.0, normalise: bool = False,
     traj=("seq_id",), batch=("step",), out: str = "is_weight",
@@ -66,10 +62,11 @@ def is_weights(
     low, high = limits(threshold)
     mask = F.col("mask")
     rows = with_log_ratio(df)
-    exponent = F.col(LR) if level == "token" else F.sum(F.col(LR) * mask).over(_over(traj))
-    rows = rows.withColumn("raw_log", exponent).withColumn(
-        "raw_weight", F.exp(clamp(F.col("raw_log"), -BOUND, BOUND)) * mask
-    )
+    if level == "token":
+        rows = rows.withColumn("raw_log", F.col(LR))
+    else:
+        rows = with_stats(rows.drop("raw_log"), traj, F.sum(F.col(LR) * mask).alias("raw_log"))
+    rows = rows.withColumn("raw_weight", F.exp(clamp(F.col("raw_log"), -BOUND, BOUND)) * mask)
     raw = F.col("raw_weight")
     weight = F.least(raw, F.lit(high)) if low is None else F.when((raw >= low) & (raw <= high), raw).otherwise(0.0)
     rows = rows.withColumn(out, weight)
@@ -142,20 +139,25 @@ def is_metrics(
     return per_row.groupBy(*batch).agg(*[c.alias(f"rollout_is_{k}") for k, c in out.items()])
 
 
-def _statistic(option: str, traj: Sequence[str]) -> Column:
-    """The divergence an option looks at, as a value on every token."""
+def _divergence(option: str) -> Column:
+    """The divergence of one token that an option looks at."""
     x = clamp(F.col(LR), -BOUND, BOUND)
-    token = {"k1": -x, "k2": 0.5 * x * x, "k3": F.exp(x) - 1.0 - x}[option[-2:]]
-    if option in TOKEN_OPTIONS:
-        return token
-    on = F.when(F.col("mask") > 0, token)
-    w = _over(traj)
-    total = F.coalesce(F.sum(on).over(w), F.lit(0.0))
+    return {"k1": -x, "k2": 0.5 * x * x, "k3": F.exp(x) - 1.0 - x}[option[-2:]]
+
+
+def _statistic(option: str) -> Column:
+    """The statistic of a trajectory that an option looks at, as an aggregate of its tokens."""
+    on = F.when(F.col("mask") > 0, _divergence(option))
+    total = F.coalesce(F.sum(on), F.lit(0.0))
     if option.startswith("seq_sum"):
         return total
     if option.startswith("seq_mean"):
-        return total / (F.sum("mask").over(w) + EPS)
-    return F.coalesce(F.max(on).over(w), F.lit(0.0))
+        return total / (F.sum("mask") + EPS)
+    return F.coalesce(F.max(on), F.lit(0.0))
+
+
+def _kept(value: Column, low: float | None, high: float) -> Column:
+    return value <= high if low is None else (value <= high) & (value >= low)
 
 
 def rejection_limits(options: Mapping[str, str | float]) -> dict[str, tuple[float | None, float]]:
@@ -175,38 +177,55 @@ def rejection_limits(options: Mapping[str, str | float]) -> dict[str, tuple[floa
 def reject(df: DataFrame, options: Mapping[str, str | float], traj=("seq_id",)) -> DataFrame:
     """Attach ``stat_<option>`` and ``keep_<option>`` per option and the combined ``new_mask``."""
     bounds = rejection_limits(options)
-    rows = with_log_ratio(df).withColumns({f"stat_{o}": _statistic(o, traj) for o in bounds})
+    rows = with_log_ratio(df)
+    whole = [_statistic(o).alias(f"stat_{o}") for o in bounds if o in SEQUENCE_OPTIONS]
+    if whole:
+        rows = with_stats(rows.drop(*[f"stat_{o}" for o in bounds]), traj, *whole)
+    rows = rows.withColumns({f"stat_{o}": _divergence(o) for o in bounds if o in TOKEN_OPTIONS})
     keep = F.lit(True)
     for o, (low, high) in bounds.items():
-        ok = F.col(f"stat_{o}") <= high
-        if low is not None:
-            ok = ok & (F.col(f"stat_{o}") >= low)
+        ok = _kept(F.col(f"stat_{o}"), low, high)
         rows = rows.withColumn(f"keep_{o}", ok)
         keep = keep & ok
     return rows.withColumn("new_mask", F.when(keep, F.col("mask")).otherwise(0))
 
 
 def rs_metrics(df: DataFrame, options: Mapping[str, str | float], traj=("seq_id",), batch=("step",)) -> DataFrame:
-    """Masked fractions and statistics for every option, one row per batch."""
+    """Masked fractions and statistics for every option, one row per batch.
+
+    The tokens are read once: a trajectory's own statistics count for all its tokens.
+    """
     bounds = rejection_limits(options)
-    rows = reject(df, options, traj)
-    on = F.col("mask") > 0
-    inner = [F.sum("mask").alias("n"), F.count(F.when(on & (F.col("new_mask") == 0), 1)).alias("gone")]
+    mask, on = F.col("mask"), F.col("mask") > 0
+    tokens_kept = F.lit(True)
+    inner = [F.sum("mask").alias("n")]
     for o, (low, high) in bounds.items():
-        s = F.col(f"stat_{o}")
+        if o in SEQUENCE_OPTIONS:
+            inner.append(_statistic(o).alias(f"any_{o}"))
+            continue
+        s = _divergence(o)
         c = clamp(s, 0.0 if low is None else low, high)
+        tokens_kept = tokens_kept & _kept(s, low, high)
         inner += [
-            masked_sum(s, F.col("mask")).alias(f"s_{o}"),
-            masked_sum(c, F.col("mask")).alias(f"c_{o}"),
-            masked_sum(c * c, F.col("mask")).alias(f"c2_{o}"),
-            F.max(F.when(on, s)).alias(f"top_{o}"),
-            F.min(F.when(on, s)).alias(f"bottom_{o}"),
-            F.first(s).alias(f"any_{o}"),
+            masked_sum(s, mask).alias(f"s_{o}"), masked_sum(c, mask).alias(f"c_{o}"), masked_sum(c * c, mask).alias(f"c2_{o}"),
+            F.max(F.when(on, s)).alias(f"top_{o}"), F.min(F.when(on, s)).alias(f"bottom_{o}"),
             F.count(F.when(on & (s > high), 1)).alias(f"above_{o}"),
             F.count(F.when(on & (s < (0.0 if low is None else low)), 1)).alias(f"below_{o}"),
-            F.count(F.when(on & ~F.col(f"keep_{o}"), 1)).alias(f"gone_{o}"),
+            F.count(F.when(on & ~_kept(s, low, high), 1)).alias(f"gone_{o}"),
         ]
-    per_row = rows.groupBy(*batch, *traj).agg(*inner)
+    inner += [F.count(F.when(on, 1)).alias("on"), F.count(F.when(on & ~tokens_kept, 1)).alias("gone")]
+    rows = with_log_ratio(df).groupBy(*batch, *traj).agg(*inner)
+    whole_kept = F.lit(True)
+    for o, (low, high) in bounds.items():
+        if o in SEQUENCE_OPTIONS:
+            s = F.col(f"any_{o}")
+            c = clamp(s, 0.0 if low is None else low, high)
+            whole_kept = whole_kept & _kept(s, low, high)
+            rows = rows.withColumns({
+                f"s_{o}": s * F.col("on"), f"c_{o}": c * F.col("on"), f"c2_{o}": c * c * F.col("on"),
+                f"gone_{o}": F.when(_kept(s, low, high), 0).otherwise(F.col("on")),
+            })
+    per_row = rows.withColumn("gone", F.when(whole_kept, F.col("gone")).otherwise(F.col("on")))
     total, valid = F.sum("n") + EPS, F.col("n") > 0
     share = lambda cond: F.coalesce(F.avg(F.when(valid, cond.cast("double"))), F.lit(0.0))
     out = [

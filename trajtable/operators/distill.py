@@ -114,6 +114,33 @@ def attach_masks(df: DataFrame, teacher: str, response: str, actions: str | None
     )
 
 
+def attach_rows(
+    df: DataFrame, masks: DataFrame, exported: DataFrame, actions: DataFrame | None = None, traj=("seq_id",), t: str = "t",
+    token: str = "tok", mask: str = "mask",
+) -> DataFrame:
+    """``attach_masks`` on token rows.
+
+    ``masks`` holds (traj, t, flag) of exported teacher masks, which may be shorter or longer than the
+    response, ``exported`` a row for each trajectory that has one: a trajectory without is an error.
+    ``actions`` holds (traj, t, id, lp, flag) of draft actions.
+    """
+    traj = list(traj)
+    there = exported.select(*traj, F.lit(True).alias("_known")).distinct()
+    rows = df.join(there, traj, "left")
+    checked = F.when(F.col("_known").isNull(), F.raise_error(F.lit("a row has no teacher mask")).cast("int"))
+    rows = rows.withColumn("_ok", checked.otherwise(1)).join(masks.select(*traj, t, F.col("flag").alias("_raw")), [*traj, t], "left")
+    on = F.col(mask) > 0
+    rows = rows.withColumn("teacher_mask", F.when((F.col("_ok") > 0) & (F.col("_raw") > 0) & on, 1).otherwise(0)).drop("_known", "_ok", "_raw")
+    if actions is None:
+        return rows
+    given = actions.select(*traj, t, F.col("id").alias("_id"), F.col("lp").alias("_lp"), F.col("flag").alias("_act"))
+    rows = rows.join(given, [*traj, t], "left").withColumn("action_mask", F.when((F.col("_act") > 0) & on, 1).otherwise(0))
+    taken = F.col("action_mask") > 0
+    return rows.withColumns({
+        "action_id": F.when(taken, F.col("_id")).otherwise(F.col(token)), "action_lp": F.when(taken, F.col("_lp")).otherwise(F.lit(0.0)),
+    }).drop("_id", "_lp", "_act")
+
+
 def mixed_objective(
     df: DataFrame, teacher_loss: str = "rkl", action: str = "emitted", coef: float = 1.0, max_clamp: float | None = None,
     low: float = 0.2, high: float = 0.2, c: float = 3.0, mode: str = "token-mean", traj=("seq_id",), batch=("step",),

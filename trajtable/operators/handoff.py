@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trajtable.plans.skew import by_position, materialise, ranked, running
+
 # fixed values: token texts that mark a change of mind
 REFLECTION_MARKERS = (
     "Wait", " Wait", "wait", " wait", "But", " But", "but", " but",
@@ -59,47 +61,114 @@ def first_triggers(df: DataFrame, traj: Sequence[str], t: str = "t", flag: str =
     ).withColumn("student_tokens", F.coalesce("first_trigger", "n_tokens").cast("bigint"))
 
 
-def legs(
+def _chain(df: DataFrame, traj: Sequence[str], paragraphs: int, cap: int, t: str, flag: str, boundary: str) -> DataFrame:
+    """Triggers that open a leg, numbered from 1 in a trajectory: ``start``, ``end`` and the number of the ``next``
+    trigger after the end. Ends and followers are found by running counts and joins on positions."""
+    rows = df.select(*traj, F.col(t).cast("bigint").alias("t"), F.col(flag).alias("_f"), F.col(boundary).alias("_b"))
+    left = F.lit(paragraphs) - F.when(F.col("_b"), 1).otherwise(0)
+    counts = {"_nb": F.col("_b").cast("bigint"), "_nt": (F.col("_f") & (left > 0)).cast("bigint")}
+    rows = materialise(running(by_position(rows, "t"), traj, [F.col("t")], behind=counts))
+    opened = rows.where(F.col("_f") & (left > 0)).select(*traj, F.col("_nt").alias("i"), F.col("t").alias("start"), (F.col("_nb") + left).alias("_want"))
+    bounds = rows.where("_b").select(*traj, F.col("_nb").alias("_want"), F.col("t").alias("_at"))
+    last = F.col("start") + cap
+    opened = opened.join(bounds, [*traj, "_want"], "left").withColumn("end", F.least(F.coalesce("_at", last), last)).drop("_want", "_at")
+    passed = rows.select(*traj, F.col("t").alias("end"), (F.col("_nt") + 1).alias("next"))
+    return opened.join(passed, [*traj, "end"], "left")
+
+
+def _entries(maps: DataFrame, traj: Sequence[str], fold: int = 512) -> DataFrame:
+    """Where the walk enters each piece, as an offset or -1; the first piece is entered at 0.
+
+    ``map`` tells for every offset at which a piece may be entered the offset in the next piece. Maps compose
+    to maps: those of ``fold`` pieces become one, which are scanned in the same way.
+    """
+    step = lambda m, x: F.when(x < 0, -1).otherwise(F.coalesce(F.get(m, x), F.lit(-1)))
+    groups = maps.groupBy(*traj, F.floor(F.col("piece") / fold).cast("bigint").alias("_g")).agg(F.array_sort(F.collect_list(F.struct("piece", "map"))).alias("_m"))
+    groups = materialise(groups)
+    if groups.agg(F.max("_g")).first()[0]:
+        widest = F.aggregate("_m", F.lit(0), lambda n, m: F.greatest(n, F.size(m["map"])))
+        whole = F.aggregate("_m", F.sequence(F.lit(0), widest - 1), lambda at, m: F.transform(at, lambda x: step(m["map"], x)))
+        above = _entries(groups.select(*traj, F.col("_g").alias("piece"), whole.alias("map")), traj, fold)
+        groups = groups.join(above.select(*traj, F.col("piece").alias("_g"), F.col("entry").alias("_from")), [*traj, "_g"])
+    else:
+        groups = groups.withColumn("_from", F.lit(0))
+    start = F.struct(F.col("_from").alias("at"), F.array().cast("array<struct<piece:bigint,entry:int>>").alias("out"))
+    walked = F.aggregate(
+        "_m", start,
+        lambda s, m: F.struct(step(m["map"], s["at"]).alias("at"), F.concat(s["out"], F.array(F.struct(m["piece"].alias("piece"), s["at"].alias("entry")))).alias("out")),
+    )
+    return groups.select(*traj, F.inline(walked["out"]))
+
+
+def leg_rows(
     df: DataFrame, traj: Sequence[str], paragraphs: int, max_legs: int, cap: int = TOKEN_CAP, t: str = "t",
-    flag: str = "trigger", boundary: str = "boundary",
+    flag: str = "trigger", boundary: str = "boundary", size: int = 512,
 ) -> DataFrame:
-    """Teacher legs per trajectory under a paragraph budget and a limit on legs.
+    """One row per teacher leg: ``leg`` from 1, ``start``, ``end`` and whether it is ``complete``.
 
     A trigger opens a leg: its token plus the following ones until ``paragraphs`` boundaries or
     ``cap`` further tokens. Triggers inside a leg do nothing. Finished legs are counted and the
-    trajectory stops after the ``max_legs``-th. With 0 paragraphs every trigger is a one-token leg.
-    A trigger token that itself uses up the budget opens no leg and is not counted.
+    trajectory stops after the ``max_legs``-th (0: never). With 0 paragraphs every trigger is a one-token
+    leg. A trigger token that itself uses up the budget opens no leg and is not counted. Positions
+    count from 0 without gaps.
+
+    A leg passes over at most ``cap`` triggers, so a piece of consecutive triggers is entered at one
+    of its first ``cap`` + 1, whatever came before: a small table gives for each of these where the next
+    piece is entered. The tables are composed, and then every piece is walked on its own.
     """
-    pos = lambda c: F.array_sort(F.collect_list(F.when(F.col(c), F.col(t).cast("int"))))
-    rows = df.groupBy(*traj).agg(
-        pos(flag).alias("_t"), pos(boundary).alias("_b"), F.count(F.lit(1)).cast("int").alias("n_tokens")
-    )
-    state = "struct<last:int,done:int,stop:int,legs:array<struct<start:int,end:int,complete:boolean>>>"
-    start = F.struct(F.lit(-1).alias("last"), F.lit(0).alias("done"), F.lit(None).cast("int").alias("stop"), F.array().alias("legs")).cast(state)
-    limit = F.lit(max_legs)
-
-    def step(s: Column, x: Column) -> Column:
-        left = F.lit(paragraphs) - F.when(F.array_contains("_b", x), 1).otherwise(0)
-        if paragraphs <= 0:
-            end, opens = x, F.lit(True)
+    traj = list(traj)
+    ends = df.groupBy(*traj).agg(F.count(F.lit(1)).cast("bigint").alias("_n"))
+    if paragraphs <= 0:
+        taken = df.where(F.col(flag)).select(*traj, F.col(t).cast("bigint").alias("start"), F.col(t).cast("bigint").alias("end"))
+    else:
+        size = max(size, cap + 1)
+        chain = _chain(df, traj, paragraphs, cap, t, flag, boundary)
+        piece = F.floor((F.col("i") - 1) / size).cast("bigint").alias("piece")
+        steps = F.array_sort(F.collect_list(F.struct("i", "start", "end", "next"))).alias("_s")
+        pieces = materialise(chain.groupBy(*traj, piece).agg(steps))
+        first = F.col("piece") * size  # triggers before the piece
+        if pieces.agg(F.max("piece")).first()[0]:
+            def leave(later: Column, s: Column) -> Column:
+                """Put the way out of a trigger in front of those of the triggers after it."""
+                to = (s["next"] - 1 - first).cast("int")
+                inside = F.coalesce(F.get(later, to - (s["i"] - first).cast("int")), F.lit(-1))
+                return F.concat(F.array(F.when(to.isNull(), -1).when(to >= size, to - size).otherwise(inside)), later)
+
+            out = F.aggregate(F.reverse("_s"), F.array().cast("array<int>"), leave)
+            entries = _entries(pieces.select(*traj, "piece", F.slice(out, 1, cap + 1).alias("map")), traj)
+            pieces = pieces.join(entries, [*traj, "piece"])
         else:
-            ahead = F.filter("_b", lambda b: b > x)
-            end = F.least(F.coalesce(F.get(ahead, left - 1), x + cap), x + cap)
-            opens = left > 0
-        complete = end < F.col("n_tokens")
-        done = s.done + F.when(complete, 1).otherwise(0)
-        stop = F.when(complete & (limit > 0) & (done >= limit), end + 1)
-        leg = F.struct(x.alias("start"), F.least(end, F.col("n_tokens") - 1).alias("end"), complete.alias("complete"))
-        taken = F.struct(end.alias("last"), done.alias("done"), stop.alias("stop"), F.concat(s.legs, F.array(leg)).alias("legs")).cast(state)
-        skip = (x <= s.last) | s.stop.isNotNull() | ~opens
-        return F.when(skip, s).otherwise(taken)
-
-    walked = rows.withColumn("_s", F.aggregate("_t", start, step))
-    length = F.aggregate("_s.legs", F.lit(0), lambda a, g: a + g.end - g.start + 1)
-    return walked.select(
-        *traj, "n_tokens", F.col("_s.legs").alias("legs"), F.size("_s.legs").alias("n_legs"),
-        F.col("_s.done").alias("completed"), F.col("_s.stop").alias("stop_pos"), length.alias("teacher_tokens"),
+            pieces = pieces.withColumn("entry", F.lit(0))
+        state = "struct<at:bigint,legs:array<struct<start:bigint,end:bigint>>>"
+        here = F.when(F.col("entry") >= 0, first + F.col("entry") + 1).otherwise(0)
+
+        def walk(s: Column, x: Column) -> Column:
+            leg = F.array(F.struct(x["start"].alias("start"), x["end"].alias("end")))
+            moved = F.struct(F.coalesce(x["next"], F.lit(0)).alias("at"), F.concat(s["legs"], leg).alias("legs")).cast(state)
+            return F.when(x["i"] == s["at"], moved).otherwise(s)
+
+        walked = F.aggregate("_s", F.struct(here.alias("at"), F.array().alias("legs")).cast(state), walk)
+        taken = pieces.select(*traj, F.inline(walked["legs"]))
+    taken = running(by_position(taken, "start"), traj, [F.col("start")], behind={"leg": F.lit(1).cast("bigint")})
+    if max_legs > 0:
+        taken = taken.where(F.col("leg") <= max_legs)
+    taken = taken.join(ends, traj)
+    return taken.select(*traj, "leg", "start", F.least("end", F.col("_n") - 1).alias("end"), (F.col("end") < F.col("_n")).alias("complete"))
+
+
+def legs(
+    df: DataFrame, traj: Sequence[str], paragraphs: int, max_legs: int, cap: int = TOKEN_CAP, t: str = "t",
+    flag: str = "trigger", boundary: str = "boundary", size: int = 512,
+) -> DataFrame:
+    """Legs (see ``leg_rows``) counted per trajectory: n_legs, completed, stop_pos and teacher_tokens."""
+    traj = list(traj)
+    found = leg_rows(df, traj, paragraphs, max_legs, cap, t, flag, boundary, size).groupBy(*traj).agg(
+        F.count(F.lit(1)).cast("int").alias("n_legs"), F.count(F.when(F.col("complete"), 1)).cast("int").alias("completed"),
+        F.max(F.when((F.col("leg") == max_legs) & F.col("complete"), F.col("end") + 1)).cast("int").alias("stop_pos"),
+        F.sum(F.col("end") - F.col("start") + 1).cast("int").alias("teacher_tokens"),
     )
+    counts = df.groupBy(*traj).agg(F.count(F.lit(1)).cast("int").alias("n_tokens"))
+    return counts.join(found, traj, "left").fillna(0, ["n_legs", "completed", "teacher_tokens"])
 
 
 def stops(df: DataFrame, traj: Sequence[str], k: int, stop_id: int, t: str = "t", flag: str = "trigger") -> DataFrame:
@@ -148,6 +217,18 @@ def trace_tokens(events: DataFrame, generations: DataFrame) -> DataFrame:
     )
 
 
+def events_per_generation(events: DataFrame, generations: DataFrame) -> DataFrame:
+    """Events of each generation that has any: how many, the last, and how many lie inside the generation.
+
+    One join and one aggregate by request; without a shuffle where both tables are stored in equal buckets.
+    """
+    rows = events.join(generations.select("request_id", "gen_len").hint("merge"), "request_id")
+    return rows.groupBy("request_id", "gen_len").agg(
+        F.count(F.lit(1)).alias("n_events"), F.max("event_no").alias("last_event"),
+        F.count(F.when(F.col("response_pos") < F.col("gen_len"), 1)).alias("inside"),
+    )
+
+
 def teacher_masks(trace: DataFrame, generations: DataFrame) -> DataFrame:
     """One row per generation with its 0/1 teacher mask (all 0 without events).
 
@@ -165,10 +246,12 @@ def teacher_masks(trace: DataFrame, generations: DataFrame) -> DataFrame:
 
 
 def running_positions(chunks: DataFrame, request: str, order: Sequence[str], token: str, vocab_size: int) -> DataFrame:
-    """Number the valid tokens of a request across its chunks; placeholders and unknown ids are skipped."""
+    """Number the valid tokens of a request across its chunks; placeholders and unknown ids are skipped.
+
+    ``order`` must be total within a request.
+    """
     valid = chunks.where((F.col(token) >= 0) & (F.col(token) < vocab_size))
-    w = Window.partitionBy(request).orderBy(*order)
-    return valid.withColumn("response_pos", (F.row_number().over(w) - 1).cast("bigint"))
+    return ranked(valid, [request], [F.col(c) for c in order], out="_rank").withColumn("response_pos", F.col("_rank") - 1).drop("_rank")
 
 
 def earliest_stop(events: DataFrame, request: str = "request_id") -> DataFrame:
@@ -200,6 +283,28 @@ def strip_stop(df: DataFrame, ids: str = "tokens") -> DataFrame:
     )
 
 
+def stop_summary(tokens: DataFrame, stops: DataFrame, traj: Sequence[str], t: str = "t", token: str = "tok") -> DataFrame:
+    """``strip_stop`` on rows: per row of ``stops``, whether its stop is removed and how many tokens stay.
+
+    ``stops`` has one row per trajectory with ``response_pos``, ``internal_stop_token_id`` and
+    ``finish_reason``; a trajectory without tokens has length 0. The tokens that stay are those with
+    ``t < gen_len``.
+    """
+    traj = list(traj)
+    seen = tokens.join(stops.select(*traj, "response_pos"), traj).groupBy(*traj).agg(
+        F.count(F.lit(1)).cast("int").alias("raw_gen_len"), F.max(F.when(F.col(t) == F.col("response_pos"), F.col(token))).alias("_there")
+    )
+    rows = stops.join(seen, traj, "left").withColumn("raw_gen_len", F.coalesce("raw_gen_len", F.lit(0)))
+    pos, n = F.col("response_pos"), F.col("raw_gen_len")
+    same = F.col("internal_stop_token_id").isNull() | (F.col("_there") == F.col("internal_stop_token_id"))
+    inside = F.coalesce((pos >= 0) & (pos < n) & same, F.lit(False))
+    removed = F.coalesce(inside | (pos == n), F.lit(False))
+    return rows.select(
+        *traj, "raw_gen_len", F.when(inside, pos).otherwise(n).cast("int").alias("gen_len"), removed.alias("removed"),
+        F.when(removed, "trigger_stop").otherwise(F.col("finish_reason")).alias("finish_reason"), (pos.isNotNull() & ~removed).alias("mismatch"),
+    )
+
+
 def trim_trace(df: DataFrame, keep: str = "keep_len") -> DataFrame:
     """Drop mask entries, positions, tokens and events at or beyond ``keep_len``."""
     inside = F.filter(F.arrays_zip("positions", "tokens"), lambda x: (x.positions >= 0) & (x.positions < F.col(keep)))

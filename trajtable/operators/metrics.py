@@ -267,6 +267,11 @@ def token_diff_count(a: Column, b: Column, mask: Column) -> Column:
     return F.aggregate(flags, F.lit(0), lambda s, x: s + x).cast("bigint")
 
 
+def token_diff_rows(df: DataFrame, a: Column, b: Column, mask: Column, traj: Sequence[str]) -> DataFrame:
+    """``token_diff_count`` on token rows: one count per trajectory."""
+    return df.groupBy(*traj).agg(F.count(F.when((a != b) & (mask == 1), 1)).alias("diff"))
+
+
 def spec_decode(df: DataFrame, batch=("step",), padding: str | None = None) -> DataFrame:
     """Mean accept rate and accept length per request; zero denominators count as 0."""
     rows = df.where(~F.col(padding)) if padding else df

@@ -247,6 +247,12 @@ def eos_mask(ids: Column, eos: Sequence[int]) -> Column:
     return F.transform(ids, lambda _, i: F.when(first.isNull() | (i < first), 1).otherwise(0))
 
 
+def eos_rows(df: DataFrame, eos: Sequence[int], traj: Sequence[str], t: str = "t", token: str = "tok") -> DataFrame:
+    """``eos_mask`` on token rows: 1 up to and including the first end token of the trajectory."""
+    rows = with_stats(df, traj, F.min(F.when(F.col(token).isin(*eos), F.col(t))).alias("_eos"))
+    return rows.withColumn("eos_mask", F.when(F.col("_eos").isNull() | (F.col(t) <= F.col("_eos")), 1).otherwise(0)).drop("_eos")
+
+
 def aligned_teacher(values: Column, teacher_prompt: Column, response: Column, prompt: Column) -> Column:
     """Teacher values that predict the response: positions [prompt - 1, prompt - 1 + response)."""
     p, r = F.size(teacher_prompt), F.size(response)

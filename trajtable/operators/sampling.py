@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajtable.plans.skew import with_stats
+from trajtable.plans.skew import by_sort, running, with_stats
 
 
 def canonical(value: Column, kind: str = "map") -> Column:
@@ -29,7 +29,10 @@ def uniform(draw: Column) -> Column:
 
 
 def first_rows(df: DataFrame, n: int, order: str) -> DataFrame:
-    """First n rows by a stored position: each task keeps its own first n."""
+    """First n rows by a stored position: each task keeps its own first n, and these meet in one task.
+
+    For a large n, number the rows with ``skew.positions`` and filter.
+    """
     return df.orderBy(order).limit(n)
 
 
@@ -38,7 +41,7 @@ def _lowest(df: DataFrame, n: int, draw: Column, key: Column) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, key: Column) -> DataFrame:
-    """n rows without replacement in a seeded order."""
+    """n rows without replacement in a seeded order; n of every task meet in one (see ``first_rows``)."""
     return _lowest(df, n, seeded(seed, key), key)
 
 
@@ -111,19 +114,10 @@ def resample(
     rows = with_stats(df, batch, F.max(score).alias("_top"), F.min(score).alias("_bottom"))
     weight = resample_weights(F.col(score), method, power, F.col("_top"), F.col("_bottom"))
     # decimals add up exactly, so neighbouring rows agree on the edge between them
-    rows = rows.withColumn("_w", weight.cast("decimal(20,10)"))
-    block = seeded(seed, *map(F.col, ids))
-    rows = rows.withColumn("_draw", block).withColumn("_block", F.substring("_draw", 1, 3))
-    # cumulative weight inside 4096 blocks per batch, shifted by the blocks before
-    inside = Window.partitionBy(*batch, "_block").orderBy("_draw", *ids).rowsBetween(Window.unboundedPreceding, 0)
-    totals = rows.groupBy(*batch, "_block").agg(F.sum("_w").alias("_bw"), F.count(F.lit(1)).alias("_bn"))
-    earlier = Window.partitionBy(*batch).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*batch)
-    totals = totals.select(
-        *batch, "_block", F.coalesce(F.sum("_bw").over(earlier), F.lit(0).cast("decimal(38,10)")).alias("_before"),
-        F.sum("_bw").over(whole).alias("_total"), F.sum("_bn").over(whole).alias("_n"),
-    )
-    rows = rows.withColumn("_cum", F.sum("_w").over(inside)).join(totals, [*batch, "_block"])
+    rows = rows.withColumns({"_w": weight.cast("decimal(20,10)"), "_draw": seeded(seed, *map(F.col, ids))})
+    order = [F.col("_draw"), *map(F.col, ids)]
+    rows = running(by_sort(rows, batch, order), batch, order, behind={"_cum": F.col("_w")})
+    rows = with_stats(rows, batch, F.max("_cum").alias("_total"), F.count(F.lit(1)).alias("_n"))
     unit = F.col("_total").cast("double") / F.col("_n")
     edge = lambda c: F.least(c.cast("double") / unit, F.col("_n").cast("double"))
     # number of draws below a point: whole strata, plus the one the point falls in if its draw is lower
@@ -132,9 +126,9 @@ def resample(
         mark = uniform(seeded(seed, *map(F.col, batch), stratum))
         return stratum + F.when(mark < point - stratum, 1).otherwise(0)
 
-    after, before = edge(F.col("_before") + F.col("_cum")), edge(F.col("_before") + F.col("_cum") - F.col("_w"))
+    after, before = edge(F.col("_cum")), edge(F.col("_cum") - F.col("_w"))
     rows = rows.withColumn("copies", (drawn_below(after) - drawn_below(before)).cast("int"))
-    helpers = ["_top", "_bottom", "_w", "_draw", "_block", "_cum", "_before", "_total", "_n"]
+    helpers = ["_top", "_bottom", "_w", "_draw", "_cum", "_total", "_n"]
     return rows.drop(*helpers).where(F.col("copies") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
 
 

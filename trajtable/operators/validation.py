@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajtable.functions import resample
-from trajtable.plans.skew import join_on, materialise, ranked, spread, with_stats
+from trajtable.plans.skew import by_sort, join_on, materialise, ranked, running, spread, with_stats
 
 
 def rows_n() -> Column:
@@ -99,20 +99,19 @@ def point_metrics(df: DataFrame, variables: Sequence[str], keys=("data_source",
 
 
 def bootstrap_metrics(
-    df: DataFrame, variables: Sequence[str], index: str, pred: str | None = "pred", keys=("data_source", "uid"), seed: int = 42, rounds: int = 1000,
+    df: DataFrame, variables: Sequence[str], pred: str | None = "pred", keys=("data_source", "uid"), seed: int = 42, rounds: int = 1000,
 ) -> DataFrame:
     """best, worst and maj of m samples drawn with replacement, m = 2, 4, 8, ... and n, per prompt.
 
     One rule for every number of samples. Best and worst are the mean and deviation over all draws, in
-    closed form from the ranks. The majority is resampled ``rounds`` times; the draws depend on the
-    seed, n and m alone (md5), ties go to the answer drawn first.
+    closed form from the ranks of the values. The majority is resampled ``rounds`` times on the counts
+    of the answers; the value is that of a random row with the winning answer. Answers drawn equally
+    often win with equal chances. Prompts with one sample give no rows.
     """
     keys = list(keys)
-    rows = ranked(df.select(*keys, index, *variables, *([pred] if pred else [])), keys, [F.col(index)], out="_i")
-    rows = with_stats(rows, keys, rows_n().alias("n")).where(F.col("n") > 1)
-    parts = [extremes(rows, v, keys) for v in variables]
+    parts = [extremes(df, variables, keys)]
     if pred is not None:
-        parts.append(resampled_majority(rows, variables, pred, keys, seed, rounds))
+        parts.append(resampled_majority(df, variables, pred, keys, seed, rounds))
     return reduce(lambda x, y: x.unionByName(y), parts)
 
 
@@ -122,92 +121,68 @@ def resample_sizes(n: Column) -> Column:
     return F.concat(F.filter(powers, lambda s: s < n), F.array(n))
 
 
-def moment_rows(moments: DataFrame, keys: Sequence[str], kinds: dict[str, str], variable: Column) -> DataFrame:
-    """Metric rows from columns ``<name>_1`` and ``<name>_2`` (first and second moment) per key and size."""
+def moment_cells(variable: Column, kinds: dict[str, tuple[Column, Column]]) -> Column:
+    """Metric rows from the first and second moment of each kind, by the column ``size``."""
     cells = []
-    for name, kind in kinds.items():
+    for kind, (one, two) in kinds.items():
         label = F.concat(F.lit(f"{kind}@"), F.col("size").cast("string"))
-        std = F.sqrt(F.greatest(F.col(f"{name}_2") - F.col(f"{name}_1") * F.col(f"{name}_1"), F.lit(0.0)))
-        cells.append(F.struct(F.concat(label, F.lit("/mean")).alias("metric"), F.col(f"{name}_1").alias("value")))
-        cells.append(F.struct(F.concat(label, F.lit("/std")).alias("metric"), std.alias("value")))
-    return moments.select(*keys, variable.alias("variable"), F.inline(F.array(*cells)))
+        std = F.sqrt(F.greatest(two - one * one, F.lit(0.0)))
+        for moment, value in (("mean", one), ("std", std)):
+            cells.append(F.struct(variable.alias("variable"), F.concat(label, F.lit(f"/{moment}")).alias("metric"), value.alias("value")))
+    return F.array(*cells)
 
 
-def extremes(rows: DataFrame, variable: str, keys: Sequence[str]) -> DataFrame:
-    """Best and worst of m draws: the r-th smallest of n values is the best with probability
-    (r / n) ** m - ((r - 1) / n) ** m, so every row knows its share from its rank alone."""
-    ranks = ranked(rows.select(*keys, "n", "_i", variable), keys, [F.col(variable), F.col("_i")], out="_rank")
-    ranks = ranks.withColumn("size", F.explode(resample_sizes(F.col("n"))))
-    r, n, m, x = F.col("_rank"), F.col("n"), F.col("size"), F.col(variable)
-    shares = {"best": F.pow(r / n, m) - F.pow((r - 1) / n, m), "worst": F.pow((n - r + 1) / n, m) - F.pow((n - r) / n, m)}
-    moments = ranks.groupBy(*keys, "size").agg(*[F.sum(w * v).alias(f"{k}_{i}") for k, w in shares.items() for i, v in ((1, x), (2, x * x))])
-    return moment_rows(moments, keys, {"best": "best", "worst": "worst"}, F.lit(variable))
-
-
-def drawn(n: Column, size: Column, number: Column, seed: int) -> Column:
-    """1-based position of a draw; the same for all groups of n rows."""
-    bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), n.cast("string"), size.cast("string"), number.cast("string"))), 1, 13), 16, 10)
-    return (F.floor(bits.cast("bigint") / float(2**52) * n) + 1).cast("bigint")
-
-
-DRAW_CHUNK = 4096  # draws made from one row
+def extremes(df: DataFrame, variables: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Best and worst of m draws: a value whose equals take the ranks from r + 1 to s of n is the best with
+    probability (s / n) ** m - (r / n) ** m, so every value knows its share from its ranks alone.
 
-
-def majority_draws(groups: DataFrame, seed: int, rounds: int) -> DataFrame:
-    """(n, size, _round, _k, _i): every draw for each distinct ``n`` of ``groups``.
-
-    Rounds, then pieces of a round are dealt over the tasks by number (adaptive execution would put the small
-    rows together again) before they become draws, so a row stands for DRAW_CHUNK draws at most, however large n is.
+    Rows are reduced to the counts of their values, whose running sums are the ranks.
     """
-    size = F.col("size")
-    pieces = (
-        groups.withColumn("size", F.explode(resample_sizes(F.col("n"))))
-        .withColumn("_round", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(rounds - 1).cast("bigint"))))
-        .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1, F.lit(DRAW_CHUNK).cast("bigint"))))
-    )
-    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = pieces.repartition(parts, "n", "size", "_round", "_from")
-    last = F.least(F.col("_from") + DRAW_CHUNK, size) - 1
-    base = F.col("_round") * size
-    draws = pieces.withColumn("_k", F.explode(F.sequence(base + F.col("_from"), base + last)))
-    return draws.select("n", "size", "_round", "_k", drawn(F.col("n"), size, F.col("_k"), seed).alias("_i"))
+    keys = list(keys)
+    long = df.select(*keys, F.inline(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("_x")) for v in variables])))
+    group = [*keys, "variable"]
+    counts = long.where(F.col("_x").isNotNull()).groupBy(*group, "_x").agg(rows_n().alias("_c"))
+    ranks = running(by_sort(counts, group, [F.col("_x")]), group, [F.col("_x")], behind={"_s": F.col("_c")})
+    ranks = with_stats(ranks, group, F.sum("_c").alias("n")).where(F.col("n") > 1)
+    ranks = ranks.withColumn("size", F.explode(resample_sizes(F.col("n"))))
+    r, s, n, m, x = F.col("_s") - F.col("_c"), F.col("_s"), F.col("n"), F.col("size"), F.col("_x")
+    shares = {"b": F.pow(s / n, m) - F.pow(r / n, m), "w": F.pow((n - r) / n, m) - F.pow((n - s) / n, m)}
+    moments = ranks.groupBy(*group, "size").agg(*[F.sum(w * v).alias(f"{k}{i}") for k, w in shares.items() for i, v in ((1, x), (2, x * x))])
+    cells = moment_cells(F.col("variable"), {"best": (F.col("b1"), F.col("b2")), "worst": (F.col("w1"), F.col("w2"))})
+    return moments.select(*keys, F.inline(cells))
 
 
-def resampled_majority(rows: DataFrame, variables: Sequence[str], pred: str, keys: Sequence[str], seed: int, rounds: int) -> DataFrame:
-    """Value at the first draw of the answer drawn most often.
+def resampled_majority(df: DataFrame, variables: Sequence[str], pred: str, keys: Sequence[str], seed: int, rounds: int) -> DataFrame:
+    """Value of a random row with the answer drawn most often.
 
-    Which draw wins depends on n and on the pattern of the answers alone. Prompts with the same pattern
-    share one set of draws, which is joined to the rows of one of them, row by row.
+    Who wins depends on the counts of the answers alone. Prompts with the same counts (a *shape*: how many
+    answers have each count) share one set of draws, made on the counts in blocks of rounds, so the cost
+    follows the number of different answers and not the number of samples.
     """
     keys = list(keys)
-    first = rows.groupBy(*keys, pred).agg(F.min("_i").alias("_code"))
-    coded = join_on(rows, first, [*keys, pred])
-    look = coded.groupBy(*keys, "n").agg(
-        F.bit_xor(F.xxhash64("_i", "_code")).alias("_p"), F.bit_xor(F.xxhash64(F.lit(1), "_i", "_code")).alias("_q")
-    )
-    look = materialise(look.withColumn("_at", F.monotonically_increasing_id()))
-    shape = ["n", "_p", "_q"]
-    shapes = look.groupBy(*shape).agg(F.min("_at").alias("_shape"))
-    named = look.join(shapes, shape)  # many prompts have the same shape: a skewed part is split
-    one = named.where("_at = _shape").select(*keys, "_shape")
-    answers = join_on(coded, one, keys).select("_shape", "n", "_i", "_code")
-    draws = majority_draws(shapes.select("n").distinct(), seed, rounds)
-    votes = draws.join(answers, ["n", "_i"]).groupBy("_shape", "size", "_round", "_code").agg(
-        rows_n().alias("_c"), F.min("_k").alias("_k"), F.min_by("_i", "_k").alias("_i")
-    )
-    lead = votes.groupBy("_shape", "size", "_round").agg(F.max_by("_i", F.struct("_c", -F.col("_k"))).alias("_i"))
-    shares = materialise(lead.groupBy("_shape", "size", "_i").agg((rows_n() / rounds).alias("_w")))
-    shaped = join_on(rows, named.select(*keys, "_shape"), keys)
-    won = shaped.join(shares, ["_shape", "_i"])
-    w = F.col("_w")
-    moments = won.groupBy(*keys, "size").agg(*[F.sum(w * x).alias(f"{v}_{i}") for v in variables for i, x in ((1, F.col(v)), (2, F.col(v) * F.col(v)))])
-    return reduce(lambda x, y: x.unionByName(y), [moment_rows(moments, keys, {v: "maj"}, F.lit(v)) for v in variables])
-
-
-def val_metrics(df: DataFrame, variables: Sequence[str], index: str, pred: str | None = "pred", rounds: int = 1000) -> DataFrame:
+    answers = df.groupBy(*keys, pred).agg(rows_n().alias("_c"), *[F.avg(e).alias(f"{v}_{i}") for v in variables for i, e in ((1, F.col(v)), (2, F.col(v) * F.col(v)))])
+    # answers with equal counts have equal chances: they are one row from here on
+    sums = [F.sum(f"{v}_{i}").alias(f"{v}_{i}") for v in variables for i in (1, 2)]
+    by_count = materialise(answers.groupBy(*keys, "_c").agg(rows_n().alias("_answers"), *sums))
+    cell = F.struct("_c", "_answers")
+    # n samples have less than sqrt(2 n) different counts
+    shapes = by_count.groupBy(*keys).agg(F.sort_array(F.collect_list(cell), asc=False).alias("_shape"), F.sum(F.col("_c") * F.col("_answers")).alias("n"))
+    shapes = shapes.where(F.col("n") > 1).withColumn("_name", F.array_join(F.transform("_shape", lambda x: F.concat_ws("x", x["_c"], x["_answers"])), ","))
+    one = shapes.select("_name", "_shape", "n").dropDuplicates(["_name"])
+    blocks = one.withColumn("size", F.explode(resample_sizes(F.col("n")))).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((rounds - 1) // resample.BLOCK))))
+    shares = spread(blocks, ["_name", "size", "_block"]).mapInPandas(resample.majority_shares(seed, rounds), "_name string, size bigint, _c bigint, _w double")
+    shares = shares.groupBy("_name", "size", "_c").agg((F.sum("_w") / rounds).alias("_w"))
+    named = join_on(by_count, shapes.select(*keys, "_name"), keys)
+    won = named.join(shares, ["_name", "_c"])
+    moments = won.groupBy(*keys, "size").agg(*[F.sum(F.col("_w") * F.col(f"{v}_{i}")).alias(f"{v}_{i}") for v in variables for i in (1, 2)])
+    cells = F.concat(*[moment_cells(F.lit(v), {"maj": (F.col(f"{v}_1"), F.col(f"{v}_2"))}) for v in variables])
+    return moments.select(*keys, F.inline(cells))
+
+
+def val_metrics(df: DataFrame, variables: Sequence[str], pred: str | None = "pred", rounds: int = 1000) -> DataFrame:
     """Mean over prompts of every per-prompt metric, by data source, variable and metric name."""
     numeric = [v for v in variables if dict(df.dtypes)[v] != "string"]
-    per_uid = point_metrics(df, numeric).unionByName(bootstrap_metrics(df, numeric, index, pred, rounds=rounds))
+    per_uid = point_metrics(df, numeric).unionByName(bootstrap_metrics(df, numeric, pred, rounds=rounds))
     return per_uid.groupBy("data_source", "variable", "metric").agg(F.avg("value").alias("value"))
 
 
@@ -237,6 +212,12 @@ def turn_stats(df: DataFrame, turns: str) -> DataFrame:
     return one.select(F.inline(F.array(*cells)))
 
 
+def drawn(n: Column, size: Column, number: Column, seed: int) -> Column:
+    """1-based position of a draw; the same for all groups of n rows."""
+    bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), n.cast("string"), size.cast("string"), number.cast("string"))), 1, 13), 16, 10)
+    return (F.floor(bits.cast("bigint") / float(2**52) * n) + 1).cast("bigint")
+
+
 def group_reduce(
     df: DataFrame, keys: Sequence[str], value: str, index: str, reducers: Mapping[str, Callable], size: int, seed: int = 42, rounds: int = 100,
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trajtable.functions.divergence import kl
 from trajtable.operators import advantage as adv
 from trajtable.plans.catalog.base import csv, query, r6
+from trajtable.plans.skew import with_stats
 from trajtable.sources import tables as src
 
 ROW = "step, uid, line, problem_id, score"
@@ -335,18 +336,9 @@ SELECT seq_id, t, round(s, 6) + 0.0 AS token_score, round(o, 6) + 0.0 AS token_s
     T,
 )
 def assemble_scores(spark, d):
-    rows = src.trajectories(spark, d, "mask")
-    score = F.aggregate("mask", F.lit(0), lambda a, x: a + x) / 7.0
-    rows = rows.select(
-        "seq_id",
-        F.posexplode(
-            F.arrays_zip(
-                adv.assemble_scores(F.col("mask"), score).alias("s"),
-                adv.assemble_scores(F.col("mask"), score, empty="last").alias("o"),
-            )
-        ).alias("t", "z"),
-    )
-    return rows.select("seq_id", "t", r6("z.s").alias("token_score"), r6("z.o").alias("token_score_old"))
+    rows = with_stats(src.tokens(spark, d), ["seq_id"], (F.sum("mask") / 7.0).alias("score"))
+    rows = adv.place_scores(adv.place_scores(rows, out="s"), out="o", empty="last")
+    return rows.select("seq_id", "t", r6("s").alias("token_score"), r6("o").alias("token_score_old"))
 
 
 @query(

@@ -8,6 +8,7 @@ from trajtable.functions import divergence as dv
 from trajtable.operators import distill, handoff
 from trajtable.plans.catalog.base import csv, query, r6
 from trajtable.plans.catalog.corrections import PPO_COLS, _cells, _flag, _share, rounded
+from trajtable.plans.skew import with_stats
 from trajtable.sources import tables as src
 
 T, L, P, E = ("tokens",), ("logits",), ("logits", "positions"), ("trace",)
@@ -179,19 +180,12 @@ SELECT seq_id, t, CASE WHEN raw > 0 AND mask > 0 THEN 1 ELSE 0 END AS teacher_ma
 )
 def attach_masks(spark, d):
     """The exported masks are two entries shorter than the response, the actions one."""
-    rows = src.trajectories(spark, d, "tok", "mask", "ref_lp").withColumnRenamed("tok", "tokens")
-    n = F.size("tokens")
-    short = lambda c, k: F.slice(c, F.lit(1), F.greatest(n - k, F.lit(0)))
-    rows = rows.withColumns({
-        "raw": F.transform(short("tokens", 2), lambda x: F.when(x % 3 == 0, 1).otherwise(0)),
-        "act": F.struct(
-            F.transform(short("tokens", 1), lambda x: x + 100).alias("ids"), short("ref_lp", 1).alias("lps"),
-            F.transform(short("tokens", 1), lambda x: F.when(x % 2 == 0, 1).otherwise(0)).alias("mask"),
-        ),
-    })
-    out = distill.attach_masks(rows, "raw", "mask", "act")
-    flat = out.select("seq_id", F.posexplode(F.arrays_zip("teacher_mask", "action_mask", "action_ids", "action_lps")).alias("t", "z"))
-    return flat.select("seq_id", "t", "z.teacher_mask", "z.action_mask", F.col("z.action_ids").alias("action_id"), r6("z.action_lps").alias("action_lp"))
+    rows = with_stats(src.tokens(spark, d), ["seq_id"], F.count(F.lit(1)).alias("n"))
+    t, tok = F.col("t"), F.col("tok")
+    masks = rows.where(t < F.col("n") - 2).select("seq_id", "t", (tok % 3 == 0).cast("int").alias("flag"))
+    actions = rows.where(t < F.col("n") - 1).select("seq_id", "t", (tok + 100).alias("id"), F.col("ref_lp").alias("lp"), (tok % 2 == 0).cast("int").alias("flag"))
+    out = distill.attach_rows(rows, masks, rows.select("seq_id"), actions)
+    return out.select("seq_id", "t", "teacher_mask", "action_mask", "action_id", r6("action_lp").alias("action_lp"))
 
 
 # --- hand-off ------------------------------------------------------------------------------------
@@ -259,7 +253,7 @@ SELECT traj_id, (max(t) + 1)::INT AS n_tokens, arg_max(legs, t)::INT AS n_legs,
 
 
 def _legs(spark, d, *args):
-    return handoff.legs(flagged(spark, d), ["traj_id"], *args).drop("legs")
+    return handoff.legs(flagged(spark, d), ["traj_id"], *args)
 
 
 @query("handoff_budget", _legs_sql(2, 3, 6), P)
@@ -375,14 +369,12 @@ SELECT seq_id, n::INT AS raw_gen_len, (CASE WHEN inside THEN pos ELSE n END)::IN
 )
 def stop_strip(spark, d):
     """Stop events at half length (token id known for odd lengths), behind the end, or absent."""
-    rows = src.trajectories(spark, d, "tok").withColumnRenamed("tok", "tokens")
-    n = F.size("tokens")
-    rows = rows.withColumns({
-        "response_pos": F.when(n % 4 == 3, None).when(n % 4 == 2, n).otherwise(F.floor(n / 2).cast("int")),
-        "internal_stop_token_id": F.when(n % 4 != 0, 9), "finish_reason": F.lit("stop"),
-    })
-    out = handoff.strip_stop(rows)
-    return out.select("seq_id", "raw_gen_len", F.size("tokens").alias("gen_len"), "removed", "finish_reason", "mismatch")
+    rows, n = src.tokens(spark, d), F.col("n")
+    stops = rows.groupBy("seq_id").agg(F.count(F.lit(1)).cast("int").alias("n")).select(
+        "seq_id", F.when(n % 4 == 3, None).when(n % 4 == 2, n).otherwise(F.floor(n / 2).cast("int")).alias("response_pos"),
+        F.when(n % 4 != 0, 9).alias("internal_stop_token_id"), F.lit("stop").alias("finish_reason"),
+    )
+    return handoff.stop_summary(rows, stops, ["seq_id"])
 
 
 @query(

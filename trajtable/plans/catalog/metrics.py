@@ -255,9 +255,8 @@ def kl_logprob_debug(spark, d):
     T,
 )
 def token_diff_count(spark, d):
-    rows = src.trajectories(spark, d, "tok", "mask")
-    other = F.transform("tok", lambda x, i: (x * 3 + i) % 100)
-    return rows.select("seq_id", mt.token_diff_count(F.col("tok"), other, F.col("mask")).alias("diff"))
+    other = (F.col("tok") * 3 + F.col("t")) % 100
+    return mt.token_diff_rows(src.tokens(spark, d), F.col("tok"), other, F.col("mask"), ["seq_id"])
 
 
 @query(
@@ -514,38 +513,53 @@ def _bootstrap_sql() -> str:
         best, worst = "(pow(r / n, size) - pow((r - 1) / n, size))", "(pow((n - r + 1) / n, size) - pow((n - r) / n, size))"
         ctes.append(f"e_{v} AS (SELECT data_source, uid, size, sum({best} * x) AS b1, sum({best} * x * x) AS b2, sum({worst} * x) AS w1, sum({worst} * x * x) AS w2 FROM r_{v} GROUP BY ALL)")
         out += [moments("best", v, "b1", "b2", f"e_{v}"), moments("worst", v, "w1", "w2", f"e_{v}"), moments("maj", v, f"{v}_1", f"{v}_2", "mm")]
+    cdf = "list_transform(range(0, m), lambda k: list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(m + 1) - lgamma(j + 1) - lgamma(m - j + 1) + j * ln(a / (a + b)::DOUBLE) + (m - j) * ln(b / (a + b)::DOUBLE)))))"
     ctes += [
-        "c AS (SELECT *, min(i) OVER (PARTITION BY data_source, uid, pred) AS code FROM s WHERE n > 1)",
-        "pat AS (SELECT data_source, uid, n, string_agg(code::VARCHAR, ',' ORDER BY i) AS pat FROM c GROUP BY ALL)",
-        "reps AS (SELECT n, pat, min(uid) AS uid FROM pat GROUP BY ALL)",
-        "ans AS (SELECT reps.pat, reps.n, i, code FROM reps JOIN c ON c.uid = reps.uid)",
-        f"d AS (SELECT n, size, k // size AS round, k, {DRAWN} AS i FROM (SELECT n, size, unnest(range(size * 199)) AS k FROM (SELECT n, unnest({SIZES}) AS size FROM (SELECT DISTINCT n FROM reps))))",
-        "v AS (SELECT pat, ans.n, size, round, code, count(*) AS c, min(k) AS k, arg_min(i, k) AS i FROM d JOIN ans USING (n, i) GROUP BY pat, ans.n, size, round, code)",
-        "lead AS (SELECT pat, n, size, round, i FROM (SELECT *, row_number() OVER (PARTITION BY pat, n, size, round ORDER BY c DESC, k) AS place FROM v) WHERE place = 1)",
-        "w AS (SELECT pat, n, size, i, count(*) / 199.0::DOUBLE AS w FROM lead GROUP BY ALL)",
-        "mm AS (SELECT data_source, uid, size, sum(w * score) AS score_1, sum(w * score * score) AS score_2, sum(w * acc) AS acc_1, sum(w * acc * acc) AS acc_2 FROM s JOIN pat USING (data_source, uid, n) JOIN w USING (pat, n, i) GROUP BY ALL)",
+        # answers by count, the most frequent first; prompts with equal counts share their draws
+        "ac AS (SELECT data_source, uid, pred, count(*) AS c, avg(score) AS score_1, avg(score * score) AS score_2, avg(acc) AS acc_1, avg(acc * acc) AS acc_2 FROM s WHERE n > 1 GROUP BY ALL)",
+        "bc AS (SELECT data_source, uid, c, count(*) AS answers, sum(score_1) AS score_1, sum(score_2) AS score_2, sum(acc_1) AS acc_1, sum(acc_2) AS acc_2 FROM ac GROUP BY ALL)",
+        "sh AS (SELECT data_source, uid, string_agg(c || 'x' || answers, ',' ORDER BY c DESC) AS shape FROM bc GROUP BY ALL)",
+        "one AS (SELECT shape, list(c ORDER BY c DESC) AS counts, sum(c)::BIGINT AS n FROM (SELECT shape, c FROM ac JOIN (SELECT shape, min(uid) AS uid FROM sh GROUP BY shape) USING (uid)) GROUP BY shape)",
+        f"job AS (SELECT shape, counts, n, unnest({SIZES}) AS size FROM one)",
+        "top_n AS (SELECT coalesce(max(n), 0) AS top FROM one)",
+        f"cdf AS MATERIALIZED (SELECT m, a, b, {cdf} AS f FROM (SELECT unnest(range(1, top + 1)) AS m FROM top_n), (SELECT unnest(range(1, top + 1)) AS a FROM top_n), (SELECT unnest(range(1, top + 1)) AS b FROM top_n) WHERE a + b <= (SELECT top FROM top_n))",
+        # one answer after the other: how often it is drawn, given the answers before it
+        """walk AS (SELECT shape, counts, size, r, 1 AS i, size AS m_left, n AS w_left, []::BIGINT[] AS got FROM job, range(1000) AS rounds(r)
+  UNION ALL SELECT shape, counts, size, r, i + 1, m_left - g, w_left - counts[i], got || [g] FROM (
+    SELECT walk.*, CASE WHEN w_left = counts[i] OR m_left = 0 THEN m_left
+      ELSE len(list_filter(f, lambda x: x < ('0x' || substr(md5('42:' || shape || ':' || size || ':' || r || ':' || (i - 1)), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)) END AS g
+    FROM walk LEFT JOIN cdf ON m = m_left AND a = counts[i] AND b = w_left - counts[i] WHERE i <= len(counts)))""",
+        "won AS (SELECT shape, size, r, unnest(counts) AS c, unnest(got) AS g, list_max(got) AS top, len(list_filter(got, lambda x: x = list_max(got))) AS ties FROM walk WHERE i > len(counts))",
+        "w AS (SELECT shape, size, c, sum(CASE WHEN g = top THEN 1.0::DOUBLE / ties ELSE 0 END) / 1000.0::DOUBLE AS share FROM won GROUP BY ALL)",
+        # the share of all answers with a count, over the number of these answers
+        "mm AS (SELECT data_source, uid, size, sum(share / answers * score_1) AS score_1, sum(share / answers * score_2) AS score_2, sum(share / answers * acc_1) AS acc_1, sum(share / answers * acc_2) AS acc_2 FROM bc JOIN sh USING (data_source, uid) JOIN w USING (shape, c) GROUP BY ALL)",
         "boot AS (" + " UNION ALL ".join(out) + ")",
     ]
     return ", ".join(ctes)
 
 
-@query("val_bootstrap", f"WITH {_bootstrap_sql()} SELECT data_source, uid, variable, metric, round(value, 6) + 0.0 AS value FROM boot", G)
+def _up(rows):
+    """Shares of 1,000 draws end on halves at the seventh decimal, which sums in another order would round down."""
+    return rows.withColumn("value", F.col("value") + 1e-9)
+
+
+@query("val_bootstrap", f"WITH RECURSIVE {_bootstrap_sql()} SELECT data_source, uid, variable, metric, round(value + 1e-9, 6) + 0.0 AS value FROM boot", G)
 def val_bootstrap(spark, d):
     """Best and worst in closed form and the resampled majority, per prompt."""
-    rows = src.rollouts(spark, d, source=True, index=True)
-    return rounded(va.bootstrap_metrics(rows, ["score", "acc"], "sample_idx", rounds=199), "data_source", "uid", "variable", "metric")
+    rows = src.rollouts(spark, d, source=True)
+    return rounded(_up(va.bootstrap_metrics(rows, ["score", "acc"])), "data_source", "uid", "variable", "metric")
 
 
 @query(
     "val_metrics",
-    f"""WITH {_bootstrap_sql()}, {POINT.replace("m AS (", "point AS (")},
+    f"""WITH RECURSIVE {_bootstrap_sql()}, {POINT.replace("m AS (", "point AS (")},
 every AS (SELECT data_source, variable, metric, value FROM l UNION ALL SELECT data_source, variable, metric, value FROM boot)
-SELECT data_source, variable, metric, round(avg(value), 6) + 0.0 AS value FROM every GROUP BY ALL""",
+SELECT data_source, variable, metric, round(avg(value) + 1e-9, 6) + 0.0 AS value FROM every GROUP BY ALL""",
     G,
 )
 def val_metrics(spark, d):
-    rows = src.rollouts(spark, d, source=True, index=True)
-    return rounded(va.val_metrics(rows, ["score", "acc", "pred"], "sample_idx", rounds=199), "data_source", "variable", "metric")
+    rows = src.rollouts(spark, d, source=True)
+    return rounded(_up(va.val_metrics(rows, ["score", "acc", "pred"])), "data_source", "variable", "metric")
 
 
 @query(

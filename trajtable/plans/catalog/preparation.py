@@ -373,8 +373,7 @@ SELECT k.seq_id, t, CASE WHEN e IS NULL OR t <= e THEN 1 ELSE 0 END AS eos_mask
     T,
 )
 def response_mask_eos(spark, d):
-    rows = src.trajectories(spark, d, "tok")
-    return rows.select("seq_id", F.posexplode(prep.eos_mask(F.col("tok"), [5, 17])).alias("t", "eos_mask"))
+    return prep.eos_rows(src.tokens(spark, d), [5, 17], ["seq_id"]).select("seq_id", "t", "eos_mask")
 
 
 @query("response_mask_tail", f"SELECT doc_id, {_csv(f'({ROWS3})[greatest(len(ids) - 64, 0) + 1:]')} AS response_mask FROM words", W)

@@ -90,6 +90,24 @@ def sink_rollout_dump(spark, d):
     return back.select("step", "uid", r6("score").alias("score"), "pred")
 
 
+@query(
+    "sink_bucketed_trace",
+    """WITH e AS (SELECT request_id, count(*) AS n_events, max(event_no) AS last_event, count(*) FILTER (WHERE pos < gen_len) AS inside
+  FROM single JOIN gens USING (request_id) GROUP BY request_id)
+SELECT g.request_id, gen_len, n_events, last_event, inside FROM gens g JOIN e ON e.request_id = g.request_id""",
+    ("trace",),
+)
+def sink_bucketed_trace(spark, d):
+    """Events and generations stored by request, then joined and counted without moving either."""
+    events = handoff.expand_events(src.event_log(spark, d)).where("response_pos IS NOT NULL")
+    users = _events(spark, d, "user_id").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    gens = users.select(F.col("user_id").cast("string").alias("request_id"), (F.col("n") % 60 + 10).cast("int").alias("gen_len"))
+    name = f"bucketed_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = [sinks.write_bucketed(t, f"{name}_{k}", f"{scratch(spark)}/{k}", ["request_id"], buckets) for k, t in (("events", events), ("gens", gens))]
+    return handoff.events_per_generation(*stored)
+
+
 @query("sink_offline_parquet", "SELECT doc_id::VARCHAR AS unique_id, len(response_ids)::INT AS gen_len, coalesce(array_to_string(response_ids, ','), '') AS response FROM words", ("words",))
 def sink_offline_parquet(spark, d):
     w = src.words(spark, d)
@@ -210,11 +228,10 @@ def _sentinel(rows, time: str):
     "SELECT user_id, min(event_id // 700) AS min_version, max(event_id // 700) AS max_version, min(event_id // 700) <> max(event_id // 700) AS partial FROM events GROUP BY user_id",
 )
 def st_partial_span(spark, d):
-    """A user's events are one trajectory as long as they are less than 40 days apart."""
+    """A user's events are one trajectory; spans without news for 5 days leave the state."""
     rows = _events(spark, d, "event_id", "ts", "user_id", F.floor(F.col("event_id") / 700).cast("bigint").alias("version"))
     folder = scratch(spark)
-    job = lambda stream: run_append(samples.version_span(stream, "user_id", "version", "ts", "40 days", "40 days"), folder)
-    return _feed(spark, rows, "event_id", job, sentinel=_sentinel(rows, "ts"))
+    return _feed(spark, rows, "event_id", lambda stream: samples.version_span(stream, folder, "user_id", "version", "ts", "5 days"))
 
 
 @query(
@@ -257,7 +274,11 @@ def st_trace_ingest(spark, d):
     copies = F.when(F.col("event_no") % 3 == 0, 2).otherwise(1)
     sent = bt.repeat_var(log, copies).withColumn("ts", F.col("ts") + F.make_dt_interval(mins=F.col("copy").cast("int"))).drop("copy")
     folder = scratch(spark)
-    job = lambda stream: run_append(samples.unique_events(stream, ["request_id", "event_no"], "ts", "40 days"), folder)
+
+    def job(stream):
+        kept, _ = samples.on_time(stream, f"{folder}/gate", "ts", "40 days")
+        return run_append(samples.unique_events(kept, ["request_id", "event_no"], "ts", "40 days"), folder)
+
     table = _feed(spark, sent, "event_no", job)
     rows = handoff.expand_events(table).where("response_pos IS NOT NULL")
     users = _events(spark, d, "user_id").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))

@@ -6,11 +6,16 @@
 * ``ranked``: exact row number per key for groups of any size. The rows are range-partitioned once
   by key and order, so equal keys and equal values spread over as many tasks as they need; a rank is
   the place of a row in the whole order less the place of its key's first row.
+* ``running``: sums along the order of a group, from totals of bounded pieces of it (``by_position``,
+  ``by_sort``) that are summed and carried into the pieces.
+* ``affine``: a recurrence ``x = a * next + b`` along a group. Steps of this form compose to one step
+  of the same form, so a piece of a group is one pair, and pairs are scanned like steps.
+* ``largest``: the k largest rows of a group without sorting it, by histograms of shrinking ranges.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +24,9 @@ from pyspark.sql import functions as F
 from trajtable.session import scratch
 
 LOW_BITS = 33  # monotonically_increasing_id: partition above, place in the partition below
+PIECE = 4096  # positions of a group that one window looks at
+STEPS = 1024  # positions of a group whose steps are composed at once
+BINS = 4096  # bins of a histogram
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -85,3 +93,111 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, points: dict[str,
         share = F.max(spot - F.floor(spot))
         out.append((low + (high - low) * share).alias(name))
     return rows.groupBy(*keys).agg(*out)
+
+
+# --- along a group ------------------------------------------------------------------------------
+
+
+def by_position(df: DataFrame, t: str, out: str = "_piece", size: int = PIECE) -> DataFrame:
+    """Number the pieces of a group by a position that is distinct within it."""
+    return df.withColumn(out, F.floor(F.col(t) / size).cast("bigint"))
+
+
+def by_sort(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "_piece") -> DataFrame:
+    """Number the pieces of a group by the task that sorted them; the rows are written once."""
+    rows = materialise(df.sort(*map(F.col, keys), *order).withColumn("_at", F.monotonically_increasing_id()))
+    return rows.withColumn(out, F.shiftright("_at", LOW_BITS)).drop("_at")
+
+
+def running(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], behind: Mapping[str, Column] | None = None,
+    ahead: Mapping[str, Column] | None = None, upcoming: Mapping[str, Column] | None = None, piece: str = "_piece",
+) -> DataFrame:
+    """Columns with, for each row: the sum up to it (``behind``), from it on (``ahead``), or the first
+    value that is not null after it (``upcoming``).
+
+    ``order`` must be total within a group, and ``piece`` (see ``by_position``, ``by_sort``) must rise
+    with it; the column is dropped. Windows see one piece, or one row for each piece of a group.
+    Null keys are keys like any other, null values add nothing.
+    """
+    keys, behind, ahead, upcoming = list(keys), dict(behind or {}), dict(ahead or {}), dict(upcoming or {})
+    names = [*behind, *ahead, *upcoming]
+    rows = df.withColumns({f"_v_{n}": c for n, c in (behind | ahead | upcoming).items()})
+    place = F.struct(*order)
+    totals = [F.sum(f"_v_{n}").alias(f"_s_{n}") for n in [*behind, *ahead]]
+    totals += [F.min_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), place)).alias(f"_s_{n}") for n in upcoming]
+    pieces = rows.groupBy(*keys, piece).agg(*totals)
+    past = Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    rest = Window.partitionBy(*keys).orderBy(F.col(piece).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.sum(f"_s_{n}").over(past if n in behind else rest).alias(f"_c_{n}") for n in [*behind, *ahead]]
+    carried += [F.last(f"_s_{n}", ignorenulls=True).over(rest).alias(f"_c_{n}") for n in upcoming]
+    rows = join_on(rows, pieces.select(*keys, piece, *carried), [*keys, piece])
+    so_far = Window.partitionBy(*keys, piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    backwards = [F.desc(c) if isinstance(c, str) else c.desc() for c in order]
+    to_go = Window.partitionBy(*keys, piece).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, 0)
+    out = {n: F.coalesce(F.sum(f"_v_{n}").over(so_far if n in behind else to_go), F.lit(0)) + F.coalesce(f"_c_{n}", F.lit(0)) for n in [*behind, *ahead]}
+    beyond = Window.partitionBy(*keys, piece).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, -1)
+    out |= {n: F.coalesce(F.last(f"_v_{n}", ignorenulls=True).over(beyond), F.col(f"_c_{n}")) for n in upcoming}
+    return rows.withColumns(out).drop(piece, *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names])
+
+
+def affine(df: DataFrame, keys: Sequence[str], t: str, a: Column, b: Column, out: str, entering: str | None = None, steps: int = STEPS) -> DataFrame:
+    """``out = a * entering + b`` from the last position of a group to the first; 0 enters the last.
+
+    ``t`` is a position that is distinct within a group; gaps do not matter. Inside a piece the steps
+    from each row to the piece's end are composed by doubling, in one sorted window; the pieces of a
+    group, one row each, are scanned in the same way. Rows are written once for each level.
+    """
+    keys = list(keys)
+    rows = by_position(df.withColumns({"_a": a.cast("double"), "_b": b.cast("double")}), t, size=steps)
+    piece = Window.partitionBy(*keys, "_piece").orderBy(t)
+    reach = 1
+    while reach < steps:
+        rows = rows.withColumns({"_a1": F.lead("_a", reach, 1.0).over(piece), "_b1": F.lead("_b", reach, 0.0).over(piece)})
+        rows = rows.withColumns({"_b": F.col("_a") * F.col("_b1") + F.col("_b"), "_a": F.col("_a") * F.col("_a1")})
+        reach *= 2
+    rows = rows.withColumns({"_a1": F.lead("_a", 1, 1.0).over(piece), "_b1": F.lead("_b", 1, 0.0).over(piece)})
+    rows = materialise(rows)
+    if rows.agg(F.max("_piece") - F.min("_piece")).first()[0]:
+        heads = rows.groupBy(*keys, "_piece").agg(F.min_by(F.struct("_a", "_b"), t).alias("_h"))
+        heads = heads.select(*keys, F.col("_piece").alias("_p"), F.col("_h._a").alias("_ha"), F.col("_h._b").alias("_hb"))
+        # positions of the next level: the pieces of a group counted from 0 rise by one or more
+        scanned = affine(heads, keys, "_p", F.col("_ha"), F.col("_hb"), "_hx", "_he", steps)
+        rows = join_on(rows, scanned.select(*keys, F.col("_p").alias("_piece"), F.col("_he").alias("_end")), [*keys, "_piece"])
+    else:
+        rows = rows.withColumn("_end", F.lit(0.0))
+    rows = rows.withColumn(out, F.col("_a") * F.col("_end") + F.col("_b"))
+    if entering:
+        rows = rows.withColumn(entering, F.col("_a1") * F.col("_end") + F.col("_b1"))
+    return rows.drop("_a", "_b", "_a1", "_b1", "_piece", "_end")
+
+
+def largest(df: DataFrame, keys: Sequence[str], value: str, k: Column, ties: Sequence[Column], few: int = 65_536) -> DataFrame:
+    """The ``k`` rows of each group with the largest ``value`` (double, not null); equal values by ``ties``.
+
+    ``k`` is an expression over the aggregates of a group, such as ``count(*) / 100``, at least 1. The
+    range that holds the k-th value is cut into BINS bins, and the bin with it is the next range, until
+    at most ``few`` rows of a group or only equal ones are left; these alone are sorted. ``ties`` must be total.
+    """
+    keys = list(keys)
+    rows = materialise(df)
+    state = rows.groupBy(*keys).agg(k.cast("bigint").alias("_k"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_in"))
+    state = materialise(state)
+    inside = F.col(value).between(F.col("_lo"), F.col("_hi"))
+    while state.where((F.col("_lo") < F.col("_hi")) & (F.col("_in") > few) & (F.col("_k") < F.col("_in"))).limit(1).count():
+        # halves, so that the width of a range is a number wherever its ends are
+        share = (F.col(value) / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        number = F.when(F.col("_lo") == F.col("_hi"), 0).otherwise(F.least(F.floor(share * BINS), F.lit(BINS - 1)))
+        bins = join_on(rows, state, keys).where(inside).withColumn("_bin", number).groupBy(*keys, "_bin").agg(
+            F.count(F.lit(1)).alias("_in"), F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.first("_k").alias("_k")
+        )
+        above = Window.partitionBy(*keys).orderBy(F.col("_bin").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        bins = bins.withColumn("_above", F.coalesce(F.sum("_in").over(above), F.lit(0)))
+        last = Window.partitionBy(*keys).orderBy("_bin")  # the lowest bin that is not wholly beyond the k-th
+        bins = bins.where(F.col("_above") < F.col("_k")).withColumn("_n", F.row_number().over(last)).where("_n = 1")
+        state = materialise(bins.select(*keys, (F.col("_k") - F.col("_above")).alias("_k"), "_lo", "_hi", "_in"))
+    placed = join_on(rows, state, keys)
+    sure = placed.where(F.col(value) > F.col("_hi")).drop("_k", "_lo", "_hi", "_in")
+    order = [F.col(value).desc(), *ties]
+    doubtful = ranked(placed.where(inside), keys, order, out="_rank").where(F.col("_rank") <= F.col("_k"))
+    return sure.unionByName(doubtful.drop("_k", "_lo", "_hi", "_in", "_rank"))

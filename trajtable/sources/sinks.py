@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,28 @@ def write_dump(df: DataFrame, folder: str, order: Sequence[str] = ("uid", "sessi
     rows.write.mode("overwrite").partitionBy("step").json(folder)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Write a table in hash buckets of ``keys``, sorted inside them, and return it.
+
+    Two tables with equal buckets join and aggregate by these keys without a shuffle, each time they
+    are read. A bucket is one file and one task, so choose ``buckets`` by the size of the larger
+    table; where one key holds a large part of the rows, join plain tables, whose skewed parts are split.
+    The session's catalog keeps the buckets under the name ``table``; other sessions declare them with
+    ``read_bucketed``.
+    """
+    keys = list(keys)
+    rows = df.repartition(buckets, *keys)
+    rows.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def read_bucketed(spark: SparkSession, table: str, path: str, schema: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Declare a table that ``write_bucketed`` wrote, in another session."""
+    names = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{table}` ({schema}) USING parquet CLUSTERED BY ({names}) SORTED BY ({names}) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
 def write_checked(df: DataFrame, path: str, columns: Sequence[str] = TEACHER_COLUMNS) -> int:
     """Write a fixed column list as parquet and compare the row count with what was read back."""
     missing = [c for c in columns if c not in df.columns]

@@ -96,14 +96,6 @@ def tokens(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("c")
 
 
-def trajectories(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Array layout of ``tokens``: one row per trajectory."""
-    cells = F.array_sort(F.collect_list(F.struct("t", *columns)))
-    rows = tokens(spark, folder).groupBy("step", "uid", "seq_id").agg(cells.alias("_cells"))
-    pick = lambda c: F.transform("_cells", lambda x: x[c]).alias(c)
-    return rows.select("step", "uid", "seq_id", *[pick(c) for c in columns])
-
-
 def logits(spark: SparkSession, folder: str) -> DataFrame:
     """Student logits from the embeddings; the teacher distribution is the next vector's, or its own where none follows."""
     emb = table(spark, folder, "embeddings")

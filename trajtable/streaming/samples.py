@@ -75,14 +75,31 @@ def staleness_summary(rows: DataFrame, current: str, cap: int) -> DataFrame:
     )
 
 
-def version_span(stream: DataFrame, traj: str, version: str, time: str, delay: str, pause: str) -> DataFrame:
+def version_span(stream: DataFrame, folder: str, traj: str, version: str, time: str, pause: str) -> DataFrame:
     """Smallest and largest model version of a whole trajectory; partial when they differ.
 
-    A trajectory ends when nothing of it has come for ``pause``; the watermark closes it.
+    The state holds the spans of the trajectories of the last ``pause`` before the newest row. Older ones
+    are put away and merged again when the result is read, so one that comes back after any pause is
+    still one row. Rows may come late or in any order.
     """
-    spans = stream.withWatermark(time, delay).groupBy(F.session_window(time, pause), traj).agg(
-        F.min(version).alias("min_version"), F.max(version).alias("max_version")
-    )
+    spark = stream.sparkSession
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
+    schema = f"{traj} {kinds[traj]}, min_version {kinds[version]}, max_version {kinds[version]}, newest {kinds[time]}"
+    merged, live, closed = (EpochTable(spark, f"{folder}/{name}", schema) for name in ("merged", "live", "closed"))
+    ends = [F.min("min_version").alias("min_version"), F.max("max_version").alias("max_version"), F.max("newest").alias("newest")]
+
+    def step(rows: DataFrame, epoch: int) -> None:
+        new = rows.select(traj, F.col(version).alias("min_version"), F.col(version).alias("max_version"), F.col(time).alias("newest"))
+        now = merged.write(live.before(epoch).unionByName(new).groupBy(traj).agg(*ends), epoch)
+        last = now.agg(F.max("newest")).scalar()
+        recent = F.coalesce(F.col("newest") >= last - F.expr(f"INTERVAL {pause}"), F.lit(True))
+        live.write(now.where(recent), epoch)
+        closed.write(now.where(~recent), epoch)
+        merged.forget(epoch)
+        live.forget(epoch)
+
+    last = run_epochs(stream, folder, step)
+    spans = closed.all().drop("epoch").unionByName(live.before(last + 1)).groupBy(traj).agg(*ends)
     return spans.select(traj, "min_version", "max_version", (F.col("min_version") != F.col("max_version")).alias("partial"))
 
 
@@ -94,26 +111,53 @@ def replay_gate(stream: DataFrame, folder: str, key: str, step_column: str, orde
     """
     spark = stream.sparkSession
     schema = f"{key} bigint, {step_column} bigint, status string, {order} bigint"
-    open_tags = EpochTable(spark, f"{folder}/open", schema)
+    open_tags, tags_now = EpochTable(spark, f"{folder}/open", schema), EpochTable(spark, f"{folder}/merged", schema)
     released = EpochTable(spark, f"{folder}/released", schema)
 
     def step(rows: DataFrame, epoch: int) -> None:
         tags = open_tags.before(epoch).unionByName(rows.select(key, step_column, "status", order))
         last = tags.groupBy(key, step_column).agg(F.max_by("status", order).alias("status"), F.max(order).alias(order))
-        merged = EpochTable(spark, f"{folder}/merged", schema).write(last, epoch)
+        merged = tags_now.write(last, epoch)
         running = merged.where("status = 'running'").select(step_column).distinct()
         open_tags.write(merged.join(running, step_column, "left_semi"), epoch)
         done = merged.join(running, step_column, "left_anti").where("status = 'success'")
         released.write(done, epoch)
         open_tags.forget(epoch)
+        tags_now.forget(epoch)
 
     run_epochs(stream, folder, step)
     return released.all().drop("epoch")
 
 
+def on_time(stream: DataFrame, folder: str, time: str, delay: str) -> tuple[DataFrame, DataFrame]:
+    """Split a stream into the rows on time, as a stream of its own, and a table of the late ones.
+
+    A row is late when it is older than the newest row of the micro-batches before its own, less
+    ``delay``; a null time is on time. A stateful job with the same watermark on the first drops nothing,
+    as it reads all that is there as one micro-batch: every row that arrives is in one of the two.
+    """
+    spark = stream.sparkSession
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema)
+    kept, late = EpochTable(spark, f"{folder}/on_time", schema), EpochTable(spark, f"{folder}/late", schema)
+    clock = EpochTable(spark, f"{folder}/clock", f"newest {stream.schema[time].dataType.simpleString()}")
+
+    def step(rows: DataFrame, epoch: int) -> None:
+        past = clock.before(epoch)
+        edge = past.agg(F.max("newest") - F.expr(f"INTERVAL {delay}")).scalar()
+        behind = F.coalesce(F.col(time) < edge, F.lit(False))
+        late.write(rows.where(behind), epoch)
+        written = kept.write(rows.where(~behind), epoch)
+        clock.write(past.unionByName(written.agg(F.max(time).alias("newest"))).agg(F.max("newest").alias("newest")), epoch)
+        clock.forget(epoch)
+
+    run_epochs(stream, folder, step)
+    again = spark.readStream.schema(stream.schema).parquet(f"{folder}/on_time/epoch=*")
+    return again, late.all().drop("epoch")
+
+
 def unique_events(stream: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
     """Append-only trace events without repeats: an event is known by its keys, whatever its time.
 
-    The watermark bounds what is remembered; rows behind it are left out, and ``run_append`` warns of them.
+    The watermark bounds what is remembered; rows behind it are left out, unless ``on_time`` has put them aside.
     """
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
