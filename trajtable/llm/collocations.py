@@ -80,6 +80,22 @@ def proposed(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
+def near_new(words: np.ndarray, same: np.ndarray, h: np.ndarray, word_hash: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """Places of the words that a phrase with a part in ``fresh`` can reach."""
+    mark = proposed(fresh, h)[words]
+    reach = np.zeros(len(words) + 1, np.int32)  # +1 where a stretch of words begins, -1 behind its end
+    here, open_ = h[words], np.ones(len(words), bool)
+    for k in range(1, LONGEST):
+        if k > 1:
+            open_ = open_[:-1] & same[k - 2 :]
+            here = marked(mixed(here[:-1], word_hash[words[k - 1 :]]), k)
+            mark = open_ & proposed(fresh, here)
+        at = np.flatnonzero(mark)
+        np.add.at(reach, np.maximum(at - (LONGEST - k), 0), 1)
+        np.add.at(reach, np.minimum(at + LONGEST, len(words)), -1)
+    return np.flatnonzero(np.cumsum(reach[:-1]) > 0)
+
+
 def phrases(texts: pa.Array, lang: str, bits: np.ndarray, before: np.ndarray | None = None, longest: int = LONGEST, spelled: bool = False) -> Iterator[tuple]:
     """(k, hashes, counts, known, phrases) of the phrases that ``bits`` admit, by their number of words.
 
@@ -97,6 +113,13 @@ def phrases(texts: pa.Array, lang: str, bits: np.ndarray, before: np.ndarray | N
     known = np.full(len(h), before is not None)  # counted by an earlier pass
     yield 1, h, np.bincount(words, minlength=len(vocabulary)), known, text
     same = piece[:-1] == piece[1:]
+    if before is not None:  # all that is new has a part that is newly proposed: the words around such parts will do
+        at = near_new(words, same, h, word_hash, bits & ~before)
+        if not len(at):
+            return
+        same = same[np.minimum(at[:-1], len(same) - 1)] & (np.diff(at) == 1) if len(same) else same
+        words = words[at]
+        at = words
     for k in range(2, longest + 1):
         on, was = proposed(bits, h), known & proposed(before, h)
         ok = np.append(on, False)[at]  # -1, no such phrase here, reads the last entry
