@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajtable.plans.skew import join_on, ranked, with_stats
+from trajtable.operators.sampling import seeded
+from trajtable.plans.skew import join_on, positions, ranked, with_stats
 
 
 def drop_padding(df: DataFrame, flag: str, batch: Sequence[str]) -> DataFrame:
@@ -286,7 +288,7 @@ def offline_filter(
 
     With a ``seed`` the limit takes a seeded random choice, else the first rows.
     """
-    from trajtable.operators.sampling import first_rows, sample_rows
+    from trajtable.operators.sampling import first_rows, sample_rows, seeded
 
     if sample is not None:
         df = df.where(F.coalesce("sample_idx", F.lit(-1)) == sample)
@@ -366,3 +368,39 @@ def find_request(df: DataFrame, request: Column, wanted: str, step: str) -> Data
     bare = lambda c: F.replace(c, F.lit("-"), F.lit(""))
     hits = df.where(bare(request) == wanted.replace("-", ""))
     return hits.agg(F.min_by(F.struct(*df.columns), step).alias("_r")).where("_r is not null").select("_r.*")
+
+
+# fixed values: speakers of caption files and the roles they stand for
+SPEAKERS = {"human": "user", "gpt": "assistant"}
+
+
+def speaker_messages(conversation: Column) -> Column:
+    """Turns (from, value) as messages (role, content); an unknown speaker is an error."""
+    def message(turn: Column) -> Column:
+        unknown = F.raise_error(F.concat(F.lit("unknown speaker: "), F.coalesce(turn["from"], F.lit("null")))).cast("string")
+        role = unknown
+        for speaker, name in SPEAKERS.items():
+            role = F.when(turn["from"] == speaker, name).otherwise(role)
+        return F.struct(role.alias("role"), turn["value"].alias("content"))
+
+    return F.transform(conversation, message)
+
+
+def seeded_split(df: DataFrame, key: str, share: float, seed: int, out: str = "split") -> DataFrame:
+    """``test`` for a seeded choice of ceil(share * rows) rows, ``train`` for the others; ``key`` must be distinct."""
+    rows = positions(df.withColumn("_draw", seeded(seed, F.col(key))), [F.col("_draw"), F.col(key)], "_place")
+    test = math.ceil(df.count() * share)
+    return rows.withColumn(out, F.when(F.col("_place") < test, "test").otherwise("train")).drop("_draw", "_place")
+
+
+def epoch_order(df: DataFrame, key: str, epochs: int, seed: int, start: tuple[int, int] = (0, 0)) -> DataFrame:
+    """(epoch, position, key) in a seeded order of its own for every epoch, from a place (epoch, position) on.
+
+    The order depends on seed, epoch and key alone, so a run that stopped goes on at the place it kept, on any
+    cluster. ``key`` must be distinct.
+    """
+    rows = df.select(key, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
+    rows = rows.withColumn("_draw", seeded(seed, F.col("epoch"), F.col(key)))
+    rows = ranked(rows, ["epoch"], [F.col("_draw"), F.col(key)], out="_rank")
+    rows = rows.select("epoch", (F.col("_rank") - 1).alias("position"), key)
+    return rows.where((F.col("epoch") > start[0]) | ((F.col("epoch") == start[0]) & (F.col("position") >= start[1])))

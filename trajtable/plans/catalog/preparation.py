@@ -453,3 +453,34 @@ SELECT t.step, t.uid, t.line, t.problem_id, t.acc FROM rollouts t JOIN r ON t.st
 def filter_groups(spark, d):
     kept = prep.fill_batch(src.rollouts(spark, d), "acc", "uid", "step", 512, 12)
     return kept.select("step", "uid", "line", "problem_id", "acc")
+
+
+# --- captions, order of an epoch -----------------------------------------------------------------
+
+
+@query(
+    "prep_caption_chat",
+    """WITH s AS (SELECT doc_id, lang, text, row_number() OVER (ORDER BY md5('7:' || doc_id), doc_id) AS place, count(*) OVER () AS n FROM documents)
+SELECT doc_id, 'user' AS first_role, 'caption in ' || lang AS question, 'assistant' AS second_role, text AS answer,
+  CASE WHEN place <= ceil(n * 0.1::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM s""",
+)
+def prep_caption_chat(spark, d):
+    """Turns of human and gpt as messages, a seeded tenth set aside."""
+    turn = lambda who, what: F.struct(F.lit(who).alias("from"), what.alias("value"))
+    rows = src.table(spark, d, "documents").select(
+        "doc_id", F.array(turn("human", F.concat(F.lit("caption in "), "lang")), turn("gpt", F.col("text"))).alias("conversations")
+    )
+    rows = prep.seeded_split(rows.withColumn("messages", prep.speaker_messages(F.col("conversations"))), "doc_id", 0.1, 7)
+    m = F.col("messages")
+    return rows.select("doc_id", m[0]["role"].alias("first_role"), m[0]["content"].alias("question"), m[1]["role"].alias("second_role"), m[1]["content"].alias("answer"), "split")
+
+
+@query(
+    "epoch_resume",
+    """WITH e AS (SELECT unnest(range(3))::INT AS epoch), o AS (
+  SELECT epoch, row_number() OVER (PARTITION BY epoch ORDER BY md5('5:' || epoch || ':' || o_orderkey), o_orderkey) - 1 AS position, o_orderkey FROM orders, e)
+SELECT * FROM o WHERE epoch > 1 OR (epoch = 1 AND position >= 100)""",
+)
+def epoch_resume(spark, d):
+    """Three epochs in seeded orders, gone on from position 100 of the second."""
+    return prep.epoch_order(src.table(spark, d, "orders"), "o_orderkey", 3, 5, (1, 100))
