@@ -246,3 +246,26 @@ def test_let_evaluates_like_plain(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0],)], "x array<double>")
     r = df.select(dv.entropy(F.col("x")).alias("e"), dv.softmax(F.col("x")).alias("p")).first()
     assert sum(r["p"]) == pytest.approx(1.0) and r["e"] == pytest.approx(-sum(p * math.log(p) for p in r["p"]))
+
+
+def test_speaker_messages(spark):
+    kind = "i int, conversations array<struct<`from`:string,value:string>>"
+    df = spark.createDataFrame([(0, [("human", "see <image>"), ("gpt", None)]), (1, []), (2, None)], kind)
+    got = rows(df.select("i", prep.speaker_messages(F.col("conversations")).alias("m")), "i")
+    assert got == [(0, [("user", "see <image>"), ("assistant", None)]), (1, []), (2, None)]
+    with pytest.raises(Exception, match="unknown speaker: system"):
+        spark.createDataFrame([(0, [("system", "x")])], kind).select(prep.speaker_messages(F.col("conversations"))).collect()
+
+
+def test_epoch_goes_on_where_it_stopped(spark):
+    """The rest of an order after any place is the end of the whole order, however rows are partitioned."""
+    df = spark.range(200).withColumnRenamed("id", "k")
+    whole = rows(prep.epoch_order(df, "k", 2, 9), "epoch", "position")
+    assert [r[:2] for r in whole] == [(e, p) for e in range(2) for p in range(200)]
+    assert all(sorted(k for e, _, k in whole if e == x) == list(range(200)) for x in range(2))
+    assert [k for e, _, k in whole if e == 0] != [k for e, _, k in whole if e == 1]
+    for place in ((0, 57), (1, 0), (1, 199)):
+        rest = prep.epoch_order(df.repartition(7), "k", 2, 9, place)
+        assert rows(rest, "epoch", "position") == [r for r in whole if r[:2] >= place]
+    split = rows(prep.seeded_split(df, "k", 0.1, 3).groupBy("split").count(), "split")
+    assert split == [("test", 20), ("train", 180)]

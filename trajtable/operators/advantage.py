@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajtable.operators.masked import EPS, masked_mean, whiten
-from trajtable.plans.skew import affine, by_position, running, with_stats
+from trajtable.plans.skew import affine, by_position, materialise, running, with_stats
 
 GROUP = ("step", "uid")
 
@@ -235,7 +235,7 @@ def gae(df: DataFrame, gamma: float = 1.0, lam: float = 1.0, traj=("seq_id",), t
     if gamma == 1.0 and lam == 1.0:
         rows = running(rows, traj, [F.col(t)], ahead={"_sum": reward * F.col("mask")}, upcoming=later)
         held = F.when(on, value).otherwise(F.coalesce("_after", F.lit(0.0)))
-        rows = rows.withColumn("_raw", F.col("_sum") - held).drop("_sum", "_after")
+        rows = materialise(rows.withColumn("_raw", F.col("_sum") - held).drop("_sum", "_after"))
     else:
         rows = running(rows, traj, [F.col(t)], upcoming=later)
         delta = reward + gamma * F.coalesce("_after", F.lit(0.0)) - value
@@ -260,7 +260,7 @@ def token_baseline(
         proxy = proxy * F.col(weight) * F.col(weight)
     sums = {"_w": proxy * F.col("mask")} | ({"_pos": F.col("mask").cast("bigint")} if packed else {})
     rows = running(by_position(df, t), traj, [F.col(t)], behind=sums, ahead={"returns": F.col("reward") * F.col("mask")})
-    rows = rows.withColumn("_pos", F.col("_pos") - 1 if packed else F.col(t).cast("bigint"))
+    rows = materialise(rows.withColumn("_pos", F.col("_pos") - 1 if packed else F.col(t).cast("bigint")))  # read three times
     on = rows.where(F.col("mask") > 0)
     lengths = rows.groupBy(*keys, *traj).agg(F.sum("mask").alias("_len"))
     if packed:

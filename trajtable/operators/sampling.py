@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajtable.plans.skew import by_sort, running, with_stats
+from trajtable.plans.skew import by_sort, join_on, materialise, running, with_stats
 
 
 def canonical(value: Column, kind: str = "map") -> Column:
@@ -108,16 +108,16 @@ def resample(
     Every row is the owner of the interval between the cumulative weights before and after it. The
     draws are a stratified set of seeded numbers, one per n-th of the total weight, so a row knows
     from its interval alone how many draws hit it: at most one partial stratum at either end is
-    decided by the seeded number of that stratum. No lookup join is needed.
+    decided by the seeded number of that stratum. ``ids`` must tell the rows of a batch apart.
     """
     ids, batch = list(ids), list(batch)
     rows = with_stats(df, batch, F.max(score).alias("_top"), F.min(score).alias("_bottom"))
     weight = resample_weights(F.col(score), method, power, F.col("_top"), F.col("_bottom"))
     # decimals add up exactly, so neighbouring rows agree on the edge between them
-    rows = rows.withColumns({"_w": weight.cast("decimal(20,10)"), "_draw": seeded(seed, *map(F.col, ids))})
+    rows = rows.select(*batch, *ids, weight.cast("decimal(20,10)").alias("_w"), seeded(seed, *map(F.col, ids)).alias("_draw"))
     order = [F.col("_draw"), *map(F.col, ids)]
-    rows = running(by_sort(rows, batch, order), batch, order, behind={"_cum": F.col("_w")})
-    rows = with_stats(rows, batch, F.max("_cum").alias("_total"), F.count(F.lit(1)).alias("_n"))
+    totals = {"_total": F.col("_w"), "_n": F.lit(1)}
+    rows = running(by_sort(materialise(rows), batch, order), batch, order, behind={"_cum": F.col("_w")}, whole=totals)
     unit = F.col("_total").cast("double") / F.col("_n")
     edge = lambda c: F.least(c.cast("double") / unit, F.col("_n").cast("double"))
     # number of draws below a point: whole strata, plus the one the point falls in if its draw is lower
@@ -128,8 +128,8 @@ def resample(
 
     after, before = edge(F.col("_cum")), edge(F.col("_cum") - F.col("_w"))
     rows = rows.withColumn("copies", (drawn_below(after) - drawn_below(before)).cast("int"))
-    helpers = ["_top", "_bottom", "_w", "_draw", "_cum", "_total", "_n"]
-    return rows.drop(*helpers).where(F.col("copies") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    drawn = rows.where(F.col("copies") > 0).select(*batch, *ids, "copies")
+    return join_on(df, drawn, [*batch, *ids]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
 
 
 def replica_seed(base: int, index: Column) -> Column:

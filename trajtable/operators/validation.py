@@ -141,9 +141,9 @@ def extremes(df: DataFrame, variables: Sequence[str], keys: Sequence[str]) -> Da
     keys = list(keys)
     long = df.select(*keys, F.inline(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("_x")) for v in variables])))
     group = [*keys, "variable"]
-    counts = long.where(F.col("_x").isNotNull()).groupBy(*group, "_x").agg(rows_n().alias("_c"))
-    ranks = running(by_sort(counts, group, [F.col("_x")]), group, [F.col("_x")], behind={"_s": F.col("_c")})
-    ranks = with_stats(ranks, group, F.sum("_c").alias("n")).where(F.col("n") > 1)
+    counts = materialise(long.where(F.col("_x").isNotNull()).groupBy(*group, "_x").agg(rows_n().alias("_c")))
+    c = F.col("_c")
+    ranks = running(by_sort(counts, group, [F.col("_x")]), group, [F.col("_x")], behind={"_s": c}, whole={"n": c}).where(F.col("n") > 1)
     ranks = ranks.withColumn("size", F.explode(resample_sizes(F.col("n"))))
     r, s, n, m, x = F.col("_s") - F.col("_c"), F.col("_s"), F.col("n"), F.col("size"), F.col("_x")
     shares = {"b": F.pow(s / n, m) - F.pow(r / n, m), "w": F.pow((n - r) / n, m) - F.pow((n - s) / n, m)}
@@ -182,6 +182,7 @@ def resampled_majority(df: DataFrame, variables: Sequence[str], pred: str, keys:
 def val_metrics(df: DataFrame, variables: Sequence[str], pred: str | None = "pred", rounds: int = 1000) -> DataFrame:
     """Mean over prompts of every per-prompt metric, by data source, variable and metric name."""
     numeric = [v for v in variables if dict(df.dtypes)[v] != "string"]
+    df = materialise(df.select("data_source", "uid", *numeric, *([pred] if pred else [])))  # read three times
     per_uid = point_metrics(df, numeric).unionByName(bootstrap_metrics(df, numeric, pred, rounds=rounds))
     return per_uid.groupBy("data_source", "variable", "metric").agg(F.avg("value").alias("value"))
 

@@ -104,33 +104,38 @@ def by_position(df: DataFrame, t: str, out: str = "_piece", size: int = PIECE) -
 
 
 def by_sort(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "_piece") -> DataFrame:
-    """Number the pieces of a group by the task that sorted them; the rows are written once."""
+    """Number the pieces of a group by the task that sorted them; the rows are written once.
+
+    Sorting looks at its input twice: write it before where it is costly to make.
+    """
     rows = materialise(df.sort(*map(F.col, keys), *order).withColumn("_at", F.monotonically_increasing_id()))
     return rows.withColumn(out, F.shiftright("_at", LOW_BITS)).drop("_at")
 
 
 def running(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], behind: Mapping[str, Column] | None = None,
-    ahead: Mapping[str, Column] | None = None, upcoming: Mapping[str, Column] | None = None, piece: str = "_piece",
+    ahead: Mapping[str, Column] | None = None, upcoming: Mapping[str, Column] | None = None,
+    whole: Mapping[str, Column] | None = None, piece: str = "_piece",
 ) -> DataFrame:
-    """Columns with, for each row: the sum up to it (``behind``), from it on (``ahead``), or the first
-    value that is not null after it (``upcoming``).
+    """Columns with, for each row: the sum up to it (``behind``), from it on (``ahead``), over its group
+    (``whole``), or the first value that is not null after it (``upcoming``).
 
     ``order`` must be total within a group, and ``piece`` (see ``by_position``, ``by_sort``) must rise
     with it; the column is dropped. Windows see one piece, or one row for each piece of a group.
     Null keys are keys like any other, null values add nothing.
     """
-    keys, behind, ahead, upcoming = list(keys), dict(behind or {}), dict(ahead or {}), dict(upcoming or {})
-    names = [*behind, *ahead, *upcoming]
-    rows = df.withColumns({f"_v_{n}": c for n, c in (behind | ahead | upcoming).items()})
+    keys, behind, ahead, upcoming, whole = list(keys), dict(behind or {}), dict(ahead or {}), dict(upcoming or {}), dict(whole or {})
+    names = [*behind, *ahead, *upcoming, *whole]
+    rows = df.withColumns({f"_v_{n}": c for n, c in (behind | ahead | upcoming | whole).items()})
     place = F.struct(*order)
-    totals = [F.sum(f"_v_{n}").alias(f"_s_{n}") for n in [*behind, *ahead]]
+    totals = [F.sum(f"_v_{n}").alias(f"_s_{n}") for n in [*behind, *ahead, *whole]]
     totals += [F.min_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), place)).alias(f"_s_{n}") for n in upcoming]
     pieces = rows.groupBy(*keys, piece).agg(*totals)
     past = Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     rest = Window.partitionBy(*keys).orderBy(F.col(piece).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.sum(f"_s_{n}").over(past if n in behind else rest).alias(f"_c_{n}") for n in [*behind, *ahead]]
     carried += [F.last(f"_s_{n}", ignorenulls=True).over(rest).alias(f"_c_{n}") for n in upcoming]
+    carried += [F.sum(f"_s_{n}").over(Window.partitionBy(*keys)).alias(n) for n in whole]
     rows = join_on(rows, pieces.select(*keys, piece, *carried), [*keys, piece])
     so_far = Window.partitionBy(*keys, piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     backwards = [F.desc(c) if isinstance(c, str) else c.desc() for c in order]
@@ -138,7 +143,7 @@ def running(
     out = {n: F.coalesce(F.sum(f"_v_{n}").over(so_far if n in behind else to_go), F.lit(0)) + F.coalesce(f"_c_{n}", F.lit(0)) for n in [*behind, *ahead]}
     beyond = Window.partitionBy(*keys, piece).orderBy(*backwards).rowsBetween(Window.unboundedPreceding, -1)
     out |= {n: F.coalesce(F.last(f"_v_{n}", ignorenulls=True).over(beyond), F.col(f"_c_{n}")) for n in upcoming}
-    return rows.withColumns(out).drop(piece, *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names])
+    return rows.withColumns(out).drop(piece, *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names if n not in whole])
 
 
 def affine(df: DataFrame, keys: Sequence[str], t: str, a: Column, b: Column, out: str, entering: str | None = None, steps: int = STEPS) -> DataFrame:
