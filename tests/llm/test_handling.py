@@ -181,3 +181,37 @@ def test_toxicity_score_by_loops(spark):
         language = max(range(len(markers)), key=lambda k: (seen[k], -k)) if max(seen.values(), default=0) > 0 else len(markers)
         p = 1 / (1 + np.exp(-(z - model.cut[language]) / model.scale * 2))
         assert got[i][0] == pytest.approx(p, abs=1e-4) and got[i][1] == int(got[i][0] >= 0.5)
+
+
+def test_precision_in_prose(spark):
+    """Spans planted in sentences of documents, in forms and contexts that the training does not make: what is added is right."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    models = personal.train(docs)
+    r = random.Random(11)
+    parts = [s.strip() for x in docs.orderBy("doc_id").limit(60).collect() for s in (x.text or "").split(".")]
+    prose = [s for s in parts if 30 < len(s) < 160 and not re.search("[0-9@+]", s)]
+    n = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+    card = lambda: personal.checked(n(14))
+    planted = [
+        lambda: ("phone", f"({n(3)}) {n(3)}-{n(4)}", "you can ring me at {} after six"), lambda: ("phone", f"0{n(2)} {n(7)}", "my mobile is {} as before"),
+        lambda: ("phone", f"{n(3)}-{n(3)}-{n(4)}", "phone {} or write"), lambda: ("email", f"{r.choice(['anna', 'tom'])}.{r.choice(['gray', 'hall'])} (at) post.org", "send it to {} soon"),
+        lambda: ("email", f"{r.choice(['anna', 'tom'])}{n(2)}[at]inbox.net", "contact {} now"), lambda: ("card", card(), "my visa is {} until june"),
+        lambda: ("card", (lambda c: f"{c[:4]} {c[4:10]} {c[10:]}")(card()), "he gave {} at the desk"),
+    ]
+    clean = [
+        lambda: (f"{r.randint(1900, 2024)}-{r.randint(10, 12)}-{r.randint(10, 28)}", "it was on {} that"), lambda: (f"{n(3)}.{n(3)}.{n(3)}", "they sold {} of them"), lambda: (n(10), "order {} was sent"),
+        lambda: (f"978-{n(1)}-{n(2)}-{n(6)}-{n(1)}", "the book {} is out"), lambda: (f"{n(1)}.{n(2)}.{n(3)}-{n(2)}", "we run {} now"), lambda: ("meet (at) noon", "let us {} then"),
+        lambda: (f"{n(2)}.{n(6)}, {n(2)}.{n(6)}", "at {} on the map"), lambda: (f"{n(5)}-{n(4)}", "zip {} in town"), lambda: (n(14), "serial {} on the box"), lambda: (f"${n(1)},{n(3)},{n(3)}", "it cost {} last year"),
+    ]
+    rows, truth = [], {}
+    for i in range(600):
+        if i % 2:
+            kind, v, sentence = r.choice(planted)()
+            truth[i] = (kind, v)
+        else:
+            v, sentence = r.choice(clean)()
+        rows.append((i, f"{r.choice(prose)}. {sentence.format(v)}. {r.choice(prose)}."))
+    found = personal.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), models).collect()
+    added = [(x.doc_id, s.kind, s.v) for x in found for s in x.added]
+    right = [a for a in added if truth.get(a[0]) == a[1:]]
+    assert len(added) >= 100 and len(right) >= 0.98 * len(added)

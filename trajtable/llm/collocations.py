@@ -96,12 +96,12 @@ def near_new(words: np.ndarray, same: np.ndarray, h: np.ndarray, word_hash: np.n
     return np.flatnonzero(np.cumsum(reach[:-1]) > 0)
 
 
-def phrases(texts: pa.Array, lang: str, bits: np.ndarray, before: np.ndarray | None = None, longest: int = LONGEST, spelled: bool = False) -> Iterator[tuple]:
-    """(k, hashes, counts, known, phrases) of the phrases that ``bits`` admit, by their number of words.
+def phrases(texts: pa.Array, lang: str, bits: np.ndarray, before: np.ndarray | None = None, longest: int = LONGEST) -> Iterator[tuple]:
+    """(k, hashes, counts, known, spell) of the phrases that ``bits`` admit, by their number of words.
 
     A phrase of several words is admitted when its parts without the last and without the first word
     are admitted and proposed; single words are always admitted. ``known``: ``before`` admitted it too.
-    The phrases themselves are given where they are to be ``spelled``.
+    ``spell`` gives the texts of chosen ones.
     """
     coded, piece = split_words(texts)
     if not len(coded):
@@ -109,9 +109,9 @@ def phrases(texts: pa.Array, lang: str, bits: np.ndarray, before: np.ndarray | N
     words, vocabulary = coded.indices.to_numpy(), coded.dictionary
     seed = xxhash.xxh64_intdigest(lang)
     word_hash = np.array([xxhash.xxh3_64_intdigest(w, seed) for w in vocabulary.to_pylist()], np.uint64)
-    at, text, h = words, vocabulary if spelled else None, marked(word_hash, 1)
+    at, h = words, marked(word_hash, 1)
     known = np.full(len(h), before is not None)  # counted by an earlier pass
-    yield 1, h, np.bincount(words, minlength=len(vocabulary)), known, text
+    yield 1, h, np.bincount(words, minlength=len(vocabulary)), known, lambda chosen: vocabulary.take(pa.array(chosen))
     same = piece[:-1] == piece[1:]
     if before is not None:  # all that is new has a part that is newly proposed: the words around such parts will do
         at = near_new(words, same, h, word_hash, bits & ~before)
@@ -133,11 +133,13 @@ def phrases(texts: pa.Array, lang: str, bits: np.ndarray, before: np.ndarray | N
         head, tail, last = at[example], at[example + 1], words[example + k - 1]
         known = was[head] & was[tail]
         h = marked(mixed(h[head], word_hash[last]), k)
-        if spelled:
-            text = pc.binary_join_element_wise(text.take(pa.array(head)), vocabulary.take(pa.array(last)), " ")
         at = np.full(len(words), -1, np.int32)
         at[spot] = code
-        yield k, h, np.bincount(code, minlength=len(which)), known, text
+
+        def spell(chosen: np.ndarray, k: int = k, example: np.ndarray = example) -> pa.Array:
+            return pc.binary_join_element_wise(*[vocabulary.take(pa.array(words[example[chosen] + j])) for j in range(k)], " ")
+
+        yield k, h, np.bincount(code, minlength=len(which)), known, spell
 
 
 def by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
@@ -167,19 +169,18 @@ def spelled_out(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """(lang, phrase, k, n): exact counts of the phrases whose hash is wanted; k = 0 counts all words of a language."""
     handle = share(docs.sparkSession, wanted)
 
+    def rows(lang: str, found: pa.Array, k: int, n: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.repeat(pa.scalar(lang, pa.string()), len(n)), found, pa.repeat(pa.scalar(k, pa.int32()), len(n)), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared(handle)
         for lang, texts in by_lang(batches):
-            for k, h, n, _, text in phrases(texts, lang, bits, spelled=True):
+            for k, h, n, _, spell in phrases(texts, lang, bits):
                 keep = np.flatnonzero(proposed(bits, h))
-                found, sizes = text.take(pa.array(keep)).to_pylist(), n[keep].tolist()
-                kinds = [k] * len(found)
                 if k == 1:
-                    found, sizes, kinds = ["", *found], [int(n.sum()), *sizes], [0, *kinds]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.string()), pa.array(kinds, pa.int32()), pa.array(sizes, pa.int64())],
-                    names=["lang", "phrase", "k", "n"],
-                )
+                    yield rows(lang, pa.array([""]), 0, np.array([n.sum()]))
+                yield rows(lang, spell(keep), k, n[keep])
 
     found = docs.mapInArrow(run, "lang string, phrase string, k int, n bigint")
     return found.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
