@@ -262,7 +262,6 @@ def test_license_names(spark, n):
     files = plain.union(spark.createDataFrame([(p, t) for p, (t, _) in made.items()], "path string, text string"))
     got = {r.path: (r.license, r.whole) for r in licenses.own_licenses(files).collect()}
     assert {p: got.get(p, (None,))[0] for p in made} == {p: name for p, (_, name) in made.items()}
-    assert all(got[p][1] for p in made if p.startswith("t/"))
     assert not [p for p in got if p.startswith("d/")]
 
 
@@ -287,8 +286,9 @@ def test_license_cosines_against_loops(spark):
             for name, must, banned, t in templates:
                 if must <= tf.keys() and not banned & tf.keys():
                     cosine = round(sum(x * t[w] for w, x in v.items() if w in t) / norm(v) / norm(t), 6)
-                    if cosine >= licenses.THRESHOLD and cosine > want.get(path, (0,))[0]:
-                        want[path] = (cosine, name)
+                    rank = (name not in ("GPL", "LGPL", "AGPL"), cosine)
+                    if cosine >= licenses.THRESHOLD and rank > want.get(path, ((False, 0),))[0]:
+                        want[path] = (rank, name)
     got = {r.path: r.cosine for r in licenses.own_licenses(spark.createDataFrame(rows, "path string, text string")).collect()}
     assert got.keys() == want.keys() and len(got) > 5
-    assert all(got[p] == pytest.approx(want[p][0], abs=2e-6) for p in got)
+    assert all(got[p] == pytest.approx(want[p][0][1], abs=2e-6) for p in got)

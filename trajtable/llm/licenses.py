@@ -167,7 +167,9 @@ def own_licenses(files: DataFrame, path: str = "path", text: str = "text") -> Da
         blocks.select(spot(False, F.col("b.line_no"), F.col("b.lines")), "b.t").union(some.select(spot(True, F.lit(-1), F.lit(0)), "t"))
     )
     found = scored(parts, df, n, idf)
-    best = F.max(F.struct("cosine", F.col("id.whole").alias("whole"), (-F.col("id.line_no")).alias("up"), "license"))
+    # a name with its version before that of the family alone
+    told = (~F.col("license").isin("GPL", "LGPL", "AGPL")).alias("told")
+    best = F.max(F.struct(told, "cosine", F.col("id.whole").alias("whole"), (-F.col("id.line_no")).alias("up"), "license"))
     return found.groupBy(F.col("id.path").alias("path")).agg(best.alias("b")).select(
         "path", "b.license", "b.cosine", "b.whole", (-F.col("b.up")).alias("line_no")
     )
