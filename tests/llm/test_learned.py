@@ -55,6 +55,44 @@ def test_toxic_rows_go(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(200) if i % 2 == 0]
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Texts beyond 50,000 characters and rows beyond one pack count like any others."""
+    monkeypatch.setattr(toxicity, "PACK_ROWS", 64)
+    rows = [(i, "the calm morning " + "more text " * (i % 5)) for i in range(400)]
+    rows += [(i, "plain words " * 5_000 + ("vile slur" if i % 2 else "kind note")) for i in range(400, 600)]
+    labels = spark.createDataFrame([(i, int(i >= 400 and i % 2)) for i in range(600)], "doc_id bigint, toxic int")
+    docs = documents(spark, rows).repartition(7)
+    table = toxicity.training_table(docs, labels, "toxic")
+    assert table.count() == 600
+    holding = toxicity.summed(table, lambda: lambda pack: [toxicity.in_docs(pack), toxicity.np.array([len(pack.y)])])
+    bucket = {w: int(toxicity.hashed(toxicity.tokenizer()(toxicity.pa.array([w])))[0, 0]) for w in ("calm", "vile")}
+    assert holding[0][bucket["calm"]] == 400 and holding[0][bucket["vile"]] == 100 and holding[1][0] == 600
+
+
+def test_toxicity_thresholds_against_loops(spark):
+    """The best cut of every language over all rows, by trying each."""
+    model = toxicity.Model(5)
+    rng = toxicity.np.random.default_rng(1)
+    words = ["the and of", "der die und", "le les et", "bad", "good", "dull", "grim"]
+    rows = [(i, " ".join(rng.choice(words, 6))) for i in range(600)]
+    labels = spark.createDataFrame([(i, int("bad" in t)) for i, t in rows], "doc_id bigint, toxic int")
+    found = toxicity.calibrated(model, toxicity.training_table(documents(spark, rows), labels, "toxic"))
+    tables, markers, tokenize = model.tables(), toxicity.marker_hashes(), toxicity.tokenizer()
+    t = tokenize(toxicity.pa.array([x for _, x in rows]))
+    z = model.logits(tables, *toxicity.padded(toxicity.hashed(t), t.bounds))
+    y, language = toxicity.np.array(["bad" in x for _, x in rows]), toxicity.languages(t, markers)
+
+    def f1(cut, mask):
+        return 2 * (y & (z > cut) & mask).sum() / (((z > cut) & mask).sum() + (y & mask).sum())
+
+    for k in range(len(toxicity.LANGUAGES)):
+        mask = language == k
+        if (y & mask).sum() < 20 or (~y & mask).sum() < 20:
+            mask = language >= 0
+        options = toxicity.np.unique(z[mask])
+        assert f1(found.cut[k], mask) >= max(f1((a + b) / 2, mask) for a, b in zip(options, options[1:])) - 1e-6
+
+
 def secrets_by_loop(text):
     """The base rules as written, without the shortcuts of the operator."""
     text = text or ""
