@@ -91,6 +91,25 @@ def test_group_reduce_against_loops(skewed):
         assert r["med_mean"] == pytest.approx(statistics.fmean(want)) and r["med_std"] == pytest.approx(statistics.pstdev(want))
 
 
+def test_reducers_take_many_groups_a_call():
+    """Groups of as many rows share their draws, so a call reduces a slab of them; the results are those of each alone."""
+    calls = []
+
+    def median(x, axis):
+        calls.append(len(x))
+        return np.median(x, axis=axis)
+
+    rng = np.random.default_rng(2)
+    sizes = [1 + i % 7 for i in range(700)]
+    pdf = resample.pd.DataFrame({"k": range(700), "_n": sizes, "_i": [np.unique(resample.draws(n, 4, 100)) for n in sizes]})
+    pdf["_v"] = [rng.random(len(i)) for i in pdf["_i"]]
+    (got,) = resample.reduce_batches(["k"], {"m": median}, 4, 42, 100)([pdf])
+    assert len(calls) == 7
+    for r, n, places, values in zip(got.itertuples(), pdf["_n"], pdf["_i"], pdf["_v"]):
+        want = [statistics.median(values[np.searchsorted(places, d)]) for d in resample.draws(n, 4, 100)]
+        assert r.m_mean == pytest.approx(statistics.fmean(want)) and r.m_std == pytest.approx(statistics.pstdev(want))
+
+
 def exact_majority(preds, values, size):
     """Mean and deviation of the majority's value over all samples of the size; ties and rows of the winner by chance."""
     n, one, two = len(preds), 0.0, 0.0

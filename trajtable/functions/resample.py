@@ -17,6 +17,7 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 250  # rounds that one task draws at a time
+SLAB = 1 << 20  # resampled values that a reducer gets at a time, or one group
 
 
 def draws(n: int, size: int, rounds: int, seed: int = 42) -> np.ndarray:
@@ -29,22 +30,31 @@ def reduce_batches(keys: Sequence[str], reducers: Mapping[str, Callable], size:
     """Mean and deviation of the reducers over the resamples of every group.
 
     A group comes as the sorted positions that are drawn (``_i``) and their values (``_v``). A reducer
-    takes a (resamples, size) array and ``axis=1``, as NumPy reducers do.
+    takes a (resamples, size) array and ``axis=1``, as NumPy reducers do, and reduces each row on its
+    own. Groups of n rows share their draws: slabs of them are reduced in one call, resamples that
+    are drawn twice once.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[int, np.ndarray] = {}
+        cache: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for pdf in batches:
             out = pdf[list(keys)].copy()
-            samples = []
-            for n, places, values in zip(pdf["_n"], pdf["_i"], pdf["_v"]):
+            got = {f"{name}_{k}": np.empty(len(pdf)) for name in reducers for k in ("mean", "std")}
+            numbers, places, values = pdf["_n"].to_numpy(), pdf["_i"].to_numpy(), pdf["_v"].to_numpy()
+            for n in np.unique(numbers).tolist():
                 if n not in cache:
-                    cache[n] = draws(n, size, rounds, seed)
-                samples.append(np.asarray(values, float)[np.searchsorted(places, cache[n])])
-            for name, reducer in reducers.items():
-                got = [reducer(sample, axis=1) for sample in samples]
-                out[f"{name}_mean"], out[f"{name}_std"] = [g.mean() for g in got], [g.std() for g in got]
-            yield out
+                    cache[n] = np.unique(draws(n, size, rounds, seed), axis=0, return_inverse=True)
+                different, every = cache[n]
+                groups = np.flatnonzero(numbers == n)
+                step = max(1, SLAB // (rounds * size))
+                for rows in (groups[a : a + step] for a in range(0, len(groups), step)):
+                    # equal n means equal positions
+                    spots = np.searchsorted(places[rows[0]], different)
+                    samples = np.stack([np.asarray(values[i], float) for i in rows])[:, spots]
+                    for name, reducer in reducers.items():
+                        each = np.asarray(reducer(samples.reshape(-1, size), axis=1)).reshape(len(rows), -1)[:, every.ravel()]
+                        got[f"{name}_mean"][rows], got[f"{name}_std"][rows] = each.mean(axis=1), each.std(axis=1)
+            yield out.assign(**got)
 
     return run
 
