@@ -146,6 +146,20 @@ def test_bootstrap_against_all_samples(spark):
             assert got[p, f"maj@{size}/mean"] == pytest.approx(mean, abs=0.03) and got[p, f"maj@{size}/std"] == pytest.approx(std, abs=0.03)
 
 
+def test_extremes_sort_large_groups_alone(spark, monkeypatch):
+    """Only groups of many values are sorted over all tasks; the result is the same on either way."""
+    data = [(None if i % 2 else "p", (i * 7 % 5) / 4) for i in range(12)] + [("big", i / 3) for i in range(9)]
+    df = spark.createDataFrame(data, "prompt string, score double")
+    seen = []
+    monkeypatch.setattr(validation, "by_sort", lambda df, *args: seen.append(df.count()) or by_sort(df, *args))
+    alone = rows(validation.extremes(df, ["score"], ["prompt"]), "prompt", "metric")
+    assert not seen
+    monkeypatch.setattr(validation, "FEW_VALUES", 6)
+    mixed = rows(validation.extremes(df, ["score"], ["prompt"]), "prompt", "metric")
+    assert seen == [9]
+    assert [r[:3] for r in alone] == [r[:3] for r in mixed] and [r[3] for r in alone] == pytest.approx([r[3] for r in mixed])
+
+
 @pytest.mark.parametrize("shape, size", [([(3, 1), (2, 2)], 5), ([(5, 1), (4, 1), (1, 4)], 16), ([(400, 1), (380, 1), (100, 2)], 980)])
 def test_majority_on_counts_against_plain_draws(shape, size):
     """How often answers win when counts are drawn, and when rows are drawn one by one."""

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajtable.functions import resample
 from trajtable.plans.skew import by_sort, join_on, materialise, ranked, running, spread, with_stats
 
+FEW_VALUES = 256  # different values of a group that one window looks at
+
 
 def rows_n() -> Column:
     return F.count(F.lit(1))
@@ -136,14 +138,23 @@ def extremes(df: DataFrame, variables: Sequence[str], keys: Sequence[str]) -> Da
     """Best and worst of m draws: a value whose equals take the ranks from r + 1 to s of n is the best with
     probability (s / n) ** m - (r / n) ** m, so every value knows its share from its ranks alone.
 
-    Rows are reduced to the counts of their values, whose running sums are the ranks.
+    Rows are reduced to the counts of their values, whose running sums are the ranks. Groups of at most
+    FEW_VALUES different values are summed in a window of their own, larger ones in pieces over all tasks.
     """
     keys = list(keys)
     long = df.select(*keys, F.inline(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("_x")) for v in variables])))
     group = [*keys, "variable"]
     counts = materialise(long.where(F.col("_x").isNotNull()).groupBy(*group, "_x").agg(rows_n().alias("_c")))
-    c = F.col("_c")
-    ranks = running(by_sort(counts, group, [F.col("_x")]), group, [F.col("_x")], behind={"_s": c}, whole={"n": c}).where(F.col("n") > 1)
+    many = materialise(counts.groupBy(*group).agg(rows_n().alias("_values")).where(F.col("_values") > FEW_VALUES).select(*group))
+    c, whole = F.col("_c"), Window.partitionBy(*group)
+    so_far = whole.orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    if many.isEmpty():
+        ranks = counts.withColumns({"_s": F.sum(c).over(so_far), "n": F.sum(c).over(whole)})
+    else:
+        ranks = join_on(counts, many, group, "left_anti").withColumns({"_s": F.sum(c).over(so_far), "n": F.sum(c).over(whole)})
+        large = by_sort(join_on(counts, many, group, "left_semi"), group, [F.col("_x")])
+        ranks = ranks.unionByName(running(large, group, [F.col("_x")], behind={"_s": c}, whole={"n": c}).select(ranks.columns))
+    ranks = ranks.where(F.col("n") > 1)
     ranks = ranks.withColumn("size", F.explode(resample_sizes(F.col("n"))))
     r, s, n, m, x = F.col("_s") - F.col("_c"), F.col("_s"), F.col("n"), F.col("size"), F.col("_x")
     shares = {"b": F.pow(s / n, m) - F.pow(r / n, m), "w": F.pow((n - r) / n, m) - F.pow((n - s) / n, m)}
