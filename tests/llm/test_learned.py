@@ -69,6 +69,30 @@ def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
     assert holding[0][bucket["calm"]] == 400 and holding[0][bucket["vile"]] == 100 and holding[1][0] == 600
 
 
+def test_toxicity_moves_no_texts(spark, monkeypatch):
+    """Both sides of the join with the labels are without texts, few rows without a label reach it, and none with one is lost."""
+    seen = []
+    monkeypatch.setattr(toxicity, "written", lambda df: seen.append(df) or df)
+    docs = documents(spark, [(i % 3_000, f"the calm morning {i}") for i in range(6_000)] + [(None, "no id")])
+    ids = "doc_id bigint, toxic int"
+    labels = spark.createDataFrame([(i, i % 2 if i % 20 else None) for i in range(0, 4_000, 10)] + [(None, 1)], ids)
+    for known, wide in ((labels, False), (labels.withColumn("doc_id", F.col("doc_id").cast("int")), True)):
+        got = toxicity.training_table(docs, known, "toxic")
+        want = docs.join(labels.where("toxic is not null"), "doc_id").select(F.xxhash64("doc_id", "text").alias("key"), F.col("toxic").alias("y"))
+        assert sorted(map(tuple, got.select("key", "y").collect())) == sorted(map(tuple, want.collect()))
+        plan, sides = [seen[-1]._jdf.queryExecution().optimizedPlan()], []
+        while plan:
+            node = plan.pop()
+            children = [node.children().apply(i) for i in range(node.children().size())]
+            sides += children if node.nodeName() == "Join" else []
+            plan += children
+        columns = [[side.output().apply(i).name() for i in range(side.output().size())] for side in sides]
+        assert len(sides) == 2 and not any("text" in c for side in columns for c in side)
+    bits = toxicity.marked_ids(labels.where("toxic is not null"))
+    key = docs.select(F.xxhash64("doc_id")).toArrow().column(0).to_numpy()
+    assert 300 <= toxicity.is_marked(bits, key).sum() <= 310  # 150 ids under 3,000, twice each; the null id is marked too
+
+
 def test_toxicity_thresholds_against_loops(spark):
     """The best cut of every language over all rows, by trying each."""
     model = toxicity.Model(5)

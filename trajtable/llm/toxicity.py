@@ -23,14 +23,16 @@ import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trajtable.llm.common import annotate, crc_fold, share, shared, table, written
+from trajtable.llm.common import annotate, crc_fold, share, shared, table, text_slices, written
 from trajtable.llm.words import Tokenizer
 from trajtable.plans.skew import by_sort, running
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS = 1 << 15
+BITS = 1 << 26  # bits of the table of labelled ids: 8 MB
 DIM = 12
 FILTERS = 8  # of each width
 WIDTHS = (1, 2, 3)
@@ -189,29 +191,59 @@ def constant_model(share: float) -> Model:
     return model
 
 
+def marked_ids(known: DataFrame) -> np.ndarray:
+    """A table of BITS bits with two of them set for each id of ``known``; a full one only admits more rows."""
+    key = F.xxhash64("doc_id")
+    spots = known.select(F.explode(F.array(key, F.shiftrightunsigned(key, 32))).alias("at"))
+    spots = spots.select(F.col("at").bitwiseAND(F.lit(BITS - 1)).alias("at"))
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))
+    # at most BITS / 64 rows, however many ids there are
+    got = spots.groupBy(F.shiftright("at", 6).alias("i")).agg(F.bit_or(mask).alias("m")).toArrow()
+    bits = np.zeros(BITS // 64, np.uint64)
+    bits[got.column("i").to_numpy()] = got.column("m").to_numpy().view(np.uint64)
+    return bits
+
+
+def is_marked(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether both bits of the hashes are set: so for every id of the table, and for few others."""
+    key = key.view(np.uint64)
+    found = np.ones(len(key), bool)
+    for at in (key, key >> np.uint64(32)):
+        at = at & np.uint64(BITS - 1)
+        found &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return found
+
+
 def training_table(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """One row for each row of ``docs`` with a label: the buckets of its whole text, its label and its language.
 
     A null label is not used; of several labels for an id the largest counts. Every fourth id (``check``) is
-    for the thresholds.
+    for the thresholds. Texts stay in the tasks that read them: only the buckets of rows whose id may have a
+    label are shuffled, and the join with the labels decides.
     """
-    known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("_y"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id")
+    known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    # ids of two types have hashes of two kinds: then all rows are joined
+    alike = docs.schema["doc_id"].dataType == labels.schema["doc_id"].dataType
+    handle = share(docs.sparkSession, marked_ids(known) if alike else None)
+    text = F.coalesce("text", F.lit(""))
     check = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
-    rows = rows.select("text", F.xxhash64("doc_id", "text").alias("key"), F.col("_y").alias("y"), check.alias("check"))
-
-    def prepare():
-        tokenize, markers = tokenizer(), marker_hashes()
+    rows = docs.select("doc_id", F.xxhash64("doc_id", text).alias("key"), check.alias("check"), F.xxhash64("doc_id").alias("_id"), text.alias("_text"))
 
-        def work(texts: pa.Array) -> dict[str, pa.Array]:
-            t = tokenize(texts)
-            data = hashed(t).astype(np.int16)
-            ids = [data[a:b].tobytes() for a, b in zip(t.bounds[:-1], t.bounds[1:])]
-            return {"ids": pa.array(ids, pa.binary()), "language": pa.array(languages(t, markers).astype(np.int32))}
-
-        return work
-
-    return written(annotate(rows, [("ids", "binary"), ("language", "int")], prepare, keep=["key", "y", "check"]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, tokenize, markers = shared(handle), tokenizer(), marker_hashes()
+        for batch in batches:
+            if bits is not None:
+                batch = batch.filter(pa.array(is_marked(bits, batch.column(3).to_numpy())))
+            for a, b in text_slices(batch.column(4)):
+                part = batch.slice(a, b - a)
+                t = tokenize(part.column(4))
+                data = hashed(t).astype(np.int16)
+                ids = [data[x:y].tobytes() for x, y in zip(t.bounds[:-1], t.bounds[1:])]
+                found = [pa.array(ids, pa.binary()), pa.array(languages(t, markers).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], *found], names=["doc_id", "key", "check", "ids", "language"])
+
+    schema = T.StructType([*rows.schema.fields[:3], T.StructField("ids", T.BinaryType()), T.StructField("language", T.IntegerType())])
+    return written(rows.mapInArrow(run, schema).join(known, "doc_id").select("key", "y", "check", "ids", "language"))
 
 
 class Pack(NamedTuple):
